@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.charclasses import DIGIT
+from corpusloom.functions.charclasses import ALL_DIGITS
 from corpusloom.functions.text import FEATURE_NAMES, URL_ENDINGS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,8 +89,8 @@ SQL_FEATURES = {
     "mean_word_length": "CASE WHEN {w} = 0 THEN 0.0 ELSE {c} / {w} END".format(
         w=_n(f"[^{SQL_SPACE}]+"), c=f"CAST({_n(f'[^{SQL_SPACE}]')} AS DOUBLE)"
     ),
-    "digit_count": _n(f"[{DIGIT}]"),
-    "digit_ratio": f"CASE WHEN length(t) = 0 THEN 0.0 ELSE CAST({_n(f'[{DIGIT}]')} AS DOUBLE) / length(t) END",
+    "digit_count": _n(f"[{ALL_DIGITS}]"),
+    "digit_ratio": f"CASE WHEN length(t) = 0 THEN 0.0 ELSE CAST({_n(f'[{ALL_DIGITS}]')} AS DOUBLE) / length(t) END",
     "uppercase_ratio": "CASE WHEN {l} = 0 THEN 0.0 ELSE CAST({u} AS DOUBLE) / {l} END".format(
         l=_n(r"\p{L}"), u=_n(r"\p{Lu}")
     ),

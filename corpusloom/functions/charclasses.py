@@ -5,11 +5,17 @@ from __future__ import annotations
 import sys
 import unicodedata
 
-# Bodies for use inside [...]; a "space" here is what Unicode text handling calls one.
-SPACE = r"\s\p{Z}\x1c-\x1f\x85"
-WORD = r"\p{L}\p{N}_"
-NOT_AFTER_WORD = rf"(?<![{WORD}])"
-NOT_BEFORE_WORD = rf"(?![{WORD}])"
+# Bodies for use inside [...]. ASCII comes first as plain ranges, which Java tests
+# with one bit lookup; the Unicode properties are only asked beyond it.
+_BEYOND_ASCII = r"\x{80}-\x{10ffff}"
+SPACE = rf"\t-\r\x1c-\x20[{_BEYOND_ASCII}&&[\x{{85}}\p{{Z}}]]"
+ALNUM = rf"A-Za-z0-9[{_BEYOND_ASCII}&&[\p{{L}}\p{{N}}]]"
+WORD = f"_{ALNUM}"
+LETTER = rf"A-Za-z[{_BEYOND_ASCII}&&\p{{L}}]"
+UPPER = rf"A-Z[{_BEYOND_ASCII}&&\p{{Lu}}]"
+DECIMAL = rf"0-9[{_BEYOND_ASCII}&&\p{{Nd}}]"
+NOT_AFTER_WORD = f"(?<![{WORD}])"
+NOT_BEFORE_WORD = f"(?![{WORD}])"
 
 
 def _non_decimal_digits() -> str:
@@ -28,4 +34,6 @@ def _non_decimal_digits() -> str:
     return "".join(rf"\x{{{lo:x}}}-\x{{{hi:x}}}" for lo, hi in spans)
 
 
-DIGIT = r"\p{Nd}" + _non_decimal_digits()
+# Decimal digits and all others, as plain properties and in the form above.
+ALL_DIGITS = r"\p{Nd}" + _non_decimal_digits()
+DIGIT = f"0-9[{_BEYOND_ASCII}&&[{ALL_DIGITS}]]"

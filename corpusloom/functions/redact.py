@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .charclasses import NOT_AFTER_WORD, NOT_BEFORE_WORD, SPACE, WORD
+from .charclasses import DECIMAL, NOT_AFTER_WORD, NOT_BEFORE_WORD, SPACE, WORD
 from .text import as_text
 
 # Capitalised words that are not personal names.
@@ -24,22 +24,26 @@ Good Great Nice Love Like Want Need Time Day Today Tomorrow Tonight
 Monday Tuesday Wednesday Thursday Friday Saturday Sunday
 """.split()
 
-_D = r"\p{Nd}"
+_D = f"[{DECIMAL}]"
 # Fixed order: an address before the URL rule, a phone number before money and
 # plain numbers. The e-mail run may only start where a run starts (or where the
 # last match ended), so a long unbroken token is scanned once.
 SPANS = (
     (
-        rf"(?:\G|(?<![{WORD}.+-]))[{WORD}.+-]++@[{WORD}-]++\.[{WORD}.]++",
+        rf"(?:(?<![.+{WORD}-])|\G)[.+{WORD}-]++@[{WORD}-]++\.[.{WORD}]++",
         "<EMAIL>",
     ),
-    (rf"(?iu)https?://[^{SPACE}]+|www\.[^{SPACE}]+", "<URL>"),
-    (rf"\+?{_D}[{_D}{SPACE}-]{{4,}}{_D}", "<PHONE>"),
+    (rf"(?:(?iu:https?)://|(?iu:www)\.)[^{SPACE}]+", "<URL>"),
+    (rf"\+?{_D}[{SPACE}{DECIMAL}-]{{4,}}{_D}", "<PHONE>"),
     (rf"[£$€¥₹][{SPACE}]?{_D}+(?:[.,]{_D}+)?", "<MONEY>"),
-    (rf"{NOT_AFTER_WORD}{_D}+(?:[.,]{_D}+)?{NOT_BEFORE_WORD}", "<NUM>"),
+    (rf"(?={_D}){NOT_AFTER_WORD}{_D}+(?:[.,]{_D}+)?{NOT_BEFORE_WORD}", "<NUM>"),
 )
 
 
+# Runs of white space other than one plain space.
+_LOOSE_SPACE = f"[{SPACE}&&[^ ]][{SPACE}]*+| [{SPACE}]++"
+
+
 def mask_names(col: Column, allowed: list[str] | tuple[str, ...] = tuple(COMMON_WORDS)) -> Column:
     """Capitalised words of three letters or more become <NAME> unless allowed.
 
@@ -49,7 +53,7 @@ def mask_names(col: Column, allowed: list[str] | tuple[str, ...] = tuple(COMMON_
     keep = "|".join(sorted(w for w in set(allowed) if w.isalpha() and len(w) > 2))
     guard = f"(?!(?:{keep}){NOT_BEFORE_WORD})" if keep else ""
     return F.regexp_replace(
-        col, rf"{NOT_AFTER_WORD}{guard}[A-Z][a-z]{{2,}}{NOT_BEFORE_WORD}", "<NAME>"
+        col, rf"(?=[A-Z]){NOT_AFTER_WORD}{guard}[A-Z][a-z]{{2,}}+{NOT_BEFORE_WORD}", "<NAME>"
     )
 
 
@@ -60,12 +64,15 @@ def redact(
     names: bool = True,
     allowed: list[str] | tuple[str, ...] = tuple(COMMON_WORDS),
 ) -> Column:
+    (email, email_mark), *others = SPANS
     text = as_text(col)
-    for pattern, placeholder in SPANS:
+    # Most texts hold no address at all, and looking for the sign is cheap.
+    text = F.when(text.contains("@"), F.regexp_replace(text, email, email_mark)).otherwise(text)
+    for pattern, placeholder in others:
         text = F.regexp_replace(text, pattern, placeholder)
     if names:
         text = mask_names(text, allowed)
-    text = F.trim(F.regexp_replace(text, f"[{SPACE}]+", " "))
+    text = F.trim(F.regexp_replace(text, _LOOSE_SPACE, " "))
     cut = F.rtrim(F.substring(text, 1, max_chars - 1))
     return F.when(F.length(text) > max_chars, F.concat(cut, F.lit("…"))).otherwise(text)
 

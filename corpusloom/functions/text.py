@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .charclasses import DIGIT, NOT_BEFORE_WORD, SPACE, WORD
+from .charclasses import ALNUM, DECIMAL, DIGIT, LETTER, NOT_BEFORE_WORD, SPACE, UPPER, WORD
 
 # Currency symbols, URL endings and the shortest digit run of interest.
 CURRENCY_SYMBOLS = "$£€¥₹¢₩₽₪₦฿"
@@ -21,13 +21,17 @@ URL_ENDINGS = ("com", "net", "org", "co.uk", "uk", "tv", "info", "biz", "ru", "d
 LONG_DIGIT_RUN = 8
 
 _ENDINGS = "|".join(e.replace(".", r"\.") for e in URL_ENDINGS)
-# A bare domain needs one word character in the hyphenated run before the dot, so
-# it is enough to look at the last one: no rescanning of long runs.
-URL_LIKE = rf"(?iu)https?://|www\.|[{WORD}]-*\.(?:{_ENDINGS}){NOT_BEFORE_WORD}"
+# Every alternative starts at a rare character and looks back from there. A bare
+# domain needs one word character in the hyphenated run before the dot.
+URL_LIKE = (
+    rf"://(?<=(?iu:https?)://)|\.(?<=(?iu:www)\.)|\.(?<=[{WORD}]\.)(?iu:{_ENDINGS}){NOT_BEFORE_WORD}"
+    rf"|-(?<=[{WORD}]-)-*\.(?iu:{_ENDINGS}){NOT_BEFORE_WORD}"
+)
 
-_UPPER_ONLY = rf"[\p{{Lu}}[^\p{{L}}{SPACE}]]"
+# A token without any letter but capitals, and with two of them at least.
+_NO_LETTER = rf"[^\p{{L}}{SPACE}]"
 _ALL_CAPS_TOKEN = (
-    rf"(?<![^{SPACE}])(?:[^\p{{L}}{SPACE}]*+\p{{Lu}}){{2}}{_UPPER_ONLY}*+(?![^{SPACE}])"
+    rf"(?<![^{SPACE}])(?:{_NO_LETTER}*+\p{{Lu}}){{2}}(?:\p{{Lu}}|{_NO_LETTER})*+(?![^{SPACE}])"
 )
 
 
@@ -35,16 +39,27 @@ def as_text(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
 
+def _shape(col: Column) -> Column:
+    """The text with every run of a-z shortened to one letter. Word borders and all
+    other characters survive, so most counts can be taken from this shorter string,
+    which the projection works out once."""
+    return F.regexp_replace(as_text(col), "[a-z]+", "a")
+
+
 def _without(col: Column, class_body: str) -> Column:
-    return F.regexp_replace(as_text(col), f"[{class_body}]+", "")
+    return F.regexp_replace(_shape(col), f"[{class_body}]+", "")
 
 
 def _count_of(col: Column, class_body: str) -> Column:
-    return F.length(as_text(col)) - F.length(_without(col, class_body))
+    return F.length(_shape(col)) - F.length(_without(col, class_body))
+
+
+def _shortened_by(col: Column) -> Column:
+    return F.length(as_text(col)) - F.length(_shape(col))
 
 
 def _share(part: Column, whole: Column) -> Column:
-    return F.when(whole == 0, F.lit(0.0)).otherwise(part / F.greatest(whole, F.lit(1)))
+    return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
 def char_length(col: Column) -> Column:
@@ -52,12 +67,12 @@ def char_length(col: Column) -> Column:
 
 
 def word_count(col: Column) -> Column:
-    marked = F.regexp_replace(as_text(col), f"[^{SPACE}]+", "x")
+    marked = F.regexp_replace(_shape(col), f"[^{SPACE}]+", "x")
     return F.length(marked) - _count_of(col, SPACE)
 
 
 def mean_word_length(col: Column) -> Column:
-    return _share(F.length(_without(col, SPACE)), word_count(col))
+    return _share(F.length(as_text(col)) - _count_of(col, SPACE), word_count(col))
 
 
 def digit_count(col: Column) -> Column:
@@ -69,23 +84,23 @@ def digit_ratio(col: Column) -> Column:
 
 
 def uppercase_ratio(col: Column) -> Column:
-    return _share(_count_of(col, r"\p{Lu}"), _count_of(col, r"\p{L}"))
+    return _share(_count_of(col, UPPER), _count_of(col, LETTER) + _shortened_by(col))
 
 
 def all_caps_word_count(col: Column) -> Column:
-    return F.regexp_count(as_text(col), F.lit(_ALL_CAPS_TOKEN))
+    return F.regexp_count(_shape(col), F.lit(_ALL_CAPS_TOKEN))
 
 
 def exclamation_count(col: Column) -> Column:
-    return F.length(as_text(col)) - F.length(F.replace(as_text(col), F.lit("!"), F.lit("")))
+    return F.length(_shape(col)) - F.length(F.replace(_shape(col), F.lit("!"), F.lit("")))
 
 
 def currency_symbol_count(col: Column) -> Column:
-    return F.length(as_text(col)) - F.length(F.translate(as_text(col), CURRENCY_SYMBOLS, ""))
+    return F.length(_shape(col)) - F.length(F.translate(_shape(col), CURRENCY_SYMBOLS, ""))
 
 
 def non_alnum_count(col: Column) -> Column:
-    return F.length(_without(col, rf"\p{{L}}\p{{N}}{SPACE}"))
+    return F.length(_without(col, SPACE + ALNUM))
 
 
 def has_url_like(col: Column) -> Column:
@@ -93,7 +108,7 @@ def has_url_like(col: Column) -> Column:
 
 
 def has_long_digit_run(col: Column) -> Column:
-    return as_text(col).rlike(rf"\p{{Nd}}{{{LONG_DIGIT_RUN}}}").cast("int")
+    return _shape(col).rlike(f"[{DECIMAL}]{{{LONG_DIGIT_RUN}}}").cast("int")
 
 
 # The order is part of the contract: it is the column order of the feature frame.
