@@ -1,2 +1,2 @@
-from . import logs, text
+from . import audit, eda
 from .base import ORACLES, QUERIES
