@@ -1,2 +1,2 @@
-from . import audit, eda
+from . import modelling, resampling, sources
 from .base import ORACLES, QUERIES

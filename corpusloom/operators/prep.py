@@ -19,7 +19,7 @@ from corpusloom.functions.listings import to_number
 from corpusloom.workspace import materialise
 
 from .ordered import bounded_rows, quantiles
-from .split import Split, TrainingPartition
+from .split import Split, TrainingPartition, split_rows
 from .stats import clean_double, melt, stack_columns
 
 MAX_LEVELS = 10_000
