@@ -10,49 +10,40 @@ from corpusloom.workspace import fresh_path
 
 from .base import CORPORA, labelled, query, table
 
-# Latin-1 cannot hold every character of the texts; those it lacks are dropped on
-# both sides before files in that charset are written.
+# A text goes into a Latin-1 file if that charset holds all of its characters.
 _BEYOND_LATIN = r"[^\x00-\x{ff}]"
 _ONE_LINE = r"[\r\n\t\x{85}]+"
-
-
-def _write_csv(df, path, charset):
-    df.write.option("header", True).option("encoding", charset).option("escape", '"').csv(path)
+_CSV = {"header": True, "escape": '"'}
+_SCHEMA = "doc_id long, lang string, text string"
 
 
 def _two_encodings(spark, folder):
-    """Half of the documents as UTF-8 files and half as Latin-1 files, in one folder."""
-    docs = table(spark, folder, "documents").select(
-        "doc_id", "lang", F.regexp_replace(F.regexp_replace("text", _ONE_LINE, " "), _BEYOND_LATIN, "").alias("text")
-    )
+    """The documents as Latin-1 files where possible and as UTF-8 files otherwise."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    beyond = F.col("text").rlike(_BEYOND_LATIN)
     path = fresh_path(spark, "documents")
-    _write_csv(docs.filter("doc_id % 2 = 0"), f"{path}/utf8", "UTF-8")
-    _write_csv(docs.filter("doc_id % 2 = 1"), f"{path}/latin1", "ISO-8859-1")
-    return [f"{path}/utf8", f"{path}/latin1"]
+    for part, charset in ((docs.filter(beyond), "UTF-8"), (docs.filter(~beyond), "ISO-8859-1")):
+        writer = part.write.options(**_CSV, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        writer.option("encoding", charset).csv(f"{path}/{charset}")
+    return [f"{path}/UTF-8", f"{path}/ISO-8859-1"]
 
 
-@query(
-    "s1_read_delimited",
-    "SELECT doc_id, lang, md5(trim(regexp_replace(regexp_replace(text, '[\\r\\n\\t\\x{85}]+', ' ', 'g'), '[^\\x{00}-\\x{ff}]', '', 'g'))) AS digest FROM documents",
-)
+@query("s1_read_delimited", "SELECT doc_id, lang, md5(text) AS digest FROM documents")
 def s1(spark, folder):
-    loaded = read_delimited(
-        spark, _two_encodings(spark, folder), DEFAULT_ENCODINGS, schema="doc_id long, lang string, text string", header=True, escape='"'
-    )
-    return loaded.data.select("doc_id", "lang", F.md5(F.trim("text")).alias("digest"))
+    paths = _two_encodings(spark, folder)
+    loaded = read_delimited(spark, paths, DEFAULT_ENCODINGS, schema=_SCHEMA, multiLine=True, **_CSV)
+    return loaded.data.select("doc_id", "lang", F.md5("text").alias("digest"))
 
 
 @query("s4_provenance")
 def s4(spark, folder):
-    loaded = read_delimited(
-        spark, _two_encodings(spark, folder), EXTENDED_ENCODINGS, schema="doc_id long, lang string, text string", header=True, escape='"'
-    )
-    return loaded.provenance
+    paths = _two_encodings(spark, folder)
+    return read_delimited(spark, paths, EXTENDED_ENCODINGS, schema=_SCHEMA, multiLine=True, **_CSV).provenance
 
 
 @query(
     "s2_read_lines",
-    "SELECT md5(line) AS digest, count(*) AS n FROM (SELECT unnest(string_split(regexp_replace(text, '\\r\\n?', '\\n', 'g'), chr(10))) AS line FROM documents) GROUP BY line",
+    "SELECT md5(line) AS digest, count(*) AS n FROM (SELECT unnest(string_split(regexp_replace(text, '\\r\\n?', chr(10), 'g'), chr(10))) AS line FROM documents) GROUP BY line",
 )
 def s2(spark, folder):
     path = fresh_path(spark, "lines")
@@ -61,9 +52,7 @@ def s2(spark, folder):
     return lines.groupBy("line").agg(F.count(F.lit(1)).alias("n")).select(F.md5("line").alias("digest"), "n")
 
 
-@query(
-    "s2_detect_encodings",
-)
+@query("s2_detect_encodings")
 def s2_detect(spark, folder):
     return detect_encodings(spark, _two_encodings(spark, folder), EXTENDED_ENCODINGS)
 
