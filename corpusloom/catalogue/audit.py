@@ -117,11 +117,8 @@ def a14(spark, folder):
     "|| f || ' features are dead' ELSE 'clean' END AS verdict FROM overview o JOIN marks m ON o.corpus = m.corpus JOIN gone g ON o.corpus = g.corpus",
 )
 def a15(spark, folder):
-    rows = corpora(spark, folder)
-    overview = audit.corpus_overview(rows, "corpus", "text", "y")
-    marks = audit.marker_audit(rows, "text", "y", by=["corpus"])
-    viable = audit.feature_viability(rows, "text", "row_key", by="corpus", sample=None)
-    return rounded(audit.verdicts(overview, marks, viable, "corpus"), "positive_share", "worst_marker_auc")
+    found = audit.audit_corpora(corpora(spark, folder), "corpus", "text", "y", "row_key")
+    return rounded(found.verdicts, "positive_share", "worst_marker_auc")
 
 
 @query(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.charclasses import ALL_DIGITS
 from corpusloom.functions.text import FEATURE_NAMES, URL_ENDINGS
+from corpusloom.workspace import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +33,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """The given columns of a text table, spread over the cores if it is small."""
+    return spread(table(spark, folder, name).select(*columns))
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
 
@@ -43,7 +49,7 @@ def quote(text: str) -> str:
 # -- labelled text ---------------------------------------------------------
 def labelled(spark: SparkSession, folder: str, label: str = "toxic") -> DataFrame:
     """documents with their label: doc_id, text, y."""
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = texts(spark, folder, "documents", "doc_id", "text")
     labels = table(spark, folder, "labels").select("doc_id", F.col(label).alias("y"))
     return docs.join(labels, "doc_id")
 
@@ -56,7 +62,7 @@ def corpora(spark: SparkSession, folder: str) -> DataFrame:
     docs = labelled(spark, folder).select(
         F.lit("documents").alias("corpus"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("row_key"), "text", "y"
     )
-    talks = table(spark, folder, "conversations").filter(F.col("role").isin("user", "assistant")).select(
+    talks = texts(spark, folder, "conversations", "conv_id", "turn", "role", "text").filter(F.col("role").isin("user", "assistant")).select(
         F.lit("conversations").alias("corpus"),
         F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("row_key"),
         "text",
@@ -144,7 +150,8 @@ def _log_line(stamp: str) -> str:
 def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     """event_id (the line number) and line."""
     line = _log_line("date_format(ts, 'yyyy-MM-dd HH:mm:ss')")
-    return table(spark, folder, "events").select("event_id", F.expr(line).alias("line"))
+    events = texts(spark, folder, "events", "event_id", "ts", "user_id", "event_type")
+    return events.select("event_id", F.expr(line).alias("line"))
 
 
 LOG_LINES = f"""lines AS (SELECT event_id, {_log_line("strftime(ts, '%Y-%m-%d %H:%M:%S')")} AS line FROM events)"""

@@ -8,7 +8,7 @@ from corpusloom.functions.text import FEATURE_NAMES, char_length, digit_ratio, u
 from corpusloom.operators import dedupe, stats
 from corpusloom.operators.features import feature_frame
 
-from .base import LABELLED, PRICED, RAW_LISTINGS, labelled, priced_lines, query, raw_listings, rounded, sql_features, sql_melt, table
+from .base import LABELLED, PRICED, RAW_LISTINGS, labelled, priced_lines, query, raw_listings, rounded, sql_features, sql_melt, table, texts
 
 FEATURED = "WITH " + LABELLED + ", feats AS (" + sql_features("labelled", "doc_id, y") + ")"
 LONG = FEATURED + ", tall AS (" + sql_melt("feats", "doc_id, y") + ")"
@@ -190,7 +190,7 @@ _TALKS = (
     "round(stump_f1, 6) AS stump_f1 FROM stump",
 )
 def a10(spark, folder):
-    talks = table(spark, folder, "conversations").filter(F.col("role").isin("user", "assistant"))
+    talks = texts(spark, folder, "conversations", "role", "text").filter(F.col("role").isin("user", "assistant"))
     rows = talks.select("text", (F.col("role") == "assistant").cast("int").alias("y"))
     found = stats.stumps(feature_frame(rows, "text", ["y"]), FEATURE_NAMES, "y")
     return rounded(found, "split_value", "stump_f1")

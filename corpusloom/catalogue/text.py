@@ -9,7 +9,7 @@ from corpusloom.functions.text import FEATURES, has_non_ascii, has_replacement_c
 from corpusloom.operators.features import feature_frame
 from corpusloom.operators.samples import leak_share, safe_sample
 
-from .base import SQL_FEATURES, SQL_SPACE, SQL_WORD, query, quote, rounded, sql_features, sql_hash, table
+from .base import SQL_FEATURES, SQL_SPACE, SQL_WORD, query, quote, rounded, sql_features, sql_hash, table, texts
 
 
 def _feature_query(number: int, name: str) -> None:
@@ -18,7 +18,7 @@ def _feature_query(number: int, name: str) -> None:
         f"SELECT doc_id, round({name}, 6) AS {name} FROM ({sql_features('documents', 'doc_id', (name,))})",
     )
     def run(spark, folder):
-        docs = table(spark, folder, "documents")
+        docs = texts(spark, folder, "documents", "doc_id", "text")
         return rounded(feature_frame(docs, "text", ["doc_id"], {name: FEATURES[name]}), name)
 
 
@@ -32,7 +32,8 @@ for _number, _name in enumerate(FEATURES, 1):
     + f" FROM ({sql_features('documents', 'doc_id')})",
 )
 def x13(spark, folder):
-    return rounded(feature_frame(table(spark, folder, "documents"), "text", ["doc_id"]), *FEATURES)
+    docs = texts(spark, folder, "documents", "doc_id", "text")
+    return rounded(feature_frame(docs, "text", ["doc_id"]), *FEATURES)
 
 
 @query(
@@ -92,7 +93,8 @@ def sql_redacted(source: str, columns: str, max_chars: int = 70) -> str:
 
 @query("r1_redact", sql_redacted("documents", "doc_id", 200))
 def r1(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", redact(F.col("text"), max_chars=200).alias("shown"))
+    docs = texts(spark, folder, "documents", "doc_id", "text")
+    return docs.select("doc_id", redact(F.col("text"), max_chars=200).alias("shown"))
 
 
 @query(
@@ -100,13 +102,14 @@ def r1(spark, folder):
     f"SELECT doc_id, length(shown) AS n_chars, md5(shown) AS digest FROM ({sql_redacted('documents', 'doc_id', 10**9)})",
 )
 def r1_whole(spark, folder):
-    shown = table(spark, folder, "documents").select("doc_id", redact(F.col("text"), max_chars=10**9).alias("shown"))
+    docs = texts(spark, folder, "documents", "doc_id", "text")
+    shown = docs.select("doc_id", redact(F.col("text"), max_chars=10**9).alias("shown"))
     return shown.select("doc_id", F.length("shown").cast("long").alias("n_chars"), F.md5("shown").alias("digest"))
 
 
 @query("r2_mask_names", "SELECT doc_id, md5(masked) AS digest FROM (SELECT doc_id, " + sql_mask_names("text") + " AS masked FROM documents)")
 def r2(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", mask_names(F.col("text")).alias("masked"))
+    docs = texts(spark, folder, "documents", "doc_id", "text").select("doc_id", mask_names(F.col("text")).alias("masked"))
     return docs.select("doc_id", F.md5("masked").alias("digest"))
 
 
@@ -138,4 +141,4 @@ def r3_overall(spark, folder):
     f"FROM ({sql_redacted('documents', 'lang')})) GROUP BY lang",
 )
 def r4(spark, folder):
-    return rounded(leak_share(table(spark, folder, "documents"), "text", ["lang"]), "leak_share")
+    return rounded(leak_share(texts(spark, folder, "documents", "lang", "text"), "text", ["lang"]), "leak_share")

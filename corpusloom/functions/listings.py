@@ -30,7 +30,7 @@ def to_number(col: Column) -> Column:
 def leading_number(col: Column) -> Column:
     """`23.4 kmpl` -> 23.4; a bare number passes through; otherwise null."""
     found = F.regexp_extract(col.cast("string"), rf"^\s*({_NUMBER})", 1)
-    return F.nullif(found, F.lit("")).try_cast("double")
+    return found.try_cast("double")
 
 
 def torque_in_nm(col: Column) -> Column:
@@ -42,7 +42,7 @@ def torque_in_nm(col: Column) -> Column:
     """
     text = F.lower(col.cast("string"))
     attached = rf"({_NUMBER})\s*(nm|kgm)?"
-    magnitude = F.nullif(F.regexp_extract(text, attached, 1), F.lit("")).try_cast("double")
+    magnitude = F.regexp_extract(text, attached, 1).try_cast("double")
     unit = F.regexp_extract(text, attached, 2)
     in_kgm = (
         (unit == "kgm")

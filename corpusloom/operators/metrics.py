@@ -244,9 +244,11 @@ def triangular_factor(df: DataFrame, columns: Sequence[str], intercept: bool, fa
 def design_diagnostics(df: DataFrame, columns: Sequence[str], coefficients: Sequence[float] | None = None) -> DataFrame:
     """Shape, rank with intercept, condition number and largest coefficient."""
     spark = df.sparkSession
+    r = triangular_factor(df, columns, True)
     n_rows = df.count()
-    with_one = np.linalg.svd(triangular_factor(df, columns, True), compute_uv=False)
-    plain = np.linalg.svd(triangular_factor(df, columns, False), compute_uv=False)
+    with_one = np.linalg.svd(r, compute_uv=False)
+    # The constant is the last column, so the rest of R is the factor without it.
+    plain = np.linalg.svd(r[:, :-1], compute_uv=False)
     width = len(columns) + 1
     tolerance = with_one.max() * max(n_rows, width) * np.finfo(float).eps
     condition = float(plain.max() / plain.min()) if plain.min() > 0 else float("inf")

@@ -51,14 +51,17 @@ def running_sums(
     sums: Sequence[str],
     *,
     descending: bool = False,
-    range_rows: int = RANGE_ROWS,
+    range_rows: int | None = None,
+    written: bool = False,
 ) -> DataFrame:
     """Add `cum_<s>` (inclusive) and `tot_<s>` for each column of `sums`.
 
-    `df` must hold one row per (`by`, `order`), i.e. be pre-aggregated by value.
+    `df` must hold one row per (`by`, `order`), i.e. be pre-aggregated by value; it
+    is read several times and therefore written first, unless the caller has.
     """
     by = list(by)
-    table = materialise(df, "ordered")
+    range_rows = range_rows or RANGE_ROWS
+    table = df if written else materialise(df, "ordered")
     sizes = table.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
     groups = bounded_rows(sizes)
     # Groups above one range get cut points from a mergeable sketch; the cut points
@@ -129,11 +132,19 @@ def quantiles(
     value: str,
     shares: Mapping[str, float],
     *,
-    range_rows: int = RANGE_ROWS,
+    range_rows: int | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles: one row per group, one column per share."""
+    counts = materialise(value_counts(df, by, value), "counts")
+    return quantiles_of_counts(counts, by, value, shares, range_rows=range_rows)
+
+
+def quantiles_of_counts(
+    counts: DataFrame, by: Sequence[str], value: str, shares: Mapping[str, float], *, range_rows: int | None = None
+) -> DataFrame:
+    """The same from written (by, value, n) counts."""
     by = list(by)
-    ordered = running_sums(value_counts(df, by, value), by, value, ["n"], range_rows=range_rows)
+    ordered = running_sums(counts, by, value, ["n"], range_rows=range_rows, written=True)
 
     def at(index: Column) -> Column:
         covered = (F.col("cum_n") > index) & (F.col("cum_n") - F.col("n") <= index)

@@ -203,11 +203,15 @@ class Preparation:
     def _fit_categorical(self, train: DataFrame, columns: list[str], n_rows: int) -> list[ColumnState]:
         # An all-missing column gets the constant "0", like a constant imputer.
         fills = dict.fromkeys(columns, "0" if self.categorical_strategy == "most_frequent" else "missing_value")
-        counts = level_counts(train, columns)
+        counts = materialise(level_counts(train, columns), "levels")
         if self.categorical_strategy == "most_frequent":
             fills.update({r["feature"]: r["mode"] for r in modes(counts).collect()})
-        filled = train.select(*[F.coalesce(F.col(c).cast("string"), F.lit(fills[c])).alias(c) for c in columns])
-        folded = fold_levels(level_counts(filled, columns), self.max_categories, self.min_frequency, n_rows)
+        present = {r["feature"]: r["n"] for r in counts.groupBy("feature").agg(F.sum("n").alias("n")).collect()}
+        # Imputed rows join the counts of their fill, without reading the rows again.
+        imputed = [(c, fills[c], n_rows - present.get(c, 0)) for c in columns if present.get(c, 0) < n_rows]
+        extra = train.sparkSession.createDataFrame(imputed, "feature string, level string, n long")
+        filled = counts.unionByName(extra).groupBy("feature", "level").agg(F.sum("n").alias("n"))
+        folded = fold_levels(filled, self.max_categories, self.min_frequency, n_rows)
         self.level_table = materialise(folded, "levels")
         frequent = bounded_rows(
             self.level_table.filter(~F.col("rare")), MAX_LEVELS, "category levels; set max_categories"

@@ -8,7 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import bounded_rows, quantiles, running_sums
+from corpusloom.workspace import materialise
+
+from .ordered import bounded_rows, quantiles, quantiles_of_counts, running_sums, value_counts
 
 
 def melt(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
@@ -36,30 +38,36 @@ def class_balance(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFram
     return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(*by)))
 
 
+def _summary_of_counts(counts: DataFrame, by: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """count, mean, std, min, max and quantiles per group from written value counts,
+    so that the rows themselves are read once."""
+    v, n = F.col(value).cast("double"), F.col("n")
+    total = F.sum("n")
+    basic = counts.groupBy(*by).agg(
+        total.alias("count"),
+        (F.sum(v * n) / total).alias("mean"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
+    )
+    means = basic.select(*by, F.col("mean").alias("_mean"))
+    gap = v - F.col("_mean")
+    # One row per group; running sums refuse more groups than the driver can hold.
+    spread = counts.join(F.broadcast(means), list(by)).groupBy(*by).agg(
+        F.sqrt(F.try_divide(F.sum(gap * gap * n), F.nullif(total - 1, F.lit(0)))).alias("std")
+    )
+    return basic.join(spread, list(by)).join(quantiles_of_counts(counts, by, value, shares), list(by))
+
+
 def grouped_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """count, mean, median, sample std, min, max per group."""
-    basic = df.groupBy(*by).agg(
-        F.count(value).alias("count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).cast("double").alias("min"),
-        F.max(value).cast("double").alias("max"),
-    )
-    return basic.join(quantiles(df, by, value, {"median": 0.5}), list(by))
+    counts = materialise(value_counts(df.filter(F.col(value).isNotNull()), by, value), "counts")
+    return _summary_of_counts(counts, by, value, {"median": 0.5})
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per numeric column: count, mean, std, min, quartiles, max."""
-    long = melt(df, columns)
-    basic = long.groupBy("feature").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    parts = quantiles(long, ["feature"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    return basic.join(parts, "feature", "left")
+    counts = materialise(value_counts(melt(df, columns), ["feature"], "value"), "counts")
+    return _summary_of_counts(counts, ["feature"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -114,19 +122,26 @@ def cohens_d(df: DataFrame, columns: Sequence[str], label: str, by: Sequence[str
     return m.select(*by, "feature", d.alias("cohens_d"), "mean_0", "mean_1")
 
 
-def stumps(df: DataFrame, columns: Sequence[str], label: str, by: Sequence[str] = (), **ordering) -> DataFrame:
-    """Best one-threshold rule per feature (Gini) and the F1 of its predictions.
-
-    Class counts are taken per distinct value first; the running sums along the
-    values then give both leaves of every possible threshold. Ties go to the
-    smallest threshold; a leaf without a strict majority predicts 0.
-    """
-    keys = [*by, "feature"]
+def class_counts(df: DataFrame, columns: Sequence[str], label: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by, feature, value, n, pos): rows and positives per distinct value, written."""
     long = melt(df, columns, [*by, label]).filter(F.col("value").isNotNull())
-    counts = long.groupBy(*keys, "value").agg(
+    counts = long.groupBy(*by, "feature", "value").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos")
     )
-    walked = running_sums(counts, keys, "value", ["n", "pos"], **ordering)
+    return materialise(counts, "counts")
+
+
+def stumps(df: DataFrame, columns: Sequence[str], label: str, by: Sequence[str] = (), **ordering) -> DataFrame:
+    """Best one-threshold rule per feature (Gini) and the F1 of its predictions."""
+    return stumps_of_counts(class_counts(df, columns, label, by), by, **ordering)
+
+
+def stumps_of_counts(counts: DataFrame, by: Sequence[str] = (), **ordering) -> DataFrame:
+    """The same from class counts per distinct value: running sums along the values
+    give both leaves of every possible threshold. Ties go to the smallest threshold;
+    a leaf without a strict majority predicts 0."""
+    keys = [*by, "feature"]
+    walked = running_sums(counts, keys, "value", ["n", "pos"], written=True, **ordering)
     nl, pl = F.col("cum_n"), F.col("cum_pos")
     nr, pr = F.col("tot_n") - nl, F.col("tot_pos") - pl
 
@@ -166,9 +181,24 @@ def stumps(df: DataFrame, columns: Sequence[str], label: str, by: Sequence[str]
 
 
 def class_separation(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
-    """Effect size, stump F1 and class means per feature, strongest first."""
-    effect = cohens_d(df, columns, label)
-    rule = stumps(df, columns, label).select("feature", "stump_f1")
+    """Effect size, stump F1 and class means per feature, strongest first. All of it
+    comes from one set of class counts, i.e. one pass over the rows."""
+    counts = class_counts(df, columns, label)
+    rows = {0: F.col("n") - F.col("pos"), 1: F.col("pos")}
+    sizes = counts.groupBy("feature").agg(
+        *[F.sum(r).alias(f"n_{y}") for y, r in rows.items()],
+        *[F.try_divide(F.sum(F.col("value") * r), F.sum(r)).alias(f"mean_{y}") for y, r in rows.items()],
+    )
+    gaps = {y: F.col("value") - F.col(f"mean_{y}") for y in rows}
+    spread = counts.join(F.broadcast(sizes), "feature").groupBy("feature").agg(
+        *[
+            F.try_divide(F.sum(gaps[y] * gaps[y] * r), F.nullif(F.sum(r) - 1, F.lit(0))).alias(f"var_{y}")
+            for y, r in rows.items()
+        ]
+    )
+    d = cohens_d_of(*[F.col(c) for c in ("n_0", "mean_0", "var_0", "n_1", "mean_1", "var_1")])
+    effect = sizes.join(spread, "feature").select("feature", d.alias("cohens_d"), "mean_0", "mean_1")
+    rule = stumps_of_counts(counts).select("feature", "stump_f1")
     return effect.join(rule, "feature").orderBy(F.abs("cohens_d").desc(), "feature")
 
 

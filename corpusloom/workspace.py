@@ -56,3 +56,13 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give every core a part of a scan that has fewer splits than there are cores.
+
+    Meant for costly text projections over small inputs; an input with more splits
+    than cores is returned as it is, so nothing is shuffled at scale.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
