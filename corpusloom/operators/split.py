@@ -79,8 +79,8 @@ class Split:
 
 
 def balance_by_partition(assigned: DataFrame, target: str) -> DataFrame:
-    shares = class_balance(assigned, target, ["partition"])
-    wide = shares.groupBy(target).agg(
+    shares = class_balance(assigned.select("partition", F.col(target).alias("_label")), "_label", ["partition"])
+    wide = shares.groupBy(F.col("_label").alias(target)).agg(
         *[
             F.coalesce(F.max(F.when(F.col("partition") == p, F.col(c))), F.lit(zero)).alias(f"{p}_{c}")
             for p in ("train", "test")

@@ -202,10 +202,17 @@ def class_separation(df: DataFrame, columns: Sequence[str], label: str) -> DataF
     return effect.join(rule, "feature").orderBy(F.abs("cohens_d").desc(), "feature")
 
 
+def _pearson(x: Column, y: Column) -> Column:
+    """r over complete pairs; null for a column without spread, where `corr` fails."""
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def correlations(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Pearson r of each column with the target, pairwise complete, in one scan."""
     y = clean_double(F.col(target))
-    row = df.agg(*[F.corr(clean_double(F.col(c)), y).alias(f"{c}__r") for c in columns])
+    row = df.agg(*[_pearson(clean_double(F.col(c)), y).alias(f"{c}__r") for c in columns])
     return stack_columns(row, [], columns, ["r"])
 
 
@@ -274,14 +281,14 @@ def density(
     step = (high - low) / (points - 1)
     grid = F.explode(F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.lit(float(low)) + i * F.lit(step)))
     spread = counts.join(F.broadcast(fitted), by).select(*by, "x", "n", "h", "total", grid.alias("at"))
-    z = (F.col("at") - F.col("x")) / F.col("h")
+    z = F.try_divide(F.col("at") - F.col("x"), F.col("h"))  # null without any spread
     summed = spread.groupBy(*by, "at").agg(
         F.sum(F.col("n") * F.exp(F.lit(-0.5) * z * z)).alias("s"),
         F.max("h").alias("h"),
         F.max("total").alias("total"),
     )
     return summed.select(
-        *by, "at", (F.col("s") / (F.col("total") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))).alias("density")
+        *by, "at", F.try_divide("s", F.col("total") * F.col("h") * F.lit(math.sqrt(2 * math.pi))).alias("density")
     )
 
 

@@ -213,3 +213,11 @@ def test_result_tables(spark):
     assert [r.running_share for r in ranked] == pytest.approx([0.5, 0.8, 1.0])
     assert M.best_and_worst(table, "name", "v").first().asDict() == {"best": "a", "best_score": 0.5, "worst": "c", "worst_score": 0.2}
     assert [r.gain for r in A.step_gain(table, "v", "v").orderBy("v").collect()][1:] == pytest.approx([0.1, 0.2])
+
+
+def test_columns_without_spread(spark):
+    df = spark.createDataFrame([(1.0, 1.0, 0), (1.0, 2.0, 0), (1.0, None, 1)], "c double, v double, y int")
+    found = {r.feature: r.r for r in S.correlations(df, ["c", "v"], "v").collect()}
+    assert found["c"] is None and found["v"] == pytest.approx(1.0)
+    assert S.strongest(df, ["c", "v"], "v", 1).first().feature == "v"
+    assert {r.density for r in S.density(df, "c", ["y"], 0, 10, 3).collect()} == {None}
