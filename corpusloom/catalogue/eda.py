@@ -267,7 +267,7 @@ def a19_log(spark, folder):
     "WITH " + LABELLED + ", v AS (SELECT y, CAST(least(length(text), 350) AS DOUBLE) AS x FROM labelled), "
     "h AS (SELECT y, stddev_samp(x) * power(count(*), -0.2) AS h, count(*) AS total FROM v GROUP BY y), "
     "c AS (SELECT y, x, count(*) AS n FROM v GROUP BY y, x), g AS (SELECT 5.0::DOUBLE * i AS at FROM range(71) t(i)) "
-    "SELECT c.y, g.at, round(sum(n * exp(-0.5 * power((g.at - x) / h, 2))) / (any_value(total) * any_value(h) * sqrt(2 * pi())), 8) AS density "
+    "SELECT c.y, g.at, round(sum(n * exp(-0.5 * power((g.at - x) / nullif(h, 0), 2))) / (any_value(total) * nullif(any_value(h), 0) * sqrt(2 * pi())), 8) AS density "
     "FROM c JOIN h ON c.y = h.y CROSS JOIN g GROUP BY c.y, g.at",
 )
 def a20(spark, folder):

@@ -131,6 +131,17 @@ def l8(spark, folder):
     return levels.join(summary.totals.withColumn("one", one), "one").drop("one")
 
 
-@query("s6_log_summary_json")
+@query(
+    "s6_log_summary_json",
+    PARSED + ", total AS (SELECT count(*) AS total_lines, count(*) FILTER (WHERE blank) AS blank_lines, "
+    f"count(*) FILTER (WHERE level IS NULL AND NOT blank) AS unlevelled_lines, count(*) FILTER (WHERE level IN {_ERRORS}) "
+    "AS error_lines FROM parsed), per_level AS (SELECT level, count(*) AS n FROM parsed WHERE level IS NOT NULL GROUP BY level), "
+    "ranked AS (SELECT *, list_position(['CRITICAL', 'FATAL', 'ERROR', 'WARNING', 'WARN', 'INFO', 'DEBUG', 'TRACE', 'NOTSET'], level) AS place FROM per_level), "
+    "top AS (SELECT template, count(*) AS n, arg_min(message, event_id) AS example, min(event_id) AS first_line "
+    "FROM parsed WHERE template <> '' GROUP BY template ORDER BY n DESC, first_line LIMIT 10) "
+    "SELECT CAST(to_json({'total_lines': total_lines, 'blank_lines': blank_lines, 'unlevelled_lines': unlevelled_lines, 'error_lines': error_lines, "
+    "'level_counts': (SELECT map(list(level ORDER BY place), list(n ORDER BY place)) FROM ranked), "
+    "'top_errors': (SELECT list({'pattern': template, 'count': n, 'example': example} ORDER BY n DESC, first_line) FROM top)}) AS VARCHAR) AS summary FROM total",
+)
 def s6(spark, folder):
     return ops.summarise(parsed(spark, folder), "event_id").as_json()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import FEATURE_NAMES, digit_count, digit_ratio
@@ -10,6 +11,7 @@ from corpusloom.operators.features import feature_frame
 from corpusloom.operators.prep import Preparation
 from corpusloom.operators.resample import balanced_weights
 from corpusloom.operators.split import assign_partitions, split_rows
+from corpusloom.operators.stats import pearson
 from corpusloom.plans import models as P
 
 from .base import LABELLED, PRICED, labelled, priced_lines, query, rounded, sql_features, table
@@ -222,6 +224,29 @@ def w4(spark, folder):
     return M.rank_with_running_share(P.importances(model, FEATURE_NAMES, spark), "feature", "importance")
 
 
+@query(
+    "w4_ranking_with_running_share",
+    "WITH v AS (SELECT source, round(sum(length(text)) / CAST(sum(sum(length(text))) OVER () AS DOUBLE), 9) AS share FROM documents GROUP BY source) "
+    "SELECT row_number() OVER (ORDER BY share DESC, source) AS rank, source, share, round(sum(share) OVER (ORDER BY share DESC, source "
+    "ROWS UNBOUNDED PRECEDING), 6) AS running_share FROM v",
+)
+def w4_shares(spark, folder):
+    sizes = table(spark, folder, "documents").groupBy("source").agg(F.sum(F.length("text")).cast("double").alias("n"))
+    total = F.sum("n").over(Window.partitionBy())
+    shares = sizes.select("source", F.round(F.col("n") / total, 9).alias("share"))
+    return rounded(M.rank_with_running_share(shares, "source", "share"), "running_share").withColumn("rank", F.col("rank").cast("long"))
+
+
+@query(
+    "w5_best_and_worst_brand",
+    "WITH " + PRICED + ", f AS (SELECT brand, round(corr(price, quantity), 6) AS r FROM priced GROUP BY brand) "
+    "SELECT arg_max(brand, r) AS best, max(r) AS best_score, arg_min(brand, r) AS worst, min(r) AS worst_score FROM f",
+)
+def w5_brands(spark, folder):
+    fits = priced_lines(spark, folder).groupBy("brand").agg(F.round(pearson(F.col("price"), F.col("quantity")), 6).alias("r"))
+    return M.best_and_worst(fits, "brand", "r")
+
+
 @query("p13_error_listing")
 def p13(spark, folder):
     split, rows, model = _forest(spark, folder)

@@ -281,10 +281,30 @@ def t12(spark, folder):
     return rounded(prep.summary(spark).drop("fill"), "mean", "scale")
 
 
-@query("t13_prepare_split")
+_WIDE = 20
+_LISTED = (
+    ", filled AS (" + " UNION ALL ".join(
+        f"SELECT a.listing_id, a.partition, '{c}' AS feature, coalesce(a.{c}, m.mode) AS level FROM assigned a JOIN modes m ON m.feature = '{c}'"
+        for c in _CATEGORICAL
+    ) + "), counted AS (SELECT feature, level, count(*) AS n FROM filled WHERE partition = 'train' GROUP BY feature, level), "
+    f"marked AS (SELECT *, (count(*) OVER (PARTITION BY feature) + 1 > {_WIDE}) AND row_number() OVER (PARTITION BY feature ORDER BY n DESC, level DESC) "
+    f"> {_WIDE - 1} AS rare FROM counted), ranked AS (SELECT *, dense_rank() OVER (PARTITION BY feature ORDER BY rare, CASE WHEN rare THEN '' ELSE level END) AS place FROM marked)"
+)
+
+
+@query(
+    "t13_prepare_split",
+    PREPARED + _LISTED + _sql_scaled("").replace("SELECT listing_id, feature,", "SELECT listing_id, feature AS column_name,")
+    + " UNION ALL SELECT f.listing_id, CASE WHEN rare THEN f.feature || '_infrequent_sklearn' ELSE f.feature || '_' || f.level END, 1.0 "
+    "FROM filled f JOIN ranked r ON f.feature = r.feature AND f.level = r.level WHERE place > 1",
+)
 def t13(spark, folder):
-    _, _, prepared = P.prepare_split(cleaned(spark, folder), "listing_id", "selling_price")
-    return prepared
+    """Every cell of the scaled numeric and the non-zero cells of the 0/1 columns."""
+    _, prep, prepared = P.prepare_split(cleaned(spark, folder), "listing_id", "selling_price")
+    numeric = melt(prepared, prep.numeric_columns, ["listing_id"]).withColumnRenamed("feature", "column_name")
+    names = [n for n in prep.feature_names_out if n not in prep.numeric_columns]
+    cells = _cells(prepared, names).drop("feature")
+    return rounded(numeric.unionByName(cells), "value")
 
 
 _KINDS = {

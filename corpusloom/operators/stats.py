@@ -202,7 +202,7 @@ def class_separation(df: DataFrame, columns: Sequence[str], label: str) -> DataF
     return effect.join(rule, "feature").orderBy(F.abs("cohens_d").desc(), "feature")
 
 
-def _pearson(x: Column, y: Column) -> Column:
+def pearson(x: Column, y: Column) -> Column:
     """r over complete pairs; null for a column without spread, where `corr` fails."""
     both = x.isNotNull() & y.isNotNull()
     spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
@@ -212,7 +212,7 @@ def _pearson(x: Column, y: Column) -> Column:
 def correlations(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Pearson r of each column with the target, pairwise complete, in one scan."""
     y = clean_double(F.col(target))
-    row = df.agg(*[_pearson(clean_double(F.col(c)), y).alias(f"{c}__r") for c in columns])
+    row = df.agg(*[pearson(clean_double(F.col(c)), y).alias(f"{c}__r") for c in columns])
     return stack_columns(row, [], columns, ["r"])
 
 
