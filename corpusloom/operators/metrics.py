@@ -144,7 +144,7 @@ def residual_summary(df: DataFrame, actual: str, predicted: str, tolerance: floa
         F.avg((F.try_divide(F.col("gap"), F.col("y")) < tolerance).cast("double")).alias("within_share"),
         F.lit(1).alias("_one"),
     )
-    middle = quantiles(gaps, [], "gap", {"median_abs_error": 0.5}).withColumn("_one", F.lit(1))
+    middle = quantiles(gaps, [], "gap", {"median_abs_error": 0.5}, sketch=True).withColumn("_one", F.lit(1))
     return middle.join(share, "_one").drop("_one")
 
 

@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,6 +25,7 @@ RANGE_ROWS = 1_000_000
 MAX_RANGES = 2_000
 HASH_STEP = 4
 TAIL_ROWS = 10_000
+SKETCH_ACCURACY = 10_000
 
 
 def hash_key(key: str | Sequence[str], seed: int | str) -> Column:
@@ -133,16 +135,80 @@ def quantiles(
     shares: Mapping[str, float],
     *,
     range_rows: int | None = None,
+    sketch: bool = False,
+    accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
-    """Exact linear-interpolated quantiles: one row per group, one column per share."""
-    counts = materialise(value_counts(df, by, value), "counts")
-    return quantiles_of_counts(counts, by, value, shares, range_rows=range_rows)
+    """Exact linear-interpolated quantiles: one row per group, one column per share.
+
+    Rows are counted per distinct value first, which suits discrete columns and
+    values that are costly to compute. `sketch` is for stored columns with very many
+    distinct values: a first pass brackets every quantile with a mergeable sketch, and
+    only values inside the brackets are told apart and shuffled in the second.
+    """
+    by = list(by)
+    if not sketch:
+        counts = materialise(value_counts(df, by, value), "counts")
+        return quantiles_of_counts(counts, by, value, shares, range_rows=range_rows)
+    brackets = _brackets(df, by, value, list(shares.values()), accuracy)
+    joined = _join_small(df.filter(F.col(value).isNotNull()).select(*by, value), brackets, by)
+    v = F.col(value).cast("double")
+    inside = F.exists("_brackets", lambda e: (e["lo"] <= v) & (v <= e["hi"]))
+    passed = F.size(F.filter("_brackets", lambda e: e["hi"] < v))
+    # Values between two brackets become one value between them: the order is kept.
+    squeezed = joined.select(*by, F.when(inside, v).otherwise(F.get("_between", passed)).alias(value))
+    counts = materialise(value_counts(squeezed, by, value), "counts")
+    found = _join_small(
+        quantiles_of_counts(counts, by, value, shares, range_rows=range_rows, ends=True), brackets, by
+    )
+
+    def checked(name: str) -> Column:
+        ok = F.exists("_brackets", lambda e: (e["lo"] <= F.col(f"_lo_{name}")) & (F.col(f"_hi_{name}") <= e["hi"]))
+        return F.when(ok, F.col(name)).otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
+
+    return found.select(*by, *[checked(n).alias(n) for n in shares])
+
+
+def _brackets(df: DataFrame, by: list[str], value: str, shares: list[float], accuracy: int) -> DataFrame:
+    """Disjoint value ranges per group that hold the wanted quantiles, and a value
+    between each two of them. One small row per group, made on the driver."""
+    margin = 4 / accuracy
+    points = sorted({min(max(s + d, 0.0), 1.0) for s in shares for d in (-margin, margin)})
+    v = F.col(value).cast("double")
+    sketched = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(
+        F.percentile_approx(v, points, accuracy).alias("_at"), F.count(F.lit(1)).alias("_n")
+    )
+    rows = []
+    for r in bounded_rows(sketched):
+        at = dict(zip(points, r["_at"])) if r["_at"] else {}
+        spans: list[list[float]] = []
+        for s in sorted(shares):
+            # Close to an end, or with few rows, the range is left open.
+            open_ended = r["_n"] < 2 * accuracy
+            lo = -math.inf if open_ended or s - margin <= 0 else at[s - margin]
+            hi = math.inf if open_ended or s + margin >= 1 else at[s + margin]
+            if spans and lo <= spans[-1][1]:
+                spans[-1][1] = max(hi, spans[-1][1])
+            else:
+                spans.append([lo, hi])
+        between = [(a[1] + b[0]) / 2 for a, b in zip(spans, spans[1:])]
+        rows.append((*[r[c] for c in by], [tuple(x) for x in spans], [-math.inf, *between, math.inf]))
+    keys = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in by)
+    return df.sparkSession.createDataFrame(
+        rows, keys + "_brackets array<struct<lo: double, hi: double>>, _between array<double>"
+    )
 
 
 def quantiles_of_counts(
-    counts: DataFrame, by: Sequence[str], value: str, shares: Mapping[str, float], *, range_rows: int | None = None
+    counts: DataFrame,
+    by: Sequence[str],
+    value: str,
+    shares: Mapping[str, float],
+    *,
+    range_rows: int | None = None,
+    ends: bool = False,
 ) -> DataFrame:
-    """The same from written (by, value, n) counts."""
+    """The same from written (by, value, n) counts; `ends` keeps the two values each
+    quantile was interpolated from."""
     by = list(by)
     ordered = running_sums(counts, by, value, ["n"], range_rows=range_rows, written=True)
 
@@ -159,8 +225,10 @@ def quantiles_of_counts(
             F.max(place - F.floor(place)).alias(f"_w_{name}"),
         ]
     picked = ordered.groupBy(*by).agg(*picks)
+    kept = [f"_{side}_{n}" for n in shares for side in ("lo", "hi")] if ends else []
     return picked.select(
         *by,
+        *kept,
         *[
             (
                 F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_w_{n}")

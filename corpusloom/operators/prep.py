@@ -193,7 +193,7 @@ class Preparation:
             return {c: row[c] for c in columns if row[c] is not None}
         tall = melt(train, columns).filter("value IS NOT NULL")
         if self.numeric_strategy == "median":
-            rows = quantiles(tall, ["feature"], "value", {"fill": 0.5}).collect()
+            rows = quantiles(tall, ["feature"], "value", {"fill": 0.5}, sketch=True).collect()
         else:
             counts = tall.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
             best = counts.groupBy("feature").agg(F.min(F.struct((-F.col("n")).alias("neg"), "value")).alias("b"))

@@ -232,7 +232,7 @@ def skew_summary(df: DataFrame, value: str) -> DataFrame:
         F.max(value).cast("double").alias("max"),
         F.lit(1).alias("_one"),
     )
-    middle = quantiles(df, [], value, {"median": 0.5}).withColumn("_one", F.lit(1))
+    middle = quantiles(df, [], value, {"median": 0.5}, sketch=True).withColumn("_one", F.lit(1))
     return row.join(middle, "_one").drop("_one")
 
 

@@ -52,6 +52,21 @@ def test_quantiles(skewed, range_rows):
             assert out[g][name] == pytest.approx(np.quantile(values, share))
 
 
+@pytest.mark.parametrize("accuracy", [20, 40, 10_000])
+def test_sketched_quantiles_are_exact_too(spark, accuracy):
+    rng = random.Random(1)
+    rows = [("hot" if i % 5 else "cold", rng.expovariate(1) if i % 3 else 1.0) for i in range(3000)] + [("one", 4.0), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    shares = {"q0": 0.0, "q25": 0.25, "q5": 0.5, "q75": 0.75, "q99": 0.99, "q100": 1.0}
+    out = {r.g: r for r in O.quantiles(df, ["g"], "v", shares, sketch=True, accuracy=accuracy, range_rows=50).collect()}
+    assert set(out) == {"hot", "cold", "one"}
+    for g, r in out.items():
+        for name, share in shares.items():
+            assert r[name] == pytest.approx(np.quantile([v for k, v in rows if k == g], share))
+    whole = O.quantiles(df, [], "v", {"m": 0.5}, sketch=True, accuracy=accuracy).first()
+    assert whole.m == pytest.approx(np.median([v for _, v in rows if v is not None]))
+
+
 def test_quantiles_of_everything(skewed):
     rows, df = skewed
     row = O.quantiles(df, [], "v", {"m": 0.5}, range_rows=4).first()
