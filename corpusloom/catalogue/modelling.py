@@ -327,6 +327,39 @@ def m8(spark, folder):
     return _line_scores(model, rows)
 
 
+def sql_two_terms(one: str, two: str) -> str:
+    """Least squares of price on two terms over the training rows, in closed form."""
+    return (
+        "WITH " + PRICED + ", assigned AS (" + sql_split("priced", "row_key") + f"), t AS (SELECT {one} AS u, {two} AS v, price AS y FROM assigned "
+        "WHERE partition = 'train'), c AS (SELECT var_pop(u) AS uu, var_pop(v) AS vv, covar_pop(u, v) AS uv, covar_pop(u, y) AS uy, covar_pop(v, y) AS vy, "
+        "avg(u) AS mu, avg(v) AS mv, avg(y) AS my FROM t), b AS (SELECT *, (uy * vv - vy * uv) / (uu * vv - uv * uv) AS bu, (vy * uu - uy * uv) / (uu * vv - uv * uv) AS bv FROM c) "
+        "SELECT round(bu, 2) AS first_coefficient, round(bv, 2) AS second_coefficient, round(my - bu * mu - bv * mv, 1) AS intercept FROM b"
+    )
+
+
+def _two_terms(spark, folder, expand):
+    """The same by `pyspark.ml`; `expand` makes the vector column `features`."""
+    rows = assign_partitions(priced_lines(spark, folder), "row_key").filter("partition = 'train'")
+    model = P.LinearRegression(labelCol="price", solver="normal", regParam=0.0).fit(expand(rows))
+    first, second = model.coefficients
+    found = (round(float(first), 2), round(float(second), 2), round(float(model.intercept), 1))
+    return spark.createDataFrame([found], "first_coefficient double, second_coefficient double, intercept double")
+
+
+@query("m7_linear_in_two_columns", sql_two_terms("quantity", "size"))
+def m7_two(spark, folder):
+    return _two_terms(spark, folder, lambda rows: P.as_vector(rows, ["quantity", "size"]))
+
+
+@query("m8_quadratic_in_one_column", sql_two_terms("quantity", "quantity * quantity"))
+def m8_two(spark, folder):
+    def expand(rows):
+        one = P.as_vector(rows, ["quantity"], "_one")
+        return P.PolynomialExpansion(degree=2, inputCol="_one", outputCol="features").transform(one)
+
+    return _two_terms(spark, folder, expand)
+
+
 @query("m9_rbf_regression")
 def m9(spark, folder):
     prep, prepared = _prepared_lines(spark, folder)

@@ -52,6 +52,18 @@ def s2(spark, folder):
     return lines.groupBy("line").agg(F.count(F.lit(1)).alias("n")).select(F.md5("line").alias("digest"), "n")
 
 
+@query(
+    "s4_provenance_by_encoding",
+    "SELECT encoding, used_fallback, count(*) AS n_rows, 3::INTEGER AS n_columns FROM (SELECT CASE WHEN beyond THEN 'utf-8' ELSE 'latin-1' END AS encoding, "
+    "NOT beyond AS used_fallback FROM (SELECT regexp_matches(text, '[^\\x{00}-\\x{ff}]') AS beyond FROM documents)) GROUP BY encoding, used_fallback",
+)
+def s4_by_encoding(spark, folder):
+    paths = _two_encodings(spark, folder)
+    files = read_delimited(spark, paths, DEFAULT_ENCODINGS, schema=_SCHEMA, multiLine=True, **_CSV).provenance
+    rows = files.groupBy("encoding", "used_fallback", "n_columns").agg(F.sum("n_rows").alias("n_rows"))
+    return rows.filter("n_rows > 0")  # an encoding may have a file with nothing but a header
+
+
 @query("s2_detect_encodings")
 def s2_detect(spark, folder):
     return detect_encodings(spark, _two_encodings(spark, folder), EXTENDED_ENCODINGS)

@@ -72,13 +72,16 @@ def running_sums(
     sign = -1 if descending else 1
     if ranges > 1:
         shares = [i / ranges for i in range(1, ranges)]
-        cuts = table.groupBy(*by).agg(
-            F.percentile_approx(order, shares, 10 * MAX_RANGES).alias("_cuts")
+        cuts = (
+            table.groupBy(*by)
+            .agg(F.percentile_approx(order, shares, 10 * MAX_RANGES).alias("_cuts"), F.count(F.lit(1)).alias("_size"))
+            .filter(F.col("_size") > range_rows)
+            .drop("_size")
         )
         cut_rows = table.sparkSession.createDataFrame(bounded_rows(cuts), cuts.schema)
-        keyed = _join_small(table, cut_rows, by)
+        keyed = _join_small(table, cut_rows, by, "left")
         below = F.size(F.filter("_cuts", lambda c: c < F.col(order)))
-        table = keyed.withColumn("_range", below * sign).drop("_cuts")
+        table = keyed.withColumn("_range", F.when(F.col("_cuts").isNull(), 0).otherwise(below * sign)).drop("_cuts")
     else:
         table = table.withColumn("_range", F.lit(0))
 
@@ -106,8 +109,8 @@ def running_sums(
     )
 
 
-def _join_small(df: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Null-safe inner join with a side whose size the caller has bounded."""
+def _join_small(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Null-safe join with a side whose size the caller has bounded."""
     if not on:
         on = ["_one"]
         df, small = df.withColumn("_one", F.lit(1)), small.withColumn("_one", F.lit(1))
@@ -116,7 +119,7 @@ def _join_small(df: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame
     for c in on:
         term = same(df[c], renamed[f"_k_{c}"])
         match = term if match is None else match & term
-    return df.join(F.broadcast(renamed), match).drop(*[f"_k_{c}" for c in on], "_one")
+    return df.join(F.broadcast(renamed), match, how).drop(*[f"_k_{c}" for c in on], "_one")
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
