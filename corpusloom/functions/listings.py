@@ -16,6 +16,7 @@ OWNER_RANKS = {
     "fourth & above owner": 4.0,
 }
 
+# What counts as a number inside a text, and as a text that is a number.
 _NUMBER = r"[-+]?\d*\.?\d+"
 _PLAIN_NUMBER = r"^\s*[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?\s*$"
 

@@ -12,6 +12,7 @@ LEVELS = ("CRITICAL", "FATAL", "ERROR", "WARNING", "WARN", "INFO", "DEBUG", "TRA
 LEVEL_ALIASES = {"WARN": "WARNING", "FATAL": "CRITICAL"}
 ERROR_LEVELS = ("CRITICAL", "FATAL", "ERROR")
 
+# A level as a whole token, a dotted logger name with its separator.
 _LEVEL_TOKEN = rf"(?<![A-Za-z0-9_])({'|'.join(LEVELS)})(?![A-Za-z0-9_])"
 _LOGGER = rf"[A-Za-z_][{WORD}.$-]*\.[{WORD}.$-]+[{SPACE}]*[-:|][{SPACE}]+"
 # Through the first level token, the separators after it and one dotted logger name.

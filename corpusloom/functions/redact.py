@@ -25,7 +25,7 @@ Monday Tuesday Wednesday Thursday Friday Saturday Sunday
 """.split()
 
 _D = f"[{DECIMAL}]"
-# Fixed order: an address before the URL rule, a phone number before money and
+# Fixed values, in order: an address before the URL rule, a phone number before money and
 # plain numbers. The e-mail run may only start where a run starts (or where the
 # last match ended), so a long unbroken token is scanned once.
 SPANS = (
