@@ -63,3 +63,11 @@ def power_of_two(n: float, least: int = 1) -> int:
 
 def text_bytes(texts: DataFrame) -> int:
     return texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have (names are compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -80,7 +80,7 @@ def texts_of(column: pa.Array) -> Texts:
     return Texts(data[raw[0] : raw[-1]], raw - raw[0])
 
 
-def chunks(batch: pa.RecordBatch, text_column: str = "text", most: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
+def chunks(batch: pa.RecordBatch, text_column: str | int = "text", most: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
     """Slices of a batch of about `most` bytes each (a longer document is a slice of its own)."""
     texts = texts_of(batch.column(text_column))
     begin = 0
@@ -134,9 +134,13 @@ def _running(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return sums, down
 
 
-def word_prints(texts: Texts, words: Words) -> np.ndarray:
+def span_prints(texts: Texts, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     sums, down = _running(texts)
-    return mixed((sums[words.ends] - sums[words.starts]) * down[words.starts])
+    return mixed((sums[ends] - sums[starts]) * down[starts])
+
+
+def word_prints(texts: Texts, words: Words) -> np.ndarray:
+    return span_prints(texts, words.starts, words.ends)
 
 
 def word_windows(prints: np.ndarray, offsets: np.ndarray, n: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:

@@ -38,6 +38,33 @@ def op1_token_files(spark, folder):
     return token_digests(spark, where, manifest)
 
 
+OP3_SQL = r"""WITH n AS (
+ SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+ doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM n"""
+
+
+@query("op3_exact_dedup", OP3_SQL)
+def op3_exact_dedup(spark, folder):
+    from corpusloom.llm.exact_dedup import find_copies
+
+    return find_copies(documents(spark, folder))
+
+
+@query("op4_substring_dedup")
+def op4_substring_dedup(spark, folder):
+    from corpusloom.llm.substring_dedup import remove_repeats
+
+    return remove_repeats(documents(spark, folder))
+
+
+@query("op5_quality_rules")
+def op5_quality_rules(spark, folder):
+    from corpusloom.llm.quality_rules import judge
+
+    return judge(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 @query("op9_cost_balanced_packing")
 def op9_cost_balanced_packing(spark, folder):
     from corpusloom.llm.packing import pack
