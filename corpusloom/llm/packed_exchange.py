@@ -20,6 +20,7 @@ from corpusloom.llm.common import power_of_two
 from corpusloom.llm.grams import mixed
 
 ENTRIES = "bucket long, block long, owners array<long>, owner_at array<int>, prints array<long>, marks array<byte>"
+LED_ENTRIES = ENTRIES + ", leads array<int>"
 NARROW_ENTRIES = ENTRIES.replace("prints array<long>", "prints array<int>")
 FOUND = "block long, owners array<long>, owner_at array<int>, prints array<long>, values array<long>"
 PER_OWNER = "key long, prints array<long>, values array<long>"
@@ -39,7 +40,7 @@ def lists(values: np.ndarray, cuts: np.ndarray, kind: pa.DataType | None = None)
 class Packer:
     """Gathers (owner, print, mark) of one task and gives a row per bucket, block by block.
 
-    `bucket_of` maps prints to buckets. With `narrow` the bucket is the print's top bits and only the 32 bits below
+    `bucket_of` maps prints (or the leads, where they are given) to buckets. With `narrow_bits` the bucket is the print's top bits and only the 32 bits below
     them travel. Equal (owner, print) pairs of a block become one entry whose mark is the bitwise or of theirs, with bit 1
     (value 2) set when there was more than one.
     """
@@ -47,11 +48,11 @@ class Packer:
     def __init__(self, bucket_of: Callable[[np.ndarray], np.ndarray], narrow_bits: int | None = None):
         self.bucket_of, self.narrow_bits = bucket_of, narrow_bits
         self.block = TaskContext.get().partitionId() << 20
-        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.held: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
-    def add(self, owners: np.ndarray, prints: np.ndarray, marks: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.held.append((owners, prints, marks))
+    def add(self, owners: np.ndarray, prints: np.ndarray, marks: np.ndarray, *leads: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append((owners, prints, marks, *leads))
         self.size += len(prints)
         if self.size >= BLOCK_ENTRIES:
             yield from self.flush()
@@ -59,7 +60,7 @@ class Packer:
     def flush(self) -> Iterator[pa.RecordBatch]:
         if not self.size:
             return
-        owners, prints, marks = (np.concatenate([h[i] for h in self.held]) for i in range(3))
+        owners, prints, marks, *leads = (np.concatenate(parts) for parts in zip(*self.held, strict=True))
         self.held, self.size = [], 0
         names, owner = np.unique(owners, return_inverse=True)
         order = np.lexsort((owner, prints))
@@ -69,10 +70,12 @@ class Packer:
         at = np.flatnonzero(first)
         more = np.diff(np.append(at, len(prints))) > 1
         marks = np.bitwise_or.reduceat(marks, at) | (more.astype(np.uint8) << 1)
+        lead = leads[0][order][at] if leads else None
         owner, prints = owner[at], prints[at]
-        bucket = self.bucket_of(prints)
+        bucket = self.bucket_of(prints if lead is None else lead)
         order = np.argsort(bucket, kind="stable")
         bucket, owner, prints, marks = bucket[order], owner[order], prints[order], marks[order]
+        lead = None if lead is None else lead[order]
         cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
         block, self.block = self.block, self.block + 1
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -82,13 +85,14 @@ class Packer:
                 sent = (sent >> np.uint64(32 - self.narrow_bits)).astype(np.uint32).view(np.int32)
             else:
                 sent = sent.view(np.int64)
+            extra = [] if lead is None else [lists((lead[a:b] >> np.uint64(32)).astype(np.uint32).view(np.int32), np.array([0, b - a]))]
             yield pa.record_batch(
                 [
                     pa.array([int(bucket[a])], pa.int64()), pa.array([block], pa.int64()),
                     lists(names[mine], np.array([0, len(mine)]), pa.int64()), lists(where.astype(np.int32), np.array([0, b - a])),
-                    lists(sent, np.array([0, b - a])), lists(marks[a:b].view(np.int8), np.array([0, b - a])),
+                    lists(sent, np.array([0, b - a])), lists(marks[a:b].view(np.int8), np.array([0, b - a])), *extra,
                 ],
-                names=["bucket", "block", "owners", "owner_at", "prints", "marks"],
+                names=["bucket", "block", "owners", "owner_at", "prints", "marks", "leads"][: 6 + len(extra)],
             )
 
 
@@ -111,6 +115,7 @@ class Bucket:
             top = np.uint64(int(column("bucket")[0].as_py()) << (64 - narrow_bits)) if narrow_bits else np.uint64(0)
             self.prints = top | (raw.view(np.uint32).astype(np.uint64) << np.uint64(32 - narrow_bits))
         self.marks = marks.flatten().to_numpy().view(np.uint8)
+        self.leads = column("leads").flatten().to_numpy().view(np.uint32) if "leads" in table.column_names else None
 
     def answers(self, chosen: np.ndarray, values: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
         """The chosen entries, a row for each block they came from."""
@@ -176,4 +181,4 @@ def per_owner(found: DataFrame) -> DataFrame:
     return found.groupBy("block").applyInArrow(run, PER_OWNER)
 
 
-__all__ = ["Bucket", "ENTRIES", "FOUND", "NARROW_ENTRIES", "Packer", "buckets_for", "cut_to_sent", "lists", "meet", "mixed", "per_owner", "top_bits"]
+__all__ = ["Bucket", "ENTRIES", "FOUND", "LED_ENTRIES", "NARROW_ENTRIES", "Packer", "buckets_for", "cut_to_sent", "lists", "meet", "mixed", "per_owner", "top_bits"]

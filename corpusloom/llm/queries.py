@@ -65,6 +65,13 @@ def op5_quality_rules(spark, folder):
     return judge(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
 
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark, folder):
+    from corpusloom.llm.suffix_dedup import remove_repeated_bytes
+
+    return remove_repeated_bytes(documents(spark, folder))
+
+
 @query("op9_cost_balanced_packing")
 def op9_cost_balanced_packing(spark, folder):
     from corpusloom.llm.packing import pack
