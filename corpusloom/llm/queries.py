@@ -77,3 +77,10 @@ def op9_cost_balanced_packing(spark, folder):
     from corpusloom.llm.packing import pack
 
     return pack(documents(spark, folder), vocabulary("word_bpe_49k.json"), keeps_space=False)
+
+
+@query("op10_jaccard_join")
+def op10_jaccard_join(spark, folder):
+    from corpusloom.llm.jaccard_join import link_documents
+
+    return link_documents(documents(spark, folder))
