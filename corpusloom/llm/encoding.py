@@ -14,11 +14,14 @@ from functools import lru_cache
 
 import numpy as np
 
+#: A worker keeps up to twice as many units: those met lately, and those met before them.
 CACHED_UNITS = 400_000
-#: Byte-level vocabularies keep white space: it opens the unit that follows it.
-WITH_SPACE = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: Byte-level vocabularies keep white space: it opens the unit that follows it. A word of plain letters
+#: and the stop or comma behind it are units of their own.
+WITH_SPACE = re.compile(rf" ?[{_LETTER}]+(?=[.,\n ]|$)|[.,](?:\n(?=[{_LETTER}])|(?= )|$)|\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
 #: Vocabularies that drop white space need the words alone.
-WITHOUT_SPACE = re.compile(r"[^ \n]+")
+WITHOUT_SPACE = re.compile(rf"[{_LETTER}]+(?=[.,\n ]|$)|[^ \n]+")
 
 
 class Encoder:
@@ -32,17 +35,20 @@ class Encoder:
             raise ValueError("ids of this vocabulary do not fit 16 bits")
         self.units = units
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def encode(self, texts: list[str], end_id: int) -> list[np.ndarray]:
         """Per text its ids with `end_id` behind them, as 16-bit unsigned integers."""
         cut = [self.units.findall(t) for t in texts]
-        known = self.known
-        new = list({u for units in cut for u in units if u not in known})
-        if len(known) + len(new) > CACHED_UNITS:
-            known.clear()
-            new = list({u for units in cut for u in units})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
+        new = {u for units in cut for u in units if u not in self.known}
+        if len(self.known) + len(new) > CACHED_UNITS:
+            self.before, self.known = self.known, {}
+            new = {u for units in cut for u in units}
+        known, before = self.known, self.before
+        known.update((u, before[u]) for u in new if u in before)
+        unmet = [u for u in new if u not in before]
+        for at in range(0, len(unmet), 20_000):
+            part = unmet[at : at + 20_000]
             for unit, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 known[unit] = np.array(got.ids, "<u2").tobytes()
         end = np.array([end_id], "<u2").tobytes()

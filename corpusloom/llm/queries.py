@@ -84,3 +84,10 @@ def op10_jaccard_join(spark, folder):
     from corpusloom.llm.jaccard_join import link_documents
 
     return link_documents(documents(spark, folder))
+
+
+@query("op6_secret_scan")
+def op6_secret_scan(spark, folder):
+    from corpusloom.llm.secret_scan import scan
+
+    return scan(documents(spark, folder))
