@@ -91,3 +91,15 @@ def op6_secret_scan(spark, folder):
     from corpusloom.llm.secret_scan import scan
 
     return scan(documents(spark, folder))
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark, folder):
+    """Ids of every document, their checksum, and the digest of the text they decode to."""
+    from pyspark.sql import functions as F
+
+    from corpusloom.llm.sentencepiece_lattice import decode_documents, encode_documents
+
+    model = vocabulary("piece_bpe_32k.model")
+    decoded = decode_documents(encode_documents(documents(spark, folder), model), model)
+    return decoded.select("doc_id", "n_tokens", F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
