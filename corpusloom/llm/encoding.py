@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -24,8 +25,20 @@ WITH_SPACE = re.compile(rf" ?[{_LETTER}]+(?=[.,\n ]|$)|[.,](?:\n(?=[{_LETTER}])|
 WITHOUT_SPACE = re.compile(rf"[{_LETTER}]+(?=[.,\n ]|$)|[^ \n]+")
 
 
+_PLAIN = re.compile(rf" ?[{_LETTER}]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write a byte: visible Latin-1 characters as they are, others as the next free ones from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    free = iter(range(256, 512))
+    return {b: chr(b if b in visible else next(free)) for b in range(256)}
+
+
 class Encoder:
-    def __init__(self, path: str, units: re.Pattern):
+    """`keeps_space`: the vocabulary is case-sensitive and keeps white space; else it lowers case and drops it."""
+
+    def __init__(self, path: str, keeps_space: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -33,7 +46,10 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary do not fit 16 bits")
-        self.units = units
+        self.keeps_space = keeps_space
+        self.units = WITH_SPACE if keeps_space else WITHOUT_SPACE
+        letters = _byte_letters()
+        self.written = {c: "".join(letters[b] for b in chr(c).encode()) for c in [32, *range(256)] if chr(c) == " " or chr(c).isalpha()}
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
@@ -46,7 +62,17 @@ class Encoder:
             new = {u for units in cut for u in units}
         known, before = self.known, self.before
         known.update((u, before[u]) for u in new if u in before)
-        unmet = [u for u in new if u not in before]
+        plain = _PLAIN.fullmatch
+        unmet = []
+        tokenize, written = self.tokenizer.model.tokenize, self.written
+        for unit in new:
+            if unit in before:
+                continue
+            if plain(unit):  # one word of plain letters goes straight to the library's model
+                word = unit if self.keeps_space else unit.lower()
+                known[unit] = array("H", [t.id for t in tokenize(word.translate(written))]).tobytes()
+            else:
+                unmet.append(unit)
         for at in range(0, len(unmet), 20_000):
             part = unmet[at : at + 20_000]
             for unit, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
@@ -59,4 +85,4 @@ class Encoder:
 @lru_cache(maxsize=4)
 def encoder(path: str, keeps_space: bool) -> Encoder:
     """One encoder for each vocabulary and worker process."""
-    return Encoder(path, WITH_SPACE if keeps_space else WITHOUT_SPACE)
+    return Encoder(path, keeps_space)

@@ -103,3 +103,10 @@ def op2_sentencepiece(spark, folder):
     model = vocabulary("piece_bpe_32k.model")
     decoded = decode_documents(encode_documents(documents(spark, folder), model), model)
     return decoded.select("doc_id", "n_tokens", F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op8_license_scan")
+def op8_license_scan(spark, folder):
+    from corpusloom.llm.license_scan import scan
+
+    return scan(documents(spark, folder))
