@@ -9,12 +9,15 @@ higher-order `aggregate`) finds its segmentation:
 * `bpe` vocabularies: the merges in order of score, which is what their scores mean. A largest sum
   would be another segmentation than the model's.
 
-Characters that are no piece become the pieces of their UTF-8 bytes. Documents are dealt into blocks of
+Characters that are no piece become the pieces of their UTF-8 bytes. The folds take time that grows with the
+square of a word's length, so the rare words beyond LONG_UNIT characters (unbroken runs of one letter, say) are
+segmented one by one instead, to the same result. Documents are dealt into blocks of
 bounded text; a block's distinct words meet the encoded words by bucket and come back to it.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections.abc import Iterator
@@ -146,6 +149,61 @@ def segmented(grid: DataFrame, kind: str, first_byte: int) -> DataFrame:
     return grid.select("word", F.flatten(F.transform(F.slice("places", F.lit(2), F.size("places")), ids)).alias("ids"))
 
 
+def segment_long(word: str, known: dict[str, tuple[float, int]], longest: int, kind: str) -> list[str]:
+    """The pieces of one word in time that grows with its length: a heap of merges, or a walk for the largest sum."""
+    n = len(word)
+    if kind == "unigram":
+        best, back = [0.0] + [float("-inf")] * n, [0] * (n + 1)
+        for stop in range(1, n + 1):
+            for start in range(max(0, stop - longest), stop):
+                score = known[word[start:stop]][0] if word[start:stop] in known else -1e6 if stop - start == 1 else None
+                if score is not None and best[start] + score > best[stop]:
+                    best[stop], back[stop] = best[start] + score, start
+        places = [n]
+        while places[-1]:
+            places.append(back[places[-1]])
+        places.reverse()
+    else:
+        stop_of, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap: list[tuple[float, int, int, int]] = []
+
+        def offer(start: int) -> None:
+            middle = stop_of[start] if start >= 0 else n
+            if middle < n and (found := known.get(word[start : stop_of[middle]])):
+                heapq.heappush(heap, (-found[0], start, middle, stop_of[middle]))
+
+        for i in range(n):
+            offer(i)
+        while heap:
+            _, start, middle, stop = heapq.heappop(heap)
+            if stop_of[start] != middle or stop_of[middle] != stop:
+                continue
+            stop_of[start], stop_of[middle] = stop, -1
+            if stop < n:
+                before[stop] = start
+            offer(start)
+            offer(before[start])
+        places = [0]
+        while places[-1] < n:
+            places.append(stop_of[places[-1]])
+    return [word[a:b] for a, b in zip(places[:-1], places[1:], strict=True)]
+
+
+def segmented_long(words: DataFrame, vocabulary: Vocabulary, kind: str) -> DataFrame:
+    known = {p: (score, i) for p, i, score in vocabulary.pieces}
+    longest, first_byte = vocabulary.longest, vocabulary.first_byte
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for word in batch.column("word").to_pylist():
+                pieces = segment_long(word, known, longest, kind)
+                out.append([i for p in pieces for i in ([known[p][1]] if p in known else [first_byte + b for b in p.encode()])])
+            yield pa.record_batch([batch.column("word"), pa.array(out, pa.list_(pa.int32()))], names=["word", "ids"])
+
+    return words.mapInArrow(run, "word string, ids array<int>")
+
+
 def encode_documents(docs: DataFrame, model_path: str, kind: str = "bpe", id_column: str = "doc_id", text_column: str = "text", block_bytes: int = BLOCK_TEXT_BYTES) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids, as the SentencePiece library gives them.
 
@@ -170,8 +228,9 @@ def encode_documents(docs: DataFrame, model_path: str, kind: str = "bpe", id_col
 
     met = written(dealt.groupBy("block").applyInArrow(distinct_units, "block long, bucket long, words array<string>"), "block-words")
     words = met.select(F.explode("words").alias("word")).distinct()
-    grid = lattice(words, vocabulary.table(spark), longest)
-    encoded = written(segmented(grid, kind, first_byte).withColumn("bucket", F.pmod(F.crc32(F.encode("word", "UTF-8")), F.lit(buckets))), "encoded-words")
+    grid = lattice(words.filter(F.length("word") <= LONG_UNIT), vocabulary.table(spark), longest)
+    ids = segmented(grid, kind, first_byte).union(segmented_long(words.filter(F.length("word") > LONG_UNIT), vocabulary, kind))
+    encoded = written(ids.withColumn("bucket", F.pmod(F.crc32(F.encode("word", "UTF-8")), F.lit(buckets))), "encoded-words")
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
         ids = dict(zip(known.column("word").to_pylist(), known.column("ids").to_pylist(), strict=True))
