@@ -112,9 +112,8 @@ def a14(spark, folder):
     _AUDIT + ", " + sql_viability("corpora", "corpus") + ", " + _OVERVIEW
     + ", marks AS (SELECT corpus, max(CASE WHEN exact_zero AND auc_distance >= 0.2 THEN 1 ELSE 0 END) AS bad, max(auc_distance) + 0.5 AS worst "
     "FROM audit GROUP BY corpus), gone AS (SELECT corpus, count(*) FILTER (WHERE status = 'dead') AS dead_features, count(*) AS f FROM viability "
-    "GROUP BY corpus) SELECT o.corpus, n_rows, round(positive_share, 6) AS positive_share, dead_features, round(worst, 6) AS worst_marker_auc, "
-    "CASE WHEN bad = 1 THEN 'REJECT: label recoverable from an assembly artefact' WHEN dead_features >= 3 THEN 'usable, but ' || dead_features || '/' "
-    "|| f || ' features are dead' ELSE 'clean' END AS verdict FROM overview o JOIN marks m ON o.corpus = m.corpus JOIN gone g ON o.corpus = g.corpus",
+    "GROUP BY corpus) SELECT o.corpus, n_rows, round(positive_share, 6) AS positive_share, dead_features, f AS n_features, round(worst, 6) AS worst_marker_auc, "
+    "CASE WHEN bad = 1 THEN 'rejected' WHEN dead_features >= 3 THEN 'dead_features' ELSE 'clean' END AS verdict FROM overview o JOIN marks m ON o.corpus = m.corpus JOIN gone g ON o.corpus = g.corpus",
 )
 def a15(spark, folder):
     found = audit.audit_corpora(corpora(spark, folder), "corpus", "text", "y", "row_key")

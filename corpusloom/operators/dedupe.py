@@ -4,47 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> str:
+    """A column name as it must be written to be taken literally, dots included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+
+DIGEST = ["_d0", "_d1", "_d2"]
+
+
+def row_digest(columns: Sequence[str]) -> list[Column]:
+    """Fixed-width stand-in for a row: two 64-bit hashes and which columns are null.
+
+    Equal rows agree in all three; that unequal ones do is beyond chance (128 bits). Grouping and
+    joining on it keeps long texts out of sorts and shuffles.
+    """
+    cells = [F.col(quoted(c)) for c in columns]
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in cells])
+    return [F.xxhash64(*cells).alias("_d0"), F.xxhash64(F.lit(7919), *cells, F.lit(104729)).alias("_d1"), nulls.alias("_d2")]
+
+
 def drop_duplicates(df: DataFrame, key: str, subset: Sequence[str] | None = None) -> DataFrame:
-    """Keep the row with the smallest `key` of every group of equal rows.
+    """Keep the row with the smallest `key` of every group of equal rows; `key` is unique.
 
-    A grouped `min`/`min_by` instead of a window: copies are combined before the
-    shuffle, so a value that fills a third of the table costs one row per task.
+    Digests are grouped, combined before the shuffle, so a value that fills a third of the
+    table costs one row per task; the winning keys then pick their rows.
     """
     subset = [c for c in (subset or df.columns) if c != key]
-    rest = [c for c in df.columns if c != key and c not in subset]
-    if not rest:
-        return df.groupBy(*subset).agg(F.min(key).alias(key)).select(*df.columns)
-    first = F.min_by(F.struct(*rest), key).alias("_rest")
-    kept = df.groupBy(*subset).agg(F.min(key).alias(key), first)
-    return kept.select(
-        *[F.col(f"_rest.{c}").alias(c) if c in rest else F.col(c) for c in df.columns]
-    )
+    narrow = df.select(F.col(quoted(key)).alias("_key"), *row_digest(subset))
+    winners = narrow.groupBy(*DIGEST).agg(F.min("_key").alias("_first")).select("_first")
+    return df.join(winners, F.col(quoted(key)).eqNullSafe(F.col("_first")), "left_semi")
 
 
 def duplicate_groups(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     """Values that occur more than once, with their row count `n`."""
-    return df.groupBy(*subset).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return df.groupBy(*[quoted(c) for c in subset]).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
 def duplicate_members(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     """Every row of every duplicate group. The key side has one row per repeated
-    value, and a hot value on the row side is split by the adaptive skew join."""
-    keys = duplicate_groups(df, subset).select(*[F.col(c).alias(f"_d_{c}") for c in subset])
-    match = None
-    for c in subset:
-        term = df[c].eqNullSafe(keys[f"_d_{c}"])
-        match = term if match is None else match & term
-    return df.join(keys, match, "left_semi")
+    digest, and a hot one on the row side is split by the adaptive skew join."""
+    repeated = df.select(*row_digest(subset)).groupBy(*DIGEST).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    marked = df.select("*", *row_digest(subset))
+    return marked.join(repeated, DIGEST, "left_semi").select(*[quoted(c) for c in df.columns])
 
 
 def duplicate_summary(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Rows, surplus copies and their share; an empty table gives zeros."""
-    subset = list(subset or df.columns)
-    counts = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.select(*row_digest(list(subset or df.columns))).groupBy(*DIGEST).agg(F.count(F.lit(1)).alias("n"))
     totals = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("n_distinct")
     )

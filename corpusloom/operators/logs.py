@@ -44,21 +44,26 @@ def level_counts(parsed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def error_groups(parsed: DataFrame, order: str) -> DataFrame:
     """Templates of error lines: count, first line and the message seen there.
     Counted on the map side, so one flooding error does not load one task."""
-    return (
-        parsed.filter(F.col("level").isin(*L.ERROR_LEVELS))
-        .groupBy("template")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min_by("message", order).alias("example"),
-            F.min(order).alias("first_line"),
-        )
-    )
+    return with_examples(parsed, counted_errors(parsed, order), order)
+
+
+def counted_errors(parsed: DataFrame, order: str) -> DataFrame:
+    """template, n, first_line: fixed-width sums, combined in hash tables before the shuffle."""
+    errors = parsed.filter(F.col("level").isin(*L.ERROR_LEVELS))
+    return errors.groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first_line"))
+
+
+def with_examples(parsed: DataFrame, counted: DataFrame, order: str) -> DataFrame:
+    """The message of each template's first line, joined back by the line's number."""
+    firsts = parsed.filter(F.col("level").isin(*L.ERROR_LEVELS)).select(F.col(order).alias("first_line"), F.col("template"), F.col("message").alias("example"))
+    return counted.join(firsts, ["first_line", "template"]).select("template", "n", "example", "first_line")
 
 
 def top_errors(parsed: DataFrame, order: str, top: int = 10) -> DataFrame:
     if top < 1:
         raise ValueError("top must be at least 1.")
-    return error_groups(parsed, order).orderBy(F.col("n").desc(), "first_line").limit(top)
+    most = counted_errors(parsed, order).orderBy(F.col("n").desc(), "first_line").limit(top)
+    return with_examples(parsed, most, order).orderBy(F.col("n").desc(), "first_line").limit(top)
 
 
 @dataclass(frozen=True)

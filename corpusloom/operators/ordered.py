@@ -6,7 +6,7 @@
 * `quantiles`: exact interpolated quantiles on top of it.
 * `hash_cutoffs`: the exact hash value below which `quota` rows of a group lie,
   found from counts of hash prefixes, so that "the first n in hash order" is a
-  plain filter.
+  comparison with one value per group.
 * `dense_index`: a gap-free row number in hash order.
 """
 
@@ -24,7 +24,6 @@ MAX_GROUPS = 10_000
 RANGE_ROWS = 1_000_000
 MAX_RANGES = 2_000
 HASH_STEP = 4
-TAIL_ROWS = 10_000
 SKETCH_ACCURACY = 10_000
 
 
@@ -65,10 +64,10 @@ def running_sums(
     range_rows = range_rows or RANGE_ROWS
     table = df if written else materialise(df, "ordered")
     sizes = table.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
-    groups = bounded_rows(sizes)
+    largest = sizes.agg(F.max("rows")).first()[0] or 1
     # Groups above one range get cut points from a mergeable sketch; the cut points
     # only balance the work, the sums stay exact wherever they fall.
-    ranges = min(MAX_RANGES, max((-(-r["rows"] // range_rows) for r in groups), default=1))
+    ranges = min(MAX_RANGES, -(-largest // range_rows))
     sign = -1 if descending else 1
     if ranges > 1:
         shares = [i / ranges for i in range(1, ranges)]
@@ -78,8 +77,7 @@ def running_sums(
             .filter(F.col("_size") > range_rows)
             .drop("_size")
         )
-        cut_rows = table.sparkSession.createDataFrame(bounded_rows(cuts), cuts.schema)
-        keyed = _join_small(table, cut_rows, by, "left")
+        keyed = join_groups(table, materialise(cuts, "cuts"), by, "left")
         below = F.size(F.filter("_cuts", lambda c: c < F.col(order)))
         table = keyed.withColumn("_range", F.when(F.col("_cuts").isNull(), 0).otherwise(below * sign)).drop("_cuts")
     else:
@@ -88,7 +86,6 @@ def running_sums(
     per_range = table.groupBy(*by, "_range").agg(*[F.sum(s).alias(f"_r_{s}") for s in sums])
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
-    # At most groups x MAX_RANGES rows, hence the broadcast inside _join_small.
     shifts = per_range.select(
         *by,
         "_range",
@@ -102,15 +99,15 @@ def running_sums(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = table.select("*", *[F.sum(s).over(inside).alias(f"_l_{s}") for s in sums])
-    return _join_small(local, shifts, [*by, "_range"]).select(
+    return join_groups(local, shifts, [*by, "_range"]).select(
         *df.columns,
         *[(F.col(f"_l_{s}") + F.col(f"_b_{s}")).alias(f"cum_{s}") for s in sums],
         *[F.col(f"tot_{s}") for s in sums],
     )
 
 
-def _join_small(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Null-safe join with a side whose size the caller has bounded."""
+def join_groups(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on group columns in which nulls are equal; Spark broadcasts the smaller side only if it is small."""
     if not on:
         on = ["_one"]
         df, small = df.withColumn("_one", F.lit(1)), small.withColumn("_one", F.lit(1))
@@ -119,7 +116,7 @@ def _join_small(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "
     for c in on:
         term = same(df[c], renamed[f"_k_{c}"])
         match = term if match is None else match & term
-    return df.join(F.broadcast(renamed), match, how).drop(*[f"_k_{c}" for c in on], "_one")
+    return df.join(renamed, match, how).drop(*[f"_k_{c}" for c in on], "_one")
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
@@ -153,14 +150,14 @@ def quantiles(
         counts = materialise(value_counts(df, by, value), "counts")
         return quantiles_of_counts(counts, by, value, shares, range_rows=range_rows)
     brackets = _brackets(df, by, value, list(shares.values()), accuracy)
-    joined = _join_small(df.filter(F.col(value).isNotNull()).select(*by, value), brackets, by)
+    joined = join_groups(df.filter(F.col(value).isNotNull()).select(*by, value), brackets, by)
     v = F.col(value).cast("double")
     inside = F.exists("_brackets", lambda e: (e["lo"] <= v) & (v <= e["hi"]))
     passed = F.size(F.filter("_brackets", lambda e: e["hi"] < v))
     # Values between two brackets become one value between them: the order is kept.
     squeezed = joined.select(*by, F.when(inside, v).otherwise(F.get("_between", passed)).alias(value))
     counts = materialise(value_counts(squeezed, by, value), "counts")
-    found = _join_small(
+    found = join_groups(
         quantiles_of_counts(counts, by, value, shares, range_rows=range_rows, ends=True), brackets, by
     )
 
@@ -241,90 +238,62 @@ def quantiles_of_counts(
     )
 
 
+def group_sizes(df: DataFrame, group: str) -> DataFrame:
+    return df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+
+
 def group_counts(df: DataFrame, group: str | None) -> dict:
-    """Rows per group on the driver; refused beyond MAX_GROUPS groups."""
+    """Rows per class on the driver; refused beyond MAX_GROUPS, which no label has."""
     if group is None:
         return {None: df.count()}
-    counted = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    return {r[group]: r["n"] for r in bounded_rows(counted)}
+    return {r[group]: r["n"] for r in bounded_rows(group_sizes(df, group))}
 
 
-def hash_cutoffs(df: DataFrame, hashed: str, group: str | None, quotas: Mapping) -> dict:
-    """The largest hash to take in each group so that exactly `quota` rows are taken.
+def hash_cutoffs(hashed: DataFrame, by: Sequence[str], quotas: DataFrame) -> DataFrame:
+    """(by, _cut): the largest hash `_h` to take in each group for exactly `quota` rows.
 
-    Counts of 4-digit hash prefixes locate the bucket that holds the cut; while
-    that bucket is large the prefix grows by four more digits. Only counts, and
-    finally one small bucket per group, reach the driver.
+    Counts of hash prefixes find the bucket that holds each group's cut, and the rows of that
+    one bucket in 65,536 are ranked. All of it is aggregates and joins: groups may be many or hot.
     """
-    cutoffs: dict = {}
-    open_groups = {g: ("", q) for g, q in quotas.items() if q > 0}
-    cutoffs.update({g: "" for g, q in quotas.items() if q <= 0})
-    digits = 0
-    while open_groups:
-        digits += HASH_STEP
-        stem = _by_group(group, {g: s for g, (s, _) in open_groups.items()})
-        inside = df.filter(F.col(hashed).startswith(stem)) if digits > HASH_STEP else df
-        names = [group] if group else []
-        counts = inside.groupBy(
-            *names, F.substring(hashed, 1, digits).alias("_prefix")
-        ).agg(F.count(F.lit(1)).alias("_n"))
-        # 16^4 prefixes at most within each group and stem.
-        upto = (
-            Window.partitionBy(*names)
-            .orderBy("_prefix")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        summed = counts.withColumn("_cum", F.sum("_n").over(upto))
-        quota = _by_group(group, {g: int(q) for g, (_, q) in open_groups.items()})
-        hit = summed.filter((F.col("_cum") >= quota) & (F.col("_cum") - F.col("_n") < quota))
-        found = {(r[group] if group else None): r for r in bounded_rows(hit)}
-        for g in list(open_groups):
-            if g not in found:
-                cutoffs[g] = "g"  # above every hex digit: the group holds no more than its quota
-                del open_groups[g]
-        large = {g: r for g, r in found.items() if r["_n"] > TAIL_ROWS and digits < 32}
-        small = {g: r for g, r in found.items() if g not in large}
-        if small:
-            stems = {g: r["_prefix"] for g, r in small.items()}
-            tail = df.filter(F.col(hashed).startswith(_by_group(group, stems)))
-            rows = bounded_rows(tail.select(*names, hashed), len(small) * TAIL_ROWS, "hashes")
-            for g, r in small.items():
-                rest = sorted(t[hashed] for t in rows if group is None or t[group] == g)
-                need = open_groups[g][1] - (r["_cum"] - r["_n"])
-                cutoffs[g] = rest[need - 1]
-        open_groups = {
-            g: (r["_prefix"], open_groups[g][1] - (r["_cum"] - r["_n"])) for g, r in large.items()
-        }
-    return cutoffs
-
-
-def _by_group(group: str | None, values: Mapping) -> Column:
-    """A literal chosen by group; null for a group that is not listed."""
-    if group is None:
-        return F.lit(values[None])
-    chosen = F.lit(None)
-    for g, v in values.items():
-        match = F.col(group).isNull() if g is None else F.col(group) == F.lit(g)
-        chosen = F.when(match, F.lit(v)).otherwise(chosen)
-    return chosen
-
+    prefixed = hashed.select(*by, "_h").withColumn("_prefix", F.substring("_h", 1, HASH_STEP))
+    counts = prefixed.groupBy(*by, "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(*by).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = join_groups(counts.withColumn("_cum", F.sum("_n").over(upto)), quotas, by)
+    passed = F.col("_cum") - F.col("_n")
+    hit = summed.filter((F.col("_cum") >= F.col("quota")) & (passed < F.col("quota"))).select(*by, "_prefix", (F.col("quota") - passed).alias("_need"))
+    ranked = join_groups(prefixed, materialise(hit, "hits"), [*by, "_prefix"])
+    place = F.row_number().over(Window.partitionBy(*by, "_prefix").orderBy("_h"))
+    found = ranked.withColumn("_place", place).filter("_place = _need").select(*by, F.col("_h").alias("_found"))
+    # "g" lies above every hex digit: a group without a hit has no more rows than its quota.
+    cut = F.when(F.col("quota") <= 0, "").otherwise(F.coalesce("_found", F.lit("g")))
+    return materialise(join_groups(quotas, found, by, "left").select(*by, cut.alias("_cut")), "cutoffs")
+
+
+def flag_first_by_hash(
+    df: DataFrame, key: str | Sequence[str], seed: int, quotas: Mapping | DataFrame | int, group: str | None = None, name: str = "_taken"
+) -> DataFrame:
+    """Add `name`: whether a row is among the first `quota` rows of its group in hash order.
 
-def within_cutoff(hashed: str, group: str | None, cutoffs: Mapping) -> Column:
-    return F.coalesce(F.col(hashed) <= _by_group(group, cutoffs), F.lit(False))
+    `quotas` is a table (group, quota), a mapping, or one number for each group.
+    """
+    by, spark = ([group] if group else []), df.sparkSession
+    if isinstance(quotas, int) and group:
+        quotas = group_sizes(df, group).select(group, F.lit(quotas).cast("long").alias("quota"))
+    elif isinstance(quotas, int):
+        quotas = spark.range(1).select(F.lit(quotas).cast("long").alias("quota"))
+    elif isinstance(quotas, Mapping):
+        kind = df.schema[group].dataType.simpleString()
+        quotas = spark.createDataFrame([(g, int(q)) for g, q in quotas.items()], f"`{group}` {kind}, quota long")
+    hashed = df.withColumn("_h", hash_key(key, seed))
+    flagged = join_groups(hashed, hash_cutoffs(hashed, by, quotas), by, "left")
+    return flagged.withColumn(name, F.coalesce(F.col("_h") <= F.col("_cut"), F.lit(False))).drop("_h", "_cut")
 
 
 def first_by_hash(
-    df: DataFrame, key: str | Sequence[str], seed: int, quotas: Mapping | int, group: str | None = None
+    df: DataFrame, key: str | Sequence[str], seed: int, quotas: Mapping | DataFrame | int, group: str | None = None
 ) -> DataFrame:
-    """The first `quota` rows of each group in hash order, as a filter."""
-    if isinstance(quotas, int):
-        sizes = group_counts(df, group)
-        quotas = {g: min(n, quotas) for g, n in sizes.items()}
-        if all(quotas[g] == n for g, n in sizes.items()):
-            return df
-    hashed = df.withColumn("_h", hash_key(key, seed))
-    cutoffs = hash_cutoffs(hashed, "_h", group, quotas)
-    return hashed.filter(within_cutoff("_h", group, cutoffs)).drop("_h")
+    """The first `quota` rows of each group in hash order."""
+    return flag_first_by_hash(df, key, seed, quotas, group).filter("_taken").drop("_taken")
 
 
 def dense_index(df: DataFrame, key: str | Sequence[str], seed: int | str, name: str = "idx") -> DataFrame:
@@ -339,6 +308,6 @@ def dense_index(df: DataFrame, key: str | Sequence[str], seed: int | str, name:
     ranked = table.withColumn(
         "_rank", F.row_number().over(Window.partitionBy("_b").orderBy("_h"))
     )
-    return _join_small(ranked, shifts, ["_b"]).select(
+    return join_groups(ranked, shifts, ["_b"]).select(
         *df.columns, (F.col("_rank") - 1 + F.col("_shift")).cast("long").alias(name)
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.workspace import materialise
 
-from .ordered import bounded_rows, dense_index, first_by_hash, group_counts, hash_key
+from .ordered import bounded_rows, dense_index, first_by_hash, group_counts, group_sizes, hash_key, join_groups
 
 MAX_PIVOTS = 2_048
 CHUNK_ROWS = 4_096
@@ -27,12 +27,10 @@ def _sizes(df: DataFrame, label: str) -> tuple[dict, object, int, int]:
 
 def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     """n / (classes x rows of the class), as a column for weighted fits."""
-    sizes = group_counts(df, label)
-    n = sum(sizes.values())
-    weight = F.lit(None).cast("double")
-    for g, rows in sizes.items():
-        weight = F.when(F.col(label) == g, F.lit(n / (len(sizes) * rows))).otherwise(weight)
-    return df.withColumn("weight", weight)
+    sizes = group_sizes(df, label)
+    whole = Window.partitionBy()  # one row per class
+    weights = sizes.select(label, (F.sum("n").over(whole) / (F.count(F.lit(1)).over(whole) * F.col("n"))).alias("weight"))
+    return join_groups(df, weights, [label])
 
 
 def under_sample(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame:
@@ -220,9 +218,19 @@ def smote(
     Base row, neighbour place and u come from hashes of (seed, draw number). Only
     label and features are returned, since a synthetic row has no key.
     """
-    sizes, minority, rows, largest = _sizes(df, label)
-    small = materialise(df.filter(F.col(label) == minority).select(key, *features), "minority")
-    k = min(k, rows - 1)
+    sizes, _, _, largest = _sizes(df, label)
+    lone = [g for g, n in sizes.items() if n < 2 < largest]
+    if k < 1 or lone:
+        raise ValueError(f"Synthetic rows need a neighbour: k is {k}, classes with one row are {lone}.")
+    out = df.select(label, *features)
+    for g, rows in sorted(sizes.items(), key=lambda e: str(e[0])):
+        if rows < largest:
+            out = out.unionByName(_synthetic(df, key, label, features, g, rows, largest, min(k, rows - 1), seed))
+    return out
+
+
+def _synthetic(df: DataFrame, key: str, label: str, features: Sequence[str], group, rows: int, largest: int, k: int, seed: int) -> DataFrame:
+    small = materialise(df.filter(F.col(label).eqNullSafe(F.lit(group))).select(key, *features), "minority")
     pairs = nearest_neighbours(small, key, features, k, seed).select(
         F.col(key).alias("base"), "neighbour", "place"
     )
@@ -236,8 +244,7 @@ def smote(
     based = wanted.join(pool, "idx").withColumnRenamed(key, "base")
     matched = based.join(pairs, ["base", "place"])
     other = small.select(F.col(key).alias("neighbour"), *[F.col(c).alias(f"_n_{c}") for c in features])
-    made = matched.join(other, "neighbour").select(
-        F.lit(minority).cast(df.schema[label].dataType).alias(label),
+    return matched.join(other, "neighbour").select(
+        F.lit(group).cast(df.schema[label].dataType).alias(label),
         *[(F.col(c) + F.col("u") * (F.col(f"_n_{c}") - F.col(c))).alias(c) for c in features],
     )
-    return df.select(label, *features).unionByName(made)

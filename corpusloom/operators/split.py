@@ -4,34 +4,25 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.workspace import materialise
 
 from .dedupe import drop_duplicates
-from .ordered import group_counts, hash_cutoffs, hash_key, within_cutoff
+from .ordered import flag_first_by_hash, group_sizes
 from .stats import class_balance
 
-MAX_LABELS_SHOWN = 10
-_PERMIT = object()
-
-
-@dataclass(frozen=True)
 class TrainingPartition:
-    """The training half of a split, and the only thing a fit accepts."""
+    """The training half of a split: what a fit may learn from. It is a view of a `Split`."""
 
-    rows: DataFrame
-    columns: tuple[str, ...]
-    key: str
-    target: str | None = None
-    _permit: object = field(default=None, repr=False)
-
-    def __post_init__(self) -> None:
-        if self._permit is not _PERMIT:
-            raise TypeError("A TrainingPartition comes from split_rows(); it cannot be built by hand.")
+    def __init__(self, split: Split):
+        if not isinstance(split, Split):
+            raise TypeError(f"The training half of a split is taken from a Split, not from {type(split).__name__}.")
+        self.rows = split.assigned.filter("partition = 'train'")
+        self.columns, self.key, self.target = split.model_columns, split.key, split.target
 
     @property
     def X(self) -> DataFrame:
@@ -44,7 +35,6 @@ class Split:
     model columns, key, target and meta columns stay on the same row."""
 
     assigned: DataFrame
-    train: TrainingPartition
     key: str
     model_columns: tuple[str, ...]
     meta_columns: tuple[str, ...]
@@ -52,6 +42,10 @@ class Split:
     n_rows_before: int
     n_rows_after: int
 
+    @property
+    def train(self) -> TrainingPartition:
+        return TrainingPartition(self)
+
     @property
     def n_duplicates_dropped(self) -> int:
         return self.n_rows_before - self.n_rows_after
@@ -72,7 +66,7 @@ class Split:
         return half.select(self.key, *self.meta_columns)
 
     def describe(self) -> DataFrame:
-        """Class balance per partition; empty for a target with many labels."""
+        """Class balance per partition, one row per label."""
         if self.target is None:
             raise ValueError("The split has no target to describe.")
         return balance_by_partition(self.assigned, self.target)
@@ -80,15 +74,13 @@ class Split:
 
 def balance_by_partition(assigned: DataFrame, target: str) -> DataFrame:
     shares = class_balance(assigned.select("partition", F.col(target).alias("_label")), "_label", ["partition"])
-    wide = shares.groupBy(F.col("_label").alias(target)).agg(
+    return shares.groupBy(F.col("_label").alias(target)).agg(
         *[
             F.coalesce(F.max(F.when(F.col("partition") == p, F.col(c))), F.lit(zero)).alias(f"{p}_{c}")
             for p in ("train", "test")
             for c, zero in (("n", 0), ("share", 0.0))
         ]
     )
-    few = wide.limit(MAX_LABELS_SHOWN + 1).count() <= MAX_LABELS_SHOWN
-    return wide if few else wide.limit(0)
 
 
 def test_quota(n: int, test_size: float) -> int:
@@ -107,6 +99,17 @@ def stratified_quotas(sizes: Mapping, total: int) -> dict:
     return quotas
 
 
+def quota_table(sizes: DataFrame, group: str, total: int) -> DataFrame:
+    """The same as a table: `group` and `quota` from `group` and `n`."""
+    # One narrow row per stratum is summed and ranked, never the strata's rows.
+    exact = sizes.withColumn("_exact", F.lit(total) * F.col("n") / F.sum("n").over(Window.partitionBy()))
+    floor = F.floor(F.col("_exact") + 1e-9)
+    order = Window.orderBy(F.round(F.col("_exact") - floor, 9).desc(), F.coalesce(F.col(group).cast("string"), F.lit("None")))
+    ranked = exact.withColumn("_floor", floor).withColumn("_place", F.row_number().over(order))
+    short = F.lit(total) - F.sum("_floor").over(Window.partitionBy())
+    return ranked.withColumn("_short", short).select(group, (F.col("_floor") + (F.col("_place") <= F.col("_short")).cast("long")).alias("quota"))
+
+
 def assign_partitions(
     df: DataFrame,
     key: str,
@@ -116,14 +119,14 @@ def assign_partitions(
     stratify: str | None = None,
 ) -> DataFrame:
     """Add `partition`. Rows are ordered by a hash of seed and key and cut exactly at
-    the quota, so the assignment is a filter: no sort, window or join of the rows."""
-    hashed = df.withColumn("_h", hash_key(key, seed))
-    sizes = group_counts(df, stratify)
-    quota = test_quota(sum(sizes.values()), test_size)
-    quotas = stratified_quotas(sizes, quota) if stratify else {None: quota}
-    cutoffs = hash_cutoffs(hashed, "_h", stratify, quotas)
-    is_test = within_cutoff("_h", stratify, cutoffs)
-    return hashed.withColumn("partition", F.when(is_test, "test").otherwise("train")).drop("_h")
+    the quota: no sort or window of the rows. Strata may be as many as there are rows."""
+    if stratify is None:
+        quotas = test_quota(df.count(), test_size)
+    else:
+        sizes = materialise(group_sizes(df, stratify), "strata")
+        quotas = quota_table(sizes, stratify, test_quota(sizes.agg(F.sum("n")).first()[0] or 0, test_size))
+    taken = flag_first_by_hash(df, key, seed, quotas, stratify, "_test")
+    return taken.withColumn("partition", F.when(F.col("_test"), "test").otherwise("train")).drop("_test")
 
 
 def split_rows(
@@ -169,7 +172,4 @@ def split_rows(
     assigned = assign_partitions(
         unique, key, test_size=test_size, seed=seed, stratify=stratify or None
     )
-    train = TrainingPartition(
-        assigned.filter("partition = 'train'"), tuple(model), key, target, _permit=_PERMIT
-    )
-    return Split(assigned, train, key, tuple(model), tuple(meta), target, before, unique.count())
+    return Split(assigned, key, tuple(model), tuple(meta), target, before, unique.count())

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.workspace import materialise
 
-from .ordered import bounded_rows, quantiles, quantiles_of_counts, running_sums, value_counts
+from .ordered import join_groups, quantiles, quantiles_of_counts, running_sums, value_counts
 
 
 def melt(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
@@ -51,11 +51,11 @@ def _summary_of_counts(counts: DataFrame, by: Sequence[str], value: str, shares:
     )
     means = basic.select(*by, F.col("mean").alias("_mean"))
     gap = v - F.col("_mean")
-    # One row per group; running sums refuse more groups than the driver can hold.
-    spread = counts.join(F.broadcast(means), list(by)).groupBy(*by).agg(
+    # Null groups are groups like others.
+    spread = join_groups(counts, means, by).groupBy(*by).agg(
         F.sqrt(F.try_divide(F.sum(gap * gap * n), F.nullif(total - 1, F.lit(0)))).alias("std")
     )
-    return basic.join(spread, list(by)).join(quantiles_of_counts(counts, by, value, shares), list(by))
+    return join_groups(join_groups(basic, spread, by), quantiles_of_counts(counts, by, value, shares), by)
 
 
 def grouped_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
@@ -252,8 +252,12 @@ def histogram(
 
 
 def histogram_over_range(df: DataFrame, value: str, bins: int) -> DataFrame:
-    """Histogram between the smallest and the largest value."""
+    """Histogram between the smallest and the largest value; equal values fill the first bin, no value none."""
     ends = df.agg(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi")).first()
+    if ends["lo"] is None:
+        return histogram(df, value, 0.0, 1.0, bins)
+    if ends["lo"] == ends["hi"]:
+        return histogram(df, value, ends["lo"], ends["lo"] + 1.0, bins).withColumn("bin_start", F.lit(ends["lo"]))
     return histogram(df, value, ends["lo"], ends["hi"], bins)
 
 
@@ -268,19 +272,13 @@ def density(
     by = list(by)
     clipped = df.filter(F.col(value).isNotNull()).withColumn("x", F.least(F.col(value).cast("double"), F.lit(float(high))))
     counts = clipped.groupBy(*by, "x").agg(F.count(F.lit(1)).alias("n"))
-    widths = bounded_rows(
-        clipped.groupBy(*by).agg(
-            (F.stddev_samp("x") * F.pow(F.count(F.lit(1)).cast("double"), F.lit(-0.2))).alias("h"),
-            F.count(F.lit(1)).alias("total"),
-        )
-    )
-    fitted = df.sparkSession.createDataFrame(
-        [tuple(r) for r in widths],
-        ", ".join([f"{c} {clipped.schema[c].dataType.simpleString()}" for c in by] + ["h double", "total long"]),
+    fitted = clipped.groupBy(*by).agg(
+        (F.stddev_samp("x") * F.pow(F.count(F.lit(1)).cast("double"), F.lit(-0.2))).alias("h"),
+        F.count(F.lit(1)).alias("total"),
     )
     step = (high - low) / (points - 1)
     grid = F.explode(F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.lit(float(low)) + i * F.lit(step)))
-    spread = counts.join(F.broadcast(fitted), by).select(*by, "x", "n", "h", "total", grid.alias("at"))
+    spread = join_groups(counts, fitted, by).select(*by, "x", "n", "h", "total", grid.alias("at"))
     z = F.try_divide(F.col("at") - F.col("x"), F.col("h"))  # null without any spread
     summed = spread.groupBy(*by, "at").agg(
         F.sum(F.col("n") * F.exp(F.lit(-0.5) * z * z)).alias("s"),

@@ -103,12 +103,18 @@ def detect_encodings(
     for i, e in reversed(list(enumerate(ladder))):
         encoding = F.when(F.col(f"fits_{i}"), F.lit(e)).otherwise(encoding)
         attempted = F.when(F.col(f"fits_{i}"), F.array(*[F.lit(x) for x in ladder[: i + 1]])).otherwise(attempted)
-    return checks.select(
+    found = checks.select(
         "file",
         encoding.alias("encoding"),
         attempted.alias("attempted"),
         (~F.col("fits_0")).alias("used_fallback"),
     )
+    # A file without a line fits the first encoding; it shows up in the listing only.
+    listed = spark.read.format("binaryFile").load(path).filter("length = 0")
+    name = F.regexp_replace("path", "^file:/(?=[^/])", "file:///")
+    return found.unionByName(
+        listed.select(name.alias("file"), F.lit(ladder[0]).alias("encoding"), F.array(F.lit(ladder[0])).alias("attempted"), F.lit(False).alias("used_fallback"))
+    )
 
 
 def _checked(spark: SparkSession, path, encodings) -> list:
@@ -151,6 +157,28 @@ class LoadResult:
     provenance: DataFrame
 
 
+_NUMBERS = ("int", "bigint", "double")
+
+
+def common_schema(schemas: Sequence[StructType]) -> StructType:
+    """One schema for files inferred apart: the wider number, else text; names must agree."""
+    names = schemas[0].names
+    for other in schemas[1:]:
+        if other.names != names:
+            raise ValueError(f"The files' headers differ: {names} and {other.names}.")
+    out = StructType()
+    for i, name in enumerate(names):
+        kinds = {s[i].dataType.simpleString(): s[i].dataType for s in schemas}
+        if len(kinds) == 1:
+            kind = schemas[0][i].dataType
+        elif all(k in _NUMBERS for k in kinds):
+            kind = kinds[max(kinds, key=_NUMBERS.index)]
+        else:
+            kind = StringType()
+        out.add(name, kind)
+    return out
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
@@ -162,8 +190,9 @@ def read_delimited(
     """Read delimited files, each with the first encoding of the ladder that fits it.
 
     `options` are those of Spark's CSV reader (`sep`, `header`, `quote=""` to switch
-    quoting off, `multiLine`, ...). Without a schema the types are inferred from the
-    first group of files and applied to all.
+    quoting off, `multiLine`, ...). Without a schema the types are inferred from all
+    files: a column takes the widest type that any encoding group needs, text if nothing
+    else fits. Groups whose headers differ are an error.
     """
     if "encoding" in options or "charset" in options:
         raise ValueError("Pass encodings=(...) instead of encoding=: the encoding is detected.")
@@ -174,11 +203,12 @@ def read_delimited(
     if schema is None:
         options = {"header": True, **options}
     parts, counts = None, None
-    for encoding, files in sorted(groups.items()):
-        reader = spark.read.options(**options).option("encoding", _CHARSETS[encoding])
-        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-        part = reader.csv(path if len(groups) == 1 else files)
-        schema = schema if schema is not None else part.schema
+    paths = {encoding: path if len(groups) == 1 else files for encoding, files in groups.items()}
+    reader_of = lambda encoding: spark.read.options(**options).option("encoding", _CHARSETS[encoding])
+    if schema is None and groups:
+        schema = common_schema([reader_of(e).option("inferSchema", True).csv(paths[e]).schema for e in sorted(groups)])
+    for encoding in sorted(groups):
+        part = reader_of(encoding).schema(schema).csv(paths[encoding])
         per_file = part.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n_rows"))
         if encoding == "cp1252":
             part = part.select(
@@ -200,8 +230,6 @@ def _provenance(spark: SparkSession, found: list, counts: DataFrame, width: int)
         "file string, encoding string, attempted array<string>, used_fallback boolean",
     )
     rows = F.coalesce("n_rows", F.lit(0))
-    failed = F.array_join(F.slice("attempted", 1, F.greatest(F.size("attempted") - 1, F.lit(0))), ", ")
-    note = F.when(F.col("used_fallback"), F.concat(F.lit(" (fell back from "), failed, F.lit(")"))).otherwise("")
     return seen.join(counts, "file", "left").select(
         "file",
         rows.alias("n_rows"),
@@ -209,10 +237,6 @@ def _provenance(spark: SparkSession, found: list, counts: DataFrame, width: int)
         "encoding",
         "attempted",
         "used_fallback",
-        F.concat(
-            F.lit("Loaded "), F.regexp_extract("file", r"([^/]+)$", 1), F.lit(": "), rows.cast("string"),
-            F.lit(f" rows x {width} columns using encoding "), F.col("encoding"), note,
-        ).alias("description"),
     )
 
 

@@ -160,8 +160,8 @@ def test_full_audit(contaminated):
     )
     found = A.audit_corpora(both, "corpus", "text", "y", "k")
     verdicts = {r.corpus: r for r in found.verdicts.collect()}
-    assert verdicts["bad"].verdict.startswith("REJECT") and verdicts["bad"].worst_marker_auc == 1.0
-    assert verdicts["even"].verdict == "usable, but 4/12 features are dead"
+    assert verdicts["bad"].verdict == "rejected" and verdicts["bad"].worst_marker_auc == 1.0
+    assert (verdicts["even"].verdict, verdicts["even"].dead_features, verdicts["even"].n_features) == ("dead_features", 4, 12)
     assert verdicts["even"].n_rows == 200
 
 
