@@ -3,7 +3,9 @@
 Only suffixes that can have a partner are sorted. Each document is sampled at its minimizers
 (positions whose 64-byte gram has the smallest fingerprint among 32 neighbours):
 equal 200-byte strings have equal minimizers inside, so a suffix can have a partner only if all of
-its inner minimizers occur elsewhere too. Those suffixes are dealt out by
+its inner minimizers occur elsewhere too. Of the suffixes between two neighbouring minimizers, those of a
+stretch that another place has byte for byte need no sorting of their own: they have a partner, and the stretch's
+first place stands for all. The others, and the first places', are dealt out by
 sampled splitters of their leading bytes (and, where many begin alike, of the fingerprint of their 200
 bytes). A bucket sorts its suffixes by leading bytes and then by
 fingerprint and compares neighbours. Splitters are values of the full sort key, so equal suffixes never lie
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import external_key, keyed_texts, text_bytes, written
-from corpusloom.llm.grams import Texts, byte_windows, chunks, covered, mixed, owners
-from corpusloom.llm.packed_exchange import FOUND, LED_ENTRIES, NARROW_ENTRIES, Bucket, Packer, buckets_for, cut_to_sent, meet, per_owner, top_bits
+from corpusloom.llm.grams import Texts, byte_windows, chunks, covered, mixed, owners, span_prints
+from corpusloom.llm.packed_exchange import ENTRIES, FOUND, LED_ENTRIES, NARROW_ENTRIES, Bucket, Packer, buckets_for, cut_to_sent, meet, per_owner, top_bits
 from corpusloom.llm.substring_dedup import merged
 
 LENGTH, GRAM, NEIGHBOURS = 200, 64, 32
-SEVERAL = np.uint8(2)
+SEVERAL, OPEN = np.uint8(2), np.uint8(4)
 #: Documents and suffixes in the sample that the splitters come from.
 SAMPLE_TEXTS, SAMPLE_SUFFIXES = 2_000, 100_000
 RESULT = "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
@@ -124,25 +127,96 @@ def range_of(cuts: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
     return lambda leads: np.searchsorted(cuts, leads, side="right").astype(np.int64)
 
 
-def candidate_suffixes(own: Texts, useful: list[np.ndarray], shape: tuple[int, int, int], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprint and place of every suffix whose inner minimizers all occur elsewhere too."""
+@dataclass
+class Suffixes:
+    """The suffixes of a chunk's texts: fingerprint, place, and whether each may have a partner; and the
+    stretches between neighbouring minimizers: fingerprint, text, first and last suffix."""
+
+    prints: np.ndarray
+    at: np.ndarray
+    near: np.ndarray
+    stretch: np.ndarray
+    stretch_of: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+
+    def inside(self, chosen: np.ndarray) -> np.ndarray:
+        """Which suffixes lie in one of the chosen stretches."""
+        change = np.zeros(len(self.at) + 1, np.int32)
+        np.add.at(change, self.first[chosen], 1)
+        np.add.at(change, self.last[chosen] + 1, -1)
+        return np.cumsum(change[:-1]) > 0
+
+
+def suffixes(own: Texts, shape: tuple[int, int, int], bits: int, useful: list[np.ndarray] | None = None) -> Suffixes:
+    """`useful`: per text the minimizers known to occur elsewhere; without them every suffix may have a partner."""
     length, gram, neighbours = shape
     prints, at = minimizers(own, gram, neighbours)
-    prints = cut_to_sent(prints, bits)
-    cuts = np.searchsorted(at, own.offsets)
-    lone = np.zeros(len(own.data) + 1, np.int32)
-    for i, known in enumerate(useful):
-        a, b = cuts[i], cuts[i + 1]
-        lone[at[a:b][~np.isin(prints[a:b], known)]] = 1
-    before = np.concatenate([[0], np.cumsum(lone)])
     whole, begin = byte_windows(own, length)
-    # A gram chosen among these places was chosen by bytes of the suffix alone.
-    first, last = begin + neighbours - 1, begin + length - gram - neighbours + 1
-    near = before[last + 1] == before[first]
-    return whole[near], begin[near]
+    near = np.ones(len(begin), bool)
+    if useful is not None:
+        sent = cut_to_sent(prints, bits)
+        cuts = np.searchsorted(at, own.offsets)
+        lone = np.zeros(len(own.data) + 1, np.int32)
+        for i, known in enumerate(useful):
+            a, b = cuts[i], cuts[i + 1]
+            lone[at[a:b][~np.isin(sent[a:b], known)]] = 1
+        before = np.concatenate([[0], np.cumsum(lone)])
+        # A gram chosen among these places was chosen by bytes of the suffix alone.
+        near = before[begin + length - gram - neighbours + 2] == before[begin + neighbours - 1]
+    of = owners(at, own.offsets) if len(at) else at
+    pair = np.flatnonzero((of[1:] == of[:-1]) & (at[1:] + length <= own.offsets[of[1:] + 1])) if len(at) else at
+    first, last = np.searchsorted(begin, at[pair]), np.searchsorted(begin, at[pair + 1])
+    far = np.concatenate([[0], np.cumsum(~near)])
+    full = far[last + 1] == far[first]
+    pair, first, last = pair[full], first[full], last[full]
+    stop = at[pair + 1] + length
+    stretch = mixed(span_prints(own, at[pair], stop) + (stop - at[pair]).astype(np.uint64), 9)
+    return Suffixes(whole, begin, near, stretch, of[pair], first, last)
+
+
+def known_of(column: pa.Array, which: np.ndarray) -> list[np.ndarray]:
+    return [column[int(i)].values.to_numpy().view(np.uint64) if column[int(i)].is_valid else np.zeros(0, np.uint64) for i in which]
+
+
+def among(prints: np.ndarray, of: np.ndarray, known: list[np.ndarray]) -> np.ndarray:
+    """Which prints their text knows; `of` ascends."""
+    cuts = np.searchsorted(of, np.arange(len(known) + 1))
+    out = np.zeros(len(prints), bool)
+    for i, mine in enumerate(known):
+        if len(mine) and cuts[i + 1] > cuts[i]:
+            out[cuts[i] : cuts[i + 1]] = np.isin(prints[cuts[i] : cuts[i + 1]], mine)
+    return out
+
+
+def repeated_stretches(texts: DataFrame, buckets: int, shape: tuple[int, int, int]) -> DataFrame:
+    """key, stretches (those that occur in another place too) and leading (those of them that this text stands for)."""
+    bucket_of, bits = top_bits(buckets)
+    length = shape[0]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = Packer(bucket_of)
+        for batch in batches:
+            for part, every in chunks(batch):
+                own, which = long_enough(every, length)
+                got = suffixes(own, shape, bits, known_of(part.column("prints"), which))
+                of = which[got.stretch_of]
+                yield from packer.add(part.column("key").to_numpy()[of], got.stretch, np.zeros(len(of), np.uint8))
+        yield from packer.flush()
 
-def repeated(texts: DataFrame, found: DataFrame, buckets: int, cuts: np.ndarray, shape: tuple[int, int, int]) -> DataFrame:
+    def judge(bucket: Bucket) -> Iterator[pa.RecordBatch]:
+        values, group = np.unique(bucket.prints, return_inverse=True)
+        least = np.full(len(values), np.iinfo(np.int64).max)
+        np.minimum.at(least, group, bucket.owner)
+        yield from bucket.answers(_met_again(bucket, group, len(values)), (bucket.owner == least[group]).astype(np.int64))
+
+    found = per_owner(meet(texts.mapInArrow(run, ENTRIES), judge))
+    both = found.groupBy("key").agg(F.flatten(F.collect_list("prints")).alias("stretches"), F.flatten(F.collect_list("values")).alias("first"))
+    return both.select("key", "stretches", F.filter("stretches", lambda _, i: F.get("first", i) == 1).alias("leading"))
+
+
+def repeated(texts: DataFrame, buckets: int, cuts: np.ndarray, shape: tuple[int, int, int]) -> DataFrame:
+    """key, prints: per text the suffixes outside repeated stretches that occur in another place too."""
     _, bits = top_bits(buckets)
     length = shape[0]
 
@@ -151,11 +225,14 @@ def repeated(texts: DataFrame, found: DataFrame, buckets: int, cuts: np.ndarray,
         for batch in batches:
             for part, every in chunks(batch):
                 own, which = long_enough(every, length)
-                known = part.column("prints")
-                each = [known[int(i)].values.to_numpy().view(np.uint64) for i in which]
-                prints, at = candidate_suffixes(own, each, shape, bits)
+                got = suffixes(own, shape, bits, known_of(part.column("prints"), which))
+                settled = got.inside(among(got.stretch, got.stretch_of, known_of(part.column("stretches"), which)))
+                leading = got.inside(among(got.stretch, got.stretch_of, known_of(part.column("leading"), which)))
+                sent = (got.near & ~settled) | leading
+                prints, at = got.prints[sent], got.at[sent]
                 of = which[owners(at, own.offsets)] if len(at) else at
-                yield from packer.add(part.column("key").to_numpy()[of], prints, np.zeros(len(of), np.uint8), sort_keys(own.data, at, prints))
+                marks = np.where(leading[sent], SEVERAL, 0).astype(np.uint8) | np.where(settled[sent], 0, OPEN).astype(np.uint8)
+                yield from packer.add(part.column("key").to_numpy()[of], prints, marks, sort_keys(own.data, at, prints))
         yield from packer.flush()
 
     def judge(bucket: Bucket) -> Iterator[pa.RecordBatch]:
@@ -165,33 +242,37 @@ def repeated(texts: DataFrame, found: DataFrame, buckets: int, cuts: np.ndarray,
         new[1:] = (lead[1:] != lead[:-1]) | (whole[1:] != whole[:-1])
         group = np.empty(len(order), np.int64)
         group[order] = np.cumsum(new) - 1
-        yield from bucket.answers(_met_again(bucket, group, int(new.sum())))
+        yield from bucket.answers(_met_again(bucket, group, int(new.sum())) & ((bucket.marks & OPEN) > 0))
 
-    first_copies = texts.join(found, "key").filter(~F.array_contains("later_copies", F.sha2("text", 256))).select("key", "text", "prints")
-    return merged(per_owner(meet(first_copies.mapInArrow(run, LED_ENTRIES), judge, FOUND)))
+    return merged(per_owner(meet(texts.mapInArrow(run, LED_ENTRIES), judge, FOUND)))
 
 
-def strip(texts: DataFrame, length: int, with_text: bool) -> DataFrame:
+def strip(texts: DataFrame, shape: tuple[int, int, int], with_text: bool) -> DataFrame:
+    length = shape[0]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, own in chunks(batch):
-                known, shared = part.column("prints"), part.column("shared").to_pylist()
-                sizes = np.diff(own.offsets)
+            for part, every in chunks(batch):
+                out = np.zeros(len(every.data), bool)
+                own, which = long_enough(every, length)
+                windows, stretches = known_of(part.column("prints"), which), known_of(part.column("stretches"), which)
+                if any(map(len, windows)) or any(map(len, stretches)):
+                    got = suffixes(own, shape, 0)
+                    gone = got.inside(among(got.stretch, got.stretch_of, stretches)) | among(got.prints, owners(got.at, own.offsets), windows)
+                    out[np.repeat(np.diff(every.offsets) >= length, np.diff(every.offsets))] = covered(got.at[gone], length, len(own.data))
+                shared = part.column("shared").to_pylist()
+                for i in which.tolist():
+                    if shared[i]:
+                        out[every.offsets[i] : every.offsets[i + 1]] = True
                 removed, spans, digests, texts_left = [], [], [], []
-                for i in range(own.count):
-                    data = own.data[own.offsets[i] : own.offsets[i + 1]]
-                    out = np.zeros(len(data), bool)
-                    if len(data) >= length and shared[i]:
-                        out[:] = True
-                    elif len(data) >= length and known[i].is_valid:
-                        prints, at = byte_windows(Texts(data, np.array([0, len(data)])), length)
-                        out = covered(at[np.isin(prints, known[i].values.to_numpy().view(np.uint64))], length, len(data))
-                    left = data[~out].tobytes()
-                    removed.append(int(out.sum()))
-                    spans.append(int(out[:1].sum() + (out[1:] & ~out[:-1]).sum()))
+                for i in range(every.count):
+                    mine = out[every.offsets[i] : every.offsets[i + 1]]
+                    left = every.data[every.offsets[i] : every.offsets[i + 1]][~mine].tobytes()
+                    removed.append(int(mine.sum()))
+                    spans.append(int(mine[:1].sum() + (mine[1:] & ~mine[:-1]).sum()))
                     digests.append(hashlib.sha256(left).hexdigest())
                     texts_left.append(left.decode(errors="replace") if with_text else None)
-                columns = [part.column("key"), pa.array(sizes), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests), pa.array(texts_left, pa.string())]
+                columns = [part.column("key"), pa.array(np.diff(every.offsets)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests), pa.array(texts_left, pa.string())]
                 yield pa.record_batch(columns, names=["key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     return texts.mapInArrow(run, RESULT)
@@ -222,8 +303,12 @@ def remove_repeated_bytes(
     none = F.array().cast("array<string>")
     found = hits(anchors(texts, buckets, shape), buckets).join(shared.select("key", "later_copies"), "key", "left")
     found = written(found.withColumn("later_copies", F.coalesce("later_copies", none)), "minimizer-hits")
+    # Texts that may repeat something, without later copies of whole documents.
+    open_texts = texts.join(found, "key").filter(~F.array_contains("later_copies", F.sha2("text", 256))).select("key", "text", "prints")
+    stretches = written(repeated_stretches(open_texts, buckets, shape), "repeated-stretches")
     cuts = splitters(texts, digests.count(), buckets, length)
-    removable = written(repeated(texts, found, buckets, cuts, shape).join(shared.select("key", "shared"), "key", "full"), "repeated-suffixes")
+    rest = written(repeated(open_texts.join(stretches, "key", "left"), buckets, cuts, shape), "repeated-suffixes")
+    removable = rest.join(stretches.select("key", "stretches"), "key", "full").join(shared.select("key", "shared"), "key", "full")
     every = texts.join(removable, "key", "left").withColumn("shared", F.coalesce(F.array_contains("shared", F.sha2("text", 256)), F.lit(False)))
-    out = strip(every, length, with_text)
+    out = strip(every, shape, with_text)
     return out.select(external_key("key").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_text)
