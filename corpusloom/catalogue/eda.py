@@ -38,6 +38,16 @@ def a3(spark, folder):
     return rounded(stats.grouped_stats(sized, ["lang"], "n_chars"), "mean", "median", "std")
 
 
+@query(
+    "a3_quantities_by_order",
+    "SELECT l_orderkey, count(*) AS count, round(avg(l_quantity), 6) AS mean, round(median(l_quantity), 6) AS median, round(stddev_samp(l_quantity), 6) AS std, "
+    "min(l_quantity) AS min, max(l_quantity) AS max FROM lineitem GROUP BY l_orderkey",
+)
+def a3_orders(spark, folder):
+    rows = table(spark, folder, "lineitem").select("l_orderkey", "l_quantity")
+    return rounded(stats.grouped_stats(rows, ["l_orderkey"], "l_quantity"), "mean", "median", "std")
+
+
 @query(
     "a3_ratio_means_and_medians",
     FEATURED + " SELECT y, round(avg(digit_ratio), 6) AS digit_ratio_mean, round(median(digit_ratio), 6) AS digit_ratio_median, "

@@ -55,6 +55,17 @@ def t2(spark, folder):
     return assign_partitions(rows, "c_custkey", stratify="c_mktsegment")
 
 
+_LINE_KEY = "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber)"
+_LINES = f"(SELECT DISTINCT {_LINE_KEY} AS row_key, l_orderkey FROM lineitem)"
+
+
+@query("t2_stratified_by_order", sql_stratified(_LINES, "row_key", "l_orderkey"))
+def t2_many(spark, folder):
+    """As many strata as there are orders: 15,000 at the small scale."""
+    rows = table(spark, folder, "lineitem").selectExpr(f"{_LINE_KEY} AS row_key", "l_orderkey").distinct()
+    return assign_partitions(rows, "row_key", stratify="l_orderkey")
+
+
 _UNIQUE = LABELLED + ", firsts AS (SELECT min(doc_id) AS doc_id, text, y FROM labelled GROUP BY text, y)"
 _SPLIT_LABELS = "WITH " + _UNIQUE + ", assigned AS (" + sql_stratified("firsts", "doc_id", "y") + ")"
 

@@ -35,6 +35,23 @@ def s1(spark, folder):
     return loaded.data.select("doc_id", "lang", F.md5("text").alias("digest"))
 
 
+@query(
+    "s1_types_of_all_files",
+    "SELECT CASE WHEN regexp_matches(text, '[^\\x{00}-\\x{ff}]') THEN 'k' || doc_id ELSE CAST(doc_id AS VARCHAR) END AS id, lang, md5(text) AS digest FROM documents",
+)
+def s1_types(spark, folder):
+    """Numbers in the files of one encoding, other ids in those of the other: no value may be lost."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    beyond = F.col("text").rlike(_BEYOND_LATIN)
+    path = fresh_path(spark, "documents")
+    key = F.col("doc_id").cast("string")
+    for part, charset in ((docs.filter(beyond).withColumn("doc_id", F.concat(F.lit("k"), key)), "UTF-8"), (docs.filter(~beyond), "ISO-8859-1")):
+        writer = part.write.options(**_CSV, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        writer.option("encoding", charset).csv(f"{path}/{charset}")
+    loaded = read_delimited(spark, [f"{path}/UTF-8", f"{path}/ISO-8859-1"], DEFAULT_ENCODINGS, multiLine=True, **_CSV)
+    return loaded.data.select(F.col("doc_id").cast("string").alias("id"), "lang", F.md5("text").alias("digest"))
+
+
 @query("s4_provenance")
 def s4(spark, folder):
     paths = _two_encodings(spark, folder)

@@ -8,6 +8,7 @@ to come first. A UTF-8 byte-order mark is always dropped.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -109,12 +110,11 @@ def detect_encodings(
         attempted.alias("attempted"),
         (~F.col("fits_0")).alias("used_fallback"),
     )
-    # A file without a line fits the first encoding; it shows up in the listing only.
-    listed = spark.read.format("binaryFile").load(path).filter("length = 0")
-    name = F.regexp_replace("path", "^file:/(?=[^/])", "file:///")
-    return found.unionByName(
-        listed.select(name.alias("file"), F.lit(ladder[0]).alias("encoding"), F.array(F.lit(ladder[0])).alias("attempted"), F.lit(False).alias("used_fallback"))
-    )
+    # A file without a line fits the first encoding; only the file listing knows of it.
+    listing = [(re.sub("^file:/+", "file:///", f),) for f in raw.inputFiles()]
+    listed = spark.createDataFrame(listing, "file string").alias("l").join(found, F.col("l.file") == F.regexp_replace(found["file"], "^file:/+", "file:///"), "left_anti")
+    first = [F.lit(ladder[0]).alias("encoding"), F.array(F.lit(ladder[0])).alias("attempted"), F.lit(False).alias("used_fallback")]
+    return found.unionByName(listed.select("file", *first))
 
 
 def _checked(spark: SparkSession, path, encodings) -> list:

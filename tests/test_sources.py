@@ -51,6 +51,19 @@ def test_mixed_files_are_read_each_in_its_own_encoding(spark, latin1, utf8):
     assert {r.line for r in lines.collect()} == {"ham,£5 café", "ham,mís", "ham,£5"}
 
 
+def test_types_fit_every_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("id,word\n1,é\n2,ü\n".encode("latin-1"))
+    (tmp_path / "b.csv").write_text("id,word\nA-7,日本\nB-8,x\n")
+    (tmp_path / "c.csv").write_bytes(b"")
+    loaded = read_delimited(spark, str(tmp_path))
+    assert {r.id for r in loaded.data.collect()} == {"1", "2", "A-7", "B-8"}
+    assert sorted(r.n_rows for r in loaded.provenance.collect()) == [0, 2, 2]
+    (tmp_path / "d.csv").write_text("id,other\n日,x\n")
+    (tmp_path / "b.csv").unlink()
+    with pytest.raises(ValueError, match="headers differ"):
+        read_delimited(spark, str(tmp_path))
+
+
 def test_windows_1252(spark, tmp_path):
     path = tmp_path / "win.csv"
     path.write_bytes(b"a\nit\x92s here\n")

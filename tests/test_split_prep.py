@@ -67,6 +67,15 @@ def test_stratified_shares(mixed):
     assert each.count() == mixed.count()
 
 
+def test_ten_thousand_strata(spark):
+    rows = spark.range(30_000).select(F.col("id"), (F.col("id") % 10_000).alias("g"))
+    from corpusloom.operators.split import assign_partitions
+
+    taken = assign_partitions(rows, "id", test_size=0.3334, stratify="g").filter("partition = 'test'")
+    per = taken.groupBy("g").count().agg(F.min("count"), F.max("count"), F.sum("count")).first()
+    assert tuple(per) == (1, 2, 10_002)
+
+
 def test_subset_and_meta_columns(mixed):
     texts = mixed.select("id", F.concat(F.lit("m"), F.col("id") % 30).alias("message"), "label", "length", "n")
     split = split_rows(texts, "id", target="label", duplicate_subset=["message"], keep_columns=["length", "n"])

@@ -71,6 +71,18 @@ def test_stump_without_a_split(spark):
     assert S.stumps(frame(spark, [1, 2, 3], [1, 1, 1]), ["v"], "y").first().stump_f1 == 1.0
 
 
+def test_null_groups_are_groups(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0)], "g string, v double")
+    got = {r.g: (r["count"], r.mean, r.median) for r in S.grouped_stats(df, ["g"], "v").collect()}
+    assert got == {"a": (2, 2.0, 2.0), None: (1, 5.0, 5.0)}
+
+
+def test_histograms_of_constant_and_empty_columns(spark):
+    df = spark.createDataFrame([(2.0,), (2.0,), (None,)], "v double")
+    assert [(r.bin, r.n, r.bin_start) for r in S.histogram_over_range(df, "v", 5).collect()] == [(1, 2, 2.0)]
+    assert S.histogram_over_range(df.filter("v IS NULL"), "v", 5).count() == 0
+
+
 def test_description_matches_pandas(spark):
     rng = random.Random(8)
     pdf = pd.DataFrame({"a": [rng.gauss(0, 3) for _ in range(90)], "b": [rng.choice([1.0, 2.0, None]) for _ in range(90)]})
