@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -46,6 +47,7 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.driver.memory": "16g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-", dir="/tmp"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 import math
 import sys
+import tempfile
 import time
 import traceback
 
@@ -62,7 +63,7 @@ def main() -> int:
     folder = f"/root/testdata/sf{args.sf}"
     spark = build_session(
         master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "16g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "16g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="check-", dir="/tmp")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()

@@ -265,7 +265,7 @@ def m14(spark, folder):
 def m17(spark, folder):
     _, prepared = prepared_documents(spark, folder)
     make = lambda: P.forest_classifier(10, 8, labelCol="y")
-    return P.learning_curve(prepared, "doc_id", FEATURE_NAMES, "y", seeds=2, estimator_factory=make)
+    return P.learning_curve(prepared, "doc_id", FEATURE_NAMES, "y", estimator_factory=make)
 
 
 @query("m18_resampling_comparison")
@@ -278,7 +278,7 @@ def m18(spark, folder):
 # -- regression -------------------------------------------------------------
 def _comparison(spark, folder):
     return P.run_comparison(
-        cleaned(spark, folder), "listing_id", "selling_price", trees=TREES, max_depth=DEPTH, max_bins=256, fourier_components=100
+        cleaned(spark, folder), "listing_id", "selling_price", trees=TREES, max_depth=DEPTH, max_bins=256
     )
 
 
@@ -363,7 +363,7 @@ def m8_two(spark, folder):
 @query("m9_rbf_regression")
 def m9(spark, folder):
     prep, prepared = _prepared_lines(spark, folder)
-    model = P.KernelRidgeLike(100).fit(prepared.filter("partition = 'train'"), prep.feature_names_out, "price")
+    model = P.KernelRidgeLike().fit(prepared.filter("partition = 'train'"), prep.feature_names_out, "price")
     return M.regression_scores(model.predict(prepared), "price", "prediction", ["partition"])
 
 
