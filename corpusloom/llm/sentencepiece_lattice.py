@@ -33,7 +33,7 @@ from corpusloom.llm.packed_exchange import buckets_for, lists
 
 BLANK = "▁"
 UNITS = re.compile(f"{BLANK}+[^{BLANK}\n\t]*|[^{BLANK}\n\t]+|[\n\t]")
-BLOCK_TEXT_BYTES = 32 << 20
+BLOCK_TEXT_BYTES = 12 << 20
 LONG_UNIT = 48
 
 
@@ -219,7 +219,7 @@ def encode_documents(docs: DataFrame, model_path: str, kind: str = "bpe", id_col
     dealt = texts.withColumn("block", F.pmod(F.xxhash64("key", "text"), F.lit(blocks)))
 
     def distinct_units(table: pa.Table) -> pa.Table:
-        met = {u for text in table.column("text").to_pylist() for u in units_of(text, inner)}
+        met = {u for text in table.column("text") for u in units_of(text.as_py(), inner)}
         by: dict[int, list[str]] = {}
         for unit in met:
             by.setdefault(zlib.crc32(unit.encode()) % buckets, []).append(unit)
@@ -248,9 +248,9 @@ def encode_documents(docs: DataFrame, model_path: str, kind: str = "bpe", id_col
             flat, cuts = ids.values.to_numpy().astype("<i4"), np.concatenate([[0], np.cumsum(sizes.values.to_numpy())])
             for k, word in enumerate(words.as_py()):
                 table[word] = flat[cuts[k] : cuts[k + 1]].tobytes()
-        out = [np.frombuffer(b"".join([table[u] for u in units_of(t, inner)]), "<i4") for t in texts.column("text").to_pylist()]
-        cuts = np.concatenate([[0], np.cumsum([len(x) for x in out])])
-        ids = lists(np.concatenate(out) if out else np.zeros(0, np.int32), cuts)
+        out = [b"".join([table[u] for u in units_of(t.as_py(), inner)]) for t in texts.column("text")]
+        cuts = np.concatenate([[0], np.cumsum([len(x) // 4 for x in out])])
+        ids = lists(np.frombuffer(b"".join(out), "<i4"), cuts)
         return pa.table([texts.column("key"), pa.array(np.diff(cuts), pa.int64()), ids], names=["key", "n_tokens", "ids"])
 
     got = dealt.groupBy("block").cogroup(written(known, "answered-words").groupBy("block")).applyInArrow(recompose, "key long, n_tokens long, ids array<int>")
@@ -264,7 +264,9 @@ def decode_documents(encoded: DataFrame, model_path: str, ids_column: str = "ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [None if ids is None else b"".join([texts[i] for i in ids])[1:].decode(errors="replace") for ids in batch.column(at).to_pylist()]
+            column = batch.column(at)
+            flat, cuts = column.values.to_numpy(), column.offsets.to_numpy()
+            out = [b"".join([texts[i] for i in flat[a:b].tolist()])[1:].decode(errors="replace") if ok else None for a, b, ok in zip(cuts[:-1], cuts[1:], column.is_valid().to_pylist(), strict=True)]
             yield pa.record_batch([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, text_column])
 
     from pyspark.sql import types as T
