@@ -3,7 +3,7 @@
 Token-group matrix: documents are partitioned into groups of likely partners (those whose rarest token is
 the same), and each group is known by the union of its members' tokens. A group is
 opened for another only if their unions can hold a partner: the first tokens of a
-document, rare before frequent, must meet those of the group, and inside an
+document, in the order of how many documents have them, must meet those of the group, and inside an
 opened pair a document is compared only if the tokens it has in common with the
 other side's union reach the share that a link needs. Equal sets are one node from the start.
 
@@ -25,14 +25,11 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import external_key, internal_key, keyed_texts, quoted, text_bytes, unused, written
 from corpusloom.llm.components import components
 from corpusloom.llm.grams import Texts, chunks, lowered, mixed, owners, word_prints, word_windows, words_of
-from corpusloom.llm.packed_exchange import BLOCK_ENTRIES, NARROW_ENTRIES, Bucket, Packer, buckets_for, cut_to_sent, lists, meet, top_bits
+from corpusloom.llm.packed_exchange import NARROW_ENTRIES, Bucket, Packer, buckets_for, cut_to_sent, lists, meet, per_owner, top_bits
 
 SHINGLE_WORDS, PERCENT = 5, 75
-#: Frequent tokens that are put last in the global order. Any order gives the same links; this
-#: one keeps common phrases from bringing strangers together. Tokens count from LOCAL documents of a block and LEAST of all.
-MAX_FREQUENT, LOCAL, LEAST = 100_000, 4, 16
 SLICE_MEMBERS, SHARED_MEMBERS = 512, 8
-PROFILE = "key long, n long, d1 long, d2 long, tokens array<long>, counts array<long>"
+PROFILE = "key long, n long, d1 long, d2 long"
 
 
 def shingles(texts: Texts, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,37 +62,10 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-percent * n // 100) + 1
 
 
-class Order:
-    """The global token order: by how frequent a token is known to be, then by fingerprint."""
-
-    def __init__(self, tokens: np.ndarray, counts: np.ndarray):
-        by = np.argsort(tokens)
-        self.tokens, self.counts = tokens[by], counts[by]
-
-    def weights(self, prints: np.ndarray) -> np.ndarray:
-        if not len(self.tokens):
-            return np.zeros(len(prints), np.int64)
-        at = np.minimum(np.searchsorted(self.tokens, prints), len(self.tokens) - 1)
-        return np.where(self.tokens[at] == prints, self.counts[at], 0)
-
-    def sorted(self, prints: np.ndarray, of: np.ndarray) -> np.ndarray:
-        return prints[np.lexsort((prints, self.weights(prints), of))]
-
-
 def profiles(texts: DataFrame, n: int) -> DataFrame:
     """Per document the size and digest of its set; per block the tokens that several of its documents have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in PROFILE.split(", ")]
-        held, size = [], 0
-
-        def frequent() -> pa.RecordBatch:
-            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-            some = counts >= LOCAL
-            cut = np.array([0, int(some.sum())])
-            null = pa.nulls(1, pa.int64())
-            return pa.record_batch([null, null, null, null, lists(tokens[some].view(np.int64), cut), lists(counts[some], cut, pa.int64())], names=names)
-
         for batch in batches:
             for part, own in chunks(batch):
                 prints, of = shingles(own, n)
@@ -103,49 +73,68 @@ def profiles(texts: DataFrame, n: int) -> DataFrame:
                 cuts = np.concatenate([[0], np.cumsum(count)])
                 sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(prints, seed))]) for seed in (11, 12)]
                 digests = [pa.array((s[cuts[1:]] - s[cuts[:-1]]).view(np.int64)) for s in sums]
-                null = pa.nulls(own.count, pa.list_(pa.int64()))
-                yield pa.record_batch([part.column("key"), pa.array(count, pa.int64()), *digests, null, null], names=names)
-                held.append(prints)
-                size += len(prints)
-                if size >= BLOCK_ENTRIES:
-                    yield frequent()
-                    held, size = [], 0
-        if size:
-            yield frequent()
+                yield pa.record_batch([part.column("key"), pa.array(count, pa.int64()), *digests], names=["key", "n", "d1", "d2"])
 
     return texts.mapInArrow(run, PROFILE)
 
 
-def frequent_tokens(profile: DataFrame) -> Order:
-    each = profile.filter("tokens IS NOT NULL").select(F.explode(F.arrays_zip("tokens", "counts")).alias("t"))
-    total = each.groupBy(F.col("t.tokens").alias("token")).agg(F.sum("t.counts").alias("count")).filter(F.col("count") >= LEAST)
-    got = total.orderBy(F.desc("count"), "token").limit(MAX_FREQUENT).toPandas()
-    return Order(got["token"].to_numpy(np.int64).view(np.uint64), got["count"].to_numpy(np.int64))
+def shared_tokens(texts: DataFrame, buckets: int, n: int) -> DataFrame:
+    """key, prints, values: per document the tokens that others have too, and how many documents have each.
 
+    The global order goes by these counts; tokens count as one where what is sent of their fingerprints agrees.
+    """
+    bucket_of, bits = top_bits(buckets)
 
-def _ordered(own: Texts, order: Order, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens in global order, their texts, and where each text's tokens begin."""
-    prints, of = shingles(own, n)
-    cuts = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=own.count))])
-    return order.sorted(prints, of), of, cuts
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = Packer(bucket_of, bits)
+        for batch in batches:
+            for part, own in chunks(batch):
+                prints, of = shingles(own, n)
+                yield from packer.add(part.column("key").to_numpy()[of], cut_to_sent(prints, bits), np.zeros(len(of), np.uint8))
+        yield from packer.flush()
 
+    def judge(bucket: Bucket) -> Iterator[pa.RecordBatch]:
+        values, group = np.unique(bucket.prints, return_inverse=True)
+        count = np.bincount(group, minlength=len(values))
+        yield from bucket.answers((count > 1)[group], count[group])
 
-def matrix(texts: DataFrame, order: Order, buckets: int, n: int, percent: int) -> DataFrame:
+    found = per_owner(meet(texts.mapInArrow(run, NARROW_ENTRIES), judge, narrow_bits=bits))
+    return found.groupBy("key").agg(F.flatten(F.collect_list("prints")).alias("prints"), F.flatten(F.collect_list("values")).alias("values"))
+
+
+def _ordered(part: pa.RecordBatch, own: Texts, bits: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of each text in global order (rare first, then by fingerprint), their texts, and where each text's begin."""
+    prints, of = shingles(own, n)
+    cuts = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=own.count))])
+    weight = np.ones(len(prints), np.int64)
+    sent = cut_to_sent(prints, bits)
+    known, counts = part.column("prints"), part.column("values")
+    for i in np.flatnonzero(part.column("prints").is_valid().to_numpy(zero_copy_only=False)).tolist():
+        a, b = cuts[i], cuts[i + 1]
+        mine = known[i].values.to_numpy().view(np.uint64)
+        by = np.argsort(mine)
+        mine = mine[by]
+        at = np.minimum(np.searchsorted(mine, sent[a:b]), len(mine) - 1)
+        weight[a:b] = np.where(mine[at] == sent[a:b], counts[i].values.to_numpy()[by][at], 1)
+    return prints[np.lexsort((prints, weight, of))], of, cuts
+
+
+def matrix(weighed: DataFrame, buckets: int, n: int, percent: int) -> DataFrame:
     """The token-group matrix, as far as prefixes go: each group's tokens, packed by token."""
     bucket_of, bits = top_bits(buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(bucket_of, bits)
         for batch in batches:
-            for _, own in chunks(batch):
-                prints, of, cuts = _ordered(own, order, n)
+            for part, own in chunks(batch):
+                prints, of, cuts = _ordered(part, own, bits, n)
                 group = prints[cuts[:-1][of]] if len(of) else prints
                 place = np.arange(len(of)) - cuts[:-1][of]
                 inside = place < prefix_length(np.diff(cuts), percent)[of]
                 yield from packer.add(group[inside].view(np.int64), cut_to_sent(prints[inside], bits), np.zeros(int(inside.sum()), np.uint8))
         yield from packer.flush()
 
-    return texts.mapInArrow(run, NARROW_ENTRIES)
+    return weighed.mapInArrow(run, NARROW_ENTRIES)
 
 
 def group_pairs(entries: DataFrame, buckets: int) -> DataFrame:
@@ -174,17 +163,19 @@ def group_pairs(entries: DataFrame, buckets: int) -> DataFrame:
     return meet(entries, judge, "g long, h long", bits).distinct()
 
 
-def group_members(texts: DataFrame, order: Order, n: int) -> DataFrame:
-    """key and group (the first token of the document in the global order); documents without words have none."""
+def group_members(weighed: DataFrame, buckets: int, n: int) -> DataFrame:
+    """key, group (the first token of the document in the global order) and set size; documents without words have none."""
+    _, bits = top_bits(buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, own in chunks(batch):
-                prints, _, cuts = _ordered(own, order, n)
-                some = np.flatnonzero(np.diff(cuts))
-                yield pa.record_batch([part.column("key").take(pa.array(some)), pa.array(prints[cuts[some]].view(np.int64))], names=["key", "group"])
+                prints, _, cuts = _ordered(part, own, bits, n)
+                count = np.diff(cuts)
+                some = np.flatnonzero(count)
+                yield pa.record_batch([part.column("key").take(pa.array(some)), pa.array(prints[cuts[some]].view(np.int64)), pa.array(count[some])], names=["key", "group", "n"])
 
-    return texts.mapInArrow(run, "key long, group long")
+    return weighed.mapInArrow(run, "key long, group long, n long")
 
 
 def token_sets(texts: DataFrame, n: int) -> DataFrame:
@@ -257,17 +248,25 @@ def link_documents(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERCE
     """
     texts = keyed_texts(docs, id_column, text_column)
     buckets = buckets_for(docs.sparkSession, text_bytes(texts))
-    profile = written(profiles(texts, n), "set-profiles")
-    order = frequent_tokens(profile)
-    documents = profile.filter("key IS NOT NULL").select("key", "n", "d1", "d2")
+    documents = written(profiles(texts, n), "set-profiles")
+    weighed = texts.join(written(shared_tokens(texts, buckets, n), "token-counts"), "key", "left")
     classes = documents.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("key").alias("first"))
-    pairs = written(group_pairs(matrix(texts, order, buckets, n, percent), buckets), "group-pairs")
+    met = written(group_pairs(matrix(weighed, buckets, n, percent), buckets), "group-pairs")
 
-    # Members of groups that must be opened: the first document of each class.
-    opened = pairs.select(F.col("g").alias("group")).union(pairs.select("h")).distinct()
+    # Groups that must be opened; of each class only the first document is a member.
     firsts = classes.select(F.col("first").alias("key")).distinct()
-    members = group_members(texts, order, n).join(firsts, "key", "left_semi").join(opened, "group").select("key", "group").distinct()
-    members = written(members, "group-members")
+    every = written(group_members(weighed, buckets, n).join(firsts, "key", "left_semi").distinct(), "group-members")
+    # Groups of unlike size cannot link, nor can a group's only member with itself.
+    bounds = every.groupBy("group").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("size"))
+    of = lambda side: bounds.toDF(*[f"{c}_{side}" for c in ("group", "least", "most", "size")])
+    pairs = (
+        met.join(of("g"), F.col("g") == F.col("group_g")).join(of("h"), F.col("h") == F.col("group_h"))
+        .filter((F.col("g") != F.col("h")) | (F.col("size_g") > 1))
+        .filter((100 * F.col("most_g") >= percent * F.col("least_h")) & (100 * F.col("most_h") >= percent * F.col("least_g"))).select("g", "h")
+    )
+    pairs = written(pairs, "open-pairs")
+    opened = pairs.select(F.col("g").alias("group")).union(pairs.select("h")).distinct()
+    members = written(every.join(opened, "group").select("key", "group").distinct(), "open-members")
     sizes = members.groupBy("group").agg(F.ceil(F.count("*") / slice_members).cast("int").alias("slices"), F.count("*").alias("size"))
     sliced = members.join(sizes, "group").select("key", "group", "slices", F.pmod(F.xxhash64("key"), "slices").cast("int").alias("slice"))
     sets = written(token_sets(texts.join(sliced, "key"), n), "token-sets")
