@@ -1,7 +1,8 @@
 """Secrets in texts: candidates by shape, false positives removed by a random forest.
 
 All of it is DataFrame operations and `pyspark.ml`. A candidate is a word that holds a long run of
-key characters with a digit, or a known key prefix. The forest sees the length of
+key characters with a digit, or a known key prefix. Every run of the word is judged by itself, with what
+precedes it; a dotted `eyJ` token is one value. The forest sees the length of
 the run, the changes between character classes, how much of it dictionary words cover, the
 path of the document and the words around it. It learns from labelled findings: those of the
 corpus whose format or context settles what they are, and generated
@@ -42,6 +43,11 @@ DICTIONARY = (
 ).split()
 # ----------------------------------------------------------------------------
 _WORDS = "(" + "|".join(sorted((w for w in DICTIONARY if len(w) > 3), key=lambda w: (-len(w), w))) + ")"
+#: A dotted token (header, payload, signature) is one value, so is every run.
+_JWT = r"eyJ[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*)+(?<!\.)"
+VALUES = rf"()()()({_JWT}|{_RUN})"
+#: Never in a word once it has been replaced by a blank; stands around the values.
+_CUT = "\x01"
 CANDIDATE = rf"(?<!\S)(?:(?=\S*[0-9])\S*[{_KEY}]{{{LEAST}}}|\S*(?:AKIA|ASIA)[A-Z0-9]{{16}})"
 NUMBERS = (
     "length", "digit_share", "upper_share", "vowel_share", "class_changes", "distinct_share", "longest_letters", "dictionary_share",
@@ -50,24 +56,52 @@ NUMBERS = (
 
 
 def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", path_column: str | None = "source") -> DataFrame:
-    """key, word_at, word, before2, before, after, path: one row per candidate word; nothing is shuffled."""
+    """key, row, word_at, word, before2, before, after, path: one row per candidate word; nothing is shuffled.
+
+    `row` is a fingerprint of the id and the text: rows that repeat an id, or have none, differ in it.
+    """
     path = F.coalesce(F.col(quoted(path_column)).cast("string"), F.lit("")) if path_column in docs.columns else F.lit("")
-    texts = docs.select(internal_key(F.col(quoted(id_column))).alias("key"), F.col(quoted(text_column)).alias("text"), path.alias("path"))
-    words = texts.filter(F.col("text").rlike(CANDIDATE)).select("key", "path", F.split(F.trim(F.regexp_replace("text", SPACE, " ")), " ").alias("words"))
+    texts = docs.select(
+        internal_key(F.col(quoted(id_column))).alias("key"), row_print(id_column, text_column).alias("row"), F.col(quoted(text_column)).alias("text"), path.alias("path")
+    )
+    words = texts.filter(F.col("text").rlike(CANDIDATE)).select("key", "row", "path", F.split(F.trim(F.regexp_replace("text", SPACE, " ")), " ").alias("words"))
     at = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).rlike(CANDIDATE))
-    each = words.select("key", "path", "words", F.explode(at).alias("word_at"))
+    each = words.select("key", "row", "path", "words", F.explode(at).alias("word_at"))
     near = lambda step: F.coalesce(F.get("words", F.col("word_at") + step), F.lit(""))
-    return each.select("key", "word_at", near(0).alias("word"), near(-2).alias("before2"), near(-1).alias("before"), near(1).alias("after"), "path")
+    return each.select("key", "row", "word_at", near(0).alias("word"), near(-2).alias("before2"), near(-1).alias("before"), near(1).alias("after"), "path")
+
+
+def row_print(id_column: str, text_column: str) -> Column:
+    return F.xxhash64(internal_key(F.col(quoted(id_column))), F.col(quoted(text_column)))
+
+
+def valued(found: DataFrame) -> DataFrame:
+    """`found` with a row for each value of each word: value_at, value, inside and name.
+
+    `inside` is what stands in the word between the value before and this one; `name` is where a name for the value is
+    looked for: there, and for the first value of a word, or where only signs stand between, in all that precedes.
+    """
+    word = F.translate("word", _CUT, " ")
+    cut = F.split(F.regexp_replace(word, VALUES, f"$1{_CUT}$2{_CUT}$3{_CUT}$4{_CUT}"), _CUT)
+    found = found.withColumn("cut", F.when(word.rlike(VALUES), cut).otherwise(F.array(F.lit(""), F.lit(""), F.lit(""), word, F.lit(""))))
+    ats = F.filter(F.sequence(F.lit(1), F.size("cut") - 1, F.lit(2)), lambda i: F.get("cut", i) != "")
+    found = found.withColumn("value_at", F.explode(ats))
+    at = F.col("value_at")
+    begin = (F.floor(at / 4) * 4).cast("int")
+    inside = F.array_join(F.slice("cut", begin + 1, at - begin), "")
+    ahead = F.concat_ws(" ", F.col("before2"), F.col("before"), F.array_join(F.slice("cut", 1, at), ""))
+    found = found.withColumns({"value": F.get("cut", at), "inside": inside})
+    alone = (begin > 0) & F.col("inside").rlike("[A-Za-z]")
+    return found.withColumn("name", F.when(alone, F.col("inside")).otherwise(ahead)).drop("cut")
 
 
 def described(found: DataFrame) -> DataFrame:
-    """`found` with the value (the last long run of the word) and the numbers the forest sees."""
-    found = found.withColumn("value", F.coalesce(F.element_at(F.regexp_extract_all("word", F.lit(f"({_RUN})")), -1), F.col("word")))
+    """`found` with every value of each word and the numbers the forest sees."""
+    found = valued(found)
     v, n = F.col("value"), F.length("value")
     count = lambda pattern: n - F.length(F.regexp_replace(v, pattern, ""))
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(v, "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "0")
-    inside = F.expr("substring(word, 1, greatest(instr(word, value) - 1, 0))")
-    name = F.concat_ws(" ", F.col("before2"), F.col("before"), inside)
+    inside, name = F.col("inside"), F.col("name")
     flag = lambda c: c.cast("double")
     letters = F.transform(F.regexp_extract_all(v, F.lit("([A-Za-z]+)")), F.length)
     numbers: dict[str, Column] = {
@@ -83,7 +117,7 @@ def described(found: DataFrame) -> DataFrame:
         "is_number": flag(v.rlike("^[0-9-]+$")),
         "is_uuid": flag(v.rlike("(?i)^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}$")),
         "has_prefix": flag(v.rlike(PREFIXES)),
-        "is_assigned": flag(inside.rlike("[=:]") | F.col("before").rlike("[=:]$")),
+        "is_assigned": flag(inside.rlike("[=:]") | ((F.col("value_at") < 4) & F.col("before").rlike("[=:]$"))),
         "is_quoted": flag(F.col("word").rlike("[\"'`]")),
         "secret_name": flag(name.rlike(SECRET_NAMES)),
         "harmless_name": flag(name.rlike(HARMLESS_NAMES)),
@@ -120,7 +154,7 @@ def generated(spark: SparkSession, rows: int = GENERATED) -> DataFrame:
     ]
     case = lambda k: "CASE pmod(id, 12) " + " ".join(f"WHEN {i} THEN {kind[k]}" for i, kind in enumerate(kinds)) + " END"
     return spark.range(rows).selectExpr(
-        "id AS key", "0 AS word_at", f"{case(0)} AS word", f"{case(1)} AS before2", f"{case(2)} AS before", "'' AS after", f"{case(3)} AS path", f"cast({case(4)} AS double) AS label"
+        "id AS key", "id AS row", "0 AS word_at", f"{case(0)} AS word", f"{case(1)} AS before2", f"{case(2)} AS before", "'' AS after", f"{case(3)} AS path", f"cast({case(4)} AS double) AS label"
     )
 
 
@@ -131,33 +165,39 @@ def fit_forest(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, seed
 
 def labelled_findings(found: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
     """The corpus's settled findings, at most `most` of them by a hash of their place, and the generated ones."""
-    own = settled(found).orderBy(F.xxhash64("key", "word_at", "word")).limit(most)
+    own = settled(found).orderBy(F.xxhash64("row", "word_at", "value_at", "word")).limit(most)
     made = described(generated(found.sparkSession))
     return own.select(*NUMBERS, "label").union(made.select(*NUMBERS, "label"))
 
 
+def judged(docs: DataFrame, labelled: DataFrame | None, id_column: str, text_column: str, path_column: str | None) -> DataFrame:
+    """The candidates' values with their probability and verdict."""
+    found = written(described(candidates(docs, id_column, text_column, path_column)), "secret-candidates")
+    model = fit_forest(labelled if labelled is not None else labelled_findings(found))
+    seen = model.transform(VectorAssembler(inputCols=list(NUMBERS), outputCol="features").transform(found))
+    seen = seen.withColumn("p", F.round(F.get(vector_to_array("probability"), F.lit(1)), 6))
+    return seen.select("key", "row", "word_at", "value_at", "value", "inside", "before", "after", F.col("p").alias("probability"), (F.col("p") >= 0.5).alias("is_secret"))
+
+
 def scan(docs: DataFrame, labelled: DataFrame | None = None, id_column: str = "doc_id", text_column: str = "text", path_column: str | None = "source") -> DataFrame:
-    """One row per candidate: doc_id, word_at, value, before, after, probability, is_secret.
+    """One row per value of a candidate word: doc_id, word_at, value, before, after, probability, is_secret.
 
     `labelled` (the columns NUMBERS and label) replaces the findings that the forest learns from. Null and
     empty texts have no candidates; a null path counts as empty; a null id stays null; rows that
     repeat an id are scanned one by one. An empty table gives no rows; other columns are not read.
     """
-    found = written(described(candidates(docs, id_column, text_column, path_column)), "secret-candidates")
-    model = fit_forest(labelled if labelled is not None else labelled_findings(found))
-    judged = model.transform(VectorAssembler(inputCols=list(NUMBERS), outputCol="features").transform(found))
-    probability = F.round(F.get(vector_to_array("probability"), F.lit(1)), 6)
-    return judged.select(external_key("key").alias("doc_id"), "word_at", "value", "before", "after", probability.alias("probability"), (probability >= 0.5).alias("is_secret"))
+    found = judged(docs, labelled, id_column, text_column, path_column)
+    return found.select(external_key("key").alias("doc_id"), "word_at", "value", "before", "after", "probability", "is_secret")
 
 
 def redact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length_column: str | None = "n_chars", path_column: str | None = "source") -> DataFrame:
     """`docs` with every secret replaced by a mark; a length column follows the text that changed."""
-    key, values, before = unused(docs, "key"), unused(docs, "values"), unused(docs, "before")
-    secrets = scan(docs, None, id_column, text_column, path_column).filter("is_secret").groupBy(internal_key("doc_id").alias(key))
+    row, values, before = unused(docs, "row"), unused(docs, "values"), unused(docs, "before")
+    secrets = judged(docs, None, id_column, text_column, path_column).filter("is_secret").groupBy(F.col("row").alias(row))
     longest_first = F.transform(
         F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), F.col("value").alias("v"))), asc=False), lambda s: s["v"]
     )
-    joined = docs.join(secrets.agg(longest_first.alias(values)), internal_key(F.col(quoted(id_column))) == F.col(key), "left")
+    joined = docs.join(secrets.agg(longest_first.alias(values)), row_print(id_column, text_column) == F.col(row), "left")
     clean = F.aggregate(F.coalesce(values, F.array().cast("array<string>")), F.col(before), lambda text, value: F.replace(text, value, F.lit(MARK)))
     out = joined.withColumn(before, F.col(quoted(text_column))).withColumn(text_column, clean)
     if length_column in docs.columns:
