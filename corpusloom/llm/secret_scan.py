@@ -1,7 +1,8 @@
 """Secrets in texts: candidates by shape, false positives removed by a random forest.
 
 All of it is DataFrame operations and `pyspark.ml`. A candidate is a word that holds a long run of
-key characters with a digit, or a known key prefix. Every run of the word is judged by itself, with what
+key characters with a digit, a known key prefix, a value after a secret name with = or :, or the password of a URL,
+of any length. A value ends at white space. Every run of the word is judged by itself, with what
 precedes it; a dotted `eyJ` token is one value. The forest sees the length of
 the run, the changes between character classes, how much of it dictionary words cover, the
 path of the document and the words around it. It learns from labelled findings: those of the
@@ -42,16 +43,32 @@ DICTIONARY = (
     "update upload url user value version view web width window with word work write your"
 ).split()
 # ----------------------------------------------------------------------------
-_WORDS = "(" + "|".join(sorted((w for w in DICTIONARY if len(w) > 3), key=lambda w: (-len(w), w))) + ")"
 #: A dotted token (header, payload, signature) is one value, so is every run.
 _JWT = r"eyJ[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*)+(?<!\.)"
-VALUES = rf"()()()({_JWT}|{_RUN})"
+_NAMED = SECRET_NAMES.removeprefix("(?i)").replace("(", "(?:", 1)
+_PREFIXED = rf"(?<![A-Za-z0-9]){PREFIXES.removeprefix('^').replace('(', '(?:', 1)}[{_KEY}]+"
+_QUOTE = r"[\\\"'`]"
+#: From the end of a name to its value: `":"`, `=`, ` := ` and the like.
+_JOINT = rf"{_QUOTE}*\]?(?::=|=>|[=:]+){_QUOTE}*"
+#: The value after a name: up to a quote, to what begins another value, or to the stops at the word's end.
+_END = rf"[.,;:!?&|)}}\]>]*{_QUOTE}*[.,;:!?&|)}}\]>]*$"
+_NEXT = rf"[,;&|)}}\]]+[{{\[\"' ]*(?:[\w.-]+[\"']?[=:]|[{_KEY}]{{{LEAST}}})"
+_VALUE = rf"(?![{{\[(]*$)(?:(?!{_END}|{_NEXT})[^\s\"'`\x01])+"
+#: A name; one that may itself be a key (a run with a digit) is a value of its own.
+_NAME = rf"[{_KEY}]*(?i:{_NAMED})[\w-]*"
+_URL = r"://[^\s/@:\x01]*:"
+VALUES = rf"({_URL})()()([^\s/@\x01]+(?=@))|()(?=[{_KEY}]*[0-9])(?=[{_KEY}]{{{LEAST}}})({_NAME})({_JOINT})({_VALUE})|()()({_NAME}{_JOINT})({_VALUE})|()()()({_JWT}|{_RUN}|{_PREFIXED})"
+#: A word that a name before it makes a value: `password: x`, `token = x`.
+NAME_BEFORE, SIGN_BEFORE, NAME_FIRST = rf"(?i:{_NAMED})[\w-]*{_JOINT}$", rf"^(?::=|=>|[=:]+){_QUOTE}*$", rf"(?i:{_NAMED})[\w-]*{_QUOTE}*\]?$"
+_WORDS = "(" + "|".join(sorted((w for w in DICTIONARY if len(w) > 3), key=lambda w: (-len(w), w))) + ")"
 #: Never in a word once it has been replaced by a blank; stands around the values.
 _CUT = "\x01"
-CANDIDATE = rf"(?<!\S)(?:(?=\S*[0-9])\S*[{_KEY}]{{{LEAST}}}|\S*(?:AKIA|ASIA)[A-Z0-9]{{16}})"
+CANDIDATE = rf"(?<!\S)(?:(?=\S*[0-9])\S*[{_KEY}]{{{LEAST}}}|\S*(?:AKIA|ASIA)[A-Z0-9]{{16}})|{_PREFIXED}|(?i:{_NAMED})[\w-]*{_JOINT}[^\s\"'`]|{_URL}[^\s/@]+@"
+#: A text that holds a candidate, or a name with a sign and white space before its value.
+HOLDS = rf"{CANDIDATE}|(?i:{_NAMED})[\w-]*{_QUOTE}*\]?{SPACE[:-1]}*(?::=|=>|[=:]+)"
 NUMBERS = (
     "length", "digit_share", "upper_share", "vowel_share", "class_changes", "distinct_share", "longest_letters", "dictionary_share",
-    "is_hex", "is_number", "is_uuid", "has_prefix", "is_assigned", "is_quoted", "secret_name", "harmless_name", "harmless_path", "path_depth",
+    "is_hex", "is_number", "is_uuid", "has_prefix", "is_assigned", "symbol_share", "is_reference", "is_word", "in_url", "is_quoted", "secret_name", "harmless_name", "harmless_path", "path_depth",
 )
 
 
@@ -64,13 +81,18 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     texts = docs.select(
         internal_key(F.col(quoted(id_column))).alias("key"), row_print(id_column, text_column).alias("row"), F.col(quoted(text_column)).alias("text"), path.alias("path")
     )
-    words = texts.filter(F.col("text").rlike(CANDIDATE)).select("key", "row", "path", F.split(F.trim(F.regexp_replace("text", SPACE, " ")), " ").alias("words"))
-    at = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).rlike(CANDIDATE))
+    words = texts.filter(F.col("text").rlike(HOLDS)).select("key", "row", "path", F.split(F.trim(F.regexp_replace("text", SPACE, " ")), " ").alias("words"))
+    at = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).rlike(CANDIDATE) | names_next(*(F.coalesce(F.get("words", i - k), F.lit("")) for k in (2, 1))))
     each = words.select("key", "row", "path", "words", F.explode(at).alias("word_at"))
     near = lambda step: F.coalesce(F.get("words", F.col("word_at") + step), F.lit(""))
     return each.select("key", "row", "word_at", near(0).alias("word"), near(-2).alias("before2"), near(-1).alias("before"), near(1).alias("after"), "path")
 
 
+def names_next(before2: Column, before: Column) -> Column:
+    """Whether the words before say that a secret follows."""
+    return before.rlike(NAME_BEFORE) | (before.rlike(SIGN_BEFORE) & before2.rlike(NAME_FIRST))
+
+
 def row_print(id_column: str, text_column: str) -> Column:
     return F.xxhash64(internal_key(F.col(quoted(id_column))), F.col(quoted(text_column)))
 
@@ -81,9 +103,14 @@ def valued(found: DataFrame) -> DataFrame:
     `inside` is what stands in the word between the value before and this one; `name` is where a name for the value is
     looked for: there, and for the first value of a word, or where only signs stand between, in all that precedes.
     """
-    word = F.translate("word", _CUT, " ")
-    cut = F.split(F.regexp_replace(word, VALUES, f"$1{_CUT}$2{_CUT}$3{_CUT}$4{_CUT}"), _CUT)
-    found = found.withColumn("cut", F.when(word.rlike(VALUES), cut).otherwise(F.array(F.lit(""), F.lit(""), F.lit(""), word, F.lit(""))))
+    word, given = F.translate("word", _CUT, " "), names_next(F.col("before2"), F.col("before"))
+    groups = [[f"${1 + 4 * k + g}" for k in range(4)] for g in range(4)]
+    marked = "".join("".join(g) + _CUT for g in groups)
+    # A name in the words before is put before the word and taken away again.
+    cut = F.split(F.regexp_replace(F.when(given, F.concat(F.lit("token="), word)).otherwise(word), VALUES, marked), _CUT)
+    cut = F.when(given, F.transform(cut, lambda c, i: F.when(i < 3, F.regexp_replace(c, "^token=", "")).otherwise(c))).otherwise(cut)
+    whole = F.array(F.lit(""), F.lit(""), F.lit(""), word, F.lit(""))
+    found = found.withColumn("cut", F.when(F.size(cut) > 4, cut).otherwise(whole))
     ats = F.filter(F.sequence(F.lit(1), F.size("cut") - 1, F.lit(2)), lambda i: F.get("cut", i) != "")
     found = found.withColumn("value_at", F.explode(ats))
     at = F.col("value_at")
@@ -118,6 +145,10 @@ def described(found: DataFrame) -> DataFrame:
         "is_uuid": flag(v.rlike("(?i)^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}$")),
         "has_prefix": flag(v.rlike(PREFIXES)),
         "is_assigned": flag(inside.rlike("[=:]") | ((F.col("value_at") < 4) & F.col("before").rlike("[=:]$"))),
+        "symbol_share": count(rf"[^{_KEY}]") / n,
+        "is_reference": flag(v.rlike(r"^[<$%{*x.]|[(\[{]|[.](?:get|env)|[*]{3}")),
+        "is_word": flag(v.rlike("^(?:[A-Z]?[a-z]+|[A-Z]+)[.,;:!?]*$")),
+        "in_url": flag(inside.rlike("://[^/]*:$")),
         "is_quoted": flag(F.col("word").rlike("[\"'`]")),
         "secret_name": flag(name.rlike(SECRET_NAMES)),
         "harmless_name": flag(name.rlike(HARMLESS_NAMES)),
@@ -129,8 +160,10 @@ def described(found: DataFrame) -> DataFrame:
 
 def settled(found: DataFrame) -> DataFrame:
     """Findings that format or context settle, with `label`; the others are left out."""
-    secret = (F.col("has_prefix") == 1) | ((F.col("is_assigned") == 1) & (F.col("secret_name") == 1) & (F.col("is_number") == 0))
+    long = (F.col("length") >= LEAST) & (F.col("digit_share") > 0) & (F.col("symbol_share") == 0)
+    secret = ((F.col("has_prefix") == 1) & (F.col("length") >= LEAST)) | (long & (F.col("is_assigned") == 1) & (F.col("secret_name") == 1) & (F.col("is_number") == 0))
     harmless = (F.col("is_number") == 1) | (F.col("is_uuid") == 1) | ((F.col("harmless_name") == 1) & (F.col("secret_name") == 0))
+    harmless = harmless & ((F.col("length") >= LEAST) | (F.col("secret_name") == 0))
     label = F.when(secret & (F.col("harmless_name") == 0), 1.0).when(harmless & ~secret, 0.0)
     return found.withColumn("label", label).filter("label IS NOT NULL")
 
@@ -144,6 +177,8 @@ def generated(spark: SparkSession, rows: int = GENERATED) -> DataFrame:
     words = "array('" + "','".join(w for w in DICTIONARY if len(w) > 4) + "')"
     pick = lambda k: f"element_at({words}, 1 + cast(pmod(xxhash64(id, {k}), size({words})) as int))"
     named = f"concat({pick(1)}, initcap({pick(2)}), initcap({pick(3)}), id % 100)"
+    letters = f"substr(regexp_replace(base64(unhex(concat({h}, sha1({h})))), '[^A-Za-z]', ''), 1, 20)"
+    mixed = f"concat(initcap({pick(11)}), element_at(array('-', '&', '!', '#', '$', '.'), 1 + cast(id % 6 as int)), substr({b64}, 1, cast(2 + id % 6 as int)), id % 97)"
     kinds = [  # word, the two words before it, path, label
         (f"concat('password=', {hex18})", "''", "'in'", "'src'", 1), (f"concat('\"', {hex40}, '\"')", "'token'", "'='", "'src'", 1),
         (f"concat('AKIA', upper(substr({b64}, 1, 16)))", "'use'", "'with'", "'src/app'", 1), (f"concat('ghp_', {b64})", "'export'", "'it'", "'conf'", 1),
@@ -151,8 +186,13 @@ def generated(spark: SparkSession, rows: int = GENERATED) -> DataFrame:
         (hex40, "'at'", "'commit'", "'src'", 0), (uuid, "'request'", "'id'", "'log'", 0), (long_number, "'paid'", "'by'", "'src'", 0),
         (named, "'call'", "'of'", "'src/lib'", 0), (f"concat('sha256:', {h}, substr({h}, 1, 24))", "'image'", "'digest'", "'docker'", 0),
         (f"concat('your_', {pick(4)}, '_goes_here_', id % 10)", "'password'", "'='", "'docs/examples'", 0),
+        (f"concat('password=', {mixed})", "'with'", "'the'", "'src'", 1), (mixed, "'user'", "'pwd:'", "'conf'", 1), (f"concat('postgres://app:', {mixed}, '@db.host/x')", "'open'", "'it'", "'src'", 1),
+        (f"concat('\"', {letters}, '\"')", "'secret'", "'='", "'conf'", 1), (f"concat('api_key=', {letters})", "'set'", "'it'", "'src'", 1), (f"concat('token:', substr({h}, 1, 10))", "'a'", "'b'", "'app'", 1),
+        (pick(5), "'the'", "'password:'", "'src'", 0), (f"concat('token:', {pick(6)}, ',')", "'a'", "'b'", "'src'", 0), (f"concat('sk-', {pick(7)})", "'use'", "'the'", "'src'", 0),
+        (f"concat('password=$', upper({pick(8)}))", "'with'", "'a'", "'conf'", 0), (f"concat('secret=', {pick(9)}, '.get(', {pick(10)}, ')')", "'a'", "'new'", "'src'", 0), (f"concat('auth=', substr('********', 1, 4 + id % 5))", "'an'", "'old'", "'log'", 0),
+        (f"concat('\"', {pick(12)}, '\":\"', substr({h}, 1, 32), '\"')", "'a'", "'new'", "'src'", 0),
     ]
-    case = lambda k: "CASE pmod(id, 12) " + " ".join(f"WHEN {i} THEN {kind[k]}" for i, kind in enumerate(kinds)) + " END"
+    case = lambda k: f"CASE pmod(id, {len(kinds)}) " + " ".join(f"WHEN {i} THEN {kind[k]}" for i, kind in enumerate(kinds)) + " END"
     return spark.range(rows).selectExpr(
         "id AS key", "id AS row", "0 AS word_at", f"{case(0)} AS word", f"{case(1)} AS before2", f"{case(2)} AS before", "'' AS after", f"{case(3)} AS path", f"cast({case(4)} AS double) AS label"
     )
@@ -190,15 +230,28 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_column: str = "d
     return found.select(external_key("key").alias("doc_id"), "word_at", "value", "before", "after", "probability", "is_secret")
 
 
+def literal(column: str) -> Column:
+    """A pattern that matches the column's text."""
+    return F.regexp_replace(column, "([^A-Za-z0-9])", r"\\$1")
+
+
+def ahead() -> Column:
+    """A pattern for what precedes a short value: its own name, or the beginning of its word and the word before."""
+    first = F.when(F.col("before") != "", F.concat(F.lit(r"(?<!\S)"), literal("before"), F.lit(SPACE))).otherwise(F.lit(r"(?<!\S)"))
+    return F.concat(F.when(F.col("value_at") < 4, first).otherwise(F.lit("")), literal("inside"))
+
+
 def redact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length_column: str | None = "n_chars", path_column: str | None = "source") -> DataFrame:
     """`docs` with every secret replaced by a mark; a length column follows the text that changed."""
     row, values, before = unused(docs, "row"), unused(docs, "values"), unused(docs, "before")
     secrets = judged(docs, None, id_column, text_column, path_column).filter("is_secret").groupBy(F.col("row").alias(row))
-    longest_first = F.transform(
-        F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), F.col("value").alias("v"))), asc=False), lambda s: s["v"]
-    )
-    joined = docs.join(secrets.agg(longest_first.alias(values)), row_print(id_column, text_column) == F.col(row), "left")
-    clean = F.aggregate(F.coalesce(values, F.array().cast("array<string>")), F.col(before), lambda text, value: F.replace(text, value, F.lit(MARK)))
+    # A long value goes wherever the text has it, first the longest; before them the others, each where it was found.
+    at = F.when(F.length("value") < LEAST, F.concat(F.lit("("), ahead(), F.lit(")"), literal("value")))
+    value = F.struct(at.isNotNull().alias("short"), F.length("value").alias("n"), F.col("value").alias("v"), at.alias("at"))
+    in_turn = F.sort_array(F.collect_set(value), asc=False)
+    joined = docs.join(secrets.agg(in_turn.alias(values)), row_print(id_column, text_column) == F.col(row), "left")
+    put = lambda text, s: F.when(s["short"], F.regexp_replace(text, s["at"], F.lit(f"$1{MARK}"))).otherwise(F.replace(text, s["v"], F.lit(MARK)))
+    clean = F.aggregate(F.filter(F.coalesce(values, F.array()), lambda s: s["v"] != ""), F.col(before), put)
     out = joined.withColumn(before, F.col(quoted(text_column))).withColumn(text_column, clean)
     if length_column in docs.columns:
         changed = F.col(before) != F.col(quoted(text_column))

@@ -105,6 +105,22 @@ def test_every_value_of_a_word_is_judged(spark):
     assert left[0] == f'{{"token":"[SECRET]","image":"{md5}"}}' and left[1] == "[SECRET],[SECRET]" and left[2] == "use [SECRET] now" and token not in left[3]
 
 
+def test_short_values_after_a_name_and_in_a_url(spark):
+    texts = [
+        "with password=Hunter2-xyz9 and Hunter2-xyz9x", "pwd: Tr0ub4dor&3", "at postgres://app:S3cr-et7!@db.host/x", 'set "api_key": "qWmZkRtYpLsXcVbNhGfD",',
+        "pick token=a8f3b29c71&page=2", "the token: value is read", "a ratio://of:nothing", "learn it with sk-learn",
+    ]
+    docs = spark.createDataFrame([(i, t, "a/b", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, source string, n_chars int")
+    found = {(r.doc_id, r.value) for r in secret_scan.scan(docs).collect()}
+    want = {(0, "Hunter2-xyz9"), (1, "Tr0ub4dor&3"), (2, "S3cr-et7!"), (3, "qWmZkRtYpLsXcVbNhGfD"), (4, "a8f3b29c71")}
+    assert want <= found
+    left = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
+    assert [left[i] for i in range(8)] == [
+        "with password=[SECRET] and Hunter2-xyz9x", "pwd: [SECRET]", "at postgres://app:[SECRET]@db.host/x", 'set "api_key": "[SECRET]",',
+        "pick token=[SECRET]&page=2", *texts[5:],
+    ]
+
+
 def test_secrets_of_odd_and_empty_tables(odd_docs, no_docs, odd):
     assert secret_scan.redact(odd_docs).columns == odd_docs.columns
     assert secret_scan.redact(odd_docs).count() == len(odd)
