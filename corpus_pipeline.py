@@ -39,7 +39,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 4,096 tokens in sequences of about equal cost."""
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), keeps_space=False)
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), keeps_space=False, plain_specials=False)
 
 
 STAGES = [("quality", quality), ("exact_dedup", copies), ("near_dedup", near_copies), ("secrets", secrets), ("packing", packing)]

@@ -36,14 +36,17 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    """`keeps_space`: the vocabulary is case-sensitive and keeps white space; else it lowers case and drops it."""
+    """`keeps_space`: the vocabulary is case-sensitive and keeps white space; else it lowers case and drops it.
 
-    def __init__(self, path: str, keeps_space: bool):
+    `plain_specials`: the strings of special tokens in a text are ordinary text; else, as the library has it, those tokens.
+    """
+
+    def __init__(self, path: str, keeps_space: bool, plain_specials: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = plain_specials
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary do not fit 16 bits")
         self.keeps_space = keeps_space
@@ -83,6 +86,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, keeps_space: bool) -> Encoder:
+def encoder(path: str, keeps_space: bool, plain_specials: bool = True) -> Encoder:
     """One encoder for each vocabulary and worker process."""
-    return Encoder(path, keeps_space)
+    return Encoder(path, keeps_space, plain_specials)

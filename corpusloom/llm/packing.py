@@ -88,6 +88,7 @@ def pack(
     quadratic: float = QUADRATIC,
     id_column: str = "doc_id",
     text_column: str = "text",
+    plain_specials: bool = True,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
@@ -99,7 +100,7 @@ def pack(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, keeps_space).encode
+        encode = encoder(tokenizer, keeps_space, plain_specials).encode
         partition = TaskContext.get().partitionId()
         block, keys, ids, held = 0, [], [], 0
 

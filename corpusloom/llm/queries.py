@@ -34,7 +34,7 @@ def vocabulary(name: str) -> str:
 def op1_token_files(spark, folder):
     from corpusloom.llm.token_files import token_digests, write_token_files
 
-    where, manifest = write_token_files(documents(spark, folder), vocabulary("byte_bpe_50k.json"), keeps_space=True)
+    where, manifest = write_token_files(documents(spark, folder), vocabulary("byte_bpe_50k.json"), keeps_space=True, plain_specials=False)
     return token_digests(spark, where, manifest)
 
 
@@ -76,7 +76,7 @@ def op7_suffix_dedup(spark, folder):
 def op9_cost_balanced_packing(spark, folder):
     from corpusloom.llm.packing import pack
 
-    return pack(documents(spark, folder), vocabulary("word_bpe_49k.json"), keeps_space=False)
+    return pack(documents(spark, folder), vocabulary("word_bpe_49k.json"), keeps_space=False, plain_specials=False)
 
 
 @query("op10_jaccard_join")

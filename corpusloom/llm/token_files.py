@@ -53,6 +53,7 @@ def write_token_files(
     shard_text_bytes: int = SHARD_TEXT_BYTES,
     id_column: str = "doc_id",
     text_column: str = "text",
+    plain_specials: bool = True,
 ) -> tuple[str, DataFrame]:
     """Write the corpus; returns its folder and the manifest, one row per shard with its base.
 
@@ -66,7 +67,7 @@ def write_token_files(
     shards = max(1, -(-text_bytes(texts) // shard_text_bytes), spark.sparkContext.defaultParallelism)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_all = encoder(tokenizer, keeps_space).encode
+        encode_all = encoder(tokenizer, keeps_space, plain_specials).encode
         name, total, keys, starts = uuid.uuid4().hex, 0, [], []
         target, path = _folder(folder)
         target.create_dir(path, recursive=True)

@@ -69,6 +69,22 @@ def test_pieces_cover_every_token_once(odd_docs, odd, capacity):
         assert all(any(crc(ids[p.start : p.start + p.length]) == p.ids_crc32 for ids in whole) for p in parts)
 
 
+def test_queries_read_special_tokens_as_the_library_does(spark, tmp_path):
+    import corpus_pipeline
+    from corpusloom.llm.queries import QUERIES
+
+    texts = ["foo <|endoftext|> bar", "<|startoftext|>a b<|endoftext|>", "x, y.<|endoftext|>\n z  <|endoftext|>  <|endoftext|>", "word\n<|EndOfText|>", "<|endoftext|>word tail"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    byte, word = (Tokenizer.from_file(p) for p in (BYTES, WORDS))
+    want = lambda t: {(i, crc([*t.encode(x, add_special_tokens=False).ids, 2])) for i, x in enumerate(texts)}
+    rows = QUERIES["op1_token_files"](spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.ids_crc32) for r in rows} == want(byte)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for packed in (QUERIES["op9_cost_balanced_packing"](spark, str(tmp_path)), corpus_pipeline.packing(spark, docs, str(tmp_path))):
+        pieces = packed.collect()
+        assert {(r.doc_id, r.ids_crc32) for r in pieces if r.length == r.doc_tokens} == want(word)
+
+
 def test_packing_balances_cost_and_leaves_little_room():
     rng = np.random.default_rng(3)
     lengths = rng.integers(1, 3_000, 4_000)
