@@ -148,6 +148,21 @@ def test_licences_are_named_and_confirmed(spark):
     assert got == {(1, "apache-2.0"), (2, "mit"), (4, "gpl-3.0"), (None, "cc-by-nc"), (7, "mit")}
 
 
+def test_wrapped_notices_are_found(spark):
+    mit = "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated\ndocumentation files (the \"Software\"), to deal in the Software\nwithout restriction."
+    apache = 'Licensed under the Apache License,\nVersion 2.0 (the "License");\nyou may not use this file except in\ncompliance with the License.'
+    bsd = "Redistribution and use in source and binary forms,\nwith or without modification, are\npermitted provided that the following conditions are met:"
+    gpl = "This program is free software: you can\nredistribute it and/or modify it under the\nterms of the GNU General Public\nLicense as published by the Free Software Foundation."
+    marked = lambda text, mark: "\n".join(f"{mark} {line}" for line in text.split("\n"))
+    rows = [
+        (1, f"Copyright 2020 A\n\n{mit}\n\nmore text"), (2, f"{marked(apache, '#')}\nimport os"), (3, f"/*\n{marked(bsd, ' *')}\n */\nint x;"),
+        (4, marked(gpl, "//").replace("\n", "\r\n")), (5, "a line above\nSPDX-License-Identifier: MIT\na line below\n" + "and more of them\n" * 20),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.family) for r in license_scan.scan(docs).filter("confirmed").collect()}
+    assert got == {(1, "mit"), (2, "apache-2.0"), (3, "bsd"), (4, "gpl-3.0"), (5, "mit")}
+
+
 def test_licences_of_odd_and_empty_tables(odd_docs, no_docs):
     assert license_scan.scan(odd_docs).filter("confirmed").count() == 0
     assert license_scan.scan(no_docs).count() == 0
