@@ -110,3 +110,30 @@ def op8_license_scan(spark, folder):
     from corpusloom.llm.license_scan import scan
 
     return scan(documents(spark, folder))
+
+
+def _clustering_sql() -> str:
+    from corpusloom.llm.centroid_clustering import clustering_sql
+
+    return clustering_sql()
+
+
+@query("op13_centroid_clustering", _clustering_sql())
+def op13_centroid_clustering(spark, folder):
+    from corpusloom.llm.centroid_clustering import cluster_vectors
+
+    return cluster_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+@query("op11_html_text")
+def op11_html_text(spark, folder):
+    from corpusloom.llm.html_text import extract_text
+
+    return extract_text(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark, folder):
+    from corpusloom.llm.token_alignment import align_documents
+
+    return align_documents(documents(spark, folder), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
