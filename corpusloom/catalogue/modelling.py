@@ -18,10 +18,6 @@ from .base import LABELLED, PRICED, labelled, priced_lines, query, rounded, sql_
 from .listings import cleaned
 from .preparation import sql_split, sql_stratified
 
-# Forests in the registered queries are smaller than the library default, so that a
-# run over all queries stays short; the defaults are those of the model plans.
-TREES, DEPTH = 20, 12
-
 
 # -- scores of a fixed rule: the more digits, the more suspicious -----------
 def scored_documents(spark, folder):
@@ -202,7 +198,7 @@ def m2(spark, folder):
 def _forest(spark, folder):
     split, prepared = prepared_documents(spark, folder)
     rows = P.as_vector(prepared, FEATURE_NAMES)
-    model = P.forest_classifier(TREES, DEPTH, labelCol="y").fit(rows.filter("partition = 'train'"))
+    model = P.forest_classifier(labelCol="y").fit(rows.filter("partition = 'train'"))
     return split, rows, model
 
 
@@ -258,28 +254,24 @@ def p13(spark, folder):
 @query("m14_classifier_comparison")
 def m14(spark, folder):
     _, prepared = prepared_documents(spark, folder)
-    return P.compare_classifiers(prepared, FEATURE_NAMES, "y", trees=TREES, max_depth=DEPTH)[0]
+    return P.compare_classifiers(prepared, FEATURE_NAMES, "y")[0]
 
 
 @query("m17_learning_curve")
 def m17(spark, folder):
     _, prepared = prepared_documents(spark, folder)
-    make = lambda: P.forest_classifier(10, 8, labelCol="y")
-    return P.learning_curve(prepared, "doc_id", FEATURE_NAMES, "y", estimator_factory=make)
+    return P.learning_curve(prepared, "doc_id", FEATURE_NAMES, "y")
 
 
 @query("m18_resampling_comparison")
 def m18(spark, folder):
     _, prepared = prepared_documents(spark, folder)
-    make = lambda **p: P.forest_classifier(TREES, DEPTH, labelCol="y", **p)
-    return P.compare_resampling(prepared, "doc_id", FEATURE_NAMES, "y", estimator_factory=make)
+    return P.compare_resampling(prepared, "doc_id", FEATURE_NAMES, "y")
 
 
 # -- regression -------------------------------------------------------------
 def _comparison(spark, folder):
-    return P.run_comparison(
-        cleaned(spark, folder), "listing_id", "selling_price", trees=TREES, max_depth=DEPTH, max_bins=256
-    )
+    return P.run_comparison(cleaned(spark, folder), "listing_id", "selling_price")
 
 
 @query("m15_regression_comparison")
@@ -372,9 +364,8 @@ def m13(spark, folder):
     prep, prepared = _prepared_lines(spark, folder)
     rows = P.as_vector(prepared, prep.feature_names_out).select("partition", "price", "features")
     train = rows.filter("partition = 'train'")
-    options = {"labelCol": "price", "maxBins": 256, "seed": P.SEED, "maxDepth": DEPTH}
-    tree = P.DecisionTreeRegressor(**options).fit(train)
-    forest = P.RandomForestRegressor(numTrees=TREES, featureSubsetStrategy="all", **options).fit(train)
+    tree = P.ExactTrees(0, label="price", seed=P.SEED).fit(train)
+    forest = P.ExactTrees(0, P.TREES, label="price", seed=P.SEED).fit(train)
     return _line_scores(tree, rows).withColumn("model", F.lit("tree")).unionByName(
         _line_scores(forest, rows).withColumn("model", F.lit("forest"))
     )

@@ -29,6 +29,7 @@ from corpusloom.operators.prep import prepare_split
 from corpusloom.operators.resample import balanced_weights, over_sample, smote, under_sample
 from corpusloom.operators.split import stratified_quotas
 from corpusloom.operators.stats import strongest
+from corpusloom.plans.exact_trees import ExactModel, ExactTrees
 from corpusloom.workspace import materialise
 
 # Forest size, seed, the single-feature model's column, curve points.
@@ -36,7 +37,6 @@ TREES = 200
 SEED = 42
 SIMPLE_FEATURE = "max_power"
 FRACTIONS = (0.05, 0.10, 0.25, 0.50, 0.75, 1.00)
-DEEPEST = 30
 PARALLEL_FITS = 4
 
 
@@ -54,11 +54,17 @@ def side_by_side(jobs: Sequence[Callable], parallel: int = PARALLEL_FITS) -> lis
 
 
 # -- classifiers -----------------------------------------------------------
-def tree_classifier(max_depth: int = DEEPEST, **params) -> DecisionTreeClassifier:
+def tree_classifier(max_depth: int | None = None, **params):
+    """Unpruned with exact split points; with `max_depth`, Spark's own binned tree."""
+    if max_depth is None:
+        return ExactTrees(2, label=params.get("labelCol", "label"), weight=params.get("weightCol"), seed=SEED)
     return DecisionTreeClassifier(maxDepth=max_depth, maxBins=256, impurity="gini", seed=SEED, **params)
 
 
-def forest_classifier(trees: int = TREES, max_depth: int = DEEPEST, **params) -> RandomForestClassifier:
+def forest_classifier(trees: int = TREES, max_depth: int | None = None, **params):
+    """Unpruned with exact split points; with `max_depth`, Spark's own binned forest."""
+    if max_depth is None:
+        return ExactTrees(2, trees, "sqrt", params.get("labelCol", "label"), weight=params.get("weightCol"), seed=SEED)
     return RandomForestClassifier(
         numTrees=trees, maxDepth=max_depth, maxBins=256, featureSubsetStrategy="sqrt", seed=SEED,
         maxMemoryInMB=1024, **params,
@@ -84,12 +90,13 @@ def majority_prediction(train: DataFrame, rows: DataFrame, label: str) -> DataFr
 
 def importances(model, columns: Sequence[str], spark) -> DataFrame:
     """Impurity importances; they favour features with many distinct values."""
-    values = [(c, float(v)) for c, v in zip(columns, model.featureImportances.toArray())]
+    found = model.importances() if isinstance(model, ExactModel) else model.featureImportances.toArray()
+    values = [(c, float(v)) for c, v in zip(columns, found)]
     return spark.createDataFrame(values, "feature string, importance double")
 
 
 def compare_classifiers(
-    prepared: DataFrame, columns: Sequence[str], label: str, *, trees: int = TREES, max_depth: int = DEEPEST
+    prepared: DataFrame, columns: Sequence[str], label: str, *, trees: int = TREES, max_depth: int | None = None
 ) -> tuple[DataFrame, dict]:
     """Majority baseline, unpruned tree and forest: test scores and training F1."""
     rows = materialise(as_vector(prepared, columns).select(label, "partition", "features"), "prepared")
@@ -283,7 +290,7 @@ def run_comparison(
     seed: int = SEED,
     max_categories: int = 20,
     trees: int = TREES,
-    max_depth: int = DEEPEST,
+    max_depth: int | None = None,
     max_bins: int = 1024,
     fourier_components: int = 200,
 ) -> tuple[DataFrame, dict]:
@@ -297,16 +304,23 @@ def run_comparison(
     wide = materialise(as_vector(wide, [simple_feature], "_one"), "prepared")
     train = wide.filter("partition = 'train'")
     line = {"labelCol": target, "solver": "auto", "regParam": 0.0}
-    tree = {"labelCol": target, "maxDepth": max_depth, "maxBins": max_bins, "seed": seed}
+
+    def grown(n: int):
+        """Unpruned with exact split points, unless a depth is given."""
+        if max_depth is None:
+            return ExactTrees(0, n, label=target, seed=seed)
+        binned = {"labelCol": target, "maxDepth": max_depth, "maxBins": max_bins, "seed": seed}
+        if n == 1:
+            return DecisionTreeRegressor(**binned)
+        return RandomForestRegressor(numTrees=n, featureSubsetStrategy="all", maxMemoryInMB=1024, **binned)
+
     fits: dict[str, Callable] = {
         "Simple linear (1 feature)": lambda: LinearRegression(featuresCol="_one", **line).fit(train),
         "Multiple linear": lambda: LinearRegression(**line).fit(train),
         "Polynomial (degree 3)": lambda: polynomial(3, numeric, rest, target).fit(train),
         "RBF (random Fourier features)": lambda: KernelRidgeLike(fourier_components, seed=seed).fit(train, names, target),
-        "Decision tree": lambda: DecisionTreeRegressor(**tree).fit(train),
-        f"Random forest ({trees} trees)": lambda: RandomForestRegressor(
-            numTrees=trees, featureSubsetStrategy="all", maxMemoryInMB=1024, **tree
-        ).fit(train),
+        "Decision tree": lambda: grown(1).fit(train),
+        f"Random forest ({trees} trees)": lambda: grown(trees).fit(train),
     }
     models = dict(zip(fits, side_by_side(list(fits.values()))))
     scored = None

@@ -48,6 +48,13 @@ def test_six_families(listings):
         M.run_comparison(listings, "id", "selling_price", simple_feature="absent")
 
 
+def test_trees_are_unpruned_by_default(listings):
+    table, models = M.run_comparison(listings, "id", "selling_price", trees=5, fourier_components=20)
+    rows = {r.model: r for r in table.collect()}
+    assert rows["Decision tree"].train_r2 == pytest.approx(1.0, abs=1e-9)
+    assert rows["Random forest (5 trees)"].train_r2 > 0.9 and models["Decision tree"].n_nodes > 300
+
+
 def test_multiple_linear_equals_least_squares(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(200, 3))
