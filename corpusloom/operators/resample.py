@@ -4,17 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.workspace import materialise
 
-from .ordered import bounded_rows, dense_index, first_by_hash, group_counts, group_sizes, hash_key, join_groups
-
-MAX_PIVOTS = 2_048
-CHUNK_ROWS = 4_096
+from .neighbours import exact_nearest, hashed_nearest
+from .ordered import dense_index, first_by_hash, group_counts, group_sizes, join_groups
 
 
 def _sizes(df: DataFrame, label: str) -> tuple[dict, object, int, int]:
@@ -66,8 +62,8 @@ def over_sample(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFram
     return out
 
 
-def nearest_neighbours(df: DataFrame, key: str, features: Sequence[str], k: int, seed: int = 42) -> DataFrame:
-    """Exact k nearest other rows of every row: (key, neighbour, distance, place).
+def nearest_neighbours(df: DataFrame, key: str, features: Sequence[str], k: int, seed: int = 42, approximate: bool = False) -> DataFrame:
+    """The k nearest other rows of every row: (key, neighbour, distance, place); exact, unless `approximate`.
 
     Equal vectors are searched once: each distinct vector stands for its rows and
     remembers its k + 1 smallest keys, which is all a row can need from it. Ties in
@@ -83,7 +79,8 @@ def nearest_neighbours(df: DataFrame, key: str, features: Sequence[str], k: int,
     own = vectors.select("gid", F.col("gid").alias("neighbour"), F.lit(0.0).alias("distance"))
     if n_vectors > 1:
         distinct = vectors.select(F.col("gid").alias("id"), "v")
-        found = _search(distinct, n_vectors, min(k, n_vectors - 1), seed)
+        search = hashed_nearest if approximate else exact_nearest
+        found = search(distinct, min(k, n_vectors - 1), seed)
         own = own.unionByName(found.withColumnRenamed("id", "gid"))
     rank = F.row_number().over(Window.partitionBy("gid").orderBy("distance", "cid"))
     candidates = (
@@ -106,114 +103,11 @@ def nearest_neighbours(df: DataFrame, key: str, features: Sequence[str], k: int,
     )
 
 
-def _search(points: DataFrame, n: int, k: int, seed: int) -> DataFrame:
-    """(id, neighbour, distance) of the k nearest among distinct vectors.
-
-    Pivot-based partitioning (Lu et al., VLDB 2012). Rows go to the cell of their
-    nearest pivot; the triangle inequality gives every cell a radius that surely
-    holds k neighbours of each of its rows, and a row is sent to another cell only
-    if that radius can reach it. Cells are cut into chunks of bounded size, so a
-    dense cell becomes many tasks; each task returns its k best per row and the
-    final ranking merges them. No pair is ever written out.
-    """
-    spark = points.sparkSession
-    n_pivots = int(min(MAX_PIVOTS, max(1, n // CHUNK_ROWS)))
-    chosen = points.orderBy(hash_key("id", seed), "id").limit(n_pivots)
-    pivots = np.array([r["v"] for r in bounded_rows(chosen, MAX_PIVOTS, "pivots")], dtype=float)
-    between = _distances(pivots, pivots)
-    id_type = points.schema["id"].dataType.simpleString()
-
-    def to_cells(batches):
-        for b in batches:
-            d = _distances(np.array(b["v"].tolist(), dtype=float), pivots)
-            cell = d.argmin(axis=1)
-            yield b.assign(cell=cell.astype("int32"), d=d[np.arange(len(b)), cell])
-
-    cells = materialise(points.mapInPandas(to_cells, f"id {id_type}, v array<double>, cell int, d double"), "cells")
-    # k + 1 closest to the pivot per cell: a rank filter, cut down inside each task.
-    place = F.row_number().over(Window.partitionBy("cell").orderBy("d", "id"))
-    close = cells.select("cell", "d", place.alias("p")).filter(F.col("p") <= k + 1).collect()
-    edge = {r["cell"]: r["u"] for r in cells.groupBy("cell").agg(F.max("d").alias("u")).collect()}
-    near_cell = np.array([r["cell"] for r in close])
-    near_d = np.array([r["d"] for r in close])
-    # A point at distance d from pivot j can matter to cell i only if
-    # |pivot i, pivot j| - edge i - d <= reach i. Cells without rows need nothing.
-    needs = np.full((n_pivots, n_pivots), np.inf)
-    for i, u in edge.items():
-        reach = np.sort(u + between[i][near_cell] + near_d)[k]  # the row itself is one of the k + 1
-        needs[i] = between[i] - u - reach * (1 + 1e-9) - 1e-9
-
-    def to_visits(batches):
-        for b in batches:
-            for s in range(0, len(b), 1_000):
-                part = b.iloc[s : s + 1_000]
-                i, row = np.nonzero(needs[:, part["cell"].to_numpy()] <= part["d"].to_numpy())
-                yield part.iloc[row][["id", "v"]].assign(cell=i.astype("int32"))
-
-    visits = materialise(cells.mapInPandas(to_visits, f"id {id_type}, v array<double>, cell int"), "visits")
-
-    def chunks(t: DataFrame) -> dict:
-        sizes = t.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()
-        return {r["cell"]: -(-r["n"] // CHUNK_ROWS) for r in sizes}
-
-    own, seen = chunks(cells), chunks(visits)
-    plan = spark.createDataFrame([(c, int(own[c]), int(seen[c])) for c in own], "cell int, own int, seen int")
-    spread = F.pmod(F.hash("id"), F.lit(2**31 - 1))
-    left = (
-        cells.join(F.broadcast(plan), "cell")
-        .withColumn("a", spread % F.col("own"))
-        .withColumn("b", F.explode(F.sequence(F.lit(0), F.col("seen") - 1)))
-    )
-    right = (
-        visits.join(F.broadcast(plan), "cell")
-        .withColumn("b", spread % F.col("seen"))
-        .withColumn("a", F.explode(F.sequence(F.lit(0), F.col("own") - 1)))
-    )
-
-    def best(rows: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"id": [], "neighbour": [], "distance": []})]
-        if len(rows) and len(others):
-            others = others.sort_values("id", kind="stable")
-            ids, other = rows["id"].to_numpy(), others["id"].to_numpy()
-            left_v = np.array(rows["v"].tolist(), dtype=float)
-            right_v = np.array(others["v"].tolist(), dtype=float)
-            for s in range(0, len(ids), 256):
-                d = _distances(left_v[s : s + 256], right_v)
-                d[ids[s : s + 256, None] == other[None, :]] = np.inf
-                top = np.argsort(d, axis=1, kind="stable")[:, :k]
-                at = np.repeat(np.arange(len(top)), top.shape[1])
-                dist = d[at, top.ravel()]
-                fine = np.isfinite(dist)
-                out.append(
-                    pd.DataFrame(
-                        {"id": ids[s + at][fine], "neighbour": other[top.ravel()][fine], "distance": dist[fine]}
-                    )
-                )
-        return pd.concat(out[1:]) if len(out) > 1 else out[0]
-
-    parts = ["id", "v", "cell", "a", "b"]
-    found = (
-        left.select(*parts).groupBy("cell", "a", "b")
-        .cogroup(right.select(*parts).groupBy("cell", "a", "b"))
-        .applyInPandas(best, f"id {id_type}, neighbour {id_type}, distance double")
-    )
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("distance", "neighbour"))
-    return found.withColumn("place", rank).filter(F.col("place") <= k).drop("place")
-
-
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances, summed feature by feature for exact zeros and ties."""
-    total = np.zeros((len(a), len(b)))
-    for f in range(a.shape[1]):
-        gap = a[:, f, None] - b[None, :, f]
-        total += gap * gap
-    return np.sqrt(total)
-
-
 def smote(
-    df: DataFrame, key: str, label: str, features: Sequence[str], *, k: int = 5, seed: int = 42
+    df: DataFrame, key: str, label: str, features: Sequence[str], *, k: int = 5, seed: int = 42, approximate: bool = False
 ) -> DataFrame:
     """Smaller-class rows plus synthetic ones to parity: base + u (neighbour - base).
+    `approximate` searches the neighbours by hashing, for classes too large to be searched exactly.
 
     Base row, neighbour place and u come from hashes of (seed, draw number). Only
     label and features are returned, since a synthetic row has no key.
@@ -225,13 +119,13 @@ def smote(
     out = df.select(label, *features)
     for g, rows in sorted(sizes.items(), key=lambda e: str(e[0])):
         if rows < largest:
-            out = out.unionByName(_synthetic(df, key, label, features, g, rows, largest, min(k, rows - 1), seed))
+            out = out.unionByName(_synthetic(df, key, label, features, g, rows, largest, min(k, rows - 1), seed, approximate))
     return out
 
 
-def _synthetic(df: DataFrame, key: str, label: str, features: Sequence[str], group, rows: int, largest: int, k: int, seed: int) -> DataFrame:
+def _synthetic(df: DataFrame, key: str, label: str, features: Sequence[str], group, rows: int, largest: int, k: int, seed: int, approximate: bool = False) -> DataFrame:
     small = materialise(df.filter(F.col(label).eqNullSafe(F.lit(group))).select(key, *features), "minority")
-    pairs = nearest_neighbours(small, key, features, k, seed).select(
+    pairs = nearest_neighbours(small, key, features, k, seed, approximate).select(
         F.col(key).alias("base"), "neighbour", "place"
     )
     pool = dense_index(small, key, seed)

