@@ -285,6 +285,22 @@ def a20(spark, folder):
     return rounded(stats.density(rows, "n_chars", ["y"], 0, 350, 71), "density", digits=8)
 
 
+@query(
+    "a20_binned_price_density",
+    "WITH v AS (SELECT l_returnflag, least(l_extendedprice, 60000.0::DOUBLE) AS x FROM lineitem), "
+    "h AS (SELECT l_returnflag, stddev_samp(x) * power(count(*), -0.2) AS h, count(*) AS total, min(x) AS lo FROM v GROUP BY l_returnflag), "
+    "e AS (SELECT min(lo) AS lo, min(h) / 32 AS step FROM h), p AS (SELECT l_returnflag, (x - lo) / step AS place, lo, step FROM v, e), "
+    "c AS (SELECT l_returnflag, cell, sum(w) AS w, any_value(lo) + cell * any_value(step) AS x FROM (SELECT l_returnflag, floor(place) AS cell, 1 - (place - floor(place)) AS w, lo, step FROM p "
+    "UNION ALL SELECT l_returnflag, floor(place) + 1, place - floor(place), lo, step FROM p) GROUP BY l_returnflag, cell), g AS (SELECT 1000.0::DOUBLE * i AS at FROM range(61) t(i)) "
+    "SELECT c.l_returnflag, g.at, round(sum(w * exp(-0.5 * power((g.at - x) / h, 2))) / (any_value(total) * any_value(h) * sqrt(2 * pi())), 11) AS density "
+    "FROM c JOIN h ON c.l_returnflag = h.l_returnflag CROSS JOIN g GROUP BY c.l_returnflag, g.at",
+)
+def a20_binned(spark, folder):
+    """A column of nearly as many values as rows."""
+    rows = table(spark, folder, "lineitem").select("l_returnflag", "l_extendedprice")
+    return rounded(stats.binned_density(rows, "l_extendedprice", ["l_returnflag"], 0, 60_000, 61), "density", digits=11)
+
+
 @query(
     "w1_drop_duplicates_keep_first",
     "SELECT doc_id, lang, source FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS place FROM documents) WHERE place = 1",

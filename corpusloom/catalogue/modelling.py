@@ -16,7 +16,7 @@ from corpusloom.plans import models as P
 
 from .base import LABELLED, PRICED, labelled, priced_lines, query, rounded, sql_features, table
 from .listings import cleaned
-from .preparation import sql_split, sql_stratified
+from .preparation import _SPLIT_LABELS, sql_split, sql_stratified
 
 
 # -- scores of a fixed rule: the more digits, the more suspicious -----------
@@ -257,6 +257,21 @@ def m14(spark, folder):
     return P.compare_classifiers(prepared, FEATURE_NAMES, "y")[0]
 
 
+@query(
+    "j2_scored_rows_with_meta",
+    _SPLIT_LABELS + ", feats AS (" + sql_features("assigned", "doc_id, y, text, partition", ("digit_ratio", "digit_count")) + "), "
+    "pp AS (SELECT *, round(least(1.0, digit_ratio * 10 + digit_count / 100.0), 6) AS p FROM feats WHERE partition = 'test') "
+    "SELECT doc_id, y, p, CAST(p >= 0.5 AS INTEGER) AS predicted, md5(text) AS digest FROM pp",
+)
+def j2_scored(spark, folder):
+    """Predictions and probabilities of the test half, joined to the text that was held out of the model."""
+    rows = feature_frame(labelled(spark, folder), "text", ["doc_id", "y", "text"])
+    split = split_rows(rows, "doc_id", target="y", stratify=True, duplicate_subset=["text", "y"], keep_columns=["digit_ratio", "digit_count"])
+    p = F.round(F.least(F.lit(1.0), F.col("digit_ratio") * 10 + F.col("digit_count") / 100.0), 6)
+    scored = split.test_rows.select("doc_id", "y", p.alias("p")).withColumn("predicted", (F.col("p") >= 0.5).cast("int"))
+    return scored.join(split.meta("test").select("doc_id", F.md5("text").alias("digest")), "doc_id", "left")
+
+
 @query("m17_learning_curve")
 def m17(spark, folder):
     _, prepared = prepared_documents(spark, folder)

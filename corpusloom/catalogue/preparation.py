@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from corpusloom.operators import prep as P
@@ -9,6 +11,7 @@ from corpusloom.operators.dedupe import duplicate_summary, overlap
 from corpusloom.operators.metrics import leak_check
 from corpusloom.operators.split import assign_partitions, split_rows
 from corpusloom.operators.stats import melt
+from corpusloom.operators.wide import WideEncoder
 
 from .base import LABELLED, PRICED, labelled, priced_lines, query, rounded, sql_hash, table
 from .listings import CLEANED, cleaned
@@ -207,6 +210,51 @@ def t6(spark, folder):
     return _cells(encoded, names)
 
 
+@query(
+    "t6_wide_encoding",
+    "WITH rows AS " + _LINES + ", assigned AS (" + sql_split("rows", "row_key") + "), levels AS (SELECT CAST(l_orderkey AS VARCHAR) AS level, "
+    "row_number() OVER (ORDER BY CAST(l_orderkey AS VARCHAR)) - 1 AS place FROM (SELECT DISTINCT l_orderkey FROM assigned WHERE partition = 'train')) "
+    "SELECT level, place, CAST(count(*) AS DOUBLE) AS n FROM levels JOIN assigned ON level = CAST(l_orderkey AS VARCHAR) GROUP BY level, place",
+)
+def t6_wide(spark, folder):
+    """Column sums of the sparse matrix of one column per order number: 15,000 at the small scale."""
+    rows = table(spark, folder, "lineitem").selectExpr(f"{_LINE_KEY} AS row_key", "l_orderkey").distinct()
+    split = split_rows(rows, "row_key", dedupe=False)
+    encoder = WideEncoder(["l_orderkey"]).fit(split.train)
+    sums = encoder.transform(split.assigned).agg(Summarizer.sum(F.col("features")).alias("sums"))
+    cells = sums.select(F.posexplode(vector_to_array("sums")).alias("place", "n"))
+    return cells.join(encoder.levels, cells["place"] == encoder.levels["index"]).select("level", F.col("place").cast("long"), cells["n"])
+
+
+@query(
+    "t3_train_only_against_full",
+    SPLIT_LISTINGS + " SELECT feature, round(avg(value) FILTER (WHERE partition = 'train'), 6) AS train_mean, round(avg(value), 6) AS full_mean, "
+    "round(stddev_pop(value) FILTER (WHERE partition = 'train'), 6) AS train_std, round(stddev_pop(value), 6) AS full_std FROM ("
+    + " UNION ALL ".join(f"SELECT partition, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM assigned" for c in _NUMERIC) + ") GROUP BY feature",
+)
+def t3_against_full(spark, folder):
+    """What the fit sees beside what it must not see."""
+    found = P.train_against_full(listing_split(spark, folder), list(_NUMERIC))
+    return rounded(found, "train_mean", "full_mean", "train_std", "full_std")
+
+
+@query("t3_rejected_fits", SPLIT_LISTINGS + " SELECT input, accepted, CASE WHEN accepted THEN (SELECT count(*) FROM train) END AS n_rows_seen FROM "
+       "(VALUES ('training half', true), ('test half', false), ('whole table', false), ('training rows as a table', false)) t(input, accepted)")
+def t3_rejected(spark, folder):
+    """Which inputs a fit accepts: only the training half that a split hands out."""
+    split = listing_split(spark, folder)
+    inputs = {"training half": split.train, "test half": split.test_X, "whole table": split.assigned, "training rows as a table": split.train.X}
+    seen = []
+    for name, part in inputs.items():
+        prep = P.Preparation()
+        try:
+            prep.fit(part)
+        except TypeError:
+            pass
+        seen.append((name, prep.is_fitted, prep.n_rows_seen if prep.is_fitted else None))
+    return spark.createDataFrame(seen, "input string, accepted boolean, n_rows_seen long")
+
+
 def _cells(encoded, names):
     cells = F.filter(
         F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(f"`{n}`").alias("value")) for n in names]),

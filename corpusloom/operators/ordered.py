@@ -3,7 +3,9 @@
 * `running_sums`: exact prefix sums along a sorted column. Large groups are cut
   into value ranges; each range is summed by its own task and shifted by the
   total of the ranges before it.
-* `quantiles`: exact interpolated quantiles on top of it.
+* `quantiles`: exact interpolated quantiles on top of it, or by `select_ranks`, which
+  narrows the span of values that holds a rank.
+* `global_rank`: row numbers along an order, from range partitions.
 * `hash_cutoffs`: the exact hash value below which `quota` rows of a group lie,
   found from counts of hash prefixes, so that "the first n in hash order" is a
   comparison with one value per group.
@@ -142,60 +144,89 @@ def quantiles(
 
     Rows are counted per distinct value first, which suits discrete columns and
     values that are costly to compute. `sketch` is for stored columns with very many
-    distinct values: a first pass brackets every quantile with a mergeable sketch, and
-    only values inside the brackets are told apart and shuffled in the second.
+    distinct values: the ranks are found by `select_ranks`, which tells few values apart.
     """
     by = list(by)
-    if not sketch:
-        counts = materialise(value_counts(df, by, value), "counts")
-        return quantiles_of_counts(counts, by, value, shares, range_rows=range_rows)
-    brackets = _brackets(df, by, value, list(shares.values()), accuracy)
-    joined = join_groups(df.filter(F.col(value).isNotNull()).select(*by, value), brackets, by)
+    if sketch:
+        return _selected_quantiles(df, by, value, shares, range_rows or RANGE_ROWS, accuracy)
+    counts = materialise(value_counts(df, by, value), "counts")
+    return quantiles_of_counts(counts, by, value, shares, range_rows=range_rows)
+
+
+def _selected_quantiles(df: DataFrame, by: list[str], value: str, shares: Mapping[str, float], few: int, accuracy: int) -> DataFrame:
     v = F.col(value).cast("double")
-    inside = F.exists("_brackets", lambda e: (e["lo"] <= v) & (v <= e["hi"]))
-    passed = F.size(F.filter("_brackets", lambda e: e["hi"] < v))
-    # Values between two brackets become one value between them: the order is kept.
-    squeezed = joined.select(*by, F.when(inside, v).otherwise(F.get("_between", passed)).alias(value))
-    counts = materialise(value_counts(squeezed, by, value), "counts")
-    found = join_groups(
-        quantiles_of_counts(counts, by, value, shares, range_rows=range_rows, ends=True), brackets, by
-    )
+    rows = df.filter(F.col(value).isNotNull() & ~F.isnan(v)).select(*by, v.alias("_v"))
+    sizes = materialise(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), "sizes")
+    wanted = F.array(*[F.struct(F.lit(n).alias("_name"), F.lit(float(s)).alias("_share")) for n, s in shares.items()])
+    places = sizes.select(*by, "_n", F.inline(wanted)).withColumn("_place", F.greatest((F.col("_n") - 1) * F.col("_share"), F.lit(0.0)))
+    ends = places.select("*", F.floor("_place").cast("long").alias("_low"), F.ceil("_place").cast("long").alias("_high"))
+    ranks = ends.filter("_n > 0").select(*by, "_n", F.explode(F.array("_low", "_high")).alias("_rank")).distinct()
+    found = materialise(select_ranks(rows, by, ranks, few, accuracy), "ranks")
 
-    def checked(name: str) -> Column:
-        ok = F.exists("_brackets", lambda e: (e["lo"] <= F.col(f"_lo_{name}")) & (F.col(f"_hi_{name}") <= e["hi"]))
-        return F.when(ok, F.col(name)).otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
+    def at(side: str) -> DataFrame:
+        return found.select(*by, F.col("_rank").alias(f"_{side}"), F.col("_value").alias(f"_{side}_value"))
 
-    return found.select(*by, *[checked(n).alias(n) for n in shares])
+    both = join_groups(join_groups(ends, at("low"), [*by, "_low"], "left"), at("high"), [*by, "_high"], "left")
+    step = (F.col("_high_value") - F.col("_low_value")) * (F.col("_place") - F.col("_low"))
+    between = F.when(F.col("_low_value") == F.col("_high_value"), F.col("_low_value")).otherwise(F.col("_low_value") + step)
+    return both.groupBy(*by).agg(*[F.max(F.when(F.col("_name") == n, between)).alias(n) for n in shares])
 
 
-def _brackets(df: DataFrame, by: list[str], value: str, shares: list[float], accuracy: int) -> DataFrame:
-    """Disjoint value ranges per group that hold the wanted quantiles, and a value
-    between each two of them. One small row per group, made on the driver."""
-    margin = 4 / accuracy
-    points = sorted({min(max(s + d, 0.0), 1.0) for s in shares for d in (-margin, margin)})
-    v = F.col(value).cast("double")
-    sketched = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(
-        F.percentile_approx(v, points, accuracy).alias("_at"), F.count(F.lit(1)).alias("_n")
-    )
-    rows = []
-    for r in bounded_rows(sketched):
-        at = dict(zip(points, r["_at"])) if r["_at"] else {}
-        spans: list[list[float]] = []
-        for s in sorted(shares):
-            # Close to an end, or with few rows, the range is left open.
-            open_ended = r["_n"] < 2 * accuracy
-            lo = -math.inf if open_ended or s - margin <= 0 else at[s - margin]
-            hi = math.inf if open_ended or s + margin >= 1 else at[s + margin]
-            if spans and lo <= spans[-1][1]:
-                spans[-1][1] = max(hi, spans[-1][1])
-            else:
-                spans.append([lo, hi])
-        between = [(a[1] + b[0]) / 2 for a, b in zip(spans, spans[1:])]
-        rows.append((*[r[c] for c in by], [tuple(x) for x in spans], [-math.inf, *between, math.inf]))
-    keys = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in by)
-    return df.sparkSession.createDataFrame(
-        rows, keys + "_brackets array<struct<lo: double, hi: double>>, _between array<double>"
-    )
+def select_ranks(rows: DataFrame, by: Sequence[str], ranks: DataFrame, few: int = RANGE_ROWS, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """(by, _rank, _value): the exact `_v` of the given 0-based ranks in each group; `ranks` is (by, _n, _rank), `_n` the rows of the group.
+
+    Count, narrow, repeat. A span of values holds the wanted rank; a sketch cuts the span in 64 parts, each part and each cut is counted exactly, and
+    the one with the rank is the next span. Spans of at most `few` rows are counted value by value. The sketch only decides how
+    fast spans shrink, so any error of it costs a turn at worst. Groups and ranks are tables of any size.
+    """
+    by = list(by)
+    span = [*by, "_lo", "_hi"]
+    infinite = F.lit(math.inf)
+    targets = materialise(ranks.select(*by, "_rank", (-infinite).alias("_lo"), infinite.alias("_hi"), F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_inside")), "targets")
+    found = None
+    while True:
+        known = targets.filter("_lo = _hi").select(*by, "_rank", F.col("_lo").alias("_value"))
+        small = targets.filter((F.col("_lo") < F.col("_hi")) & (F.col("_inside") <= few))
+        large = targets.filter((F.col("_lo") < F.col("_hi")) & (F.col("_inside") > few))
+        counts = _in_spans(rows, small, by).groupBy(*span, "_v").agg(F.count(F.lit(1)).alias("_k"))
+        upto = Window.partitionBy(*span).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        told = join_groups(small, counts.withColumn("_cum", F.sum("_k").over(upto)), span)
+        hit = (F.col("_below") + F.col("_cum") > F.col("_rank")) & (F.col("_below") + F.col("_cum") - F.col("_k") <= F.col("_rank"))
+        part = known.unionByName(told.filter(hit).select(*by, "_rank", F.col("_v").alias("_value")))
+        found = part if found is None else found.unionByName(part)
+        if large.isEmpty():
+            return found
+        inside = _in_spans(rows, large, by)
+        cuts = inside.groupBy(*span).agg(F.percentile_approx("_v", [i / 64 for i in range(65)], accuracy).alias("_cuts"))
+        cut = join_groups(inside, materialise(cuts, "cuts"), span)
+        # Even numbers are the open parts between cuts, odd ones the cuts themselves.
+        place = 2 * F.size(F.filter("_cuts", lambda c: c < F.col("_v"))) + F.array_contains("_cuts", F.col("_v")).cast("int")
+        parts = cut.groupBy(*span, place.alias("_place")).agg(F.count(F.lit(1)).alias("_k"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+        order = Window.partitionBy(*span).orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # 131 rows at most
+        summed = join_groups(large, parts.withColumn("_cum", F.sum("_k").over(order)), span).withColumn("_from", F.col("_below") + F.col("_cum") - F.col("_k"))
+        next_ones = summed.filter((F.col("_from") <= F.col("_rank")) & (F.col("_rank") < F.col("_from") + F.col("_k")))
+        targets = materialise(
+            next_ones.select(*by, "_rank", F.col("_least").alias("_lo"), F.col("_most").alias("_hi"), F.col("_from").alias("_below"), F.col("_k").alias("_inside")), "targets"
+        )
+        rows = materialise(_in_spans(rows, targets.filter("_lo < _hi"), by).select(*by, "_v"), "narrowed")
+
+
+def _in_spans(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
+    """Rows that lie in a span of their group, with the span; the spans of a group are disjoint."""
+    spans = targets.select(*by, "_lo", "_hi").distinct()
+    return join_groups(rows, spans, by).filter((F.col("_lo") <= F.col("_v")) & (F.col("_v") <= F.col("_hi")))
+
+
+def global_rank(df: DataFrame, order: Sequence[Column | str], name: str = "_rank", range_rows: int | None = None) -> DataFrame:
+    """Add 0, 1, 2, ... along `order`, whose values are unique: ranks inside range partitions, shifted by the partitions before."""
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    parts = max(1, -(-df.count() // (range_rows or RANGE_ROWS)))
+    table = materialise(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = table.groupBy("_part").agg(F.count(F.lit(1)).alias("_k"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    shifts = sizes.select("_part", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_shift"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return join_groups(table.withColumn("_in", inside), shifts, ["_part"]).select(*df.columns, (F.col("_in") - 1 + F.col("_shift")).cast("long").alias(name))
 
 
 def quantiles_of_counts(
@@ -205,10 +236,8 @@ def quantiles_of_counts(
     shares: Mapping[str, float],
     *,
     range_rows: int | None = None,
-    ends: bool = False,
 ) -> DataFrame:
-    """The same from written (by, value, n) counts; `ends` keeps the two values each
-    quantile was interpolated from."""
+    """The same from written (by, value, n) counts."""
     by = list(by)
     ordered = running_sums(counts, by, value, ["n"], range_rows=range_rows, written=True)
 
@@ -225,10 +254,8 @@ def quantiles_of_counts(
             F.max(place - F.floor(place)).alias(f"_w_{name}"),
         ]
     picked = ordered.groupBy(*by).agg(*picks)
-    kept = [f"_{side}_{n}" for n in shares for side in ("lo", "hi")] if ends else []
     return picked.select(
         *by,
-        *kept,
         *[
             (
                 F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_w_{n}")

@@ -340,6 +340,16 @@ class Preparation:
             raise NotFittedError("Call fit() with the training half of a split first.")
 
 
+def train_against_full(split: Split, columns: list[str]) -> DataFrame:
+    """Mean and deviation per numeric column over the training half, which a fit sees, and over all rows, which it must not see."""
+    rows = split.assigned.select("partition", *columns)
+    tall = melt(rows, columns, ["partition"])
+    train = F.when(F.col("partition") == "train", F.col("value"))
+    return tall.groupBy("feature").agg(
+        F.avg(train).alias("train_mean"), F.avg("value").alias("full_mean"), F.stddev_pop(train).alias("train_std"), F.stddev_pop("value").alias("full_std")
+    )
+
+
 def prepare_split(
     df: DataFrame,
     key: str,

@@ -6,13 +6,13 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.workspace import materialise
 
 from .dedupe import drop_duplicates
-from .ordered import flag_first_by_hash, group_sizes
+from .ordered import flag_first_by_hash, global_rank, group_sizes
 from .stats import class_balance
 
 class TrainingPartition:
@@ -99,15 +99,21 @@ def stratified_quotas(sizes: Mapping, total: int) -> dict:
     return quotas
 
 
-def quota_table(sizes: DataFrame, group: str, total: int) -> DataFrame:
-    """The same as a table: `group` and `quota` from `group` and `n`."""
-    # One narrow row per stratum is summed and ranked, never the strata's rows.
-    exact = sizes.withColumn("_exact", F.lit(total) * F.col("n") / F.sum("n").over(Window.partitionBy()))
-    floor = F.floor(F.col("_exact") + 1e-9)
-    order = Window.orderBy(F.round(F.col("_exact") - floor, 9).desc(), F.coalesce(F.col(group).cast("string"), F.lit("None")))
-    ranked = exact.withColumn("_floor", floor).withColumn("_place", F.row_number().over(order))
-    short = F.lit(total) - F.sum("_floor").over(Window.partitionBy())
-    return ranked.withColumn("_short", short).select(group, (F.col("_floor") + (F.col("_place") <= F.col("_short")).cast("long")).alias("quota"))
+def quota_table(sizes: DataFrame, group: str, total: int, range_rows: int | None = None) -> DataFrame:
+    """The same as a table: `group` and `quota` from a written table of `group` and `n`.
+
+    Strata may be as many as rows: two sums are taken over them, and the remainders are ranked in range partitions.
+    """
+    n = sizes.agg(F.sum("n")).first()[0]
+    exact = F.lit(total) * F.col("n") / F.lit(n)
+    floors = sizes.select(group, "n", exact.alias("_exact")).withColumn("_floor", F.floor(F.col("_exact") + 1e-9))
+    short = total - (floors.agg(F.sum("_floor")).first()[0] or 0)
+    if not short:
+        return floors.select(group, F.col("_floor").alias("quota"))
+    rest = F.round(F.col("_exact") - F.col("_floor"), 9)
+    named = floors.select(group, "_floor", rest.alias("_rest"), F.coalesce(F.col(group).cast("string"), F.lit("None")).alias("_name"))
+    ranked = global_rank(named, [F.col("_rest").desc(), "_name"], "_place", range_rows)
+    return ranked.select(group, (F.col("_floor") + (F.col("_place") < short).cast("long")).alias("quota"))
 
 
 def assign_partitions(

@@ -65,9 +65,15 @@ def grouped_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per numeric column: count, mean, std, min, quartiles, max."""
-    counts = materialise(value_counts(melt(df, columns), ["feature"], "value"), "counts")
-    return _summary_of_counts(counts, ["feature"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    """One row per numeric column: count, mean, std, min, quartiles, max.
+
+    One aggregate for the moments; the quartiles by narrowing, so values are told apart only where a quartile lies.
+    """
+    rows = melt(df, columns).filter(F.col("value").isNotNull())
+    basic = rows.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")
+    )
+    return basic.join(quantiles(rows, ["feature"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, sketch=True), "feature")
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -290,3 +296,39 @@ def density(
     )
 
 
+
+
+def binned_density(
+    df: DataFrame, value: str, by: Sequence[str], low: float, high: float, points: int = 71, fineness: int = 32
+) -> DataFrame:
+    """`density` for columns with very many values: a row is shared out between the two nearest points of a fine even
+    grid, and the kernel runs over that grid.
+
+    The fine step is at most the smallest bandwidth divided by `fineness`, so the density is off by at most
+    1 / (8 fineness^2 sqrt(2 pi) h): with 32 by about 0.00012 times the height of one kernel at its middle. A task hands on one
+    row per occupied grid point, however many values there are. Without any spread in a group its density is null.
+    """
+    by = list(by)
+    x = F.least(F.col(value).cast("double"), F.lit(float(high)))
+    clipped = df.filter(F.col(value).isNotNull()).select(*by, x.alias("x"))
+    fitted = materialise(
+        clipped.groupBy(*by).agg(
+            (F.stddev_samp("x") * F.pow(F.count(F.lit(1)).cast("double"), F.lit(-0.2))).alias("h"), F.count(F.lit(1)).alias("total"), F.min("x").alias("first"), F.max("x").alias("last")
+        ),
+        "bandwidths",
+    )
+    ends = fitted.agg(F.min("first"), F.max("last"), F.min(F.when(F.col("h") > 0, F.col("h")))).first()
+    first, finest = (ends[0] or 0.0), ends[2]
+    step = finest / fineness if finest else 1.0
+    place = (F.col("x") - F.lit(first)) / F.lit(step)
+    cell = F.floor(place)
+    shares = F.array(
+        F.struct(cell.alias("cell"), (1 - (place - cell)).alias("w")), F.struct((cell + 1).alias("cell"), (place - cell).alias("w"))
+    )
+    fine = clipped.select(*by, F.inline(shares)).groupBy(*by, "cell").agg(F.sum("w").alias("w"))
+    apart = (high - low) / (points - 1)
+    grid = F.explode(F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.lit(float(low)) + i * F.lit(apart)))
+    spread = join_groups(fine, fitted, by).select(*by, (F.lit(first) + F.col("cell") * F.lit(step)).alias("x"), "w", "h", "total", grid.alias("at"))
+    z = F.try_divide(F.col("at") - F.col("x"), F.col("h"))
+    summed = spread.groupBy(*by, "at").agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("s"), F.max("h").alias("h"), F.max("total").alias("total"))
+    return summed.select(*by, "at", F.try_divide("s", F.col("total") * F.col("h") * F.lit(math.sqrt(2 * math.pi))).alias("density"))
