@@ -36,9 +36,10 @@ from corpusloom.llm.grams import chunks, mixed
 BLOCK_BYTES = 4 << 20
 BLOCK_DOCS = 1 << 16
 SLICE_BLOCKS = 64
-#: Text bytes for each bucket of pairs.
-BUCKET_BYTES = 6 << 20
-MOST_BUCKETS = 4_096
+#: Text bytes for each bucket of pairs. A document has a row of scores in every bucket with a pair of its own, so buckets stop growing;
+#: slices do not.
+BUCKET_BYTES = 32 << 20
+MOST_BUCKETS = 128
 #: A worker starts anew with its known units when it has met so many.
 KNOWN_UNITS = 400_000
 #: The places where `encoding` cuts for the byte-level vocabulary: before a blank or line end behind a visible character, between a
@@ -438,6 +439,11 @@ def _highest(counts: DataFrame, a_ids: int, b_count: int) -> np.ndarray:
     return out
 
 
+def narrowed(values: np.ndarray) -> np.ndarray:
+    """Counts in the smallest unsigned type that holds them."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+
+
 def _scores(merged: DataFrame, counts: DataFrame, highest: np.ndarray, b_count: int) -> DataFrame:
     """Per row and block: which documents gain how much (sum of counts, links of the highest count)."""
     schema = "block long, payload binary"
@@ -460,7 +466,7 @@ def _scores(merged: DataFrame, counts: DataFrame, highest: np.ndarray, b_count:
                 order = np.argsort(members.astype("u2"), kind="stable")
                 cuts = runs(members[order])[:-1]
                 gain, best = (np.add.reduceat(np.repeat(w, cards)[order], cuts) for w in (weight * totals[place], weight * top[place]))
-                yield _batch([[block], [packed(members[order][cuts].astype("<u2"), gain, best)]], schema)
+                yield _batch([[block], [packed(members[order][cuts].astype("<u2"), narrowed(gain), narrowed(best))]], schema)
 
     both = merged.filter("bucket >= 0").select("bucket", "payload").join(counts.withColumnRenamed("counts", "totals"), "bucket")
     return both.mapInArrow(score, schema)
@@ -500,8 +506,8 @@ def align_documents(
                     facts = unpacked(row["payload"])
                 else:
                     places, more, tops = unpacked(row["payload"])
-                    gain[places] += more
-                    best[places] += tops
+                    gain[places] += more.astype(np.int64)
+                    best[places] += tops.astype(np.int64)
             key, n_a, n_b, n_groups, n_links, prints = facts
             n = len(key)
             hexes = prints.tobytes().hex()
