@@ -1,11 +1,15 @@
 """Exact self-join of documents by the Jaccard similarity of their word shingles.
 
-Token-group matrix: documents are partitioned into groups of likely partners (those whose rarest token is
-the same), and each group is known by the union of its members' tokens. A group is
-opened for another only if their unions can hold a partner: the first tokens of a
-document, in the order of how many documents have them, must meet those of the group, and inside an
+Token-group matrix: documents are partitioned into groups of likely partners, and each group is known by the union of
+its members' tokens, as far as they can lead to a link: the first tokens of a document, in the order of how many documents have them.
+Two linked documents have one of these in common, so a document none of whose first tokens occurs elsewhere links with nothing and leaves
+at once. The others fall into the group of the first such token that is shared; near copies of a text
+have nearly all of them in common and so make few groups. A group is opened for another only if their unions meet, and inside an
 opened pair a document is compared only if the tokens it has in common with the
-other side's union reach the share that a link needs. Equal sets are one node from the start.
+other side's union reach the share that a link needs.
+
+Everything is keyed by rows and sets, never by ids, which may be missing or repeated: a row is known by a 64-bit hash of its
+id and text, and one row stands for all that have the same set.
 
 A group with many members is cut into slices. Every slice is first searched by
 itself, together with a few members of the group that all slices share; slices and groups whose members
@@ -29,7 +33,9 @@ from corpusloom.llm.packed_exchange import NARROW_ENTRIES, Bucket, Packer, bucke
 
 SHINGLE_WORDS, PERCENT = 5, 75
 SLICE_MEMBERS, SHARED_MEMBERS = 512, 8
-PROFILE = "key long, n long, d1 long, d2 long"
+PROFILE = "row long, key long, n long, d1 long, d2 long"
+#: Entries that a task holds before it hands on a block.
+HELD_ENTRIES = 2 << 20
 
 
 def shingles(texts: Texts, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -73,7 +79,7 @@ def profiles(texts: DataFrame, n: int) -> DataFrame:
                 cuts = np.concatenate([[0], np.cumsum(count)])
                 sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(prints, seed))]) for seed in (11, 12)]
                 digests = [pa.array((s[cuts[1:]] - s[cuts[:-1]]).view(np.int64)) for s in sums]
-                yield pa.record_batch([part.column("key"), pa.array(count, pa.int64()), *digests], names=["key", "n", "d1", "d2"])
+                yield pa.record_batch([part.column("row"), part.column("key"), pa.array(count, pa.int64()), *digests], names=["row", "key", "n", "d1", "d2"])
 
     return texts.mapInArrow(run, PROFILE)
 
@@ -86,7 +92,7 @@ def shared_tokens(texts: DataFrame, buckets: int, n: int) -> DataFrame:
     bucket_of, bits = top_bits(buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(bucket_of, bits)
+        packer = Packer(bucket_of, bits, HELD_ENTRIES)
         for batch in batches:
             for part, own in chunks(batch):
                 prints, of = shingles(own, n)
@@ -102,8 +108,8 @@ def shared_tokens(texts: DataFrame, buckets: int, n: int) -> DataFrame:
     return found.groupBy("key").agg(F.flatten(F.collect_list("prints")).alias("prints"), F.flatten(F.collect_list("values")).alias("values"))
 
 
-def _ordered(part: pa.RecordBatch, own: Texts, bits: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of each text in global order (rare first, then by fingerprint), their texts, and where each text's begin."""
+def _ordered(part: pa.RecordBatch, own: Texts, bits: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of each text in global order (rare first, then by fingerprint), how many texts have each, their texts, and where each text's begin."""
     prints, of = shingles(own, n)
     cuts = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=own.count))])
     weight = np.ones(len(prints), np.int64)
@@ -116,27 +122,48 @@ def _ordered(part: pa.RecordBatch, own: Texts, bits: int, n: int) -> tuple[np.nd
         mine = mine[by]
         at = np.minimum(np.searchsorted(mine, sent[a:b]), len(mine) - 1)
         weight[a:b] = np.where(mine[at] == sent[a:b], counts[i].values.to_numpy()[by][at], 1)
-    return prints[np.lexsort((prints, weight, of))], of, cuts
+    order = np.lexsort((prints, weight, of))
+    return prints[order], weight[order], of, cuts
 
 
 def matrix(weighed: DataFrame, buckets: int, n: int, percent: int) -> DataFrame:
-    """The token-group matrix, as far as prefixes go: each group's tokens, packed by token."""
+    """The token-group matrix: the shared prefix tokens of each group, packed by token; and in rows of bucket -1 the members: keys, groups, set sizes."""
     bucket_of, bits = top_bits(buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(bucket_of, bits)
+        packer = Packer(bucket_of, bits, HELD_ENTRIES)
         for batch in batches:
             for part, own in chunks(batch):
-                prints, of, cuts = _ordered(part, own, bits, n)
-                group = prints[cuts[:-1][of]] if len(of) else prints
+                prints, weight, of, cuts = _ordered(part, own, bits, n)
+                size = np.diff(cuts)
                 place = np.arange(len(of)) - cuts[:-1][of]
-                inside = place < prefix_length(np.diff(cuts), percent)[of]
-                yield from packer.add(group[inside].view(np.int64), cut_to_sent(prints[inside], bits), np.zeros(int(inside.sum()), np.uint8))
+                useful = (place < prefix_length(size, percent)[of]) & (weight > 1)
+                prints, of = prints[useful], of[useful]
+                some, at = np.unique(of, return_index=True)  # tokens are in order: the first one names the group
+                if not len(some):
+                    continue
+                named = np.zeros(len(size), np.int64)
+                named[some] = prints[at].view(np.int64)
+                members = np.concatenate([part.column("key").to_numpy()[some], named[some], size[some]])
+                none = np.array([0, 0])
+                yield pa.record_batch(
+                    [pa.array([-1], pa.int64()), pa.array([0], pa.int64()), lists(members, np.array([0, len(members)]), pa.int64()), lists(np.zeros(0, np.int32), none),
+                     lists(np.zeros(0, np.int32), none), lists(np.zeros(0, np.int8), none)],
+                    names=["bucket", "block", "owners", "owner_at", "prints", "marks"],
+                )
+                yield from packer.add(named[of], cut_to_sent(prints, bits), np.zeros(len(of), np.uint8))
         yield from packer.flush()
 
     return weighed.mapInArrow(run, NARROW_ENTRIES)
 
 
+def group_members(packed: DataFrame) -> DataFrame:
+    """key, group, n from the member rows of `matrix`."""
+    third = F.floor(F.size("owners") / 3).cast("int")
+    entry = F.transform(F.sequence(F.lit(0), third - 1), lambda i: F.struct(F.get("owners", i).alias("key"), F.get("owners", i + third).alias("group"), F.get("owners", i + 2 * third).alias("n")))
+    return packed.filter("bucket < 0").select(F.inline(entry))
+
+
 def group_pairs(entries: DataFrame, buckets: int) -> DataFrame:
     """g <= h: groups that share a prefix token; g = h for groups of more than one document."""
     _, bits = top_bits(buckets)
@@ -163,21 +190,6 @@ def group_pairs(entries: DataFrame, buckets: int) -> DataFrame:
     return meet(entries, judge, "g long, h long", bits).distinct()
 
 
-def group_members(weighed: DataFrame, buckets: int, n: int) -> DataFrame:
-    """key, group (the first token of the document in the global order) and set size; documents without words have none."""
-    _, bits = top_bits(buckets)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, own in chunks(batch):
-                prints, _, cuts = _ordered(part, own, bits, n)
-                count = np.diff(cuts)
-                some = np.flatnonzero(count)
-                yield pa.record_batch([part.column("key").take(pa.array(some)), pa.array(prints[cuts[some]].view(np.int64)), pa.array(count[some])], names=["key", "group", "n"])
-
-    return weighed.mapInArrow(run, "key long, group long, n long")
-
-
 def token_sets(texts: DataFrame, n: int) -> DataFrame:
     """The given texts' sets: key, group, slice, slices, tokens."""
 
@@ -238,24 +250,19 @@ def search(members: DataFrame, percent: int) -> DataFrame:
     return members.groupBy("task").applyInArrow(run, "a long, b long").distinct()
 
 
-def link_documents(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERCENT, slice_members: int = SLICE_MEMBERS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
-
-    Two documents link when the intersection of their shingle sets is at least `percent` hundredths
-    of the union; component_id is the smallest id that links lead to. Null texts
-    and texts without words have no shingles and link with nothing. A null id counts as the largest.
-    Rows that repeat an id are one document with several sets. An empty table gives no rows; other columns are not read.
-    """
-    texts = keyed_texts(docs, id_column, text_column)
-    buckets = buckets_for(docs.sparkSession, text_bytes(texts))
-    documents = written(profiles(texts, n), "set-profiles")
-    weighed = texts.join(written(shared_tokens(texts, buckets, n), "token-counts"), "key", "left")
-    classes = documents.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("key").alias("first"))
-    met = written(group_pairs(matrix(weighed, buckets, n, percent), buckets), "group-pairs")
-
-    # Groups that must be opened; of each class only the first document is a member.
-    firsts = classes.select(F.col("first").alias("key")).distinct()
-    every = written(group_members(weighed, buckets, n).join(firsts, "key", "left_semi").distinct(), "group-members")
+def linked_rows(texts0: DataFrame, n: int, percent: int, slice_members: int) -> DataFrame:
+    """row, key, n, component, least for every row of `texts0` (row, key, text): the component of the row's set and the smallest key in it."""
+    buckets = buckets_for(texts0.sparkSession, text_bytes(texts0))
+    documents = written(profiles(texts0, n), "set-profiles")
+    classes = written(documents.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("row").alias("first"), F.min("key").alias("least")), "set-classes")
+    # One text for each set; rows that are equal throughout combine before they are shuffled.
+    chosen = texts0.join(classes.select(F.col("first").alias("row")), "row", "left_semi")
+    texts = written(chosen.groupBy("row").agg(F.first("text").alias("text")).select(F.col("row").alias("key"), "text"), "one-of-each-set")
+    # Without a shared token there is no link: such texts are not read again.
+    weighed = texts.join(written(shared_tokens(texts, buckets, n), "token-counts"), "key")
+    packed = written(matrix(weighed, buckets, n, percent), "token-group-matrix")
+    met = written(group_pairs(packed.filter("bucket >= 0"), buckets), "group-pairs")
+    every = written(group_members(packed), "group-members")
     # Groups of unlike size cannot link, nor can a group's only member with itself.
     bounds = every.groupBy("group").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("size"))
     of = lambda side: bounds.toDF(*[f"{c}_{side}" for c in ("group", "least", "most", "size")])
@@ -266,7 +273,7 @@ def link_documents(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERCE
     )
     pairs = written(pairs, "open-pairs")
     opened = pairs.select(F.col("g").alias("group")).union(pairs.select("h")).distinct()
-    members = written(every.join(opened, "group").select("key", "group").distinct(), "open-members")
+    members = written(every.join(opened, "group").select("key", "group"), "open-members")
     sizes = members.groupBy("group").agg(F.ceil(F.count("*") / slice_members).cast("int").alias("slices"), F.count("*").alias("size"))
     sliced = members.join(sizes, "group").select("key", "group", "slices", F.pmod(F.xxhash64("key"), "slices").cast("int").alias("slice"))
     sets = written(token_sets(texts.join(sliced, "key"), n), "token-sets")
@@ -298,16 +305,49 @@ def link_documents(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERCE
     more = search(across.select("task", "side", "key", "component", "tokens"), percent)
     final = components(first_edges.union(more))
 
-    nodes = classes.join(final, F.col("first") == F.col("node"), "left").select("n", "d1", "d2", F.coalesce("component", "first").alias("component"))
-    out = documents.join(nodes, ["n", "d1", "d2"], "left")
-    return out.select(
-        external_key("key").alias("doc_id"), F.col("n").alias("n_shingles"), external_key(F.coalesce("component", "key")).alias("component_id")
+    nodes = written(
+        classes.join(final, F.col("first") == F.col("node"), "left").select("n", "d1", "d2", "least", F.coalesce("component", "first").alias("component")), "set-components"
     )
+    least = nodes.groupBy("component").agg(F.min("least").alias("least"))
+    placed = nodes.drop("least").join(least, "component")
+    return documents.join(placed, ["n", "d1", "d2"], "left").select("row", "key", "n", "component", "least")
+
+
+def _rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    return keyed_texts(docs, id_column, text_column).select(F.xxhash64("key", "text").alias("row"), "key", "text")
+
+
+def link_documents(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERCENT, slice_members: int = SLICE_MEMBERS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.
 
+    Two documents link when the intersection of their shingle sets is at least `percent` hundredths
+    of the union; component_id is the smallest id that links lead to. Null texts
+    and texts without words have no shingles and link with nothing. Every row is a document of its own, also
+    without an id (which counts as the largest: a component without any id has a null one) or with an id that others have.
+    An empty table gives no rows; other columns are not read.
+    """
+    found = linked_rows(_rows(docs, id_column, text_column), n, percent, slice_members)
+    return found.select(external_key("key").alias("doc_id"), F.col("n").alias("n_shingles"), external_key(F.coalesce("least", "key")).alias("component_id"))
 
-def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:
-    """The documents with the smallest id of their component, with all their columns."""
-    key = unused(docs, "kept_key")
-    found = link_documents(docs, id_column=id_column, text_column=text_column, **settings)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(internal_key("doc_id").alias(key)).distinct()
-    return docs.join(kept, internal_key(F.col(quoted(id_column))) == F.col(key), "left_semi")
+
+def keep_one_of_each(
+    docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERCENT, slice_members: int = SLICE_MEMBERS, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """One document of every component, that with the smallest id, with all its columns; every document without words.
+
+    Of rows that repeat the id and the text of the one that stays, the row whose other columns hash lowest does.
+    """
+    found = written(linked_rows(_rows(docs, id_column, text_column), n, percent, slice_members), "linked-rows")
+    stay = found.filter("n > 0").groupBy("component").agg(F.min(F.struct("key", "row")).alias("m")).select(F.col("m.row").alias("row"))
+    often = found.groupBy("row").agg(F.count(F.lit(1)).alias("times"))
+    name = unused(docs, "kept_row")
+    stay = written(stay.join(often, "row").select(F.col("row").alias(name), "times"), "kept-rows")
+    text = F.coalesce(F.col(quoted(text_column)), F.lit(""))
+    marked = docs.withColumn(name, F.xxhash64(internal_key(F.col(quoted(id_column))), text))
+    columns = [F.col(quoted(c)) for c in docs.columns]
+    plain = [F.col(quoted(f.name)) for f in docs.schema if f.dataType.typeName() not in ("map", "variant")]
+    once = marked.join(stay.filter("times = 1").select(name), name, "left_semi").select(*columns)
+    repeated = marked.join(stay.filter("times > 1").select(name), name, "left_semi")
+    best = repeated.groupBy(name).agg(F.min_by(F.struct(*columns), F.xxhash64(*plain)).alias("best")).select("best.*")
+    wordless = docs.filter(~text.rlike(r"[^\x20\x09-\x0D]"))
+    return once.unionByName(best).unionByName(wordless)

@@ -45,8 +45,8 @@ class Packer:
     (value 2) set when there was more than one.
     """
 
-    def __init__(self, bucket_of: Callable[[np.ndarray], np.ndarray], narrow_bits: int | None = None):
-        self.bucket_of, self.narrow_bits = bucket_of, narrow_bits
+    def __init__(self, bucket_of: Callable[[np.ndarray], np.ndarray], narrow_bits: int | None = None, block_entries: int = BLOCK_ENTRIES):
+        self.bucket_of, self.narrow_bits, self.block_entries = bucket_of, narrow_bits, block_entries
         self.block = TaskContext.get().partitionId() << 20
         self.held: list[tuple[np.ndarray, ...]] = []
         self.size = 0
@@ -54,7 +54,7 @@ class Packer:
     def add(self, owners: np.ndarray, prints: np.ndarray, marks: np.ndarray, *leads: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.held.append((owners, prints, marks, *leads))
         self.size += len(prints)
-        if self.size >= BLOCK_ENTRIES:
+        if self.size >= self.block_entries:
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:

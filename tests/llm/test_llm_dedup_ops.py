@@ -6,14 +6,15 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.llm.components import components
 from corpusloom.llm.exact_dedup import drop_copies, find_copies, merge_runs
-from corpusloom.llm.jaccard_join import keep_one_of_each, link_documents
+from corpusloom.llm.jaccard_join import group_members, group_pairs, keep_one_of_each, link_documents, matrix, shared_tokens
 from corpusloom.llm.queries import ORACLES, QUERIES
 from corpusloom.llm.substring_dedup import remove_repeats
 from corpusloom.llm.suffix_dedup import remove_repeated_bytes
-from llm_tables import no_docs, odd, odd_docs  # noqa: F401
+from llm_tables import no_docs, odd, odd_docs, passage  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LAST = 1 << 63
@@ -105,30 +106,35 @@ def test_windows_too_short_for_the_sampling_are_refused(odd_docs):
         remove_repeated_bytes(odd_docs, 100, 64, 32)
 
 
-def brute_links(rows, n=5, percent=75):
-    sets, parent = [], {}
-    for doc_id, text in rows:
+def brute_components(rows, n=5, percent=75):
+    """Per row its set size and the number of its component; every row is a node of its own."""
+    sets, parent = [], list(range(len(rows)))
+    for _, text in rows:
         words = WORD.findall((text or "").translate(LOWER))
-        sets.append((key(doc_id), frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if len(words) >= n else frozenset([tuple(words)] if words else [])))
-        parent[key(doc_id)] = key(doc_id)
+        sets.append(frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if len(words) >= n else frozenset([tuple(words)] if words else []))
 
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for i, (a, s) in enumerate(sets):
-        for b, t in sets[:i]:
+    for i, s in enumerate(sets):
+        for j, t in enumerate(sets[:i]):
             if s and t and 100 * len(s & t) >= percent * len(s | t):
-                x, y = find(a), find(b)
-                parent[max(x, y)] = min(x, y)
-    return sorted((a, len(s), find(a) if s else a) for a, s in sets)
+                parent[find(i)] = find(j)
+    return [(len(s), find(i)) for i, s in enumerate(sets)]
+
+
+def brute_links(rows, n=5, percent=75):
+    found, least = brute_components(rows, n, percent), {}
+    for (doc_id, _), (_, component) in zip(rows, found):
+        least[component] = min(least.get(component, key(None)), key(doc_id))
+    return sorted((key(doc_id), size, least[component]) for (doc_id, _), (size, component) in zip(rows, found))
 
 
 @pytest.mark.parametrize("slice_members", [512, 2])
 def test_links_and_components(odd_docs, odd, slice_members):
     got = link_documents(odd_docs, slice_members=slice_members).collect()
-    # Rows of one id are one node: the brute force knows no more of the set without words than that.
     want = brute_links([(r[0], r[1]) for r in odd])
     assert sorted((key(r.doc_id), r.n_shingles, key(r.component_id)) for r in got) == want
 
@@ -150,14 +156,53 @@ def test_links_in_a_large_group_of_near_copies(spark, slice_members):
     assert got == brute_links(rows)
 
 
-def test_one_document_of_each_group_stays(odd_docs, no_docs):
+def test_one_document_of_each_group_stays(odd_docs, no_docs, odd):
     left = keep_one_of_each(odd_docs)
     assert left.columns == odd_docs.columns
-    found = {(r.doc_id, r.component_id) for r in link_documents(odd_docs).collect()}
-    assert {r.doc_id for r in left.collect()} == {d for d, c in found if d == c}
+    rows = [(r[0], r[1]) for r in odd]
+    found = brute_components(rows)
+    groups = {}
+    for row, (size, component) in zip(rows, found):
+        if size:
+            groups.setdefault(component, []).append(row)
+    want = [min(g, key=lambda r: key(r[0]))[0] for g in groups.values()] + [r[0] for r, (size, _) in zip(rows, found) if not size]
+    assert sorted(key(r.doc_id) for r in left.collect()) == sorted(map(key, want))
     assert link_documents(no_docs).count() == keep_one_of_each(no_docs).count() == 0
 
 
+def test_rows_without_an_id_lose_nothing(spark):
+    a, b, c = (passage(60, seed) for seed in (21, 22, 23))
+    near = lambda t: t + " tail"
+    rows = [(5, a, "x"), (None, near(a), "x"), (None, b, "x"), (7, c, "x"), (None, near(c), "x"), (None, b, "y"), (None, b, "y"), (None, " ", "z"), (None, " ", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept_row string")
+    got = sorted((key(r.doc_id), r.text) for r in keep_one_of_each(docs).collect())
+    assert got == sorted([(5, a), (7, c), (key(None), b), (key(None), " "), (key(None), " ")])
+    found = sorted((key(r.doc_id), key(r.component_id)) for r in link_documents(docs).collect())
+    assert found == sorted([(5, 5), (7, 7), (key(None), 5), (key(None), 7)] + [(key(None), key(None))] * 5)
+
+
+def test_near_copies_make_few_groups_and_work_is_linear_without_ids(spark):
+    import random
+
+    rng = random.Random(9)
+    base = passage(300, 30).split()
+    rows = []
+    for _ in range(300):
+        words = list(base)
+        words[rng.randrange(300)] = f"n{rng.randrange(10**9)}"
+        rows.append((None, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    texts = docs.select(F.xxhash64("text").alias("key"), "text")
+    tokens = shared_tokens(texts, 16, 5)
+    assert tokens.count() == 300 and tokens.agg(F.max(F.size("prints"))).first()[0] <= 296
+    packed = matrix(texts.join(tokens, "key"), 16, 5, 75)
+    assert group_members(packed).count() == 300
+    pairs = group_pairs(packed.filter("bucket >= 0"), 16).count()
+    assert group_members(packed).select("group").distinct().count() <= 60 and pairs <= 1_800
+    assert {r.component_id for r in link_documents(docs).collect()} == {None}
+    assert keep_one_of_each(docs).count() == 1
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(8, 60)] + [(5, 5)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
