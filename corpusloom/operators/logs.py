@@ -41,10 +41,10 @@ def level_counts(parsed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return counts.withColumn("share", share).orderBy(*by, L.severity_rank(F.col("level")))
 
 
-def error_groups(parsed: DataFrame, order: str) -> DataFrame:
+def error_groups(parsed: DataFrame, order: str, line: str = "line") -> DataFrame:
     """Templates of error lines: count, first line and the message seen there.
     Counted on the map side, so one flooding error does not load one task."""
-    return with_examples(parsed, counted_errors(parsed, order), order)
+    return with_examples(parsed, counted_errors(parsed, order), order, line)
 
 
 def counted_errors(parsed: DataFrame, order: str) -> DataFrame:
@@ -53,17 +53,19 @@ def counted_errors(parsed: DataFrame, order: str) -> DataFrame:
     return errors.groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first_line"))
 
 
-def with_examples(parsed: DataFrame, counted: DataFrame, order: str) -> DataFrame:
-    """The message of each template's first line, joined back by the line's number."""
-    firsts = parsed.filter(F.col("level").isin(*L.ERROR_LEVELS)).select(F.col(order).alias("first_line"), F.col("template"), F.col("message").alias("example"))
-    return counted.join(firsts, ["first_line", "template"]).select("template", "n", "example", "first_line")
+def with_examples(parsed: DataFrame, counted: DataFrame, order: str, line: str = "line") -> DataFrame:
+    """The message of each template's first line. The bare lines are joined by their number, and only
+    those that were found are taken apart again."""
+    bare = parsed.filter(F.col("level").isin(*L.ERROR_LEVELS)).select(F.col(order).alias("first_line"), F.col(line).alias("_text"))
+    found = counted.join(bare, "first_line").withColumn("example", L.message_of(F.col("_text")))
+    return found.filter(L.template_of(F.col("example")) == F.col("template")).select("template", "n", "example", "first_line")
 
 
-def top_errors(parsed: DataFrame, order: str, top: int = 10) -> DataFrame:
+def top_errors(parsed: DataFrame, order: str, top: int = 10, line: str = "line") -> DataFrame:
     if top < 1:
         raise ValueError("top must be at least 1.")
     most = counted_errors(parsed, order).orderBy(F.col("n").desc(), "first_line").limit(top)
-    return with_examples(parsed, most, order).orderBy(F.col("n").desc(), "first_line").limit(top)
+    return with_examples(parsed, most, order, line).orderBy(F.col("n").desc(), "first_line").limit(top)
 
 
 @dataclass(frozen=True)
