@@ -370,7 +370,7 @@ def m8_two(spark, folder):
 @query("m9_rbf_regression")
 def m9(spark, folder):
     prep, prepared = _prepared_lines(spark, folder)
-    model = P.KernelRidgeLike().fit(prepared.filter("partition = 'train'"), prep.feature_names_out, "price")
+    model = P.FourierSVR().fit(prepared.filter("partition = 'train'"), prep.feature_names_out, "price")
     return M.regression_scores(model.predict(prepared), "price", "prediction", ["partition"])
 
 

@@ -11,7 +11,6 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
@@ -30,6 +29,7 @@ from corpusloom.operators.resample import balanced_weights, over_sample, smote,
 from corpusloom.operators.split import stratified_quotas
 from corpusloom.operators.stats import strongest
 from corpusloom.plans.exact_trees import ExactModel, ExactTrees
+from corpusloom.plans.kernel_svr import FourierSVR
 from corpusloom.workspace import materialise
 
 # Forest size, seed, the single-feature model's column, curve points.
@@ -223,55 +223,6 @@ def compare_resampling(
 
 
 # -- regressors ------------------------------------------------------------
-class KernelRidgeLike:
-    """RBF regression by random Fourier features (Rahimi & Recht 2007).
-
-    The kernel is approximated by cosines of random projections, and a linear model
-    with a robust loss is fitted to the standardised target; predictions are scaled
-    back. An approximation meant for large data, not a support vector machine.
-    """
-
-    def __init__(self, components: int = 200, c: float = 100.0, gamma: float | None = None, seed: int = SEED):
-        self.components, self.c, self.gamma, self.seed = components, c, gamma, seed
-
-    def fit(self, train: DataFrame, columns: Sequence[str], target: str) -> KernelRidgeLike:
-        row = train.agg(
-            F.avg(target).alias("m"), F.stddev_pop(target).alias("s"), F.count(F.lit(1)).alias("n"),
-            *[F.avg(quoted(c)).alias(f"m{i}") for i, c in enumerate(columns)],
-            *[F.avg(quoted(c) * quoted(c)).alias(f"q{i}") for i, c in enumerate(columns)],
-        ).first()
-        width = len(columns)
-        mean = sum(row[f"m{i}"] for i in range(width)) / width
-        spread = sum(row[f"q{i}"] for i in range(width)) / width - mean**2
-        gamma = self.gamma or 1.0 / (width * (spread or 1.0))
-        rng = np.random.default_rng(self.seed)
-        self.weights = rng.normal(scale=math.sqrt(2 * gamma), size=(width, self.components))
-        self.phases = rng.uniform(0, 2 * math.pi, self.components)
-        self.columns, self.mean, self.scale = list(columns), row["m"], row["s"] or 1.0
-        scaled = self._features(train).withColumn("_y", (F.col(target) - self.mean) / self.scale)
-        scaled = materialise(scaled.select("_z", "_y"), "fourier")
-        self.linear = LinearRegression(
-            featuresCol="_z", labelCol="_y", loss="huber", regParam=1.0 / (self.c * row["n"]), maxIter=100,
-        ).fit(scaled)
-        return self
-
-    def _features(self, df: DataFrame) -> DataFrame:
-        weights, phases, size = self.weights, self.phases, math.sqrt(2 / self.components)
-
-        @F.pandas_udf("array<double>")
-        def cosines(values: pd.Series) -> pd.Series:
-            if not len(values):
-                return pd.Series([], dtype=object)
-            z = size * np.cos(np.vstack(values.to_list()) @ weights + phases)
-            return pd.Series(list(z))
-
-        return df.withColumn("_z", array_to_vector(cosines(F.array(*[quoted(c) for c in self.columns]))))
-
-    def predict(self, df: DataFrame) -> DataFrame:
-        scored = self.linear.transform(self._features(df))
-        return scored.withColumn("prediction", F.col("prediction") * self.scale + self.mean)
-
-
 def polynomial(degree: int, numeric: Sequence[str], others: Sequence[str], target: str) -> Pipeline:
     """All monomials of the numeric columns up to `degree`, without a constant; the
     0/1 columns enter as they are, since their powers repeat them."""
@@ -318,14 +269,14 @@ def run_comparison(
         "Simple linear (1 feature)": lambda: LinearRegression(featuresCol="_one", **line).fit(train),
         "Multiple linear": lambda: LinearRegression(**line).fit(train),
         "Polynomial (degree 3)": lambda: polynomial(3, numeric, rest, target).fit(train),
-        "RBF (random Fourier features)": lambda: KernelRidgeLike(fourier_components, seed=seed).fit(train, names, target),
+        "RBF (random Fourier features)": lambda: FourierSVR(fourier_components, seed=seed).fit(train, names, target),
         "Decision tree": lambda: grown(1).fit(train),
         f"Random forest ({trees} trees)": lambda: grown(trees).fit(train),
     }
     models = dict(zip(fits, side_by_side(list(fits.values()))))
     scored = None
     for name, model in models.items():
-        predicted = model.predict(wide) if isinstance(model, KernelRidgeLike) else model.transform(wide)
+        predicted = model.predict(wide) if isinstance(model, FourierSVR) else model.transform(wide)
         part = predicted.select(F.lit(name).alias("model"), "partition", target, "prediction")
         scored = part if scored is None else scored.unionByName(part)
     width = F.when(F.col("model").startswith("Simple"), 1).otherwise(len(names)).alias("n_features")
