@@ -40,9 +40,18 @@ def drop_duplicates(df: DataFrame, key: str, subset: Sequence[str] | None = None
     return df.join(winners, F.col(quoted(key)).eqNullSafe(F.col("_first")), "left_semi")
 
 
+def one_of_each(marked: DataFrame, columns: Sequence[str], *others: str) -> DataFrame:
+    """One row per digest with its values; those of `others` are equal within a digest."""
+    values = [F.first(quoted(c)).alias(c) for c in [*columns, *others]]
+    return marked.groupBy(*DIGEST).agg(*values).drop(*DIGEST)
+
+
 def duplicate_groups(df: DataFrame, subset: Sequence[str]) -> DataFrame:
-    """Values that occur more than once, with their row count `n`."""
-    return df.groupBy(*[quoted(c) for c in subset]).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    """Values that occur more than once, with their row count `n`. Digests are counted; only
+    repeated rows are read for their values, and not even those if just `n` is asked for."""
+    counts = df.select(*row_digest(subset)).groupBy(*DIGEST).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    marked = df.select(*[quoted(c) for c in subset], *row_digest(subset)).join(counts, DIGEST)
+    return one_of_each(marked, subset, "_n").withColumnRenamed("_n", "n")
 
 
 def duplicate_members(df: DataFrame, subset: Sequence[str]) -> DataFrame:
@@ -68,9 +77,16 @@ def duplicate_summary(df: DataFrame, subset: Sequence[str] | None = None) -> Dat
 
 
 def overlap(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct rows found on both sides (nulls equal), in one grouped pass."""
-    both = left.select(*columns, F.lit(0).alias("_side")).unionByName(
-        right.select(*columns, F.lit(1).alias("_side"))
-    )
-    sides = both.groupBy(*columns).agg(F.min("_side").alias("_lo"), F.max("_side").alias("_hi"))
-    return sides.filter("_lo = 0 AND _hi = 1").select(*columns)
+    """Distinct rows found on both sides (nulls equal): digests are grouped in one pass, the values of those met are read from `left`."""
+    names = [quoted(c) for c in columns]
+    # Both sides in the types a union of them has, so that equal values hash alike.
+    typed = left.select(*names).limit(0).unionByName(right.select(*names).limit(0)).schema
+    narrow = [side.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in typed]) for side in (left, right)]
+    both = None
+    for i, side in enumerate(narrow):
+        part = side.select(*row_digest(columns), F.lit(i).alias("_side"))
+        both = part if both is None else both.unionByName(part)
+    sides = both.groupBy(*DIGEST).agg(F.min("_side").alias("_lo"), F.max("_side").alias("_hi"))
+    shared = sides.filter("_lo = 0 AND _hi = 1").select(*DIGEST)
+    marked = narrow[0].select(*names, *row_digest(columns))
+    return one_of_each(marked.join(shared, DIGEST, "left_semi"), columns)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import prep as P
-from corpusloom.operators.dedupe import overlap
+from corpusloom.operators.dedupe import duplicate_groups, overlap
 from corpusloom.operators.metrics import leak_check
 from corpusloom.operators.split import TrainingPartition, split_rows, stratified_quotas, test_quota as quota_of
 
@@ -232,3 +232,13 @@ def test_prepare_split(mixed):
     assert "colour_blue" not in prep.feature_names_out
     summary = {r.column: r for r in prep.summary(mixed.sparkSession).collect()}
     assert summary["colour"].n_levels == 3 and summary["n"].kind == "numeric"
+
+
+def test_overlap_and_groups_by_digest(spark):
+    left = spark.createDataFrame([(1, "a", None), (1, "a", None), (2, "b", 0.0), (3, None, 1.0), (4, "", 2.0)], "`i.d` int, t string, x double")
+    right = spark.createDataFrame([(1, "a", None), (2, "b", -0.0), (3, None, 1.0), (4, None, 2.0)], "`i.d` long, t string, x double")
+    got = sorted(map(tuple, overlap(left, right, ["i.d", "t", "x"]).collect()), key=str)
+    assert got == [(1, "a", None), (2, "b", 0.0), (3, None, 1.0)]
+    assert overlap(left.limit(0), right, ["i.d", "t", "x"]).count() == 0
+    assert [tuple(r) for r in duplicate_groups(left, ["i.d", "t", "x"]).collect()] == [(1, "a", None, 2)]
+    assert duplicate_groups(left.limit(0), ["t"]).columns == ["t", "n"]
