@@ -12,6 +12,7 @@ from corpusloom.operators.metrics import leak_check
 from corpusloom.operators.split import assign_partitions, split_rows
 from corpusloom.operators.stats import melt
 from corpusloom.operators.wide import WideEncoder
+from corpusloom.plans.models import simple_line
 
 from .base import LABELLED, PRICED, labelled, priced_lines, query, rounded, sql_hash, table
 from .listings import CLEANED, cleaned
@@ -130,6 +131,25 @@ def j2(spark, folder):
     return scored.join(split.meta("test"), "doc_id", "left").select("doc_id", F.md5("text").alias("digest"), "y", "n_chars")
 
 
+@query(
+    "j2_predicted_classes_with_meta",
+    _SPLIT_LABELS + ", line AS (SELECT regr_slope(y, length(text)) AS a, regr_intercept(y, length(text)) AS b, avg(y) AS rate FROM assigned WHERE partition = 'train') "
+    "SELECT doc_id, md5(text) AS digest, y, round(a * length(text) + b, 6) AS p, CAST(round(a * length(text) + b, 6) >= round(rate, 6) AS INTEGER) AS predicted "
+    "FROM assigned, line WHERE partition = 'test'",
+)
+def j2_predicted(spark, folder):
+    """A line through the training half gives each held-out row its score and class; the texts come from the meta columns."""
+    split = split_rows(
+        labelled(spark, folder).withColumn("n_chars", F.length("text").cast("double")), "doc_id", target="y", stratify=True, keep_columns=["n_chars"]
+    )
+    train = split.assigned.filter("partition = 'train'")
+    slope, intercept, _ = simple_line(train, "n_chars", "y")
+    rate = train.agg(F.avg("y")).first()[0]
+    p = F.round(F.lit(slope) * F.col("n_chars") + F.lit(intercept), 6)
+    scored = split.test_rows.select("doc_id", "y", p.alias("p")).withColumn("predicted", (F.col("p") >= round(rate, 6)).cast("int"))
+    return scored.join(split.meta("test"), "doc_id", "left").select("doc_id", F.md5("text").alias("digest"), "y", "p", "predicted")
+
+
 @query(
     "a28_duplicates_with_and_without_target",
     "WITH n AS (SELECT count(*) AS n_rows FROM lineitem) SELECT 'features' AS scope, n_rows, n_rows - (SELECT count(*) FROM "
@@ -182,6 +202,32 @@ def t3(spark, folder):
     return listing_split(spark, folder).assigned.groupBy("partition").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "t3_fitted_against_full_medians",
+    PREPARED + ", tall_full AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM assigned" for c in _NUMERIC) + ") "
+    "SELECT fills.feature, round(any_value(fill), 6) AS fitted, round(coalesce(median(value), 0.0), 6) AS full_median, true AS full_table_rejected, "
+    "true AS test_half_rejected FROM fills JOIN tall_full ON fills.feature = tall_full.feature GROUP BY fills.feature",
+)
+def t3_fitted(spark, folder):
+    """What was learnt from the training half beside the same statistic of all rows, and the fits that are refused."""
+    split, prep = fitted(spark, folder)
+
+    def refused(rows):
+        try:
+            P.Preparation().fit(rows)
+        except TypeError:
+            return True
+        return False
+
+    full = split.assigned.select(*[F.col(c).cast("double").alias(c) for c in _NUMERIC])
+    tall = full.unpivot([], list(_NUMERIC), "feature", "value")
+    medians = tall.groupBy("feature").agg(F.round(F.coalesce(F.median("value"), F.lit(0.0)), 6).alias("full_median"))
+    learnt = prep.summary(spark).filter("kind = 'numeric'").select(F.col("column").alias("feature"), F.round(F.col("fill").cast("double"), 6).alias("fitted"))
+    return learnt.join(medians, "feature").select(
+        "*", F.lit(refused(split.assigned)).alias("full_table_rejected"), F.lit(refused(split.test_X)).alias("test_half_rejected")
+    )
+
+
 @query("t4_numeric_imputation", PREPARED + " SELECT feature, round(fill, 6) AS fill FROM fills")
 def t4(spark, folder):
     _, prep = fitted(spark, folder)
