@@ -54,6 +54,12 @@ def keyed_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     )
 
 
+def row_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """As `keyed_texts`, and row: a 64-bit hash of id and text. Rows without an id, or with one id in common, have
+    rows of their own; only rows equal in both share one, and their answers are the same."""
+    return keyed_texts(docs, id_column, text_column).select(F.xxhash64("key", "text").alias("row"), "key", "text")
+
+
 def power_of_two(n: float, least: int = 1) -> int:
     out = least
     while out < n:

@@ -21,6 +21,7 @@ from corpusloom.llm.grams import mixed
 
 ENTRIES = "bucket long, block long, owners array<long>, owner_at array<int>, prints array<long>, marks array<byte>"
 LED_ENTRIES = ENTRIES + ", leads array<int>"
+NAMED_ENTRIES = ENTRIES + ", ids array<long>"
 NARROW_ENTRIES = ENTRIES.replace("prints array<long>", "prints array<int>")
 FOUND = "block long, owners array<long>, owner_at array<int>, prints array<long>, values array<long>"
 PER_OWNER = "key long, prints array<long>, values array<long>"
@@ -42,11 +43,14 @@ class Packer:
 
     `bucket_of` maps prints (or the leads, where they are given) to buckets. With `narrow_bits` the bucket is the print's top bits and only the 32 bits below
     them travel. Equal (owner, print) pairs of a block become one entry whose mark is the bitwise or of theirs, with bit 1
-    (value 2) set when there was more than one.
+    (value 2) set when there was more than one. With `with_ids` the further column of `add` is no lead but a
+    number of the owner, sent once per owner and row.
     """
 
-    def __init__(self, bucket_of: Callable[[np.ndarray], np.ndarray], narrow_bits: int | None = None, block_entries: int = BLOCK_ENTRIES):
-        self.bucket_of, self.narrow_bits, self.block_entries = bucket_of, narrow_bits, block_entries
+    def __init__(
+        self, bucket_of: Callable[[np.ndarray], np.ndarray], narrow_bits: int | None = None, block_entries: int = BLOCK_ENTRIES, with_ids: bool = False
+    ):
+        self.bucket_of, self.narrow_bits, self.block_entries, self.with_ids = bucket_of, narrow_bits, block_entries, with_ids
         self.block = TaskContext.get().partitionId() << 20
         self.held: list[tuple[np.ndarray, ...]] = []
         self.size = 0
@@ -62,7 +66,8 @@ class Packer:
             return
         owners, prints, marks, *leads = (np.concatenate(parts) for parts in zip(*self.held, strict=True))
         self.held, self.size = [], 0
-        names, owner = np.unique(owners, return_inverse=True)
+        names, begin, owner = np.unique(owners, return_index=True, return_inverse=True)
+        ids = leads.pop()[begin] if self.with_ids else None
         order = np.lexsort((owner, prints))
         owner, prints, marks = owner[order], prints[order], marks[order]
         first = np.ones(len(prints), bool)
@@ -85,14 +90,14 @@ class Packer:
                 sent = (sent >> np.uint64(32 - self.narrow_bits)).astype(np.uint32).view(np.int32)
             else:
                 sent = sent.view(np.int64)
-            extra = [] if lead is None else [lists((lead[a:b] >> np.uint64(32)).astype(np.uint32).view(np.int32), np.array([0, b - a]))]
+            extra = [lists(ids[mine], np.array([0, len(mine)]), pa.int64())] if self.with_ids else [] if lead is None else [lists((lead[a:b] >> np.uint64(32)).astype(np.uint32).view(np.int32), np.array([0, b - a]))]
             yield pa.record_batch(
                 [
                     pa.array([int(bucket[a])], pa.int64()), pa.array([block], pa.int64()),
                     lists(names[mine], np.array([0, len(mine)]), pa.int64()), lists(where.astype(np.int32), np.array([0, b - a])),
                     lists(sent, np.array([0, b - a])), lists(marks[a:b].view(np.int8), np.array([0, b - a])), *extra,
                 ],
-                names=["bucket", "block", "owners", "owner_at", "prints", "marks", "leads"][: 6 + len(extra)],
+                names=["bucket", "block", "owners", "owner_at", "prints", "marks", *["ids" if self.with_ids else "leads"] * len(extra)],
             )
 
 
@@ -107,7 +112,9 @@ class Bucket:
         self.row = np.repeat(np.arange(len(self.blocks)), sizes)
         base = owners.offsets.to_numpy()
         self.names = owners.values.to_numpy()
-        self.owner = self.names[owner_at.flatten().to_numpy() + base[:-1][self.row]]
+        place = owner_at.flatten().to_numpy() + base[:-1][self.row]
+        self.owner = self.names[place]
+        self.ids = column("ids").values.to_numpy()[place] if "ids" in table.column_names else None
         raw = prints.flatten().to_numpy()
         if narrow_bits is None:
             self.prints = raw.view(np.uint64)
@@ -118,9 +125,16 @@ class Bucket:
         self.leads = column("leads").flatten().to_numpy().view(np.uint32) if "leads" in table.column_names else None
 
     def answers(self, chosen: np.ndarray, values: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-        """The chosen entries, a row for each block they came from."""
+        """The chosen entries, a row for each block they came from. An owner that came from several blocks (equal
+        rows of the input) is answered in the first of them, so that its answers are never more than its own prints."""
         if not chosen.any():
             return
+        if len(np.unique(self.names)) < len(self.names):
+            at = np.flatnonzero(chosen)
+            at = at[np.lexsort((self.prints[at], self.owner[at]))]
+            again = (self.prints[at[1:]] == self.prints[at[:-1]]) & (self.owner[at[1:]] == self.owner[at[:-1]])
+            chosen = chosen.copy()
+            chosen[at[1:][again]] = False
         row, owner, prints = self.row[chosen], self.owner[chosen], self.prints[chosen]
         values = np.zeros(0, np.int64) if values is None else values[chosen]
         cuts = np.append(np.flatnonzero(np.diff(row, prepend=-1)), len(row))
@@ -181,4 +195,4 @@ def per_owner(found: DataFrame) -> DataFrame:
     return found.groupBy("block").applyInArrow(run, PER_OWNER)
 
 
-__all__ = ["Bucket", "ENTRIES", "FOUND", "LED_ENTRIES", "NARROW_ENTRIES", "Packer", "buckets_for", "cut_to_sent", "lists", "meet", "mixed", "per_owner", "top_bits"]
+__all__ = ["Bucket", "ENTRIES", "FOUND", "LED_ENTRIES", "NAMED_ENTRIES", "NARROW_ENTRIES", "Packer", "buckets_for", "cut_to_sent", "lists", "meet", "mixed", "per_owner", "top_bits"]

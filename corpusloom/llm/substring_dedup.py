@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import external_key, keyed_texts, text_bytes, written
+from corpusloom.llm.common import external_key, row_texts, text_bytes, written
 from corpusloom.llm.grams import Texts, chunks, covered, owners, texts_of, word_prints, word_windows, words_of
-from corpusloom.llm.packed_exchange import ENTRIES, NARROW_ENTRIES, Bucket, Packer, buckets_for, cut_to_sent, meet, per_owner, top_bits
+from corpusloom.llm.packed_exchange import NAMED_ENTRIES, NARROW_ENTRIES, Bucket, Packer, buckets_for, cut_to_sent, meet, per_owner, top_bits
 
 WINDOW = 13
 ALIGNED, SEVERAL = np.uint8(1), np.uint8(2)
@@ -44,14 +44,14 @@ def anchors(texts: DataFrame, buckets: int, window: int) -> DataFrame:
                 prints, at = word_windows(word_prints(own, words), words.offsets, n)
                 of = owners(at, words.offsets)
                 aligned = ((at - words.offsets[of]) % n == 0).astype(np.uint8)
-                yield from packer.add(part.column("key").to_numpy()[of], cut_to_sent(prints, bits), aligned)
+                yield from packer.add(part.column("row").to_numpy()[of], cut_to_sent(prints, bits), aligned)
         yield from packer.flush()
 
     return texts.mapInArrow(run, NARROW_ENTRIES)
 
 
 def hits(entries: DataFrame, buckets: int) -> DataFrame:
-    """key, prints: per document the anchors that occur in another document too, in the index at least once."""
+    """row, prints: per document the anchors that occur in another document too, in the index at least once."""
     _, bits = top_bits(buckets)
 
     def judge(bucket: Bucket) -> Iterator[pa.RecordBatch]:
@@ -64,8 +64,8 @@ def hits(entries: DataFrame, buckets: int) -> DataFrame:
 
 
 def merged(found: DataFrame) -> DataFrame:
-    """One row per key: a document's prints may come from several blocks if rows repeat its id."""
-    return found.groupBy("key").agg(F.flatten(F.collect_list("prints")).alias("prints"))
+    """One row per row hash: its prints come from several blocks if rows of the input are equal, but each from one of them."""
+    return found.groupBy(F.col("key").alias("row")).agg(F.flatten(F.collect_list("prints")).alias("prints"))
 
 
 def candidate_windows(own: Texts, prints: list[np.ndarray], window: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,26 +88,27 @@ def candidate_windows(own: Texts, prints: list[np.ndarray], window: int, bits: i
 
 
 def repeated(texts: DataFrame, found: DataFrame, buckets: int, window: int) -> DataFrame:
-    """key, prints: per document its windows that a document with a smaller key has as well."""
+    """row, prints: per document its windows that a document with a smaller key has as well."""
     bucket_of, bits = top_bits(buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(bucket_of)
+        packer = Packer(bucket_of, with_ids=True)
         for batch in batches:
             for part, own in chunks(batch):
                 useful = part.column("prints")
                 each = [useful[i].values.to_numpy().view(np.uint64) for i in range(len(useful))]
                 prints, of = candidate_windows(own, each, window, bits)
-                yield from packer.add(part.column("key").to_numpy()[of], prints, np.zeros(len(of), np.uint8))
+                rows, keys = (part.column(c).to_numpy()[of] for c in ("row", "key"))
+                yield from packer.add(rows, prints, np.zeros(len(of), np.uint8), keys)
         yield from packer.flush()
 
     def judge(bucket: Bucket) -> Iterator[pa.RecordBatch]:
         values, group = np.unique(bucket.prints, return_inverse=True)
         least = np.full(len(values), np.iinfo(np.int64).max)
-        np.minimum.at(least, group, bucket.owner)
-        yield from bucket.answers(least[group] < bucket.owner)
+        np.minimum.at(least, group, bucket.ids)
+        yield from bucket.answers(least[group] < bucket.ids)
 
-    candidates = texts.join(found, "key").mapInArrow(run, ENTRIES)
+    candidates = texts.join(found, "row").mapInArrow(run, NAMED_ENTRIES)
     return merged(per_owner(meet(candidates, judge)))
 
 
@@ -136,7 +137,7 @@ def strip(texts: DataFrame, removable: DataFrame, window: int, with_text: bool)
                 columns = [part.column("key"), pa.array(count, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests), pa.array(texts_left, pa.string())]
                 yield pa.record_batch(columns, names=["key", "n_words", "n_removed", "kept_sha256", "kept"])
 
-    return texts.join(removable, "key", "left").mapInArrow(run, RESULT)
+    return texts.join(removable, "row", "left").mapInArrow(run, RESULT)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text", with_text: bool = False) -> DataFrame:
@@ -147,7 +148,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
     rows of one id never remove each other's words. Null and empty texts have no words. An
     empty table gives no rows; other columns are not read.
     """
-    texts = keyed_texts(docs, id_column, text_column)
+    texts = row_texts(docs, id_column, text_column)
     buckets = buckets_for(docs.sparkSession, text_bytes(texts))
     found = written(hits(anchors(texts, buckets, window), buckets), "anchor-hits")
     removable = written(repeated(texts, found, buckets, window), "repeated-windows")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import external_key, keyed_texts, text_bytes, written
+from corpusloom.llm.common import external_key, row_texts, text_bytes, written
 from corpusloom.llm.grams import Texts, byte_windows, chunks, covered, mixed, owners, span_prints
 from corpusloom.llm.packed_exchange import ENTRIES, FOUND, LED_ENTRIES, NARROW_ENTRIES, Bucket, Packer, buckets_for, cut_to_sent, meet, per_owner, top_bits
 from corpusloom.llm.substring_dedup import merged
@@ -37,14 +37,19 @@ SAMPLE_TEXTS, SAMPLE_SUFFIXES = 2_000, 100_000
 RESULT = "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
 
-def long_enough(texts: Texts, length: int) -> tuple[Texts, np.ndarray]:
-    """The texts of at least `length` bytes, and which they are."""
+def subset(texts: Texts, keep: np.ndarray) -> tuple[Texts, np.ndarray]:
+    """The texts marked in `keep`, and which they are."""
     sizes = np.diff(texts.offsets)
-    which = np.flatnonzero(sizes >= length)
-    data = texts.data[np.repeat(sizes >= length, sizes)]
+    which = np.flatnonzero(keep)
+    data = texts.data[np.repeat(keep, sizes)]
     return Texts(data, np.concatenate([[0], np.cumsum(sizes[which])])), which
 
 
+def long_enough(texts: Texts, length: int) -> tuple[Texts, np.ndarray]:
+    """The texts of at least `length` bytes, and which they are."""
+    return subset(texts, np.diff(texts.offsets) >= length)
+
+
 def _sliding(values: np.ndarray, n: int, choose) -> np.ndarray:
     """Of every n (a power of two) values in a row, the least or greatest."""
     step = 1
@@ -55,11 +60,13 @@ def _sliding(values: np.ndarray, n: int, choose) -> np.ndarray:
 
 
 def minimizers(texts: Texts, gram: int, neighbours: int) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprint and place of every gram that is the least of some `neighbours` grams in a row."""
+    """Fingerprint and place of every gram that is the least of some `neighbours` grams in a row of its own text,
+    so that a text has the same ones whatever texts stand beside it."""
     prints, at = byte_windows(texts, gram)
     if len(prints) < neighbours:
         return prints[:0], at[:0]
     least = _sliding(prints, neighbours, np.minimum)
+    least[at[neighbours - 1 :] - at[: len(at) - neighbours + 1] != neighbours - 1] = 0
     edge = np.zeros(neighbours - 1, np.uint64)
     most = _sliding(np.concatenate([edge, least, edge]), neighbours, np.maximum)
     chosen = most == prints
@@ -76,7 +83,7 @@ def anchors(texts: DataFrame, buckets: int, shape: tuple[int, int, int]) -> Data
                 own, which = long_enough(every, length)
                 prints, at = minimizers(own, gram, neighbours)
                 of = which[owners(at, own.offsets)] if len(at) else at
-                yield from packer.add(part.column("key").to_numpy()[of], cut_to_sent(prints, bits), np.zeros(len(of), np.uint8))
+                yield from packer.add(part.column("row").to_numpy()[of], cut_to_sent(prints, bits), np.zeros(len(of), np.uint8))
         yield from packer.flush()
 
     return texts.mapInArrow(run, NARROW_ENTRIES)
@@ -89,7 +96,7 @@ def _met_again(bucket: Bucket, group: np.ndarray, n: int) -> np.ndarray:
 
 
 def hits(entries: DataFrame, buckets: int) -> DataFrame:
-    """key, prints: per document the minimizers that occur in another place too."""
+    """row, prints: per document the minimizers that occur in another place too."""
     _, bits = top_bits(buckets)
 
     def judge(bucket: Bucket) -> Iterator[pa.RecordBatch]:
@@ -190,7 +197,7 @@ def among(prints: np.ndarray, of: np.ndarray, known: list[np.ndarray]) -> np.nda
 
 
 def repeated_stretches(texts: DataFrame, buckets: int, shape: tuple[int, int, int]) -> DataFrame:
-    """key, stretches (those that occur in another place too) and leading (those of them that this text stands for)."""
+    """row, stretches (those that occur in another place too) and leading (those of them that this text stands for)."""
     bucket_of, bits = top_bits(buckets)
     length = shape[0]
 
@@ -201,7 +208,7 @@ def repeated_stretches(texts: DataFrame, buckets: int, shape: tuple[int, int, in
                 own, which = long_enough(every, length)
                 got = suffixes(own, shape, bits, known_of(part.column("prints"), which))
                 of = which[got.stretch_of]
-                yield from packer.add(part.column("key").to_numpy()[of], got.stretch, np.zeros(len(of), np.uint8))
+                yield from packer.add(part.column("row").to_numpy()[of], got.stretch, np.zeros(len(of), np.uint8))
         yield from packer.flush()
 
     def judge(bucket: Bucket) -> Iterator[pa.RecordBatch]:
@@ -211,12 +218,12 @@ def repeated_stretches(texts: DataFrame, buckets: int, shape: tuple[int, int, in
         yield from bucket.answers(_met_again(bucket, group, len(values)), (bucket.owner == least[group]).astype(np.int64))
 
     found = per_owner(meet(texts.mapInArrow(run, ENTRIES), judge))
-    both = found.groupBy("key").agg(F.flatten(F.collect_list("prints")).alias("stretches"), F.flatten(F.collect_list("values")).alias("first"))
-    return both.select("key", "stretches", F.filter("stretches", lambda _, i: F.get("first", i) == 1).alias("leading"))
+    both = found.groupBy(F.col("key").alias("row")).agg(F.flatten(F.collect_list("prints")).alias("stretches"), F.flatten(F.collect_list("values")).alias("first"))
+    return both.select("row", "stretches", F.filter("stretches", lambda _, i: F.get("first", i) == 1).alias("leading"))
 
 
 def repeated(texts: DataFrame, buckets: int, cuts: np.ndarray, shape: tuple[int, int, int]) -> DataFrame:
-    """key, prints: per text the suffixes outside repeated stretches that occur in another place too."""
+    """row, prints: per text the suffixes outside repeated stretches that occur in another place too."""
     _, bits = top_bits(buckets)
     length = shape[0]
 
@@ -232,7 +239,7 @@ def repeated(texts: DataFrame, buckets: int, cuts: np.ndarray, shape: tuple[int,
                 prints, at = got.prints[sent], got.at[sent]
                 of = which[owners(at, own.offsets)] if len(at) else at
                 marks = np.where(leading[sent], SEVERAL, 0).astype(np.uint8) | np.where(settled[sent], 0, OPEN).astype(np.uint8)
-                yield from packer.add(part.column("key").to_numpy()[of], prints, marks, sort_keys(own.data, at, prints))
+                yield from packer.add(part.column("row").to_numpy()[of], prints, marks, sort_keys(own.data, at, prints))
         yield from packer.flush()
 
     def judge(bucket: Bucket) -> Iterator[pa.RecordBatch]:
@@ -253,17 +260,17 @@ def strip(texts: DataFrame, shape: tuple[int, int, int], with_text: bool) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, every in chunks(batch):
-                out = np.zeros(len(every.data), bool)
-                own, which = long_enough(every, length)
-                windows, stretches = known_of(part.column("prints"), which), known_of(part.column("stretches"), which)
-                if any(map(len, windows)) or any(map(len, stretches)):
+                sizes = np.diff(every.offsets)
+                shared = part.column("shared").to_numpy(zero_copy_only=False).astype(bool) & (sizes >= length)
+                out = np.repeat(shared, sizes)
+                known = part.column("prints").is_valid().to_numpy(zero_copy_only=False) | part.column("stretches").is_valid().to_numpy(zero_copy_only=False)
+                open_ones = known & ~shared & (sizes >= length)
+                if open_ones.any():
+                    own, which = subset(every, open_ones)
+                    windows, stretches = known_of(part.column("prints"), which), known_of(part.column("stretches"), which)
                     got = suffixes(own, shape, 0)
                     gone = got.inside(among(got.stretch, got.stretch_of, stretches)) | among(got.prints, owners(got.at, own.offsets), windows)
-                    out[np.repeat(np.diff(every.offsets) >= length, np.diff(every.offsets))] = covered(got.at[gone], length, len(own.data))
-                shared = part.column("shared").to_pylist()
-                for i in which.tolist():
-                    if shared[i]:
-                        out[every.offsets[i] : every.offsets[i + 1]] = True
+                    out[np.repeat(open_ones, sizes)] = covered(got.at[gone], length, len(own.data))
                 removed, spans, digests, texts_left = [], [], [], []
                 for i in range(every.count):
                     mine = out[every.offsets[i] : every.offsets[i + 1]]
@@ -291,24 +298,22 @@ def remove_repeated_bytes(
     if gram + 2 * neighbours > length or neighbours & (neighbours - 1):
         raise ValueError("neighbours must be a power of two, and gram + 2 * neighbours at most length")
     shape = (length, gram, neighbours)
-    texts = keyed_texts(docs, id_column, text_column)
+    texts = row_texts(docs, id_column, text_column)
     spark = docs.sparkSession
     total = text_bytes(texts)
     buckets = buckets_for(spark, total)
-    # Whole documents that occur again: the digests each id has in common, and those it was not the first with.
-    digests = written(texts.select("key", F.sha2("text", 256).alias("digest")), "whole-digests")
-    first = digests.groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("size")).filter("size > 1")
-    groups = digests.distinct().join(first, "digest").groupBy("key")
-    shared = written(groups.agg(F.collect_set("digest").alias("shared"), F.collect_set(F.when(F.col("key") > F.col("first"), F.col("digest"))).alias("later_copies")), "whole-copies")
-    none = F.array().cast("array<string>")
-    found = hits(anchors(texts, buckets, shape), buckets).join(shared.select("key", "later_copies"), "key", "left")
-    found = written(found.withColumn("later_copies", F.coalesce("later_copies", none)), "minimizer-hits")
+    # Whole documents that occur again; of each, the least row is searched and the others are its later copies.
+    digests = written(texts.select("row", F.sha2("text", 256).alias("digest")), "whole-digests")
+    first = digests.groupBy("digest").agg(F.min("row").alias("first"), F.count("*").alias("size")).filter("size > 1")
+    shared = written(digests.distinct().join(first, "digest").select("row", (F.col("row") > F.col("first")).alias("later")), "whole-copies")
+    found = hits(anchors(texts.select("row", "text"), buckets, shape), buckets).join(shared, "row", "left")
+    found = written(found.filter(~F.coalesce("later", F.lit(False))).select("row", "prints"), "minimizer-hits")
     # Texts that may repeat something, without later copies of whole documents.
-    open_texts = texts.join(found, "key").filter(~F.array_contains("later_copies", F.sha2("text", 256))).select("key", "text", "prints")
+    open_texts = texts.select("row", "text").join(found, "row")
     stretches = written(repeated_stretches(open_texts, buckets, shape), "repeated-stretches")
     cuts = splitters(texts, digests.count(), buckets, length)
-    rest = written(repeated(open_texts.join(stretches, "key", "left"), buckets, cuts, shape), "repeated-suffixes")
-    removable = rest.join(stretches.select("key", "stretches"), "key", "full").join(shared.select("key", "shared"), "key", "full")
-    every = texts.join(removable, "key", "left").withColumn("shared", F.coalesce(F.array_contains("shared", F.sha2("text", 256)), F.lit(False)))
+    rest = written(repeated(open_texts.join(stretches, "row", "left"), buckets, cuts, shape), "repeated-suffixes")
+    removable = rest.join(stretches.select("row", "stretches"), "row", "full").join(shared.select("row", F.lit(True).alias("shared")), "row", "full")
+    every = texts.join(removable, "row", "left").withColumn("shared", F.coalesce("shared", F.lit(False)))
     out = strip(every, shape, with_text)
     return out.select(external_key("key").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_text)

@@ -5,15 +5,18 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import row_texts
 from corpusloom.llm.components import components
 from corpusloom.llm.exact_dedup import drop_copies, find_copies, merge_runs
+from corpusloom.llm.grams import Texts
 from corpusloom.llm.jaccard_join import group_members, group_pairs, keep_one_of_each, link_documents, matrix, shared_tokens
 from corpusloom.llm.queries import ORACLES, QUERIES
-from corpusloom.llm.substring_dedup import remove_repeats
-from corpusloom.llm.suffix_dedup import remove_repeated_bytes
+from corpusloom.llm.substring_dedup import anchors, hits, remove_repeats
+from corpusloom.llm.suffix_dedup import minimizers, remove_repeated_bytes
 from llm_tables import no_docs, odd, odd_docs, passage  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -85,9 +88,8 @@ def test_what_is_left_is_returned_on_request(odd_docs, no_docs):
     assert remove_repeats(no_docs).count() == remove_repeated_bytes(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("length,gram,neighbours", [(200, 64, 32), (40, 16, 8)])
-def test_repeated_bytes_go(odd_docs, odd, length, gram, neighbours):
-    data = [(r[0], (r[1] or "").encode()) for r in odd]
+def brute_bytes(rows, length):
+    data = [(r[0], (r[1] or "").encode()) for r in rows]
     count = Counter(b[i : i + length] for _, b in data for i in range(len(b) - length + 1))
     want = []
     for doc_id, b in data:
@@ -97,8 +99,51 @@ def test_repeated_bytes_go(odd_docs, odd, length, gram, neighbours):
                 gone[i : i + length] = [True] * length
         spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
         want.append((key(doc_id), len(b), sum(gone), spans, sha(bytes(x for x, g in zip(b, gone) if not g))))
+    return sorted(want)
+
+
+@pytest.mark.parametrize("length,gram,neighbours", [(200, 64, 32), (40, 16, 8)])
+def test_repeated_bytes_go(odd_docs, odd, length, gram, neighbours):
     got = remove_repeated_bytes(odd_docs, length, gram, neighbours).collect()
-    assert sorted((key(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(want)
+    assert sorted((key(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_bytes([(r[0], r[1]) for r in odd], length)
+
+
+def hot_rows():
+    """A third of the rows without an id, a third equal in everything, passages that begin and end many texts."""
+    rows = [(None, passage(40, 50 + i % 20) + " " + passage(30, 900 + i)) for i in range(60)]
+    rows += [(3, passage(50, 70))] * 40 + [(None, passage(50, 71))] * 20
+    rows += [(100 + i, passage(30, 2000 + i) + " " + passage(45, 60 + i % 7)) for i in range(60)]
+    return rows
+
+
+def test_hot_ids_and_equal_rows(spark):
+    rows = hot_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = remove_repeats(docs).collect()
+    assert sorted((key(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_words(rows, 13)
+    assert sorted((key(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeated_bytes(docs).collect()) == brute_bytes(rows, 200)
+
+
+def test_no_row_gets_more_prints_than_its_own(spark):
+    rows = hot_rows()
+    texts = row_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(7))
+    found = hits(anchors(texts, 16, 13), 16)
+    words = {r.row: len(r.text.split()) for r in texts.collect()}
+    got = texts.select("row").join(found, "row").select("row", F.size("prints").alias("n")).collect()
+    assert len(got) > 100 and all(r.n <= words[r.row] for r in got)
+
+
+def test_minimizers_do_not_depend_on_the_neighbours():
+    data = [passage(60, i).encode() for i in range(5)]
+    alone = [minimizers(packed_texts([b]), 16, 8) for b in data]
+    prints, at = minimizers(packed_texts(data), 16, 8)
+    begin = np.concatenate([[0], np.cumsum([len(b) for b in data])])
+    assert at.tolist() == [int(x + begin[i]) for i, (_, a) in enumerate(alone) for x in a]
+    assert prints.tolist() == [int(x) for p, _ in alone for x in p]
+
+
+def packed_texts(data):
+    return Texts(np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(b) for b in data])]))
 
 
 def test_windows_too_short_for_the_sampling_are_refused(odd_docs):
