@@ -5,8 +5,9 @@ A corpus is a folder of numbered shards in ascending document order. Each shard
 signed 64-bit integers: per document its id and the corpus-wide offset of its first
 token. The bases of the shards are prefix sums of the shards' token counts.
 
-Two Spark jobs make it. The first range-partitions the documents by id, encodes
-each partition and writes its ids; the second adds the bases to the offsets. Every attempt of
+Three Spark jobs make it. The first encodes the texts where they are read and writes their ids as a table, about half as large as
+the texts; the second range-partitions that table by document id and writes each partition's file, so texts are never
+shuffled; the third adds the bases to the offsets. Every attempt of
 a task writes files of its own, and only those named in the written manifest
 count, so a lost executor or a speculative task leaves the corpus right.
 """
@@ -19,11 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import NO_ID, external_key, keyed_texts, text_bytes, written
+from corpusloom.llm.common import NO_ID, external_key, keyed_texts, written
 from corpusloom.llm.encoding import encoder
 from corpusloom.llm.grams import chunks
 from corpusloom.workspace import fresh_path
@@ -31,6 +33,7 @@ from corpusloom.workspace import fresh_path
 SHARD_TEXT_BYTES = 64 << 20
 MANIFEST = "shard long, name string, n_docs long, n_tokens long, first_key long"
 READ_TOKENS = 1 << 22
+ENCODED = "key long, size long, ids binary"
 
 
 def _folder(uri: str) -> tuple[fs.FileSystem, str]:
@@ -44,6 +47,20 @@ def _open(folder: fs.FileSystem, path: str):
     return folder.open_input_file(path)
 
 
+def encoded_texts(texts: DataFrame, tokenizer: str, keeps_space: bool, end_id: int, plain_specials: bool) -> DataFrame:
+    """Per row of key and text: key, the text's size in bytes, and its ids with the end id as 16-bit integers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode_all = encoder(tokenizer, keeps_space, plain_specials).encode
+        for batch in batches:
+            for part, _ in chunks(batch):
+                ids = [i.tobytes() for i in encode_all(part.column("text").to_pylist(), end_id)]
+                size = pc.binary_length(part.column("text")).cast(pa.int64())
+                yield pa.record_batch([part.column("key"), size, pa.array(ids, pa.binary())], names=["key", "size", "ids"])
+
+    return texts.mapInArrow(run, ENCODED)
+
+
 def write_token_files(
     docs: DataFrame,
     tokenizer: str,
@@ -58,37 +75,37 @@ def write_token_files(
     """Write the corpus; returns its folder and the manifest, one row per shard with its base.
 
     A null or empty text is a document of the end id alone. Documents without an id come
-    last. Rows that repeat an id are separate documents, ordered by a hash of their text
-    and then the text. An empty table gives an empty manifest. Other columns are not read.
+    last. Rows that repeat an id are separate documents, ordered by a hash of their ids
+    and then the ids (equal ids make equal files in either order). An empty table gives an empty manifest. Other columns are not read.
     """
     spark = docs.sparkSession
     folder = folder or fresh_path(spark, "token-files")
-    texts = keyed_texts(docs, id_column, text_column)
-    shards = max(1, -(-text_bytes(texts) // shard_text_bytes), spark.sparkContext.defaultParallelism)
+    encoded = written(encoded_texts(keyed_texts(docs, id_column, text_column), tokenizer, keeps_space, end_id, plain_specials), "token-ids")
+    text_bytes = encoded.agg(F.sum("size")).first()[0] or 0
+    shards = max(1, -(-text_bytes // shard_text_bytes), spark.sparkContext.defaultParallelism)
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_all = encoder(tokenizer, keeps_space, plain_specials).encode
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, total, keys, starts = uuid.uuid4().hex, 0, [], []
         target, path = _folder(folder)
         target.create_dir(path, recursive=True)
         with target.open_output_stream(f"{path}/{name}.ids") as out:
             for batch in batches:
-                for part, _ in chunks(batch):
-                    for key, ids in zip(part.column("key").to_pylist(), encode_all(part.column("text").to_pylist(), end_id), strict=True):
-                        keys.append(key)
-                        starts.append(total)
-                        total += len(ids)
-                        out.write(ids.tobytes())
-        if keys:
+                n = pc.divide(pc.binary_length(batch.column("ids")), 2).to_numpy(zero_copy_only=False).astype(np.int64)
+                keys.append(batch.column("key").to_numpy())
+                starts.append(total + np.cumsum(n) - n)
+                total += int(n.sum())
+                for ids in batch.column("ids"):
+                    out.write(ids.as_buffer())
+        if sum(map(len, keys)):
+            index = np.stack([np.concatenate(keys), np.concatenate(starts)], axis=1).astype("<i8")
             with target.open_output_stream(f"{path}/{name}.local") as out:
-                out.write(np.stack([np.array(keys, "<i8"), np.array(starts, "<i8")], axis=1).tobytes())
-            row = [[0], [name], [len(keys)], [total], [keys[0]]]
+                out.write(index.tobytes())
+            row = [[0], [name], [len(index)], [total], [int(index[0, 0])]]
             yield pa.record_batch([pa.array(v, t) for v, t in zip(row, (pa.int64(), pa.string(), *[pa.int64()] * 3), strict=True)], names=["shard", "name", "n_docs", "n_tokens", "first_key"])
 
-    order = ["key", F.xxhash64("text"), "text"]
-    parts = texts.repartitionByRange(shards, *order[:2]).sortWithinPartitions(*order)
-    encoded = parts.mapInArrow(encode, MANIFEST).withColumn("shard", F.spark_partition_id().cast("long"))
-    manifest = written(encoded, "token-manifest")
+    order = ["key", F.xxhash64("ids"), "ids"]
+    parts = encoded.select("key", "ids").repartitionByRange(shards, *order[:2]).sortWithinPartitions(*order)
+    manifest = written(parts.mapInArrow(write, MANIFEST).withColumn("shard", F.spark_partition_id().cast("long")), "token-manifest")
     # One row per shard: prefix sums over them are a small window.
     in_order = Window.partitionBy(F.lit(0)).orderBy("shard")
     based = manifest.select(
