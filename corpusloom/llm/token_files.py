@@ -5,8 +5,8 @@ A corpus is a folder of numbered shards in ascending document order. Each shard
 signed 64-bit integers: per document its id and the corpus-wide offset of its first
 token. The bases of the shards are prefix sums of the shards' token counts.
 
-Three Spark jobs make it. The first encodes the texts where they are read and writes their ids as a table, about half as large as
-the texts; the second range-partitions that table by document id and writes each partition's file, so texts are never
+Three Spark jobs make it. The first encodes the texts where they are read and writes their ids as a table, each
+document's compressed by itself; the second range-partitions that table by document id and writes each partition's file, so texts are never
 shuffled; the third adds the bases to the offsets. Every attempt of
 a task writes files of its own, and only those named in the written manifest
 count, so a lost executor or a speculative task leaves the corpus right.
@@ -33,7 +33,8 @@ from corpusloom.workspace import fresh_path
 SHARD_TEXT_BYTES = 64 << 20
 MANIFEST = "shard long, name string, n_docs long, n_tokens long, first_key long"
 READ_TOKENS = 1 << 22
-ENCODED = "key long, size long, ids binary"
+CODEC = ("zstd", 1)
+ENCODED = "key long, size long, n long, ids binary"
 
 
 def _folder(uri: str) -> tuple[fs.FileSystem, str]:
@@ -48,15 +49,16 @@ def _open(folder: fs.FileSystem, path: str):
 
 
 def encoded_texts(texts: DataFrame, tokenizer: str, keeps_space: bool, end_id: int, plain_specials: bool) -> DataFrame:
-    """Per row of key and text: key, the text's size in bytes, and its ids with the end id as 16-bit integers."""
+    """Per row of key and text: key, the text's size in bytes, the number of its ids with the end id, and these as 16-bit integers, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_all = encoder(tokenizer, keeps_space, plain_specials).encode
+        encode_all, packed = encoder(tokenizer, keeps_space, plain_specials).encode, pa.Codec(*CODEC)
         for batch in batches:
             for part, _ in chunks(batch):
-                ids = [i.tobytes() for i in encode_all(part.column("text").to_pylist(), end_id)]
-                size = pc.binary_length(part.column("text")).cast(pa.int64())
-                yield pa.record_batch([part.column("key"), size, pa.array(ids, pa.binary())], names=["key", "size", "ids"])
+                ids = encode_all(part.column("text").to_pylist(), end_id)
+                size, n = pc.binary_length(part.column("text")).cast(pa.int64()), pa.array([len(i) for i in ids], pa.int64())
+                sent = pa.array([packed.compress(i.tobytes(), asbytes=True) for i in ids], pa.binary())
+                yield pa.record_batch([part.column("key"), size, n, sent], names=["key", "size", "n", "ids"])
 
     return texts.mapInArrow(run, ENCODED)
 
@@ -85,17 +87,18 @@ def write_token_files(
     shards = max(1, -(-text_bytes // shard_text_bytes), spark.sparkContext.defaultParallelism)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed = pa.Codec(*CODEC)
         name, total, keys, starts = uuid.uuid4().hex, 0, [], []
         target, path = _folder(folder)
         target.create_dir(path, recursive=True)
         with target.open_output_stream(f"{path}/{name}.ids") as out:
             for batch in batches:
-                n = pc.divide(pc.binary_length(batch.column("ids")), 2).to_numpy(zero_copy_only=False).astype(np.int64)
+                n = batch.column("n").to_numpy()
                 keys.append(batch.column("key").to_numpy())
                 starts.append(total + np.cumsum(n) - n)
                 total += int(n.sum())
-                for ids in batch.column("ids"):
-                    out.write(ids.as_buffer())
+                for ids, m in zip(batch.column("ids"), n.tolist(), strict=True):
+                    out.write(packed.decompress(ids.as_buffer(), 2 * m))
         if sum(map(len, keys)):
             index = np.stack([np.concatenate(keys), np.concatenate(starts)], axis=1).astype("<i8")
             with target.open_output_stream(f"{path}/{name}.local") as out:
@@ -104,7 +107,7 @@ def write_token_files(
             yield pa.record_batch([pa.array(v, t) for v, t in zip(row, (pa.int64(), pa.string(), *[pa.int64()] * 3), strict=True)], names=["shard", "name", "n_docs", "n_tokens", "first_key"])
 
     order = ["key", F.xxhash64("ids"), "ids"]
-    parts = encoded.select("key", "ids").repartitionByRange(shards, *order[:2]).sortWithinPartitions(*order)
+    parts = encoded.select("key", "n", "ids").repartitionByRange(shards, *order[:2]).sortWithinPartitions(*order)
     manifest = written(parts.mapInArrow(write, MANIFEST).withColumn("shard", F.spark_partition_id().cast("long")), "token-manifest")
     # One row per shard: prefix sums over them are a small window.
     in_order = Window.partitionBy(F.lit(0)).orderBy("shard")
