@@ -4,7 +4,9 @@ Token-group matrix: documents are partitioned into groups of likely partners, an
 its members' tokens, as far as they can lead to a link: the first tokens of a document, in the order of how many documents have them.
 Two linked documents have one of these in common, so a document none of whose first tokens occurs elsewhere links with nothing and leaves
 at once. The others fall into the group of the first such token that is shared; near copies of a text
-have nearly all of them in common and so make few groups. A group is opened for another only if their unions meet, and inside an
+have nearly all of them in common and so make few groups. A group is opened for another only if their unions meet at a token that can be the
+first one two linked documents have in common: the tokens a document has left from there on limit the size of a partner, and that limit must
+reach the other group's smallest document at that token, in both directions. Inside an
 opened pair a document is compared only if the tokens it has in common with the
 other side's union reach the share that a link needs.
 
@@ -36,6 +38,14 @@ SLICE_MEMBERS, SHARED_MEMBERS = 512, 8
 PROFILE = "row long, key long, n long, d1 long, d2 long"
 #: Entries that a task holds before it hands on a block.
 HELD_ENTRIES = 2 << 20
+MATRIX = NARROW_ENTRIES + ", ids array<long>"
+#: A document's limit at a token is sent as one of eight steps of its own size: so many of these bits, from the lowest on (bit 1 is the packer's).
+#: Marks that are merged by "or" so keep the largest limit.
+_STEP_BITS = np.array([1, 4, 8, 16, 32, 64, 128], np.uint8)
+_STEP_MARKS = np.concatenate([np.zeros(1, np.uint8), np.bitwise_or.accumulate(_STEP_BITS)])
+_STEPS_OF = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None] & 253, axis=1).sum(axis=1)
+#: Pairs that are looked at together.
+PAIRS_HELD = 1 << 20
 
 
 def shingles(texts: Texts, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,6 +78,20 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-percent * n // 100) + 1
 
 
+def partner_limits(n: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """The largest set that can link with one of n tokens if the first common token is the one at `place`.
+
+    Of linked sets x and y, 100 * common >= percent * (x + y - common), and no more than n - place tokens are common.
+    """
+    return np.minimum((n - place) * (100 + percent) // percent - n, 100 * n // percent)
+
+
+def limit_steps(percent: int) -> np.ndarray:
+    """The upper ends of the steps, as shares of the document's own size: from the least a partner can have to the most."""
+    least = percent / 100
+    return np.concatenate([least + (1 - least) * np.array([0.2, 0.4, 0.6, 0.8, 0.98]), 1 + (1 / least - 1) * np.array([0.3, 0.65, 1.0])])
+
+
 def profiles(texts: DataFrame, n: int) -> DataFrame:
     """Per document the size and digest of its set; per block the tokens that several of its documents have."""
 
@@ -127,18 +151,20 @@ def _ordered(part: pa.RecordBatch, own: Texts, bits: int, n: int) -> tuple[np.nd
 
 
 def matrix(weighed: DataFrame, buckets: int, n: int, percent: int) -> DataFrame:
-    """The token-group matrix: the shared prefix tokens of each group, packed by token; and in rows of bucket -1 the members: keys, groups, set sizes."""
+    """The token-group matrix: the shared prefix tokens of each group, packed by token, with the sizes and limits of the documents that have them;
+    and in rows of bucket -1 the members: keys, groups, set sizes."""
     bucket_of, bits = top_bits(buckets)
+    steps = limit_steps(percent)[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(bucket_of, bits, HELD_ENTRIES)
+        packer = Packer(bucket_of, bits, HELD_ENTRIES, with_ids=True)
         for batch in batches:
             for part, own in chunks(batch):
                 prints, weight, of, cuts = _ordered(part, own, bits, n)
                 size = np.diff(cuts)
                 place = np.arange(len(of)) - cuts[:-1][of]
                 useful = (place < prefix_length(size, percent)[of]) & (weight > 1)
-                prints, of = prints[useful], of[useful]
+                prints, of, place = prints[useful], of[useful], place[useful]
                 some, at = np.unique(of, return_index=True)  # tokens are in order: the first one names the group
                 if not len(some):
                     continue
@@ -148,13 +174,16 @@ def matrix(weighed: DataFrame, buckets: int, n: int, percent: int) -> DataFrame:
                 none = np.array([0, 0])
                 yield pa.record_batch(
                     [pa.array([-1], pa.int64()), pa.array([0], pa.int64()), lists(members, np.array([0, len(members)]), pa.int64()), lists(np.zeros(0, np.int32), none),
-                     lists(np.zeros(0, np.int32), none), lists(np.zeros(0, np.int8), none)],
-                    names=["bucket", "block", "owners", "owner_at", "prints", "marks"],
+                     lists(np.zeros(0, np.int32), none), lists(np.zeros(0, np.int8), none), lists(np.zeros(0, np.int64), none)],
+                    names=["bucket", "block", "owners", "owner_at", "prints", "marks", "ids"],
                 )
-                yield from packer.add(named[of], cut_to_sent(prints, bits), np.zeros(len(of), np.uint8))
+                # Documents of one group and size are one owner, so that near copies do not multiply the entries.
+                owner = mixed(named.view(np.uint64) ^ mixed(size.astype(np.uint64), 21)).view(np.int64)
+                step = np.searchsorted(steps, partner_limits(size[of], place, percent) / size[of], side="left")
+                yield from packer.add(owner[of], cut_to_sent(prints, bits), _STEP_MARKS[step], np.stack([named, size], axis=1)[of])
         yield from packer.flush()
 
-    return weighed.mapInArrow(run, NARROW_ENTRIES)
+    return weighed.mapInArrow(run, MATRIX)
 
 
 def group_members(packed: DataFrame) -> DataFrame:
@@ -164,26 +193,49 @@ def group_members(packed: DataFrame) -> DataFrame:
     return packed.filter("bucket < 0").select(F.inline(entry))
 
 
-def group_pairs(entries: DataFrame, buckets: int) -> DataFrame:
-    """g <= h: groups that share a prefix token; g = h for groups of more than one document."""
+def near_enough(token: np.ndarray, least: np.ndarray, most: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of entries of one token where each one's smallest set is within the other's limit, some at a time."""
+    order = np.lexsort((least, token))
+    least, most = least[order], most[order]
+    span = int(max(least.max(initial=0), most.max(initial=0))) + 2
+    base = token[order].astype(np.int64) * span
+    count = np.maximum(np.searchsorted(base + least, base + most, side="right") - np.arange(len(order)) - 1, 0)
+    total = np.cumsum(count)
+    begin = 0
+    while begin < len(order):
+        end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + PAIRS_HELD, side="right")))
+        many = count[begin:end]
+        i = np.repeat(np.arange(begin, end), many)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many)
+        fits = least[i] <= most[j]
+        yield order[i[fits]], order[j[fits]]
+        begin = end
+
+
+def group_pairs(entries: DataFrame, buckets: int, percent: int = PERCENT) -> DataFrame:
+    """g <= h: groups that share a prefix token within the limits of both; g = h for groups of more than one document."""
     _, bits = top_bits(buckets)
+    ends = limit_steps(percent)
 
     def judge(bucket: Bucket) -> Iterator[pa.RecordBatch]:
-        by = np.lexsort((bucket.owner, bucket.prints))
-        prints, group, marks = bucket.prints[by], bucket.owner[by], bucket.marks[by]
+        by = np.lexsort((bucket.ids[:, 0], bucket.prints))
+        prints, marks = bucket.prints[by], bucket.marks[by]
+        group, n = bucket.ids[by, 0], bucket.ids[by, 1]
+        limit = np.ceil(n * ends[_STEPS_OF[marks]] + 1e-6).astype(np.int64)
         new = np.ones(len(prints), bool)
         new[1:] = (prints[1:] != prints[:-1]) | (group[1:] != group[:-1])
         at = np.flatnonzero(new)
         several = (np.diff(np.append(at, len(prints))) > 1) | (np.bitwise_or.reduceat(marks, at) & 2 > 0)
+        least, most = np.minimum.reduceat(n, at), np.maximum.reduceat(limit, at)
         prints, group = prints[at], group[at]
         own = several & (cut_to_sent(group.view(np.uint64), bits) == prints)
-        pairs = [np.stack([group[own], group[own]], axis=1)]
-        starts = np.flatnonzero(np.append(True, prints[1:] != prints[:-1]))
-        sizes = np.diff(np.append(starts, len(prints)))
-        for m in np.unique(sizes[sizes > 1]).tolist():
-            i, j = np.triu_indices(m, 1)
-            first = starts[sizes == m][:, None]
-            pairs.append(np.stack([group[(first + i).ravel()], group[(first + j).ravel()]], axis=1))
+        pairs, held = [np.stack([group[own], group[own]], axis=1)], 0
+        token = np.cumsum(np.append(False, prints[1:] != prints[:-1]))
+        for i, j in near_enough(token, least, most):
+            pairs.append(np.sort(np.stack([group[i], group[j]], axis=1), axis=1))
+            held += len(i)
+            if held > PAIRS_HELD:
+                pairs, held = [np.unique(np.concatenate(pairs), axis=0)], 0
         found = np.unique(np.concatenate(pairs), axis=0)
         yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["g", "h"])
 
@@ -261,7 +313,7 @@ def linked_rows(texts0: DataFrame, n: int, percent: int, slice_members: int) ->
     # Without a shared token there is no link: such texts are not read again.
     weighed = texts.join(written(shared_tokens(texts, buckets, n), "token-counts"), "key")
     packed = written(matrix(weighed, buckets, n, percent), "token-group-matrix")
-    met = written(group_pairs(packed.filter("bucket >= 0"), buckets), "group-pairs")
+    met = written(group_pairs(packed.filter("bucket >= 0"), buckets, percent), "group-pairs")
     every = written(group_members(packed), "group-members")
     # Groups of unlike size cannot link, nor can a group's only member with itself.
     bounds = every.groupBy("group").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("size"))

@@ -44,7 +44,7 @@ class Packer:
     `bucket_of` maps prints (or the leads, where they are given) to buckets. With `narrow_bits` the bucket is the print's top bits and only the 32 bits below
     them travel. Equal (owner, print) pairs of a block become one entry whose mark is the bitwise or of theirs, with bit 1
     (value 2) set when there was more than one. With `with_ids` the further column of `add` is no lead but a
-    number of the owner, sent once per owner and row.
+    number of the owner (or a row of numbers), sent once per owner and row.
     """
 
     def __init__(
@@ -90,7 +90,7 @@ class Packer:
                 sent = (sent >> np.uint64(32 - self.narrow_bits)).astype(np.uint32).view(np.int32)
             else:
                 sent = sent.view(np.int64)
-            extra = [lists(ids[mine], np.array([0, len(mine)]), pa.int64())] if self.with_ids else [] if lead is None else [lists((lead[a:b] >> np.uint64(32)).astype(np.uint32).view(np.int32), np.array([0, b - a]))]
+            extra = [lists(ids[mine].ravel(), np.array([0, ids[mine].size]), pa.int64())] if self.with_ids else [] if lead is None else [lists((lead[a:b] >> np.uint64(32)).astype(np.uint32).view(np.int32), np.array([0, b - a]))]
             yield pa.record_batch(
                 [
                     pa.array([int(bucket[a])], pa.int64()), pa.array([block], pa.int64()),
@@ -114,7 +114,10 @@ class Bucket:
         self.names = owners.values.to_numpy()
         place = owner_at.flatten().to_numpy() + base[:-1][self.row]
         self.owner = self.names[place]
-        self.ids = column("ids").values.to_numpy()[place] if "ids" in table.column_names else None
+        ids = column("ids").values.to_numpy() if "ids" in table.column_names else None
+        if ids is not None and len(ids) > len(self.names):
+            ids = ids.reshape(len(self.names), -1)
+        self.ids = None if ids is None else ids[place]
         raw = prints.flatten().to_numpy()
         if narrow_bits is None:
             self.prints = raw.view(np.uint64)
