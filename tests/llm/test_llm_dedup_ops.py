@@ -13,6 +13,7 @@ from corpusloom.llm.common import row_texts
 from corpusloom.llm.components import components
 from corpusloom.llm.exact_dedup import drop_copies, find_copies, merge_runs
 from corpusloom.llm.grams import Texts
+from corpusloom.llm import jaccard_join
 from corpusloom.llm.jaccard_join import group_members, group_pairs, keep_one_of_each, link_documents, matrix, shared_tokens
 from corpusloom.llm.queries import ORACLES, QUERIES
 from corpusloom.llm.substring_dedup import anchors, hits, remove_repeats
@@ -263,3 +264,37 @@ def test_exact_dedup_matches_its_sql(spark):
     names = [d[0] for d in cursor.description]
     got = QUERIES["op3_exact_dedup"](spark, folder).select(*names)
     assert sorted(map(tuple, got.collect())) == sorted(cursor.fetchall())
+
+
+def test_pairs_within_both_limits_are_those_of_brute_force(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PAIRS_HELD", 7)
+    rng = np.random.default_rng(5)
+    for _ in range(50):
+        n = int(rng.integers(0, 40))
+        token, least = np.sort(rng.integers(0, 4, n)), rng.integers(1, 30, n)
+        most = (least * rng.uniform(0.75, 1.34, n)).astype(np.int64)
+        got = [tuple(sorted(p)) for i, j in jaccard_join.near_enough(token, least, most) for p in zip(i.tolist(), j.tolist())]
+        want = {(a, b) for a in range(n) for b in range(a + 1, n) if token[a] == token[b] and least[a] <= most[b] and least[b] <= most[a]}
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+@pytest.mark.parametrize("percent", [40, 75, 100])
+def test_limits_admit_every_linked_pair_at_its_first_common_token(percent):
+    """Random sets in one global order; the limit of each at the first common token, and its step, must reach the other's size."""
+    rng = np.random.default_rng(percent)
+    ends = jaccard_join.limit_steps(percent)
+    linked = 0
+    for _ in range(10_000):
+        base = rng.permutation(60)[: int(rng.integers(1, 40))]
+        x, y = (np.unique(np.concatenate([base[rng.random(len(base)) < 0.93], rng.integers(60, 90, int(rng.integers(0, 3)))])) for _ in "xy")
+        both = np.intersect1d(x, y)
+        if not len(both) or 100 * len(both) < percent * len(np.union1d(x, y)):
+            continue
+        linked += 1
+        for one, other in ((x, y), (y, x)):
+            n = np.array([len(one)])
+            limit = jaccard_join.partner_limits(n, np.searchsorted(one, both[:1]), percent)
+            step = np.searchsorted(ends[:-1], limit / n)
+            assert limit[0] >= len(other) and n[0] * ends[step][0] + 1e-6 >= limit[0]
+            assert jaccard_join._STEPS_OF[jaccard_join._STEP_MARKS[step] | 2][0] == step[0]
+    assert linked > 100
