@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from corpusloom.operators import prep as P
@@ -11,7 +9,7 @@ from corpusloom.operators.dedupe import duplicate_summary, overlap
 from corpusloom.operators.metrics import leak_check
 from corpusloom.operators.split import assign_partitions, split_rows
 from corpusloom.operators.stats import melt
-from corpusloom.operators.wide import WideEncoder
+from corpusloom.operators.wide import WideEncoder, column_sums
 from corpusloom.plans.models import simple_line
 
 from .base import LABELLED, PRICED, labelled, priced_lines, query, rounded, sql_hash, table
@@ -267,8 +265,7 @@ def t6_wide(spark, folder):
     rows = table(spark, folder, "lineitem").selectExpr(f"{_LINE_KEY} AS row_key", "l_orderkey").distinct()
     split = split_rows(rows, "row_key", dedupe=False)
     encoder = WideEncoder(["l_orderkey"]).fit(split.train)
-    sums = encoder.transform(split.assigned).agg(Summarizer.sum(F.col("features")).alias("sums"))
-    cells = sums.select(F.posexplode(vector_to_array("sums")).alias("place", "n"))
+    cells = column_sums(encoder.transform(split.assigned))
     return cells.join(encoder.levels, cells["place"] == encoder.levels["index"]).select("level", F.col("place").cast("long"), cells["n"])
 
 

@@ -6,9 +6,11 @@ plan with a column per level cannot be held, so here levels are numbered in a ta
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+import numpy as np
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,15 +64,23 @@ class WideEncoder:
         """`df` with one vector column: the numeric columns, then the one-hot entries of every category column."""
         placed = self.indexed(df)
         used = [c for c in self.columns if self.sizes[c]]
-        spark = df.sparkSession
-        # The encoder learns how many levels there are from one row with the largest numbers.
-        largest = spark.createDataFrame([tuple(float(self.sizes[c] - 1) for c in used)], ", ".join(f"`{c}__index` double" for c in used))
-        encoder = OneHotEncoder(inputCols=[f"{c}__index" for c in used], outputCols=[f"{c}__hot" for c in used], handleInvalid="keep", dropLast=True)
-        # One above the last level is the encoder's invalid value, which it drops: all zeros.
-        numbered = placed.withColumns({f"{c}__index": F.coalesce(F.col(f"{c}__index"), F.lit(self.sizes[c])).cast("double") for c in used})
-        encoded = encoder.fit(largest).transform(numbered)
-        numbers = {f"{c}__number": F.col(f"`{c}`").cast("double") for c in numeric}
-        encoded = encoded.withColumns(numbers) if numbers else encoded
-        parts = [*numbers, *[f"{c}__hot" for c in used]]
-        made = VectorAssembler(inputCols=parts, outputCol=name, handleInvalid="keep").transform(encoded)
-        return made.select(*df.columns, name)
+        starts = np.cumsum([len(numeric), *[self.sizes[c] for c in used]]).tolist()
+        size = starts[-1]
+
+        @F.udf(VectorUDT())
+        def sparse(numbers, places):
+            entries = [(i, math.nan if v is None else v) for i, v in enumerate(numbers) if v != 0]
+            entries += [(p, 1.0) for p in places if p is not None]
+            return SparseVector(size, [i for i, _ in entries], [v for _, v in entries])
+
+        # The vector is put together here: Spark's encoder names every column in the metadata, which the driver would have to hold.
+        numbers = F.array(*[F.col(f"`{c}`").cast("double") for c in numeric]).cast("array<double>")
+        places = F.array(*[(F.col(f"`{c}__index`") + F.lit(start)).cast("int") for c, start in zip(used, starts)]).cast("array<int>")
+        return placed.withColumn(name, sparse(numbers, places)).select(*df.columns, name)
+
+
+def column_sums(df: DataFrame, vector: str = "features") -> DataFrame:
+    """(place, n): the sum of every column of a sparse vector column that has entries, in one shuffle of the entries' sums."""
+    parts = F.unwrap_udt(F.col(vector))
+    entries = df.select(F.explode(F.arrays_zip(parts["indices"].alias("place"), parts["values"].alias("n"))).alias("e"))
+    return entries.groupBy(F.col("e.place").alias("place")).agg(F.sum("e.n").alias("n"))

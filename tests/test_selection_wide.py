@@ -15,7 +15,7 @@ from corpusloom.operators import ordered as O
 from corpusloom.operators import stats as S
 from corpusloom.operators.prep import NotFittedError
 from corpusloom.operators.split import quota_table, split_rows, stratified_quotas
-from corpusloom.operators.wide import WideEncoder
+from corpusloom.operators.wide import WideEncoder, column_sums
 
 
 @pytest.fixture(scope="module")
@@ -117,3 +117,15 @@ def test_wide_encoding_guards(spark, wide_split):
     strange = spark.createDataFrame([(1, "never seen"), (2, None)], "id long, big string")
     got = {r.id: sum(r.v) for r in encoder.transform(strange).select("id", vector_to_array("features").alias("v")).collect()}
     assert got == {1: 0.0, 2: 1.0}
+
+
+def test_wide_vectors_name_no_columns_and_are_summed_by_their_entries(spark, wide_split):
+    """The metadata of a vector with a name per level would be as large as the levels, on the driver."""
+    made = WideEncoder(["big", "small"]).fit(wide_split.train).transform(wide_split.assigned, ["n"])
+    assert made.schema["features"].metadata == {}
+    want = np.array(made.select(vector_to_array("features").alias("v")).toPandas()["v"].to_list()).sum(axis=0)
+    got = {r.place: r.n for r in column_sums(made).collect()}
+    assert got == {i: v for i, v in enumerate(want.tolist()) if v}
+    encoder = WideEncoder(["big"]).fit(wide_split.train)
+    holes = encoder.transform(spark.createDataFrame([("a", None), ("b", 0.0)], "big string, n double"), ["n"])
+    assert sorted(str(r.features) for r in holes.select("features").collect()) == [f"({1 + encoder.sizes['big']},{e})" for e in ("[0],[nan]", "[],[]")]
