@@ -1,8 +1,8 @@
 """Licence notices in texts: a trained paragraph classifier, confirmed against templates.
 
 Paragraphs end at blank lines; comment marks go and wrapped lines are joined. Paragraphs are cut into overlapping
-pieces, and lines that hold a telling word and are not alone are pieces too, so that a notice inside
-running text, or between other lines, is seen by itself. A multinomial logistic regression on hashed word n-grams names the
+pieces, and lines that are not alone are pieces too, so that a notice inside
+running text, or between other lines, is seen by itself. Every piece is classified. A multinomial logistic regression on hashed word n-grams names the
 family of a piece. Its `unknown` class is learned from ordinary text of the corpus, from sentences
 that merely use the words of licences, and the probability a family must reach is calibrated on
 held-out rows. A named family counts only if one of its templates is confirmed by its word pairs.
@@ -88,7 +88,7 @@ FEATURES, COPIES, ORDINARY = 1 << 14, 60, 4_000
 #: The probability a family must reach lets through at most this share of held-out unknown rows.
 UNKNOWN_SHARE = 0.005
 CONFIRMED = 0.7
-#: A template needs most of its word pairs, so a piece without any of these words confirms none.
+#: Words that most notices have: pieces with one are reported, whatever the model calls them.
 TELLING = r"(?i)licen[cs]e|permission|permitted|gpl|public license|free software|source code form|\bcc\b|creative commons|cc0|waived|rights reserved|spdx"
 #: The same where white space or comment marks may stand between the words of a phrase.
 WRAPPED = TELLING.replace(" ", r"\W+")
@@ -126,29 +126,29 @@ def paragraphs(text: Column) -> Column:
     )
 
 
-def pieces(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", telling: bool = True) -> DataFrame:
-    """key, line_at, piece_at, piece: every paragraph's pieces, those without a telling word left out (or, without `telling`, the paragraphs with one).
+def pieces(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", ordinary: bool = False) -> DataFrame:
+    """key, line_at, piece_at, piece, telling: the pieces of every paragraph, and of each of its lines if it has several.
 
-    `line_at` is the line a piece's paragraph, or the line that is a piece by itself, begins on.
+    `line_at` is the line a piece's paragraph, or the line that is a piece by itself, begins on; `telling` says that the piece has a
+    telling word. `ordinary`: only paragraphs without such a word, and not their lines.
     """
     text = F.translate(F.coalesce(F.col(quoted(text_column)), F.lit("")), "\x01\x02", "  ")
     texts = docs.select(internal_key(F.col(quoted(id_column))).alias("key"), text.alias("text"))
-    if telling:
-        # A telling phrase may be wrapped, with a comment mark in between.
-        texts = texts.filter(F.col("text").rlike(WRAPPED))
-    found = texts.select("key", F.explode(paragraphs(F.col("text"))).alias("p")).select("key", "p.line_at", "p.lines")
-    # The paragraph as a whole, and its lines if it has several.
+    # A telling phrase may be wrapped, with a comment mark in between. Pieces of other texts need not be searched for one.
+    told = F.lit(True) if ordinary else F.col("text").rlike(WRAPPED)
+    found = texts.select("key", told.alias("told"), F.explode(paragraphs(F.col("text"))).alias("p")).select("key", "told", "p.line_at", "p.lines")
     whole = F.array(F.struct("line_at", F.array_join("lines", " ").alias("line")))
     alone = F.transform("lines", lambda line, i: F.struct((F.col("line_at") + i).alias("line_at"), line.alias("line")))
-    parts = F.when(F.size("lines") > 1, F.concat(whole, alone)).otherwise(whole) if telling else whole
-    lines = found.select("key", F.explode(parts).alias("each")).select("key", "each.line_at", "each.line")
-    # Ordinary text comes from paragraphs without a telling word: the other lines of a notice are none.
-    lines = lines.filter(F.col("line").rlike(TELLING) == F.lit(telling))
-    words = lines.filter("trim(line) <> ''").select("key", "line_at", F.split(F.trim("line"), r"[ \t\x0B\f\r]+").alias("w"))
+    parts = whole if ordinary else F.when(F.size("lines") > 1, F.concat(whole, alone)).otherwise(whole)
+    lines = found.select("key", "told", F.explode(parts).alias("each")).select("key", "told", "each.line_at", "each.line")
+    if ordinary:
+        # The other lines of a notice are no ordinary text.
+        lines = lines.filter(~F.col("line").rlike(TELLING))
+    words = lines.filter("trim(line) <> ''").select("key", "told", "line_at", F.split(F.trim("line"), r"[ \t\x0B\f\r]+").alias("w"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("w") - 1 - (PIECE_WORDS - STEP_WORDS), F.lit(0)), F.lit(STEP_WORDS))
-    cut = words.select("key", "line_at", F.posexplode(starts).alias("piece_at", "start"), "w")
-    cut = cut.select("key", "line_at", "piece_at", F.array_join(F.slice("w", F.col("start") + 1, PIECE_WORDS), " ").alias("piece"))
-    return cut.filter(F.col("piece").rlike(TELLING)) if telling else cut
+    cut = words.select("key", "told", "line_at", F.posexplode(starts).alias("piece_at", "start"), "w")
+    cut = cut.select("key", "line_at", "piece_at", F.array_join(F.slice("w", F.col("start") + 1, PIECE_WORDS), " ").alias("piece"), "told")
+    return cut.select("key", "line_at", "piece_at", "piece", (F.col("told") & F.col("piece").rlike(TELLING)).alias("telling"))
 
 
 def labelled_paragraphs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -159,7 +159,7 @@ def labelled_paragraphs(docs: DataFrame, id_column: str = "doc_id", text_column:
     spark = docs.sparkSession
     place = F.xxhash64("key", "line_at", "piece_at")
     few = docs.filter(F.col(quoted(text_column)).isNotNull()).orderBy(F.xxhash64(quoted(id_column))).limit(ORDINARY // 4)
-    ordinary = pieces(few, id_column, text_column, telling=False).filter(~F.col("piece").rlike(TELLING)).orderBy(place).limit(ORDINARY).select("piece")
+    ordinary = pieces(few, id_column, text_column, ordinary=True).filter("NOT telling").orderBy(place).limit(ORDINARY).select("piece")
     ordinary = written(ordinary.withColumn("n", F.monotonically_increasing_id()), "ordinary-pieces")
     notices = [(family, text) for family, texts in TEMPLATES.items() for text in texts] + [(UNKNOWN, text) for text in SOUND_ALIKE]
     made = _copies(spark, notices)
@@ -188,31 +188,35 @@ def fit_classifier(labelled: DataFrame) -> tuple[LogisticRegressionModel, float]
     return model, max(0.5, cut or 0.0)
 
 
-def confirmation(pairs: Column) -> Column:
-    """Per family the largest share of a template's word pairs that the piece has."""
+def confirmation(pairs: Column, family: Column) -> Column:
+    """The largest share of the word pairs of a template of the family that the piece has, 0 for `unknown`."""
 
     def share(text: str) -> Column:
         wanted = F.array_distinct(pairs_of(words_of(F.lit(text))))
         return F.size(F.array_intersect(pairs, wanted)) / F.size(wanted)
 
     best = {f: F.greatest(*s) if len(s := [share(t) for t in texts]) > 1 else s[0] for f, texts in TEMPLATES.items()}
-    return F.create_map(*[x for f in sorted(best) for x in (F.lit(f), best[f])])
+    found = F.lit(0.0)
+    for name in sorted(best):
+        found = F.when(family == name, best[name]).otherwise(found)
+    return found
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per piece that a licence was looked for in: doc_id, line_at, piece_at, family, probability, similarity, confirmed.
+    """One row per piece that names a family or has a telling word: doc_id, line_at, piece_at, family, probability, similarity, confirmed.
 
-    `family` is `unknown` where no family reaches its probability; `confirmed` says that a template of the
+    Every piece of every text is classified; those without a row are `unknown` and have no telling word. `family` is `unknown` where no family reaches its probability; `confirmed` says that a template of the
     named family is there. `labelled` (piece, family) replaces the rows that the classifier learns from. Null and
     empty texts have no pieces; rows repeating an id are scanned one by one; a null id stays null;
     an empty table gives no rows; other columns are not read.
     """
-    found = written(pieces(docs, id_column, text_column), "licence-pieces")
+    found = pieces(docs, id_column, text_column)
     model, least = fit_classifier(labelled if labelled is not None else labelled_paragraphs(docs, id_column, text_column))
     judged = model.transform(with_grams(found)).withColumn("p", F.slice(vector_to_array("probability"), 2, len(FAMILIES)))
     top = F.array_max("p")
     named = F.when(top >= least, F.get(F.array(*[F.lit(f) for f in FAMILIES[1:]]), (F.array_position("p", top) - 1).cast("int"))).otherwise(UNKNOWN)
-    judged = judged.withColumn("family", named).withColumn("similarity", F.coalesce(F.try_element_at(confirmation(F.col("pairs")), F.col("family")), F.lit(0.0)))
+    judged = judged.withColumn("family", named).filter((F.col("family") != UNKNOWN) | F.col("telling"))
+    judged = judged.withColumn("similarity", confirmation(F.col("pairs"), F.col("family")))
     return judged.select(
         external_key("key").alias("doc_id"), "line_at", "piece_at", "family", F.round(top, 6).alias("probability"),
         F.round("similarity", 6).alias("similarity"), (F.col("similarity") >= CONFIRMED).alias("confirmed"),

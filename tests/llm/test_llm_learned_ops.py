@@ -163,6 +163,16 @@ def test_wrapped_notices_are_found(spark):
     assert got == {(1, "mit"), (2, "apache-2.0"), (3, "bsd"), (4, "gpl-3.0"), (5, "mit")}
 
 
+def test_notices_without_a_telling_word_are_found(spark):
+    mit = "is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."
+    rows = [(1, mit), (2, "some words\n" * 5 + "Copyright, all rights, reserved.\n" + "more words\n" * 5), (3, "Nothing of the kind here.")]
+    assert not any(re.search(license_scan.WRAPPED, text) for _, text in rows[:1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = license_scan.scan(docs)
+    assert {(r.doc_id, r.family) for r in got.filter("confirmed").collect()} == {(1, "mit"), (2, "proprietary")}
+    assert got.filter("doc_id = 3").count() == 0
+
+
 def test_licences_of_odd_and_empty_tables(odd_docs, no_docs):
     assert license_scan.scan(odd_docs).filter("confirmed").count() == 0
     assert license_scan.scan(no_docs).count() == 0
