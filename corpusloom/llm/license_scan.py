@@ -215,7 +215,9 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_column: str = "d
     judged = model.transform(with_grams(found)).withColumn("p", F.slice(vector_to_array("probability"), 2, len(FAMILIES)))
     top = F.array_max("p")
     named = F.when(top >= least, F.get(F.array(*[F.lit(f) for f in FAMILIES[1:]]), (F.array_position("p", top) - 1).cast("int"))).otherwise(UNKNOWN)
-    judged = judged.withColumn("family", named).filter((F.col("family") != UNKNOWN) | F.col("telling"))
+    # The number keeps the filter above the projection; below it, Spark would make words and features anew for each use of the family.
+    judged = judged.withColumn("family", named).withColumn("at", F.monotonically_increasing_id())
+    judged = judged.filter((F.col("at") >= 0) & ((F.col("family") != UNKNOWN) | F.col("telling")))
     judged = judged.withColumn("similarity", confirmation(F.col("pairs"), F.col("family")))
     return judged.select(
         external_key("key").alias("doc_id"), "line_at", "piece_at", "family", F.round(top, 6).alias("probability"),
