@@ -10,6 +10,11 @@ held-out rows. A named family counts only if one of its templates is confirmed b
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -92,12 +97,19 @@ CONFIRMED = 0.7
 TELLING = r"(?i)licen[cs]e|permission|permitted|gpl|public license|free software|source code form|\bcc\b|creative commons|cc0|waived|rights reserved|spdx"
 #: The same where white space or comment marks may stand between the words of a phrase.
 WRAPPED = TELLING.replace(" ", r"\W+")
+#: Every telling phrase has one of these, in any case, or the word "cc", or "source", "code" and "form": a quick look that spares most texts the search.
+HINTS = ("licen", "permission", "permitted", "gpl", "software", "commons", "cc0", "waived", "reserved", "spdx")
+_WORD_CC = r"[cC][cC]\b(?<=\b[cC][cC])"
 #: Comment marks at the beginning and the end of a line.
 OPENING, CLOSING = r"^[ \t\x0B\f\r]*(?:(?://+!?|/\*+!?|\*+/?|#+!?|;+|--+|%+|<!--+|>+|\"{3}|'{3}|\.\.|(?i:rem|dnl)(?=[ \t]|$))[ \t]*)+", r"[ \t]*(?:\*+/|--+>|\*+|#+|\"{3}|'{3})?[ \t\x0B\f\r]*$"
 
+#: Only lines that begin or end with one of these characters can have such a mark, or white space beside it.
+_BEGINS, _ENDS = " \t\x0b\x0c\r/*#;-%<>\"'.rRdD", " \t\x0b\x0c\r*/>#\"'\x85\u2028\u2029"
+
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}.\-]+", " ")), r"[ ]+|\.+(?= |$)"), lambda w: w != "")
+    """Lower-case runs of letters, digits, dots and hyphens, without the dots at their end."""
+    return F.transform(F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}.\-]*[\p{L}\p{N}\-]"), F.lit(0)), F.lower)
 
 
 def pairs_of(words: Column) -> Column:
@@ -106,14 +118,20 @@ def pairs_of(words: Column) -> Column:
 
 def with_grams(rows: DataFrame, text_column: str = "piece") -> DataFrame:
     """Words, word pairs and both as hashed counts."""
-    rows = rows.withColumn("words", words_of(F.col(text_column))).withColumn("pairs", F.array_distinct(pairs_of(F.col("words"))))
+    return _grams_of(rows.withColumn("words", words_of(F.col(text_column))))
+
+
+def _grams_of(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("pairs", F.array_distinct(pairs_of(F.col("words"))))
     rows = rows.withColumn("grams", F.concat("words", "pairs"))
     return HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True).transform(rows)
 
 
 def paragraphs(text: Column) -> Column:
     """Per paragraph line_at (of its first line) and its lines, in order, without comment marks."""
-    bare = F.transform(F.split(text, "\r\n|\r|\n"), lambda line: F.regexp_replace(F.regexp_replace(line, OPENING, ""), CLOSING, ""))
+    opened = lambda line: F.when(F.contains(F.lit(_BEGINS), F.substring(line, 1, 1)), F.regexp_replace(line, OPENING, "")).otherwise(line)
+    closed = lambda line: F.when(F.contains(F.lit(_ENDS), F.substring(line, -1, 1)), F.regexp_replace(line, CLOSING, "")).otherwise(line)
+    bare = F.transform(F.transform(F.split(text, "\r\n|\r|\n"), opened), closed)
     # The mark cuts at each run of blank lines; a line's number goes with it.
     numbered = F.transform(bare, lambda line, i: F.when(F.trim(line) == "", F.lit("\n")).otherwise(F.concat(i.cast("string"), F.lit("\x02"), line, F.lit("\x01"))))
     each = F.filter(F.split(F.array_join(numbered, ""), "\n+"), lambda p: p != "")
@@ -126,6 +144,15 @@ def paragraphs(text: Column) -> Column:
     )
 
 
+def may_tell(text: Column) -> Column:
+    """Whether a text can match WRAPPED; true for all that do, and for some others."""
+    low = F.lower(text)
+    found = F.contains(low, F.lit("source")) & F.contains(low, F.lit("code")) & F.contains(low, F.lit("form"))
+    for hint in HINTS:
+        found = found | F.contains(low, F.lit(hint))
+    return found | text.rlike(_WORD_CC)
+
+
 def pieces(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", ordinary: bool = False) -> DataFrame:
     """key, line_at, piece_at, piece, telling: the pieces of every paragraph, and of each of its lines if it has several.
 
@@ -134,8 +161,8 @@ def pieces(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     """
     text = F.translate(F.coalesce(F.col(quoted(text_column)), F.lit("")), "\x01\x02", "  ")
     texts = docs.select(internal_key(F.col(quoted(id_column))).alias("key"), text.alias("text"))
-    # A telling phrase may be wrapped, with a comment mark in between. Pieces of other texts need not be searched for one.
-    told = F.lit(True) if ordinary else F.col("text").rlike(WRAPPED)
+    # Pieces of texts that cannot have a telling phrase, not even a wrapped one, need not be searched for one.
+    told = F.lit(True) if ordinary else may_tell(F.col("text"))
     found = texts.select("key", told.alias("told"), F.explode(paragraphs(F.col("text"))).alias("p")).select("key", "told", "p.line_at", "p.lines")
     whole = F.array(F.struct("line_at", F.array_join("lines", " ").alias("line")))
     alone = F.transform("lines", lambda line, i: F.struct((F.col("line_at") + i).alias("line_at"), line.alias("line")))
@@ -188,6 +215,76 @@ def fit_classifier(labelled: DataFrame) -> tuple[LogisticRegressionModel, float]
     return model, max(0.5, cut or 0.0)
 
 
+def _rotated(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h << np.uint32(bits)) | (h >> np.uint32(32 - bits))
+
+
+def feature_index(grams: pa.Array) -> np.ndarray:
+    """The place of each string in the vectors of `HashingTF` (32-bit Murmur3, seed 42)."""
+    raw = np.frombuffer(grams.cast(pa.large_string()).buffers()[1], np.int64)[: len(grams) + 1]
+    body = grams.cast(pa.large_string()).buffers()[2]
+    data = np.frombuffer(body, np.uint8) if body is not None else np.zeros(0, np.uint8)
+    size, out = np.diff(raw), np.zeros(len(grams), np.uint32)
+    for n in np.unique(size).tolist():
+        which = np.flatnonzero(size == n)
+        padded = np.zeros((len(which), -(-n // 4) * 4), np.uint8)
+        padded[:, :n] = data[raw[which][:, None] + np.arange(n)]
+        blocks = padded.view("<u4")
+        h = np.full(len(which), 42, np.uint32)
+        for b in range(blocks.shape[1]):
+            h ^= _rotated(blocks[:, b] * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+            if 4 * b + 4 <= n:
+                h = _rotated(h, 13) * np.uint32(5) + np.uint32(0xE6546B64)
+        h ^= np.uint32(n)
+        h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+        h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+        out[which] = h ^ (h >> np.uint32(16))
+    return (out % np.uint32(FEATURES)).astype(np.int64)
+
+
+def advantages(words: pa.ListArray, weights: np.ndarray, intercepts: np.ndarray) -> np.ndarray:
+    """Per list of words: by how much the model's margin of the best family exceeds that of `unknown`.
+
+    `weights` has a row per feature and a column per family, `unknown` taken off. Each feature of a list counts once, as in `with_grams`.
+    """
+    flat = words.flatten().dictionary_encode()
+    # The empty string is the pair of a list without words.
+    vocabulary = pa.concat_arrays([flat.dictionary.cast(pa.string()), pa.array([""])])
+    ids, size = flat.indices.to_numpy().astype(np.int64), pc.list_value_length(words).to_numpy()
+    of = np.repeat(np.arange(len(size)), size)
+    next_to = np.flatnonzero(of[1:] == of[:-1])
+    pairs, pair_at = np.unique(ids[next_to] * len(vocabulary) + ids[next_to + 1], return_inverse=True)
+    left, right = (vocabulary.take(pa.array(side)) for side in np.divmod(pairs, len(vocabulary)))
+    of_word, of_pair = feature_index(vocabulary), feature_index(pc.binary_join_element_wise(left, right, " "))
+    empty = np.flatnonzero(size == 0)
+    rows = np.concatenate([of, of[next_to], empty])
+    seen = rows * FEATURES + np.concatenate([of_word[ids], of_pair[pair_at], np.full(len(empty), of_word[-1])])
+    seen = np.sort(seen.astype(np.int32) if len(size) * FEATURES < 1 << 31 else seen)
+    rows, features = np.divmod(seen[np.append(True, seen[1:] != seen[:-1])], FEATURES)
+    begins = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+    return (np.add.reduceat(weights[features], begins, axis=0) + intercepts).max(axis=1)
+
+
+def named_or_telling(found: DataFrame, model: LogisticRegressionModel, least: float) -> DataFrame:
+    """The pieces, with their words, that have a telling word or for which a family may reach the probability `least`.
+
+    Every piece is scored with the model's weights. A family's probability is at most 1 / (1 + exp(-its advantage over `unknown`)),
+    so no family reaches `least` where the best advantage is below the logit of it.
+    """
+    coefficients, intercepts = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    weights, offsets = (coefficients[1:] - coefficients[0]).T.astype(np.float32), intercepts[1:] - intercepts[0]
+    needed = float(np.log(least / (1 - least))) - 0.01 if least < 1 else -np.inf  # the slack is for short floats; the model itself judges what is left
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                kept = advantages(batch.column("words"), weights, offsets) >= needed
+                yield batch.filter(pc.or_(pa.array(kept), batch.column("telling")))
+
+    rows = found.withColumn("words", words_of(F.col("piece"))).select("key", "line_at", "piece_at", "telling", "words")
+    return rows.mapInArrow(run, rows.schema)
+
+
 def confirmation(pairs: Column, family: Column) -> Column:
     """The largest share of the word pairs of a template of the family that the piece has, 0 for `unknown`."""
 
@@ -212,7 +309,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_column: str = "d
     """
     found = pieces(docs, id_column, text_column)
     model, least = fit_classifier(labelled if labelled is not None else labelled_paragraphs(docs, id_column, text_column))
-    judged = model.transform(with_grams(found)).withColumn("p", F.slice(vector_to_array("probability"), 2, len(FAMILIES)))
+    judged = model.transform(_grams_of(named_or_telling(found, model, least))).withColumn("p", F.slice(vector_to_array("probability"), 2, len(FAMILIES)))
     top = F.array_max("p")
     named = F.when(top >= least, F.get(F.array(*[F.lit(f) for f in FAMILIES[1:]]), (F.array_position("p", top) - 1).cast("int"))).otherwise(UNKNOWN)
     # The number keeps the filter above the projection; below it, Spark would make words and features anew for each use of the family.

@@ -213,3 +213,35 @@ def test_every_query_has_its_columns_and_rows(spark, name):
     found = QUERIES[name](spark, str(DATA))
     assert set(COLUMNS[name[: name.index("_") + 1]].split()) <= set(found.columns)
     assert found.head(1)
+
+
+def test_every_piece_is_scored_as_by_the_model(spark):
+    """op8: the weights summed per piece give the margins of the model, also without words and with repeated ones."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = ["***", "Released under the MIT License.", "a a a a b a a", "žluť kůň 2.0 ... x", "All rights reserved. " * 9, "w" * 1001]
+    piece = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, piece string")
+    labelled = spark.createDataFrame([(t, f) for f, ts in license_scan.TEMPLATES.items() for t in ts] + [(t, license_scan.UNKNOWN) for t in license_scan.SOUND_ALIKE], "piece string, family string")
+    model, _ = license_scan.fit_classifier(labelled)
+    rows = model.transform(license_scan.with_grams(piece)).orderBy("i").select("words", "rawPrediction").collect()
+    coefficients, intercepts = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    found = license_scan.advantages(pa.array([r.words for r in rows], pa.list_(pa.string())), (coefficients[1:] - coefficients[0]).T, intercepts[1:] - intercepts[0])
+    raw = np.array([r.rawPrediction.toArray() for r in rows])
+    assert np.allclose(found, (raw[:, 1:] - raw[:, :1]).max(axis=1), atol=1e-9)
+
+
+def test_short_cuts_of_the_licence_scan_change_nothing(spark):
+    """op8: words, comment marks and telling phrases are those of the plain expressions."""
+    texts = [
+        "...a.b. -- c... İst ΑΣ. 2.0-x ''", "  // GPL //  \n#cc#\nrem x\nremx  \n* \"\"\"y\"\"\" \x85", "a CC by", "accept", "Source\n# Code // \nForm", "free\n * software",
+        "public\nlicence", "rights \n reserved", "creative\tcommons", "", "   ", ".", "-- >", "DNL dnl z\r\n<!-- q -->  \f",
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain_words = F.filter(F.split(F.lower(F.regexp_replace("t", r"[^\p{L}\p{N}.\-]+", " ")), r"[ ]+|\.+(?= |$)"), lambda w: w != "")
+    plain = F.transform(F.split("t", "\r\n|\r|\n"), lambda x: F.regexp_replace(F.regexp_replace(x, license_scan.OPENING, ""), license_scan.CLOSING, ""))
+    got = rows.select(
+        (license_scan.words_of(F.col("t")) == plain_words).alias("words"), (license_scan.may_tell(F.col("t")) | ~F.col("t").rlike(license_scan.WRAPPED)).alias("told"),
+        F.flatten(F.transform(license_scan.paragraphs(F.col("t")), lambda p: p.lines)).alias("lines"), F.filter(plain, lambda x: F.trim(x) != "").alias("plain"),
+    ).collect()
+    assert all(r.words and r.told and r.lines == r.plain for r in got)
