@@ -242,3 +242,16 @@ def test_overlap_and_groups_by_digest(spark):
     assert overlap(left.limit(0), right, ["i.d", "t", "x"]).count() == 0
     assert [tuple(r) for r in duplicate_groups(left, ["i.d", "t", "x"]).collect()] == [(1, "a", None, 2)]
     assert duplicate_groups(left.limit(0), ["t"]).columns == ["t", "n"]
+
+
+def test_strata_ranked_in_their_tasks_are_those_of_the_cuts(spark, monkeypatch):
+    """t2_stratified_by_order: small strata, a null one and equal keys give the same halves either way."""
+    from corpusloom.operators import split as S
+
+    rows = spark.range(600).selectExpr("concat('k', id - id % 3 * (id % 2)) AS key", "IF(id % 13 = 0, NULL, id % 97) AS g", "id AS other")
+    ranked = S.assign_partitions(rows, "key", stratify="g")
+    assert "Window" in ranked._jdf.queryExecution().toString()  # one shuffle of the rows, no table of cuts
+    monkeypatch.setattr(S, "RANKED_ROWS", 0)
+    by_cuts = S.assign_partitions(rows, "key", stratify="g")
+    assert ranked.columns == by_cuts.columns
+    assert sorted(map(tuple, ranked.collect()), key=str) == sorted(map(tuple, by_cuts.collect()), key=str)
