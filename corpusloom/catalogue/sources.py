@@ -13,6 +13,8 @@ from .base import CORPORA, labelled, query, table
 # A text goes into a Latin-1 file if that charset holds all of its characters.
 _BEYOND_LATIN = r"[^\x00-\x{ff}]"
 _ONE_LINE = r"[\r\n\t\x{85}]+"
+# Texts with line breaks cannot be split by a reader, which takes whole files; so no file may grow with the table.
+FILE_ROWS = 5_000
 _CSV = {"header": True, "escape": '"'}
 _SCHEMA = "doc_id long, lang string, text string"
 
@@ -23,7 +25,7 @@ def _two_encodings(spark, folder):
     beyond = F.col("text").rlike(_BEYOND_LATIN)
     path = fresh_path(spark, "documents")
     for part, charset in ((docs.filter(beyond), "UTF-8"), (docs.filter(~beyond), "ISO-8859-1")):
-        writer = part.write.options(**_CSV, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        writer = part.write.options(**_CSV, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, maxRecordsPerFile=FILE_ROWS)
         writer.option("encoding", charset).csv(f"{path}/{charset}")
     return [f"{path}/UTF-8", f"{path}/ISO-8859-1"]
 
@@ -46,7 +48,7 @@ def s1_types(spark, folder):
     path = fresh_path(spark, "documents")
     key = F.col("doc_id").cast("string")
     for part, charset in ((docs.filter(beyond).withColumn("doc_id", F.concat(F.lit("k"), key)), "UTF-8"), (docs.filter(~beyond), "ISO-8859-1")):
-        writer = part.write.options(**_CSV, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        writer = part.write.options(**_CSV, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, maxRecordsPerFile=FILE_ROWS)
         writer.option("encoding", charset).csv(f"{path}/{charset}")
     loaded = read_delimited(spark, [f"{path}/UTF-8", f"{path}/ISO-8859-1"], DEFAULT_ENCODINGS, multiLine=True, **_CSV)
     return loaded.data.select(F.col("doc_id").cast("string").alias("id"), "lang", F.md5("text").alias("digest"))

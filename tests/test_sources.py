@@ -130,3 +130,14 @@ def test_corpora(spark):
     ]
     with pytest.raises(ValueError):
         C.union_corpora({"gone": None})
+
+
+def test_files_with_line_breaks_stay_small(spark, monkeypatch):
+    """s1_types_of_all_files: a reader takes such files whole, so more rows make more files."""
+    from corpusloom.catalogue import QUERIES, sources
+
+    monkeypatch.setattr(sources, "FILE_ROWS", 20)
+    folder = "/root/testdata/sf0.001"
+    assert QUERIES["s4_provenance"](spark, folder).agg(F.max("n_rows")).first()[0] <= 20
+    want = spark.read.parquet(f"{folder}/documents.parquet").select(F.md5("text")).collect()
+    assert sorted(QUERIES["s1_types_of_all_files"](spark, folder).select("digest").collect()) == sorted(want)
