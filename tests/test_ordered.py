@@ -161,3 +161,18 @@ def test_smote_points_lie_between_neighbours(imbalanced, k):
         p = (r.a, r.b)
         on_a_segment = any(abs(math.dist(s, p) + math.dist(p, e) - math.dist(s, e)) < 1e-9 for s, e in pairs)
         assert on_a_segment or any(math.dist(p, q) < 1e-12 for _, q in small)
+
+
+def test_few_values_in_many_rows_are_counted_at_once(spark, monkeypatch):
+    """a30, a29, m7: no narrowing of the rows for columns with few values; the medians stay exact, and null-free groups with many values are narrowed."""
+    from corpusloom.operators import ordered as O
+
+    labels, write = [], O.materialise
+    monkeypatch.setattr(O, "materialise", lambda df, label="stage": labels.append(label) or write(df, label))
+    rows = spark.range(1000).selectExpr("'few' AS g", "CAST(id % 5 AS DOUBLE) AS v")
+    found = O.quantiles(rows, ["g"], "v", {"a": 0.5, "b": 0.99, "c": 0.1999}, sketch=True, range_rows=50).collect()
+    assert [tuple(r)[:3] for r in found] == [("few", 2.0, 4.0)] and abs(found[0].c - 0.7001) < 1e-6
+    assert "narrowed" not in labels
+    both = rows.union(spark.range(1000).selectExpr("'many'", "CAST(id AS DOUBLE)"))
+    got = {r.g: r.a for r in O.quantiles(both, ["g"], "v", {"a": 0.5}, sketch=True, range_rows=50).collect()}
+    assert got == {"few": 2.0, "many": 499.5} and "narrowed" in labels
