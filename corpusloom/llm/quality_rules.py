@@ -259,11 +259,10 @@ def judge(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
 def keep_good(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:
     """The documents that stay, with all their columns.
 
-    The list is learned from the labelled documents alone; then each row is judged where it is read, without a join.
+    The list is learned from the counts of the labelled documents; then each row is judged where it is read. Counts alone are
+    joined with the labels, so no text is shuffled.
     """
-    marked = labels.select(F.col("doc_id").alias("key")).filter("key IS NOT NULL").distinct()
-    known = keyed_texts(docs, id_column, text_column).join(marked, "key", "left_semi")
-    counted = written(with_counts(known, "text", "counts").select("key", "counts"), "labelled-counts")
+    counted = written(with_counts(keyed_texts(docs, id_column, text_column), "text", "counts").select("key", "counts"), "text-counts")
     rules = learn_rules(counted, labels, **settings)
     counts = unused(docs, "counts")
     judged = with_counts(docs, text_column, counts)

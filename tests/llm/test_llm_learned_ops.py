@@ -245,3 +245,17 @@ def test_short_cuts_of_the_licence_scan_change_nothing(spark):
         F.flatten(F.transform(license_scan.paragraphs(F.col("t")), lambda p: p.lines)).alias("lines"), F.filter(plain, lambda x: F.trim(x) != "").alias("plain"),
     ).collect()
     assert all(r.words and r.told and r.lines == r.plain for r in got)
+
+
+def test_texts_are_not_shuffled_to_learn_the_rules(spark, odd_docs, monkeypatch):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, quality int")
+    plans = []
+    monkeypatch.setattr(quality_rules, "written", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or written(df, label))
+    monkeypatch.setitem(quality_rules.keep_good.__globals__, "learn_rules", lambda *_, **__: [])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        quality_rules.keep_good(odd_docs, labels)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) == 1 and "Join" not in plans[0]
