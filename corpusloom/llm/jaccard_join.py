@@ -13,8 +13,11 @@ other side's union reach the share that a link needs.
 Everything is keyed by rows and sets, never by ids, which may be missing or repeated: a row is known by a 64-bit hash of its
 id and text, and one row stands for all that have the same set.
 
-A group with many members is cut into slices. Every slice is first searched by
-itself, together with a few members of the group that all slices share; slices and groups whose members
+Near copies in great number still make many small groups, all of which meet. So groups are gathered into families
+first: each names, of the groups of about its size that have one of its tokens, the one with the lowest number, and those that name
+the same one are a family. Families, and groups with many members, are cut into slices of bounded size, whole groups
+staying together where they are small, and it is slices that are opened for each other, where any of their groups meet. Families decide how much is compared, never
+the result. Every slice is first searched by itself, together with a few members of the family that all its slices share; slices whose members
 are by then all connected need no further comparison, as more links would not change a
 component. All others are compared pair by pair.
 """
@@ -44,6 +47,8 @@ MATRIX = NARROW_ENTRIES + ", ids array<long>"
 _STEP_BITS = np.array([1, 4, 8, 16, 32, 64, 128], np.uint8)
 _STEP_MARKS = np.concatenate([np.zeros(1, np.uint8), np.bitwise_or.accumulate(_STEP_BITS)])
 _STEPS_OF = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None] & 253, axis=1).sum(axis=1)
+#: Groups whose documents' sizes lie between two neighbouring powers of it are of about the same size.
+SIZE_STEP = 1.1
 #: Pairs that are looked at together.
 PAIRS_HELD = 1 << 20
 
@@ -116,7 +121,7 @@ def shared_tokens(texts: DataFrame, buckets: int, n: int) -> DataFrame:
     bucket_of, bits = top_bits(buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(bucket_of, bits, HELD_ENTRIES)
+        packer = Packer(bucket_of, bits, HELD_ENTRIES, by_owner=True)
         for batch in batches:
             for part, own in chunks(batch):
                 prints, of = shingles(own, n)
@@ -212,8 +217,52 @@ def near_enough(token: np.ndarray, least: np.ndarray, most: np.ndarray) -> Itera
         begin = end
 
 
-def group_pairs(entries: DataFrame, buckets: int, percent: int = PERCENT) -> DataFrame:
-    """g <= h: groups that share a prefix token within the limits of both; g = h for groups of more than one document."""
+def centres(entries: DataFrame, buckets: int, percent: int = PERCENT) -> DataFrame:
+    """bucket, group, centre: per bucket its groups, and the lowest of the groups of about the same size that share a token with
+    each (itself, if none does). Only tokens that a partner of the same size may have first count."""
+    _, bits = top_bits(buckets)
+    ends = limit_steps(percent)
+
+    def judge(bucket: Bucket) -> Iterator[pa.RecordBatch]:
+        group, n = bucket.ids[:, 0], bucket.ids[:, 1]
+        close = ends[_STEPS_OF[bucket.marks]] >= 1
+        cell = np.floor(np.log(n) / np.log(SIZE_STEP)).astype(np.int64)
+        order = np.lexsort((group, cell, bucket.prints, ~close))[: int(close.sum())]
+        prints, cell, mine = bucket.prints[order], cell[order], group[order]
+        first = np.ones(len(order), bool)
+        first[1:] = (prints[1:] != prints[:-1]) | (cell[1:] != cell[:-1])
+        named = mine[np.flatnonzero(first)[np.cumsum(first) - 1]] if len(order) else mine
+        names, at = np.unique(group, return_inverse=True)
+        least = names.copy()
+        np.minimum.at(least, at[order], named)
+        yield pa.record_batch([pa.array(np.full(len(names), bucket.bucket)), pa.array(names), pa.array(least)], names=["bucket", "group", "centre"])
+
+    return meet(entries, judge, "bucket long, group long, centre long", bits)
+
+
+def families(found: DataFrame, members: DataFrame, slice_members: int) -> DataFrame:
+    """group, tile, family, slices, slice, from `centres` and `group_members`.
+
+    A group of more than `slice_members` documents is a family and a tile by itself, in several slices (slice -1: each document has its own);
+    the others are dealt whole to the slices of the family of their lowest centre, and each slice is a tile.
+    """
+    sizes = members.groupBy("group").agg(F.count("*").alias("size"))
+    named = written(found.groupBy("group").agg(F.min("centre").alias("centre")).join(sizes, "group"), "group-centres")
+    large = F.col("size") > slice_members
+    slices = lambda size: F.ceil(F.col(size) / slice_members).cast("int")
+    alone = named.filter(large).select("group", F.col("group").alias("tile"), F.col("group").alias("family"), slices("size").alias("slices"), F.lit(-1).alias("slice"))
+    small = named.filter(~large)
+    whole = small.groupBy("centre").agg(F.sum("size").alias("whole"))
+    dealt = small.join(whole, "centre").select("group", F.xxhash64("centre", F.lit("family")).alias("family"), slices("whole").alias("slices"))
+    dealt = dealt.withColumn("slice", F.pmod(F.xxhash64("group"), "slices").cast("int"))
+    return alone.union(dealt.select("group", F.xxhash64("family", "slice").alias("tile"), "family", "slices", "slice"))
+
+
+def group_pairs(entries: DataFrame, buckets: int, percent: int = PERCENT, places: DataFrame | None = None) -> DataFrame:
+    """g <= h: groups that share a prefix token within the limits of both; g = h for groups of more than one document.
+
+    `places` (bucket, group, tile): pairs of tiles that hold such groups; g = h then only for some.
+    """
     _, bits = top_bits(buckets)
     ends = limit_steps(percent)
 
@@ -239,7 +288,17 @@ def group_pairs(entries: DataFrame, buckets: int, percent: int = PERCENT) -> Dat
         found = np.unique(np.concatenate(pairs), axis=0)
         yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["g", "h"])
 
-    return meet(entries, judge, "g long, h long", bits).distinct()
+    if places is None:
+        return meet(entries, judge, "g long, h long", bits).distinct()
+
+    def run(table: pa.Table, placed: pa.Table) -> pa.Table:
+        bucket = Bucket(table, bits)
+        group, tile = (placed.column(c).to_numpy() for c in ("group", "tile"))
+        by = np.argsort(group)
+        bucket.ids = np.stack([tile[by][np.searchsorted(group[by], bucket.ids[:, 0])], bucket.ids[:, 1]], axis=1)
+        return pa.Table.from_batches(list(judge(bucket)))
+
+    return entries.groupBy("bucket").cogroup(places.groupBy("bucket")).applyInArrow(run, "g long, h long").distinct()
 
 
 def token_sets(texts: DataFrame, n: int) -> DataFrame:
@@ -309,30 +368,33 @@ def linked_rows(texts0: DataFrame, n: int, percent: int, slice_members: int) ->
     classes = written(documents.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("row").alias("first"), F.min("key").alias("least")), "set-classes")
     # One text for each set; rows that are equal throughout combine before they are shuffled.
     chosen = texts0.join(classes.select(F.col("first").alias("row")), "row", "left_semi")
-    texts = written(chosen.groupBy("row").agg(F.first("text").alias("text")).select(F.col("row").alias("key"), "text"), "one-of-each-set")
+    texts = written(chosen.groupBy("row").agg(F.first("text").alias("text")).select(F.col("row").alias("key"), "text"), "one-of-each-set", compression="zstd")
     # Without a shared token there is no link: such texts are not read again.
     weighed = texts.join(written(shared_tokens(texts, buckets, n), "token-counts"), "key")
     packed = written(matrix(weighed, buckets, n, percent), "token-group-matrix")
-    met = written(group_pairs(packed.filter("bucket >= 0"), buckets, percent), "group-pairs")
+    entries = packed.filter("bucket >= 0")
     every = written(group_members(packed), "group-members")
-    # Groups of unlike size cannot link, nor can a group's only member with itself.
-    bounds = every.groupBy("group").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("size"))
-    of = lambda side: bounds.toDF(*[f"{c}_{side}" for c in ("group", "least", "most", "size")])
+    around = written(centres(entries, buckets, percent), "groups-around")
+    placed = written(families(around, every, slice_members), "families")
+    met = written(group_pairs(entries, buckets, percent, around.join(placed, "group").select("bucket", "group", "tile")), "tile-pairs")
+    # Tiles of unlike size cannot link, nor can a tile's only member with itself.
+    where = every.join(placed, "group")
+    bounds = where.groupBy("tile").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("size"))
+    of = lambda side: bounds.toDF(*[f"{c}_{side}" for c in ("tile", "least", "most", "size")])
     pairs = (
-        met.join(of("g"), F.col("g") == F.col("group_g")).join(of("h"), F.col("h") == F.col("group_h"))
-        .filter((F.col("g") != F.col("h")) | (F.col("size_g") > 1))
+        met.filter("g <> h").join(of("g"), F.col("g") == F.col("tile_g")).join(of("h"), F.col("h") == F.col("tile_h"))
         .filter((100 * F.col("most_g") >= percent * F.col("least_h")) & (100 * F.col("most_h") >= percent * F.col("least_g"))).select("g", "h")
     )
-    pairs = written(pairs, "open-pairs")
-    opened = pairs.select(F.col("g").alias("group")).union(pairs.select("h")).distinct()
-    members = written(every.join(opened, "group").select("key", "group"), "open-members")
-    sizes = members.groupBy("group").agg(F.ceil(F.count("*") / slice_members).cast("int").alias("slices"), F.count("*").alias("size"))
-    sliced = members.join(sizes, "group").select("key", "group", "slices", F.pmod(F.xxhash64("key"), "slices").cast("int").alias("slice"))
-    sets = written(token_sets(texts.join(sliced, "key"), n), "token-sets")
-
-    # Each slice by itself, with the members that all slices of a large group share.
+    pairs = written(pairs.union(bounds.filter("size > 1").select(F.col("tile").alias("g"), F.col("tile").alias("h"))), "open-pairs")
+    opened = pairs.select(F.col("g").alias("tile")).union(pairs.select("h")).distinct()
+    slice_of = F.when(F.col("slice") < 0, F.pmod(F.xxhash64("key"), "slices")).otherwise(F.col("slice")).cast("int")
+    members = written(where.join(opened, "tile").select("key", F.col("family").alias("group"), slice_of.alias("slice"), "slices"), "open-members")
+    sets = written(token_sets(texts.join(members, "key"), n), "token-sets")
+
+    # Each slice by itself, with the members that all slices of a family share.
     key_of = lambda *c: F.xxhash64(*c)
-    chosen = members.join(sizes.filter("slices > 1"), "group").filter(F.pmod(F.xxhash64("key", F.lit(1)), "size") < SHARED_MEMBERS).select("key", "group")
+    cut = members.filter("slices > 1")
+    chosen = cut.join(cut.groupBy("group").agg(F.count("*").alias("size")), "group").filter(F.pmod(F.xxhash64("key", F.lit(1)), "size") < SHARED_MEMBERS).select("key", "group")
     guests = sets.join(chosen, ["key", "group"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
     alone = sets.union(guests.select(sets.columns)).select(
         key_of("group", "slice").alias("task"), F.lit(0).alias("side"), "key", F.col("key").alias("component"), "tokens"
@@ -344,11 +406,13 @@ def linked_rows(texts0: DataFrame, n: int, percent: int, slice_members: int) ->
     labelled = sets.select("key", "group", "slice").join(known, F.col("key") == F.col("node"), "left")
     labelled = written(labelled.select("key", "group", "slice", F.coalesce("component", "key").alias("component")), "labelled-members")
     spans = labelled.groupBy("group", "slice").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    left, right = (spans.toDF(*[f"{c}_{s}" for c in ("group", "slice", "low", "high")]) for s in "gh")
+    tiles = placed.select("tile", "family", F.explode(F.when(F.col("slice") < 0, F.sequence(F.lit(0), F.col("slices") - 1)).otherwise(F.array("slice"))).alias("slice")).distinct()
+    spots = written(tiles.join(spans.withColumnRenamed("group", "family"), ["family", "slice"]), "open-slices")
+    left, right = (spots.select(*[F.col(c).alias(f"{c}_{s}") for c in ("tile", "family", "slice", "low", "high")]) for s in "gh")
     open_pairs = (
-        pairs.join(left, F.col("g") == F.col("group_g")).join(right, F.col("h") == F.col("group_h"))
+        pairs.join(left, F.col("g") == F.col("tile_g")).join(right, F.col("h") == F.col("tile_h"))
         .filter("(g <> h OR slice_g < slice_h) AND NOT (low_g = high_g AND low_h = high_h AND low_g = low_h)")
-        .select(key_of("g", "slice_g", "h", "slice_h").alias("task"), "g", "slice_g", "h", "slice_h")
+        .select(key_of("family_g", "slice_g", "family_h", "slice_h").alias("task"), F.col("family_g").alias("g"), "slice_g", F.col("family_h").alias("h"), "slice_h")
     )
     sides = open_pairs.select("task", F.lit(1).alias("side"), F.col("g").alias("group"), F.col("slice_g").alias("slice")).union(
         open_pairs.select("task", F.lit(2).alias("side"), "h", "slice_h")

@@ -298,3 +298,28 @@ def test_limits_admit_every_linked_pair_at_its_first_common_token(percent):
             assert limit[0] >= len(other) and n[0] * ends[step][0] + 1e-6 >= limit[0]
             assert jaccard_join._STEPS_OF[jaccard_join._STEP_MARKS[step] | 2][0] == step[0]
     assert linked > 100
+
+
+def test_near_copies_in_many_groups_are_opened_by_slices(spark):
+    import random
+
+    rng = random.Random(31)
+    base = passage(150, 44).split()
+    rows = []
+    for i in range(240):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 3, 9])):  # the last are no longer linked with most of the others
+            at = rng.randrange(150)
+            words[at] = f"n{at}-{rng.randrange(2)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    texts = docs.select(F.col("doc_id").alias("key"), "text")
+    packed = jaccard_join.written(matrix(texts.join(shared_tokens(texts, 16, 5), "key"), 16, 5, 75), "packed")
+    entries, members = packed.filter("bucket >= 0"), group_members(packed)
+    around = jaccard_join.written(jaccard_join.centres(entries, 16), "around")
+    placed = jaccard_join.families(around, members, 60)
+    tiles = group_pairs(entries, 16, places=around.join(placed, "group").select("bucket", "group", "tile"))
+    assert placed.count() == placed.select("group").distinct().count() == members.select("group").distinct().count()
+    assert group_pairs(entries, 16).count() > 1_000 and tiles.count() <= 100
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in link_documents(docs, slice_members=16).collect())
+    assert got == brute_links(rows)
