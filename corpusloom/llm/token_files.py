@@ -5,9 +5,9 @@ A corpus is a folder of numbered shards in ascending document order. Each shard
 signed 64-bit integers: per document its id and the corpus-wide offset of its first
 token. The bases of the shards are prefix sums of the shards' token counts.
 
-Three Spark jobs make it. The first encodes the texts where they are read and writes their ids as a table, each
-document's compressed by itself; the second range-partitions that table by document id and writes each partition's file, so texts are never
-shuffled; the third adds the bases to the offsets. Every attempt of
+Three Spark jobs make it. The first range-partitions the document ids alone, to find where each shard begins; the second encodes the texts where
+they are read, sends the ids, each document's compressed by itself, to their shards and writes each shard's file, so texts are never
+shuffled and ids stand nowhere but in the shuffle and the shards; the third adds the bases to the offsets. Every attempt of
 a task writes files of its own, and only those named in the written manifest
 count, so a lost executor or a speculative task leaves the corpus right.
 """
@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import NO_ID, external_key, keyed_texts, written
+from corpusloom.llm.common import NO_ID, external_key, keyed_texts, text_bytes, written
 from corpusloom.llm.encoding import encoder
 from corpusloom.llm.grams import chunks
 from corpusloom.workspace import fresh_path
@@ -34,7 +34,7 @@ SHARD_TEXT_BYTES = 64 << 20
 MANIFEST = "shard long, name string, n_docs long, n_tokens long, first_key long"
 READ_TOKENS = 1 << 22
 CODEC = ("zstd", 1)
-ENCODED = "key long, size long, n long, ids binary"
+ENCODED = "shard int, key long, hash long, n long, ids binary"
 
 
 def _folder(uri: str) -> tuple[fs.FileSystem, str]:
@@ -48,17 +48,37 @@ def _open(folder: fs.FileSystem, path: str):
     return folder.open_input_file(path)
 
 
-def encoded_texts(texts: DataFrame, tokenizer: str, keeps_space: bool, end_id: int, plain_specials: bool) -> DataFrame:
-    """Per row of key and text: key, the text's size in bytes, the number of its ids with the end id, and these as 16-bit integers, compressed."""
+def shard_bounds(texts: DataFrame, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Key and text hash of the first row of each shard, in order; shards are of about as many rows each."""
+    dealt = texts.select("key", "hash").repartitionByRange(shards, "key", "hash")
+    firsts = dealt.groupBy(F.spark_partition_id().alias("shard")).agg(F.min(F.struct("key", "hash")).alias("first")).orderBy("shard").select("first.*").collect()
+    return np.array([r.key for r in firsts], np.int64), np.array([r.hash for r in firsts], np.int64)
+
+
+def shard_of(keys: np.ndarray, hashes: np.ndarray, bounds: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The shard of each row of key and hash: how many bounds behind the first do not lie behind the row."""
+    first_keys, first_hashes = (b[1:] for b in bounds)
+    low, high = (np.searchsorted(first_keys, keys, side=side) for side in ("left", "right"))
+    out = low.copy()
+    for a, b in np.unique(np.stack([low, high], axis=1)[low < high], axis=0).tolist():  # keys that several shards share
+        which = np.flatnonzero((low == a) & (high == b))
+        out[which] = a + np.searchsorted(first_hashes[a:b], hashes[which], side="right")
+    return out
+
+
+def encoded_texts(texts: DataFrame, tokenizer: str, keeps_space: bool, end_id: int, plain_specials: bool, bounds: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Per row of key, hash and text: its shard, key, hash, the number of its ids with the end id, and these as 16-bit integers, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_all, packed = encoder(tokenizer, keeps_space, plain_specials).encode, pa.Codec(*CODEC)
         for batch in batches:
             for part, _ in chunks(batch):
                 ids = encode_all(part.column("text").to_pylist(), end_id)
-                size, n = pc.binary_length(part.column("text")).cast(pa.int64()), pa.array([len(i) for i in ids], pa.int64())
+                shard = shard_of(part.column("key").to_numpy(), part.column("hash").to_numpy(), bounds)
                 sent = pa.array([packed.compress(i.tobytes(), asbytes=True) for i in ids], pa.binary())
-                yield pa.record_batch([part.column("key"), size, n, sent], names=["key", "size", "n", "ids"])
+                yield pa.record_batch(
+                    [pa.array(shard, pa.int32()), part.column("key"), part.column("hash"), pa.array([len(i) for i in ids], pa.int64()), sent], names=["shard", "key", "hash", "n", "ids"]
+                )
 
     return texts.mapInArrow(run, ENCODED)
 
@@ -77,14 +97,14 @@ def write_token_files(
     """Write the corpus; returns its folder and the manifest, one row per shard with its base.
 
     A null or empty text is a document of the end id alone. Documents without an id come
-    last. Rows that repeat an id are separate documents, ordered by a hash of their ids
-    and then the ids (equal ids make equal files in either order). An empty table gives an empty manifest. Other columns are not read.
+    last. Rows that repeat an id are separate documents, ordered by a hash of their texts
+    and then their ids (equal ids make equal files in either order). An empty table gives an empty manifest. Other columns are not read.
     """
     spark = docs.sparkSession
     folder = folder or fresh_path(spark, "token-files")
-    encoded = written(encoded_texts(keyed_texts(docs, id_column, text_column), tokenizer, keeps_space, end_id, plain_specials), "token-ids")
-    text_bytes = encoded.agg(F.sum("size")).first()[0] or 0
-    shards = max(1, -(-text_bytes // shard_text_bytes), spark.sparkContext.defaultParallelism)
+    texts = keyed_texts(docs, id_column, text_column).select("key", F.xxhash64("text").alias("hash"), "text")
+    shards = max(1, -(-text_bytes(texts) // shard_text_bytes), spark.sparkContext.defaultParallelism)
+    encoded = encoded_texts(texts, tokenizer, keeps_space, end_id, plain_specials, shard_bounds(texts, shards))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = pa.Codec(*CODEC)
@@ -106,8 +126,7 @@ def write_token_files(
             row = [[0], [name], [len(index)], [total], [int(index[0, 0])]]
             yield pa.record_batch([pa.array(v, t) for v, t in zip(row, (pa.int64(), pa.string(), *[pa.int64()] * 3), strict=True)], names=["shard", "name", "n_docs", "n_tokens", "first_key"])
 
-    order = ["key", F.xxhash64("ids"), "ids"]
-    parts = encoded.select("key", "n", "ids").repartitionByRange(shards, *order[:2]).sortWithinPartitions(*order)
+    parts = encoded.repartitionById(shards, "shard").sortWithinPartitions("key", "hash", "ids")
     manifest = written(parts.mapInArrow(write, MANIFEST).withColumn("shard", F.spark_partition_id().cast("long")), "token-manifest")
     # One row per shard: prefix sums over them are a small window.
     in_order = Window.partitionBy(F.lit(0)).orderBy("shard")

@@ -139,3 +139,19 @@ def test_viterbi_finds_the_largest_sum(spark):
 def test_vocabulary_reads_the_model():
     v = Vocabulary(PIECES)
     assert v.first_byte == 3 and v.longest == 16 and len(v.pieces) == 31_741
+
+
+def test_ids_go_to_their_shards_without_a_table_between(spark, odd_docs, monkeypatch):
+    from corpusloom.llm import token_files
+    from corpusloom.llm.common import written
+
+    tables = []
+    monkeypatch.setattr(token_files, "written", lambda df, label: tables.append((label, df.columns)) or written(df, label))
+    _, manifest = write_token_files(odd_docs, BYTES, keeps_space=True, shard_text_bytes=4_000)
+    assert manifest.count() > 1 and tables and all("ids" not in columns for _, columns in tables)
+    rng = np.random.default_rng(8)
+    rows = sorted((int(k), int(h)) for k, h in zip(rng.integers(0, 6, 300), rng.integers(-9, 9, 300)))
+    firsts = rows[::25]
+    bounds = tuple(np.array(b, np.int64) for b in zip(*firsts))
+    got = token_files.shard_of(*(np.array(c, np.int64) for c in zip(*rows)), bounds)
+    assert got.tolist() == [sum(f <= r for f in firsts[1:]) for r in rows]
