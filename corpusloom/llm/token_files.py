@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import NO_ID, external_key, keyed_texts, text_bytes, written
+from corpusloom.llm.common import NO_ID, external_key, keyed_texts, written
 from corpusloom.llm.encoding import encoder
 from corpusloom.llm.grams import chunks
 from corpusloom.workspace import fresh_path
@@ -48,9 +48,9 @@ def _open(folder: fs.FileSystem, path: str):
     return folder.open_input_file(path)
 
 
-def shard_bounds(texts: DataFrame, shards: int) -> tuple[np.ndarray, np.ndarray]:
+def shard_bounds(rows: DataFrame, shards: int) -> tuple[np.ndarray, np.ndarray]:
     """Key and text hash of the first row of each shard, in order; shards are of about as many rows each."""
-    dealt = texts.select("key", "hash").repartitionByRange(shards, "key", "hash")
+    dealt = rows.select("key", "hash").repartitionByRange(shards, "key", "hash")
     firsts = dealt.groupBy(F.spark_partition_id().alias("shard")).agg(F.min(F.struct("key", "hash")).alias("first")).orderBy("shard").select("first.*").collect()
     return np.array([r.key for r in firsts], np.int64), np.array([r.hash for r in firsts], np.int64)
 
@@ -103,8 +103,10 @@ def write_token_files(
     spark = docs.sparkSession
     folder = folder or fresh_path(spark, "token-files")
     texts = keyed_texts(docs, id_column, text_column).select("key", F.xxhash64("text").alias("hash"), "text")
-    shards = max(1, -(-text_bytes(texts) // shard_text_bytes), spark.sparkContext.defaultParallelism)
-    encoded = encoded_texts(texts, tokenizer, keeps_space, end_id, plain_specials, shard_bounds(texts, shards))
+    rows = written(texts.select("key", "hash", F.octet_length("text").alias("size")), "document-keys")
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    shards = max(1, -(-total // shard_text_bytes), spark.sparkContext.defaultParallelism)
+    encoded = encoded_texts(texts, tokenizer, keeps_space, end_id, plain_specials, shard_bounds(rows, shards))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = pa.Codec(*CODEC)
