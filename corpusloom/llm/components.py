@@ -13,6 +13,13 @@ def _least_neighbour(both: DataFrame) -> DataFrame:
     return both.join(least, "u").withColumn("m", F.least("u", "m"))
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour or larger ones only: then nothing is left to contract."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(edges.select("v", F.lit(0), F.lit(1)))
+    counted = ends.groupBy("node").agg(F.sum("below").alias("below"), F.sum("above").alias("above"))
+    return counted.filter("below > 1 OR (below = 1 AND above > 0)").agg(F.count("*")).first()[0] == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (the smallest node reachable) for every node of an edge (a, b).
 
@@ -21,15 +28,10 @@ def components(edges: DataFrame) -> DataFrame:
     combine before they shuffle, and the join back to a hub's edges can be split.
     """
     edges = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
-    while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
+    while not _stars(edges):
         both = edges.union(edges.select("v", "u"))
-        large = _least_neighbour(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        small = _least_neighbour(large.select("u", "v"))
+        large = _least_neighbour(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        small = _least_neighbour(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", "m")).filter("u <> v").distinct()
         edges = written(small, "edges")
     return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).union(

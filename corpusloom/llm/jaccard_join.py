@@ -28,13 +28,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import external_key, internal_key, keyed_texts, quoted, text_bytes, unused, written
 from corpusloom.llm.components import components
 from corpusloom.llm.grams import Texts, chunks, lowered, mixed, owners, word_prints, word_windows, words_of
-from corpusloom.llm.packed_exchange import NARROW_ENTRIES, Bucket, Packer, buckets_for, cut_to_sent, lists, meet, per_owner, top_bits
+from corpusloom.llm.packed_exchange import NARROW_ENTRIES, PER_OWNER, Bucket, Packer, buckets_for, cut_to_sent, lists, meet, top_bits
 
 SHINGLE_WORDS, PERCENT = 5, 75
 SLICE_MEMBERS, SHARED_MEMBERS = 512, 8
@@ -42,6 +44,8 @@ PROFILE = "row long, key long, n long, d1 long, d2 long"
 #: Entries that a task holds before it hands on a block.
 HELD_ENTRIES = 2 << 20
 MATRIX = NARROW_ENTRIES + ", ids array<long>"
+ASKED = "bucket long, block long, owners array<long>, steps binary, prints array<int>"
+ANSWERED = ASKED + ", values array<int>"
 #: A document's limit at a token is sent as one of eight steps of its own size: so many of these bits, from the lowest on (bit 1 is the packer's).
 #: Marks that are merged by "or" so keep the largest limit.
 _STEP_BITS = np.array([1, 4, 8, 16, 32, 64, 128], np.uint8)
@@ -113,28 +117,94 @@ def profiles(texts: DataFrame, n: int) -> DataFrame:
     return texts.mapInArrow(run, PROFILE)
 
 
+def _steps(places: np.ndarray) -> bytes:
+    """Ascending numbers as their differences, each in as few bytes as the largest needs."""
+    step = np.diff(places, prepend=0)
+    most = int(step.max(initial=0))
+    return step.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32).tobytes()
+
+
+def _places(steps: bytes, count: int) -> np.ndarray:
+    return np.cumsum(np.frombuffer(steps, f"<u{len(steps) // count}"), dtype=np.int64) if count else np.zeros(0, np.int64)
+
+
+def _asked(block: int, held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], bits: int) -> pa.RecordBatch:
+    """A row per bucket of the block's tokens, document by document: the tokens, and whose they are as steps from one document to the next.
+
+    The documents' keys go with the first row alone, so that a token costs the same in however many buckets.
+    """
+    keys, of, prints = zip(*held, strict=True)
+    base = np.cumsum([0, *(len(k) for k in keys)])
+    owner, prints = np.concatenate([o + at for o, at in zip(of, base[:-1], strict=True)]), np.concatenate(prints)
+    bucket = top_bits(1 << bits)[0](prints)
+    order = np.argsort(bucket, kind="stable")
+    owner, bucket = owner[order], bucket[order]
+    sent = (prints[order] >> np.uint64(32 - bits)).astype(np.uint32).view(np.int32)
+    cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+    rows = len(cuts) - 1
+    return pa.record_batch(
+        [
+            pa.array(bucket[cuts[:-1]], pa.int64()), pa.array(np.full(rows, block), pa.int64()), lists(np.concatenate(keys), np.append(0, np.full(rows, base[-1])), pa.int64()),
+            pa.array([_steps(owner[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()), lists(sent, cuts),
+        ],
+        names=["bucket", "block", "owners", "steps", "prints"],
+    )
+
+
 def shared_tokens(texts: DataFrame, buckets: int, n: int) -> DataFrame:
-    """key, prints, values: per document the tokens that others have too, and how many documents have each.
+    """key, prints, values: per document (keys are unique) the tokens that others have too, and how many documents have each.
 
     The global order goes by these counts; tokens count as one where what is sent of their fingerprints agrees.
     """
-    bucket_of, bits = top_bits(buckets)
+    _, bits = top_bits(buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(bucket_of, bits, HELD_ENTRIES, by_owner=True)
+        block, held, size = TaskContext.get().partitionId() << 20, [], 0
         for batch in batches:
             for part, own in chunks(batch):
                 prints, of = shingles(own, n)
-                yield from packer.add(part.column("key").to_numpy()[of], cut_to_sent(prints, bits), np.zeros(len(of), np.uint8))
-        yield from packer.flush()
-
-    def judge(bucket: Bucket) -> Iterator[pa.RecordBatch]:
-        values, group = np.unique(bucket.prints, return_inverse=True)
-        count = np.bincount(group, minlength=len(values))
-        yield from bucket.answers((count > 1)[group], count[group])
-
-    found = per_owner(meet(texts.mapInArrow(run, NARROW_ENTRIES), judge, narrow_bits=bits))
-    return found.groupBy("key").agg(F.flatten(F.collect_list("prints")).alias("prints"), F.flatten(F.collect_list("values")).alias("values"))
+                held.append((part.column("key").to_numpy(), of, prints))
+                size += len(of)
+                if size >= HELD_ENTRIES:
+                    yield _asked(block, held, bits)
+                    block, held, size = block + 1, [], 0
+        if size:
+            yield _asked(block, held, bits)
+
+    def judge(table: pa.Table) -> pa.Table:
+        column = lambda name: table.column(name).combine_chunks()
+        prints, steps = column("prints"), column("steps").to_pylist()
+        flat = prints.flatten().to_numpy()
+        cuts = np.concatenate([[0], np.cumsum(np.diff(prints.offsets.to_numpy()))])
+        _, group = np.unique(flat, return_inverse=True)
+        count = np.bincount(group)[group]
+        shared = count > 1
+        spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+        found = pa.table(
+            [
+                column("bucket"), column("block"), column("owners"), pa.array([_steps(_places(s, b - a)[shared[a:b]]) for s, (a, b) in zip(steps, spans, strict=True)], pa.binary()),
+                lists(flat[shared], np.concatenate([[0], np.cumsum(shared)])[cuts]), lists(count[shared], np.concatenate([[0], np.cumsum(shared)])[cuts], pa.int32()),
+            ],
+            names=["bucket", "block", "owners", "steps", "prints", "values"],
+        )
+        return found.filter(pc.or_(pc.greater(pc.list_value_length(found.column("prints")), 0), pc.greater(pc.list_value_length(found.column("owners")), 0)))
+
+    def gathered(table: pa.Table) -> pa.Table:
+        column = lambda name: table.column(name).combine_chunks()
+        prints, size = column("prints"), pc.list_value_length(column("prints")).to_numpy()
+        owner = np.concatenate([_places(s, k) for s, k in zip(column("steps").to_pylist(), size.tolist(), strict=True)])
+        top = np.repeat(column("bucket").to_numpy().astype(np.uint64), size)
+        top = top << np.uint64(64 - bits) if bits else top * np.uint64(0)
+        full = top | (prints.flatten().to_numpy().view(np.uint32).astype(np.uint64) << np.uint64(32 - bits))
+        order = np.argsort(owner, kind="stable")
+        owner, cuts = owner[order], np.append(np.flatnonzero(np.diff(owner[order], prepend=-1)), len(owner))
+        keys = column("owners").flatten().to_numpy()
+        return pa.table(
+            [pa.array(keys[owner[cuts[:-1]]], pa.int64()), lists(full[order].view(np.int64), cuts), lists(column("values").flatten().to_numpy()[order], cuts, pa.int64())], names=["key", "prints", "values"]
+        )
+
+    asked = texts.mapInArrow(run, ASKED)
+    return asked.groupBy("bucket").applyInArrow(judge, ANSWERED).groupBy("block").applyInArrow(gathered, PER_OWNER)
 
 
 def _ordered(part: pa.RecordBatch, own: Texts, bits: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -157,7 +227,7 @@ def _ordered(part: pa.RecordBatch, own: Texts, bits: int, n: int) -> tuple[np.nd
 
 def matrix(weighed: DataFrame, buckets: int, n: int, percent: int) -> DataFrame:
     """The token-group matrix: the shared prefix tokens of each group, packed by token, with the sizes and limits of the documents that have them;
-    and in rows of bucket -1 the members: keys, groups, set sizes."""
+    and in rows of bucket -1 the members: keys, groups, set sizes, and as ids the tokens of each that others have too, from owner_at on."""
     bucket_of, bits = top_bits(buckets)
     steps = limit_steps(percent)[:-1]
 
@@ -169,6 +239,7 @@ def matrix(weighed: DataFrame, buckets: int, n: int, percent: int) -> DataFrame:
                 size = np.diff(cuts)
                 place = np.arange(len(of)) - cuts[:-1][of]
                 useful = (place < prefix_length(size, percent)[of]) & (weight > 1)
+                shared = prints[weight > 1], of[weight > 1]
                 prints, of, place = prints[useful], of[useful], place[useful]
                 some, at = np.unique(of, return_index=True)  # tokens are in order: the first one names the group
                 if not len(some):
@@ -176,10 +247,12 @@ def matrix(weighed: DataFrame, buckets: int, n: int, percent: int) -> DataFrame:
                 named = np.zeros(len(size), np.int64)
                 named[some] = prints[at].view(np.int64)
                 members = np.concatenate([part.column("key").to_numpy()[some], named[some], size[some]])
+                known = np.isin(shared[1], some)
+                ends = np.concatenate([[0], np.cumsum(np.bincount(shared[1], minlength=len(size))[some])])
                 none = np.array([0, 0])
                 yield pa.record_batch(
-                    [pa.array([-1], pa.int64()), pa.array([0], pa.int64()), lists(members, np.array([0, len(members)]), pa.int64()), lists(np.zeros(0, np.int32), none),
-                     lists(np.zeros(0, np.int32), none), lists(np.zeros(0, np.int8), none), lists(np.zeros(0, np.int64), none)],
+                    [pa.array([-1], pa.int64()), pa.array([0], pa.int64()), lists(members, np.array([0, len(members)]), pa.int64()), lists(ends.astype(np.int32), np.array([0, len(ends)])),
+                     lists(np.zeros(0, np.int32), none), lists(np.zeros(0, np.int8), none), lists(shared[0][known].view(np.int64), np.array([0, ends[-1]]))],
                     names=["bucket", "block", "owners", "owner_at", "prints", "marks", "ids"],
                 )
                 # Documents of one group and size are one owner, so that near copies do not multiply the entries.
@@ -301,28 +374,30 @@ def group_pairs(entries: DataFrame, buckets: int, percent: int = PERCENT, places
     return entries.groupBy("bucket").cogroup(places.groupBy("bucket")).applyInArrow(run, "g long, h long").distinct()
 
 
-def token_sets(texts: DataFrame, n: int) -> DataFrame:
-    """The given texts' sets: key, group, slice, slices, tokens."""
+def token_sets(packed: DataFrame) -> DataFrame:
+    """key, n, tokens from the member rows of `matrix`: a set's size, and those of its tokens that other sets have too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, own in chunks(batch):
-                prints, of = shingles(own, n)
-                cuts = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=own.count))])
-                yield pa.record_batch([*(part.column(c) for c in ("key", "group", "slice", "slices")), lists(prints.view(np.int64), cuts)], names=["key", "group", "slice", "slices", "tokens"])
+            for owners, cuts, tokens in zip(*(batch.column(c) for c in ("owners", "owner_at", "ids")), strict=True):
+                members = owners.values.to_numpy().reshape(3, -1)
+                yield pa.record_batch([pa.array(members[0]), pa.array(members[2]), lists(tokens.values.to_numpy(), cuts.values.to_numpy(), pa.int64())], names=["key", "n", "tokens"])
 
-    return texts.mapInArrow(run, "key long, group long, slice int, slices int, tokens array<long>")
+    return packed.filter("bucket < 0").select("owners", "owner_at", "ids").mapInArrow(run, "key long, n long, tokens array<long>")
 
 
-def links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, label: np.ndarray, percent: int) -> np.ndarray:
-    """Labels after joining every left set with the right sets it links to; equal labels are connected already."""
-    sizes = np.array([len(s) for s in sets])
-    cuts = np.concatenate([[0], np.cumsum(sizes)])
+def links(sets: list[np.ndarray], sizes: np.ndarray, left: np.ndarray, right: np.ndarray, label: np.ndarray, percent: int) -> np.ndarray:
+    """Labels after joining every left set with the right sets it links to; equal labels are connected already.
+
+    `sizes` also counts the tokens that no other set has, which `sets` leave out.
+    """
+    given = np.array([len(s) for s in sets])
+    cuts = np.concatenate([[0], np.cumsum(given)])
     tokens, token_at = np.unique(np.concatenate(sets), return_inverse=True)
     by = np.argsort(token_at, kind="stable")
-    posting = np.repeat(np.arange(len(sets)), sizes)[by]
+    posting = np.repeat(np.arange(len(sets)), given)[by]
     begin = np.concatenate([[0], np.cumsum(np.bincount(token_at, minlength=len(tokens)))])
-    right_df = np.bincount(token_at, weights=np.repeat(right, sizes), minlength=len(tokens))
+    right_df = np.bincount(token_at, weights=np.repeat(right, given), minlength=len(tokens))
     label = label.copy()
     for x in np.flatnonzero(left).tolist():
         fits = right & (label != label[x]) & (100 * sizes >= percent * sizes[x]) & (percent * sizes <= 100 * sizes[x])
@@ -343,22 +418,22 @@ def links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, label: np
 
 
 def search(members: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) found in each task of `members`: task, side (0: all against all), key, component, tokens."""
+    """Edges (a, b) found in each task of `members`: task, side (0: all against all), component, n, tokens. Edges may come from several tasks."""
 
     def run(table: pa.Table) -> pa.Table:
         column = lambda c: table.column(c).combine_chunks()
-        keys, side, known = (column(c).to_numpy() for c in ("key", "side", "component"))
+        side, known, sizes = (column(c).to_numpy() for c in ("side", "component", "n"))
         tokens = column("tokens")
         flat, cuts = tokens.values.to_numpy().view(np.uint64), tokens.offsets.to_numpy()
         sets = [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         label = np.unique(known, return_inverse=True)[1]
-        got = links(sets, side <= 1, side != 1, label, percent)
+        got = links(sets, sizes, side <= 1, side != 1, label, percent)
         least = np.full(int(got.max()) + 1, np.iinfo(np.int64).max)
         np.minimum.at(least, got, known)
         edge = known != least[got]
         return pa.table([pa.array(known[edge]), pa.array(least[got][edge])], names=["a", "b"])
 
-    return members.groupBy("task").applyInArrow(run, "a long, b long").distinct()
+    return members.groupBy("task").applyInArrow(run, "a long, b long")
 
 
 def linked_rows(texts0: DataFrame, n: int, percent: int, slice_members: int) -> DataFrame:
@@ -389,7 +464,7 @@ def linked_rows(texts0: DataFrame, n: int, percent: int, slice_members: int) ->
     opened = pairs.select(F.col("g").alias("tile")).union(pairs.select("h")).distinct()
     slice_of = F.when(F.col("slice") < 0, F.pmod(F.xxhash64("key"), "slices")).otherwise(F.col("slice")).cast("int")
     members = written(where.join(opened, "tile").select("key", F.col("family").alias("group"), slice_of.alias("slice"), "slices"), "open-members")
-    sets = written(token_sets(texts.join(members, "key"), n), "token-sets")
+    sets = written(members.join(token_sets(packed), "key").select("key", "group", "slice", "slices", "n", "tokens"), "token-sets")
 
     # Each slice by itself, with the members that all slices of a family share.
     key_of = lambda *c: F.xxhash64(*c)
@@ -397,7 +472,7 @@ def linked_rows(texts0: DataFrame, n: int, percent: int, slice_members: int) ->
     chosen = cut.join(cut.groupBy("group").agg(F.count("*").alias("size")), "group").filter(F.pmod(F.xxhash64("key", F.lit(1)), "size") < SHARED_MEMBERS).select("key", "group")
     guests = sets.join(chosen, ["key", "group"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
     alone = sets.union(guests.select(sets.columns)).select(
-        key_of("group", "slice").alias("task"), F.lit(0).alias("side"), "key", F.col("key").alias("component"), "tokens"
+        key_of("group", "slice").alias("task"), F.lit(0).alias("side"), F.col("key").alias("component"), "n", "tokens"
     )
     first_edges = written(search(alone, percent), "edges-within")
     known = written(components(first_edges), "components-within")
@@ -418,7 +493,7 @@ def linked_rows(texts0: DataFrame, n: int, percent: int, slice_members: int) ->
         open_pairs.select("task", F.lit(2).alias("side"), "h", "slice_h")
     )
     across = sets.join(sides, ["group", "slice"]).join(labelled.select("key", "group", "component"), ["key", "group"])
-    more = search(across.select("task", "side", "key", "component", "tokens"), percent)
+    more = search(across.select("task", "side", "component", "n", "tokens"), percent)
     final = components(first_edges.union(more))
 
     nodes = written(

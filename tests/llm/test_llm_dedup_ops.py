@@ -323,3 +323,32 @@ def test_near_copies_in_many_groups_are_opened_by_slices(spark):
     assert group_pairs(entries, 16).count() > 1_000 and tiles.count() <= 100
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in link_documents(docs, slice_members=16).collect())
     assert got == brute_links(rows)
+
+
+def test_open_sets_come_from_the_matrix_and_hold_shared_tokens(spark):
+    rows = [(i, passage(60, 50 + i // 2) + f" tail{i}") for i in range(8)] + [(8, passage(60, 99))]
+    texts = spark.createDataFrame(rows, "key long, text string").repartition(3)
+    packed = jaccard_join.written(matrix(texts.join(shared_tokens(texts, 16, 5), "key"), 16, 5, 75), "packed")
+    got = {r.key: (r.n, len(set(r.tokens))) for r in jaccard_join.token_sets(packed).collect()}
+    sets = {k: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for k, t in rows for w in [t.split()]}
+    assert got == {k: (len(s), sum(any(t in sets[o] for o in sets if o != k) for t in s)) for k, s in sets.items() if k < 8}
+
+
+def test_a_token_costs_the_same_in_however_many_buckets():
+    rng = np.random.default_rng(3)
+    keys, of = np.arange(400), np.repeat(np.arange(400), 200)
+    prints = rng.integers(0, 1 << 63, len(of), dtype=np.uint64) * np.uint64(2)
+    few, many = (jaccard_join._asked(0, [(keys, of, prints)], bits) for bits in (4, 12))
+    assert many.num_rows > 200 * few.num_rows and many.nbytes < 1.5 * few.nbytes
+    for batch in (few, many):
+        got = [p for s, n in zip(batch.column("steps").to_pylist(), np.diff(batch.column("prints").offsets.to_numpy())) for p in jaccard_join._places(s, n).tolist()]
+        assert np.bincount(got).tolist() == [200] * 400
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    import importlib
+
+    module, labels = importlib.import_module("corpusloom.llm.components"), []
+    monkeypatch.setattr(module, "written", lambda df, label: labels.append(label) or jaccard_join.written(df, label))
+    got = {r.node: r.component for r in components(spark.createDataFrame([(1, 5), (9, 1), (1, 7), (2, 3)], "a long, b long")).collect()}
+    assert got == {1: 1, 5: 1, 7: 1, 9: 1, 2: 2, 3: 2} and len(labels) == 1
