@@ -109,7 +109,10 @@ _BEGINS, _ENDS = " \t\x0b\x0c\r/*#;-%<>\"'.rRdD", " \t\x0b\x0c\r*/>#\"'\x85\u202
 
 def words_of(text: Column) -> Column:
     """Lower-case runs of letters, digits, dots and hyphens, without the dots at their end."""
-    return F.transform(F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}.\-]*[\p{L}\p{N}\-]"), F.lit(0)), F.lower)
+    # Plain texts are lowered whole and need no Unicode classes.
+    plain = F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9.\-]*[a-z0-9\-]"), F.lit(0))
+    others = F.transform(F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}.\-]*[\p{L}\p{N}\-]"), F.lit(0)), F.lower)
+    return F.when(F.octet_length(text) == F.length(text), plain).otherwise(others)
 
 
 def pairs_of(words: Column) -> Column:
@@ -159,7 +162,9 @@ def pieces(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     `line_at` is the line a piece's paragraph, or the line that is a piece by itself, begins on; `telling` says that the piece has a
     telling word. `ordinary`: only paragraphs without such a word, and not their lines.
     """
-    text = F.translate(F.coalesce(F.col(quoted(text_column)), F.lit("")), "\x01\x02", "  ")
+    text = F.coalesce(F.col(quoted(text_column)), F.lit(""))
+    # Few texts have these characters, and the replacement walks through a text one by one.
+    text = F.when(F.contains(text, F.lit("\x01")) | F.contains(text, F.lit("\x02")), F.translate(text, "\x01\x02", "  ")).otherwise(text)
     texts = docs.select(internal_key(F.col(quoted(id_column))).alias("key"), text.alias("text"))
     # Pieces of texts that cannot have a telling phrase, not even a wrapped one, need not be searched for one.
     told = F.lit(True) if ordinary else may_tell(F.col("text"))

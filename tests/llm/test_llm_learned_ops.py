@@ -259,3 +259,10 @@ def test_texts_are_not_shuffled_to_learn_the_rules(spark, odd_docs, monkeypatch)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(plans) == 1 and "Join" not in plans[0]
+
+
+def test_words_of_plain_and_other_pieces(spark):
+    texts = ["GNU General-Public v3.0. (GPL)...", "", "--- . ..", "Été À-la.Carte. ΣΟΦΟΣ İstanbul ½ GPL-3.0.", "a\x01B"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(license_scan.words_of(F.col("t")).alias("w"), F.expr(r"transform(regexp_extract_all(t, '[\\p{L}\\p{N}.\\-]*[\\p{L}\\p{N}\\-]', 0), x -> lower(x))").alias("want"))
+    rows = got.collect()
+    assert [r.w for r in rows] == [r.want for r in rows] and rows[0].w == ["gnu", "general-public", "v3.0", "gpl"]
